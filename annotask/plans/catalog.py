@@ -137,3 +137,349 @@ def q_task_status(spark, sf_dir):
 def q_task_status_ids(spark, sf_dir):
     ids = D.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R").select("l_orderkey")
     return task_status(D.tasks(spark, sf_dir), ids, same_as_delivery=False)
+
+
+# --------------------------------------------------------------------------- P1 P2
+from annotask.operators.requests import task_request_json  # noqa: E402
+
+
+@register(
+    "task_requests_json",
+    D.with_views(
+        """SELECT json_object('data', json_object('doc_id', doc_id, 'text', text, 'lang', lang, 'source', source,
+                                       'n_chars', n_chars, 'output_label', json(output_label)),
+                   'priority', 0, 'submit', false)::VARCHAR AS request_json
+  FROM inputs""",
+        "inputs",
+    ),
+)
+def q_task_requests_json(spark, sf_dir):
+    return task_request_json(D.inputs(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- L1
+from annotask.operators.paging import page_completeness, paginate  # noqa: E402
+
+PAGE_SQL = """(SELECT id, project_id,
+          row_number() OVER (PARTITION BY project_id ORDER BY created_at, id) AS rn FROM tasks)"""
+
+
+@register(
+    "paginate",
+    D.with_views(
+        f"""SELECT id, project_id, CAST((rn - 1) // 100 + 1 AS INTEGER) AS page,
+         CAST((rn - 1) % 100 + 1 AS INTEGER) AS position
+  FROM {PAGE_SQL}""",
+        "tasks",
+    ),
+)
+def q_paginate(spark, sf_dir):
+    return paginate(D.tasks(spark, sf_dir), 100).select("id", "project_id", "page", "position")
+
+
+# --------------------------------------------------------------------------- L3
+@register(
+    "page_gaps",
+    D.with_views(
+        f"""SELECT result, n_pages, first_page, last_page, n_tasks,
+         CAST(last_page - n_pages AS BIGINT) AS missing_pages,
+         CAST(n_short - CASE WHEN last_page_tasks < 100 THEN 1 ELSE 0 END AS BIGINT) AS short_inner_pages,
+         last_page_tasks >= 100 AS last_page_full,
+         (last_page - n_pages = 0 AND n_short - CASE WHEN last_page_tasks < 100 THEN 1 ELSE 0 END = 0
+          AND last_page_tasks < 100) AS complete
+  FROM (
+    SELECT result, count(*) AS n_pages, min(page) AS first_page, max(page) AS last_page,
+           CAST(sum(n_tasks) AS BIGINT) AS n_tasks, arg_max(n_tasks, page) AS last_page_tasks,
+           count(*) FILTER (WHERE n_tasks < 100) AS n_short
+    FROM (SELECT project_id AS result, CAST((rn - 1) // 100 + 1 AS INTEGER) AS page, count(*) AS n_tasks
+          FROM {PAGE_SQL} GROUP BY 1, 2) pages
+    WHERE page <> 3
+    GROUP BY result)""",
+        "tasks",
+    ),
+)
+def q_page_gaps(spark, sf_dir):
+    paged = paginate(D.tasks(spark, sf_dir), 100, position_col=None)
+    pages = paged.groupBy(F.col("project_id").alias("result"), "page").agg(F.count(F.lit(1)).alias("n_tasks"))
+    # Page 3 of every result is taken out: the gap the check must find.
+    return page_completeness(pages.where(F.col("page") != 3), 100)
+
+
+# --------------------------------------------------------------------------- M1
+from annotask.operators.mutations import cancel_batches, delete_tasks, reject_tasks, update_priorities  # noqa: E402
+
+
+@register(
+    "reject_tasks",
+    D.with_views(
+        """SELECT t.id, t.project_id, t.batch_id, t.client_batch_id,
+         CASE WHEN r.id IS NOT NULL THEN 'rejected' ELSE t.state END AS state,
+         t.priority, t.created_at, t.completed_at, t.data, t.answers,
+         to_json(r.reasons)::VARCHAR AS reject_reasons
+  FROM tasks t LEFT JOIN (
+    SELECT id, max({'at': "at", 'reasons': reasons}).reasons AS reasons
+    FROM (SELECT CAST(l_orderkey AS VARCHAR) AS id, l_shipdate AS "at",
+                 ['Not accurate', 'line ' || CAST(l_linenumber AS VARCHAR)] AS reasons
+          FROM lineitem WHERE l_returnflag = 'R')
+    GROUP BY id) r ON t.id = r.id""",
+        "tasks",
+    ),
+)
+def q_reject_tasks(spark, sf_dir):
+    rej = (
+        D.table(spark, sf_dir, "lineitem")
+        .where(F.col("l_returnflag") == "R")
+        .select(
+            F.col("l_orderkey").cast("string").alias("id"),
+            F.col("l_shipdate").alias("at"),
+            F.array(F.lit("Not accurate"), F.concat(F.lit("line "), F.col("l_linenumber").cast("string"))).alias("reasons"),
+        )
+    )
+    out = reject_tasks(D.tasks(spark, sf_dir), rej)
+    return out.withColumn("reject_reasons", F.to_json("reject_reasons"))
+
+
+# --------------------------------------------------------------------------- M2
+@register(
+    "update_priorities",
+    D.with_views(
+        """SELECT id, project_id, batch_id, client_batch_id, state,
+         CASE WHEN id IN (SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_linestatus = 'O' AND l_quantity >= 45)
+              THEN -100 ELSE priority END AS priority,
+         created_at, completed_at, data, answers
+  FROM tasks""",
+        "tasks",
+    ),
+)
+def q_update_priorities(spark, sf_dir):
+    ids = D.table(spark, sf_dir, "lineitem").where((F.col("l_linestatus") == "O") & (F.col("l_quantity") >= 45))
+    return update_priorities(D.tasks(spark, sf_dir), ids.select("l_orderkey"), -100)
+
+
+# --------------------------------------------------------------------------- M3
+@register(
+    "delete_tasks",
+    D.with_views(
+        """SELECT * FROM tasks
+  WHERE NOT (project_id = '3' AND id IN (SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'A'))""",
+        "tasks",
+    ),
+)
+def q_delete_tasks(spark, sf_dir):
+    ids = D.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "A").select("l_orderkey")
+    return delete_tasks(D.tasks(spark, sf_dir), ids, project_id="3")
+
+
+# --------------------------------------------------------------------------- M4
+@register(
+    "cancel_batches",
+    D.with_views(
+        """SELECT project_id, batch_id,
+         CASE WHEN batch_id IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < 0)
+                   AND status NOT IN ('completed', 'failed', 'cancelled') THEN 'cancelled' ELSE status END AS status,
+         tasks_file_name, notification_email, created_at
+  FROM batch_jobs""",
+        "batch_jobs",
+    ),
+)
+def q_cancel_batches(spark, sf_dir):
+    ids = D.table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0).select("c_custkey")
+    return cancel_batches(D.batch_jobs(spark, sf_dir), ids)
+
+
+# --------------------------------------------------------------------------- A1
+from annotask.operators.stats import (  # noqa: E402
+    batch_status,
+    batch_task_detail,
+    creation_schema,
+    delivery_schema,
+    project_information,
+    project_state_counts,
+    project_stats,
+)
+from annotask.schema import STATE_COLUMN_NAMES, TASK_STATES  # noqa: E402
+
+_STATE_COUNTS_SQL = ",\n         ".join(
+    f"count(*) FILTER (WHERE state = '{s}') AS {STATE_COLUMN_NAMES[s]}" for s in TASK_STATES
+)
+
+
+@register(
+    "project_stats",
+    D.with_views(
+        f"""SELECT project_id, count(*) AS n_tasks,
+         {_STATE_COUNTS_SQL},
+         min(created_at) AS first_created_at, max(created_at) AS last_created_at,
+         count(completed_at) AS n_completed_at
+  FROM tasks
+  WHERE created_at > TIMESTAMP '1996-01-01 00:00:00' AND created_at < TIMESTAMP '1999-01-01 00:00:00'
+  GROUP BY project_id""",
+        "tasks",
+    ),
+)
+def q_project_stats(spark, sf_dir):
+    return project_stats(D.tasks(spark, sf_dir), from_timestamp="1996-01-01T00:00:00Z", to_timestamp="1999-01-01T00:00:00Z")
+
+
+@register(
+    "project_state_counts",
+    D.with_views("SELECT project_id, state, count(*) AS n_tasks FROM tasks GROUP BY project_id, state", "tasks"),
+)
+def q_project_state_counts(spark, sf_dir):
+    return project_state_counts(D.tasks(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- A2
+_BATCH_COUNT_COLS = ["n_tasks"] + [STATE_COLUMN_NAMES[s] for s in TASK_STATES]
+
+
+@register(
+    "batch_status",
+    D.with_views(
+        f"""SELECT j.project_id, j.batch_id, j.status, j.tasks_file_name, j.notification_email, j.created_at,
+         {", ".join(f"CAST(coalesce(c.{n}, 0) AS BIGINT) AS {n}" for n in _BATCH_COUNT_COLS)},
+         c.first_created_at, c.last_created_at
+  FROM batch_jobs j LEFT JOIN (
+    SELECT project_id, batch_id, count(*) AS n_tasks,
+           {_STATE_COUNTS_SQL},
+           min(created_at) AS first_created_at, max(created_at) AS last_created_at
+    FROM tasks GROUP BY project_id, batch_id) c
+  ON j.project_id = c.project_id AND j.batch_id = c.batch_id""",
+        "batch_jobs",
+        "tasks",
+    ),
+)
+def q_batch_status(spark, sf_dir):
+    return batch_status(D.batch_jobs(spark, sf_dir), D.tasks(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- P6
+@register(
+    "batch_task_detail",
+    D.with_views(
+        """SELECT t.project_id, t.batch_id, t.id, t.state,
+         CASE WHEN NOT (j.status = 'failed') THEN t.data END AS data,
+         j.status = 'failed' AS failed
+  FROM tasks t JOIN batch_jobs j ON t.project_id = j.project_id AND t.batch_id = j.batch_id""",
+        "batch_jobs",
+        "tasks",
+    ),
+)
+def q_batch_task_detail(spark, sf_dir):
+    return batch_task_detail(D.batch_jobs(spark, sf_dir), D.tasks(spark, sf_dir), omit_failed_task_data=True)
+
+
+# --------------------------------------------------------------------------- A3
+@register(
+    "project_information",
+    D.with_views(
+        """SELECT p.*, coalesce(s.n_tasks, 0) AS n_tasks
+  FROM projects p LEFT JOIN (SELECT project_id, count(*) AS n_tasks FROM tasks GROUP BY project_id) s
+  ON p.id = s.project_id""",
+        "projects",
+        "tasks",
+    ),
+)
+def q_project_information(spark, sf_dir):
+    info = project_information(D.projects(spark, sf_dir))
+    counts = D.tasks(spark, sf_dir).groupBy(F.col("project_id").alias("id")).agg(F.count(F.lit(1)).alias("n_tasks"))
+    return info.join(counts, "id", "left").select(*info.columns, F.coalesce(F.col("n_tasks"), F.lit(0)).alias("n_tasks"))
+
+
+# --------------------------------------------------------------------------- A4
+_INPUT_TYPES = [
+    ("doc_id", "bigint"),
+    ("text", "string"),
+    ("lang", "string"),
+    ("source", "string"),
+    ("n_chars", "bigint"),
+    ("output_label", "string"),
+]
+
+
+@register(
+    "creation_schema",
+    D.with_views(
+        "\n  UNION ALL\n  ".join(
+            f"""SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null, count(*) AS n_rows,
+         {str(c.startswith('output_')).upper()} AS is_preannotation FROM inputs"""
+            for c, t in _INPUT_TYPES
+        ),
+        "inputs",
+    ),
+)
+def q_creation_schema(spark, sf_dir):
+    return creation_schema(D.inputs(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- A5
+@register(
+    "delivery_schema",
+    D.with_views(
+        """SELECT f.project_id, f.field, f.n_present, t.n_deliveries
+  FROM (SELECT project_id, field, count(*) AS n_present
+        FROM (SELECT project_id, unnest(json_keys(answers)) AS field FROM deliveries) GROUP BY 1, 2) f
+  JOIN (SELECT project_id, count(*) AS n_deliveries FROM deliveries GROUP BY 1) t ON f.project_id = t.project_id""",
+        "deliveries",
+    ),
+)
+def q_delivery_schema(spark, sf_dir):
+    return delivery_schema(D.deliveries(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- R1 R2
+from annotask.operators.retry import classify_responses, request_outcomes, retry_queue  # noqa: E402
+
+_CLASS_SQL = """CASE WHEN status IS NULL OR status IN (429, 502, 503, 504) THEN 'retry'
+              WHEN status >= 400 THEN 'failed' ELSE 'ok' END"""
+
+
+@register(
+    "classify_responses",
+    D.with_views(f'SELECT request_id, attempt, "at", status, body, {_CLASS_SQL} AS outcome FROM response_log', "response_log"),
+)
+def q_classify_responses(spark, sf_dir):
+    return classify_responses(D.response_log(spark, sf_dir))
+
+
+_OUTCOMES_SQL = f"""
+  c AS (SELECT *, {_CLASS_SQL} AS cls FROM response_log),
+  agg AS (SELECT request_id, count(*) AS n_attempts,
+                 min(attempt) FILTER (WHERE cls <> 'retry') AS d_attempt, max(attempt) AS l_attempt
+          FROM c GROUP BY request_id),
+  j AS (SELECT a.*, d.status AS d_status, d.cls AS d_cls, d."at" AS d_at, l.status AS l_status, l."at" AS l_at
+        FROM agg a
+        LEFT JOIN c d ON d.request_id = a.request_id AND d.attempt = a.d_attempt
+        LEFT JOIN c l ON l.request_id = a.request_id AND l.attempt = a.l_attempt),
+  outcomes AS (
+    SELECT request_id, n_attempts,
+           CASE WHEN d_attempt IS NOT NULL AND d_cls = 'ok' THEN 'finished'
+                WHEN d_attempt IS NOT NULL THEN 'failed'
+                WHEN l_attempt >= 5 THEN 'exhausted' ELSE 'retry' END AS outcome,
+           CAST(coalesce(d_attempt, l_attempt) AS INTEGER) AS attempt,
+           CASE WHEN d_attempt IS NOT NULL THEN d_status ELSE l_status END AS status,
+           CASE WHEN d_attempt IS NOT NULL THEN d_at ELSE l_at END AS "at",
+           CASE WHEN d_attempt IS NULL AND l_attempt < 5
+                THEN l_at + to_seconds(CAST(pow(2, l_attempt - 1) AS BIGINT)) END AS next_at
+    FROM j)"""
+
+
+@register(
+    "request_outcomes",
+    D.with_views("SELECT 1", "response_log").replace("\nSELECT 1", f",{_OUTCOMES_SQL}\nSELECT * FROM outcomes"),
+)
+def q_request_outcomes(spark, sf_dir):
+    return request_outcomes(D.response_log(spark, sf_dir))
+
+
+@register(
+    "retry_queue",
+    D.with_views("SELECT 1", "response_log").replace(
+        "\nSELECT 1",
+        f""",{_OUTCOMES_SQL}
+SELECT request_id, attempt, status, "at", next_at, CAST(attempt + 1 AS INTEGER) AS next_attempt
+FROM outcomes WHERE outcome = 'retry'""",
+    ),
+)
+def q_retry_queue(spark, sf_dir):
+    return retry_queue(D.response_log(spark, sf_dir))

@@ -10,7 +10,8 @@ The driver's parquet tables stand in for a project's data:
   label as a JSON pre-annotation string.
 * ``batch_jobs`` from ``customer``: one batch-creation job per customer.
 * ``projects`` from ``nation`` and ``region``.
-* ``response_log`` from ``events``: five consecutive events form one request.
+* ``response_log`` from ``events``: runs of 3, 4 or 5 consecutive event ids form
+  one request (the run length depends on the user).
 
 Each builder has a SQL twin (a CTE body) that DuckDB runs for the oracle, so
 both sides compute the same table by the same rule.
@@ -184,9 +185,12 @@ def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = (
         F.when(kind == "error", F.lit(503)).when(kind == "click", F.lit(429)).when(kind == "signup", F.lit(404)).otherwise(F.lit(200))
     )
+    size = F.col("user_id") % 3 + 3  # a user's requests take 3, 4 or 5 attempt slots
     return e.select(
-        F.concat(F.lit("req-"), F.expr("event_id div 5").cast("string")).alias("request_id"),
-        (F.col("event_id") % 5 + 1).cast("int").alias("attempt"),
+        F.concat(F.lit("req-"), size.cast("string"), F.lit("-"), F.expr("event_id div (user_id % 3 + 3)").cast("string")).alias(
+            "request_id"
+        ),
+        (F.col("event_id") % size + 1).cast("int").alias("attempt"),
         F.col("ts").alias("at"),
         status.cast("int").alias("status"),
         F.when(status == 200, F.col("props")).alias("body"),
@@ -194,9 +198,9 @@ def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RESPONSE_LOG_SQL = """
-  SELECT 'req-' || CAST(event_id // 5 AS VARCHAR) AS request_id,
-         CAST(event_id % 5 + 1 AS INTEGER) AS attempt,
-         ts AS at,
+  SELECT 'req-' || CAST(user_id % 3 + 3 AS VARCHAR) || '-' || CAST(event_id // (user_id % 3 + 3) AS VARCHAR) AS request_id,
+         CAST(event_id % (user_id % 3 + 3) + 1 AS INTEGER) AS attempt,
+         ts AS "at",
          CAST(CASE event_type WHEN 'error' THEN 503 WHEN 'click' THEN 429 WHEN 'signup' THEN 404 ELSE 200 END AS INTEGER) AS status,
          CASE WHEN event_type NOT IN ('error', 'click', 'signup') THEN props END AS body
   FROM events"""

@@ -1,0 +1,40 @@
+"""Land task rows as response pages (the layout read by ``sources.pages``).
+
+Rows are numbered per result (skew-proof, see ``operators.paging``), grouped
+into pages of at most ``page_size`` rows and written one body per page under
+``result=<id>/page=<n>/``. A page group is bounded by the page size.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from annotask.operators.paging import paginate
+from annotask.sources.pages import JSON_OPTIONS
+
+
+def pack_pages(
+    df: DataFrame,
+    page_size: int,
+    result_col: str = "project_id",
+    order: tuple[str, ...] = ("created_at", "id"),
+    json_cols: tuple[str, ...] = ("answers",),
+) -> DataFrame:
+    """(result, page, value) with value = ``{"tasks":[...]}`` in page order.
+
+    Columns in ``json_cols`` hold JSON text and are embedded as JSON values.
+    """
+    paged = paginate(df.withColumn("_result", F.col(result_col).cast("string")), page_size, ("_result",), order)
+    fields = [F.parse_json(F.col(c)).alias(c) if c in json_cols else F.col(c) for c in df.columns]
+    rec = F.struct(F.col("position"), F.struct(*fields).alias("r"))
+    grouped = paged.groupBy(F.col("_result").alias("result"), "page").agg(F.sort_array(F.collect_list(rec)).alias("_recs"))
+    body = F.to_json(F.struct(F.col("_recs.r").alias("tasks")), JSON_OPTIONS | {"ignoreNullFields": "true"})
+    return grouped.select("result", "page", body.alias("value"))
+
+
+def land_pages(df: DataFrame, path: str, page_size: int, result_col: str = "project_id", order=("created_at", "id"), mode="append"):
+    """Write packed pages as text files (one file per page)."""
+    pages = pack_pages(df, page_size, result_col, order)
+    pages.write.mode(mode).partitionBy("result", "page").text(path)
+    return path
