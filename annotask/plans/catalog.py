@@ -483,3 +483,166 @@ FROM outcomes WHERE outcome = 'retry'""",
 )
 def q_retry_queue(spark, sf_dir):
     return retry_queue(D.response_log(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- S2 (pages packed in memory)
+from annotask.session import scratch_path  # noqa: E402
+from annotask.sinks.pages import land_pages, pack_pages  # noqa: E402
+from annotask.sources.pages import explode_envelope, infer_task_schema, page_task_counts, read_task_pages  # noqa: E402
+
+_TASK_COLS = "id, project_id, batch_id, client_batch_id, state, priority, created_at, completed_at, data, answers"
+
+
+@register(
+    "envelope_explode",
+    D.with_views(
+        f"""SELECT {_TASK_COLS},
+         CAST((rn - 1) // 1000 + 1 AS INTEGER) AS page, CAST((rn - 1) % 1000 + 1 AS INTEGER) AS position
+  FROM (SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY created_at, id) AS rn FROM tasks)""",
+        "tasks",
+    ),
+)
+def q_envelope_explode(spark, sf_dir):
+    pages = pack_pages(D.tasks(spark, sf_dir), 1000, "project_id", ("created_at", "id"))
+    rows = explode_envelope(pages, "value", keep=("page",))
+    return rows.select(*[c.strip() for c in _TASK_COLS.split(",")], "page", "position")
+
+
+# --------------------------------------------------------------------------- S1 (landed page files)
+_DELIVERY_ROWS_SQL = """SELECT id, project_id, batch_id, client_batch_id, state, priority, created_at, completed_at,
+         delivered_at, data, json(answers)::VARCHAR AS answers"""
+
+
+@register(
+    "landed_pages",
+    D.with_views(
+        f"""{_DELIVERY_ROWS_SQL}, project_id AS result,
+         CAST((rn - 1) // 1000 + 1 AS INTEGER) AS page, CAST((rn - 1) % 1000 + 1 AS INTEGER) AS position
+  FROM (SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY delivered_at, id) AS rn FROM deliveries)""",
+        "deliveries",
+    ),
+)
+def q_landed_pages(spark, sf_dir):
+    path = land_pages(D.deliveries(spark, sf_dir), scratch_path(spark, "landed-pages"), 1000, "project_id", ("delivered_at", "id"))
+    rows = read_task_pages(spark, path)
+    return rows.select(
+        "id", "project_id", "batch_id", "client_batch_id", "state", "priority", "created_at", "completed_at",
+        "delivered_at", "data", "answers", "result", "page", "position",
+    )
+
+
+# --------------------------------------------------------------------------- L3 over landed page files
+@register(
+    "landed_page_completeness",
+    D.with_views(
+        """SELECT result, n_pages, first_page, last_page, n_tasks,
+         CAST(last_page - n_pages AS BIGINT) AS missing_pages,
+         CAST(n_short - CASE WHEN last_page_tasks < 200 THEN 1 ELSE 0 END AS BIGINT) AS short_inner_pages,
+         last_page_tasks >= 200 AS last_page_full,
+         (last_page - n_pages = 0 AND n_short - CASE WHEN last_page_tasks < 200 THEN 1 ELSE 0 END = 0
+          AND last_page_tasks < 200) AS complete
+  FROM (
+    SELECT result, count(*) AS n_pages, min(page) AS first_page, max(page) AS last_page,
+           CAST(sum(n) AS BIGINT) AS n_tasks, arg_max(n, page) AS last_page_tasks,
+           count(*) FILTER (WHERE n < 200) AS n_short
+    FROM (SELECT project_id AS result, CAST((rn - 1) // 200 + 1 AS INTEGER) AS page, CAST(count(*) AS INTEGER) AS n
+          FROM (SELECT project_id, row_number() OVER (PARTITION BY project_id ORDER BY delivered_at, id) AS rn
+                FROM deliveries) GROUP BY 1, 2)
+    GROUP BY result)""",
+        "deliveries",
+    ),
+)
+def q_landed_page_completeness(spark, sf_dir):
+    path = land_pages(D.deliveries(spark, sf_dir), scratch_path(spark, "landed-complete"), 200, "project_id", ("delivered_at", "id"))
+    return page_completeness(page_task_counts(spark, path), 200)
+
+
+# --------------------------------------------------------------------------- S3 (no oracle: inferred types)
+@register("inferred_pages")
+def q_inferred_pages(spark, sf_dir):
+    path = land_pages(D.deliveries(spark, sf_dir), scratch_path(spark, "inferred-pages"), 1000, "project_id", ("delivered_at", "id"))
+    return read_task_pages(spark, path, infer_task_schema(spark, path))
+
+
+# --------------------------------------------------------------------------- K1 K2 round trip
+from annotask.sinks.batches import read_committed_requests, write_task_batch  # noqa: E402
+
+_REQUEST_DATA = "doc_id bigint, text string, lang string, source string, n_chars bigint, output_label string"
+_ROUND_TRIP_SQL = """SELECT 'docs' AS project_id, 'b-1' AS batch_id, 0 AS priority, false AS submit,
+         doc_id, text, lang, source, n_chars, json(output_label)::VARCHAR AS output_label
+  FROM inputs"""
+
+
+@register("batch_round_trip", D.with_views(_ROUND_TRIP_SQL, "inputs"))
+def q_batch_round_trip(spark, sf_dir):
+    base = scratch_path(spark, "batches")
+    inputs = D.inputs(spark, sf_dir)
+    write_task_batch(inputs, f"{base}/requests", "docs", "b-1", jobs_path=f"{base}/jobs")
+    # Written but never committed: readers must not see it.
+    write_task_batch(inputs, f"{base}/requests", "docs", "b-2", jobs_path=None)
+    back = read_committed_requests(spark, f"{base}/requests", f"{base}/jobs", _REQUEST_DATA)
+    return back.select("project_id", "batch_id", "priority", "submit", "data.*")
+
+
+# --------------------------------------------------------------------------- K3 stream of inputs → batches
+from annotask.streaming.task_batches import stream_task_batches  # noqa: E402
+
+
+@register(
+    "stream_task_batches",
+    D.with_views(_ROUND_TRIP_SQL.replace("'b-1' AS batch_id, ", ""), "inputs"),
+)
+def q_stream_task_batches(spark, sf_dir):
+    base = scratch_path(spark, "stream-batches")
+    inputs = D.inputs(spark, sf_dir)
+    inputs.write.parquet(f"{base}/incoming")
+    stream = spark.readStream.schema(inputs.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/incoming")
+    q = stream_task_batches(stream, f"{base}/requests", "docs", "in", f"{base}/checkpoint", jobs_path=f"{base}/jobs", available_now=True)
+    q.awaitTermination()
+    back = read_committed_requests(spark, f"{base}/requests", f"{base}/jobs", _REQUEST_DATA)
+    return back.select("project_id", "priority", "submit", "data.*")
+
+
+# --------------------------------------------------------------------------- T1 two calls of one consumer
+from annotask.streaming.deliveries import deliveries_since_last_call, start_delivery_stream  # noqa: E402
+
+_SPLIT = "2024-01-16 00:00:00"
+
+
+@register(
+    "since_last_call",
+    D.with_views(
+        f"""{_DELIVERY_ROWS_SQL},
+         CASE WHEN delivered_at < TIMESTAMP '{_SPLIT}' THEN 1 ELSE 2 END AS call
+  FROM deliveries""",
+        "deliveries",
+    ),
+)
+def q_since_last_call(spark, sf_dir):
+    base = scratch_path(spark, "since-last-call")
+    landing = f"{base}/landing"
+    dl = D.deliveries(spark, sf_dir)
+    cut = F.lit(_SPLIT).cast("timestamp_ntz")
+    early = dl.where(F.col("delivered_at") < cut).withColumn("project_id", F.col("project_id"))
+    late = dl.where(F.col("delivered_at") >= cut)
+    cols = ["id", "project_id", "batch_id", "client_batch_id", "state", "priority", "created_at", "completed_at", "delivered_at", "data", "answers"]
+    land_pages(early.withColumn("_r", F.concat(F.col("project_id"), F.lit("-a"))), landing, 1000, "_r", ("delivered_at", "id"))
+    first = deliveries_since_last_call(spark, landing, consumer="consumer-a", output_path=f"{base}/calls/1", checkpoint_path=f"{base}/ckpt")
+    land_pages(late.withColumn("_r", F.concat(F.col("project_id"), F.lit("-b"))), landing, 1000, "_r", ("delivered_at", "id"))
+    second = deliveries_since_last_call(spark, landing, consumer="consumer-a", output_path=f"{base}/calls/2", checkpoint_path=f"{base}/ckpt")
+    return first.select(*cols, F.lit(1).alias("call")).unionByName(second.select(*cols, F.lit(2).alias("call")))
+
+
+# --------------------------------------------------------------------------- T2 continuous stream
+@register("delivery_stream", D.with_views(f"{_DELIVERY_ROWS_SQL}\n  FROM deliveries", "deliveries"))
+def q_delivery_stream(spark, sf_dir):
+    base = scratch_path(spark, "delivery-stream")
+    land_pages(D.deliveries(spark, sf_dir), f"{base}/landing", 1000, "project_id", ("delivered_at", "id"))
+    q = start_delivery_stream(spark, f"{base}/landing", f"{base}/out", consumer="live", processing_time="1 second",
+                              checkpoint_path=f"{base}/ckpt")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    cols = ["id", "project_id", "batch_id", "client_batch_id", "state", "priority", "created_at", "completed_at", "delivered_at", "data", "answers"]
+    return spark.read.parquet(f"{base}/out").select(*cols)

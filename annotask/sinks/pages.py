@@ -27,9 +27,10 @@ def pack_pages(
     """
     paged = paginate(df.withColumn("_result", F.col(result_col).cast("string")), page_size, ("_result",), order)
     fields = [F.parse_json(F.col(c)).alias(c) if c in json_cols else F.col(c) for c in df.columns]
-    rec = F.struct(F.col("position"), F.struct(*fields).alias("r"))
+    record = F.to_json(F.struct(*fields), JSON_OPTIONS | {"ignoreNullFields": "true"})
+    rec = F.struct(F.col("position"), record.alias("j"))
     grouped = paged.groupBy(F.col("_result").alias("result"), "page").agg(F.sort_array(F.collect_list(rec)).alias("_recs"))
-    body = F.to_json(F.struct(F.col("_recs.r").alias("tasks")), JSON_OPTIONS | {"ignoreNullFields": "true"})
+    body = F.concat(F.lit('{"tasks":['), F.array_join(F.col("_recs.j"), ","), F.lit("]}"))
     return grouped.select("result", "page", body.alias("value"))
 
 
