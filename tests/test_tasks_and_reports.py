@@ -1,0 +1,263 @@
+"""Filters, status views, mutations, reports, paging and the response log."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import Window
+
+from annotask.functions.filters import parse_timestamp, task_predicate
+from annotask.operators.mutations import cancel_batches, delete_tasks, reject_tasks, update_priorities
+from annotask.operators.paging import paginate, rank_within, read_page
+from annotask.operators.retry import classify_responses, request_outcomes, retry_queue
+from annotask.operators.stats import (
+    batch_status,
+    batch_task_detail,
+    creation_schema,
+    delivery_schema,
+    project_stats,
+)
+from annotask.schema import BATCH_JOB_SCHEMA, DELIVERY_SCHEMA, RESPONSE_LOG_SCHEMA, TASK_SCHEMA, TASK_STATES
+from annotask.sources.tables import delivered_tasks, multi_task_status, task_status
+
+T0 = dt.datetime(2023, 9, 13, 0, 0, 0)
+
+
+def task(id, state="new", project="p1", batch="b1", cb="cb", prio=0, created=T0, completed=None, answers=None, data=None):
+    return (id, project, batch, cb, state, prio, created, completed, data, answers)
+
+
+@pytest.fixture
+def tasks(spark):
+    us = dt.timedelta(microseconds=1)
+    rows = [task(f"s{i}", state=s) for i, s in enumerate(TASK_STATES)]
+    rows += [
+        task("before", created=T0 - us),
+        task("at", created=T0),
+        task("after", created=T0 + us),
+        task("pct", cb="50%_off"),
+        task("pct2", cb="50xxoff"),
+        task("ans_obj", answers='{"a": {"b": 1}}'),
+        task("ans_arr", answers="[1, 2]"),
+        task("ans_q", answers='{"q": "it\'s \\"quoted\\""}'),
+        task("ans_u", answers='{"t": "Ünïcödé"}'),
+        task("neg", prio=-100),
+        task("five", prio=5),
+        task("other_project", project="p2"),
+        task("done", state="completed", completed=T0 + dt.timedelta(days=2)),
+    ]
+    return spark.createDataFrame(rows, TASK_SCHEMA)
+
+
+def ids(df):
+    return sorted(r.id for r in df.select("id").collect())
+
+
+def test_parse_timestamp_truncates_to_micros():
+    assert parse_timestamp("2023-09-02T10:23:36.536167366Z") == dt.datetime(2023, 9, 2, 10, 23, 36, 536167)
+    assert parse_timestamp("2023-09-13T00:00:00.000Z") == T0
+    assert parse_timestamp("2023-09-13T02:00:00+02:00") == T0
+
+
+def test_state_filter_one_per_state(spark, tasks):
+    for i, s in enumerate(TASK_STATES):
+        out = multi_task_status(tasks, project_id="p1", state=s)
+        assert f"s{i}" in ids(out)
+    assert ids(multi_task_status(tasks, state="in progress")) == ["s1"]
+    assert ids(multi_task_status(tasks, state="unknown")) == []
+
+
+def test_state_accepts_enum_like(spark, tasks):
+    class Rejected:
+        value = "rejected"
+
+    assert ids(multi_task_status(tasks, state=Rejected())) == ["s6"]
+
+
+def test_strict_date_bounds(spark, tasks):
+    after = ids(multi_task_status(tasks, from_timestamp="2023-09-13T00:00:00.000Z"))
+    assert "after" in after and "at" not in after and "before" not in after
+    before = ids(multi_task_status(tasks, to_timestamp="2023-09-13T00:00:00.000Z"))
+    assert before == ["before"]
+
+
+def test_completion_date_and_to_are_honoured(spark, tasks):
+    out = multi_task_status(tasks, date_type="completion_date", from_timestamp="2023-09-14T00:00:00Z", to_timestamp="2023-09-16T00:00:00Z")
+    assert ids(out) == ["done"]
+    with pytest.raises(ValueError):
+        multi_task_status(tasks, date_type="delivery_date", from_timestamp="2023-09-14T00:00:00Z")
+
+
+def test_client_batch_contains_is_literal(spark, tasks):
+    assert ids(multi_task_status(tasks, client_batch_id="%_", client_batch_id_match_type="contains")) == ["pct"]
+    assert ids(multi_task_status(tasks, client_batch_id="50%_off")) == ["pct"]
+    with pytest.raises(ValueError):
+        multi_task_status(tasks, client_batch_id="x", client_batch_id_match_type="like")
+
+
+def test_no_filter_is_identity(spark, tasks):
+    assert task_predicate(tasks) is None
+    assert multi_task_status(tasks, omit_answers=False).count() == tasks.count()
+
+
+def test_omit_answers_prunes_scan(spark, tasks, tmp_path):
+    path = str(tmp_path / "tasks")
+    tasks.write.partitionBy("project_id").parquet(path)
+    from annotask.sources.tables import read_tasks
+
+    df = multi_task_status(read_tasks(spark, path), project_id="p1", state="new")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "answers" not in plan.split("ReadSchema:")[1].split("\n")[0] if "ReadSchema:" in plan else True
+    assert "PartitionFilters: [isnotnull(project_id" in plan or "project_id#" in plan
+    assert "answers" not in df.columns
+    assert set(ids(df)) >= {"s0", "before", "at", "after"}
+
+
+def test_answers_compacted_and_kept_as_text(spark, tasks):
+    out = {r.id: r.answers for r in multi_task_status(tasks, omit_answers=False).collect()}
+    assert out["ans_obj"] == '{"a":{"b":1}}'
+    assert out["ans_arr"] == "[1,2]"
+    assert out["ans_u"] == '{"t":"Ünïcödé"}'
+    assert out["s0"] is None
+
+
+def test_task_status_single_and_many(spark, tasks):
+    one = task_status(tasks, "done")
+    assert ids(one) == ["done"] and "priority" not in one.columns
+    many = task_status(tasks, ["s0", "s1", "s1", "missing"], same_as_delivery=False)
+    assert ids(many) == ["s0", "s1"] and "priority" in many.columns
+    by_df = task_status(tasks, spark.createDataFrame([("s2",), ("s2",)], "id string"))
+    assert ids(by_df) == ["s2"]
+
+
+def test_delivered_tasks(spark):
+    rows = [
+        ("d1", "p", "b", "cb", "delivered", 0, T0, T0, None, '{"k": 1}', T0),
+        ("d2", "p", "b", "cb", "delivered", 0, T0, T0, None, '{"k": 2}', T0 + dt.timedelta(seconds=1)),
+    ]
+    df = spark.createDataFrame(rows, DELIVERY_SCHEMA)
+    out = delivered_tasks(df, project_id="p", from_timestamp="2023-09-13T00:00:00Z")
+    assert [(r.id, r.answers) for r in out.collect()] == [("d2", '{"k":2}')]
+    assert ids(delivered_tasks(df, task_id="d1")) == ["d1"]
+
+
+def test_reject_keeps_latest_reasons(spark, tasks):
+    rej = spark.createDataFrame(
+        [("s0", ["Not accurate"], T0), ("s0", ["Late"], T0 + dt.timedelta(hours=1)), ("nope", ["x"], T0)],
+        "id string, reasons array<string>, at timestamp_ntz",
+    )
+    out = {r.id: r for r in reject_tasks(tasks, rej).collect()}
+    assert out["s0"].state == "rejected" and out["s0"].reject_reasons == ["Late"]
+    assert out["s1"].state == "in progress" and out["s1"].reject_reasons is None
+    assert len(out) == tasks.count()
+
+
+def test_reject_other_project_untouched(spark, tasks):
+    rej = spark.createDataFrame([("other_project", ["x"])], "id string, reasons array<string>")
+    out = {r.id: r.state for r in reject_tasks(tasks, rej, project_id="p1").collect()}
+    assert out["other_project"] == "new"
+
+
+def test_update_priorities(spark, tasks):
+    out = {r.id: r.priority for r in update_priorities(tasks, ["s0", "s0", "neg", "unknown"], -100).collect()}
+    assert out["s0"] == -100 and out["neg"] == -100 and out["five"] == 5
+    assert len(out) == tasks.count()
+
+
+def test_delete_tasks(spark, tasks):
+    left = ids(delete_tasks(tasks, ["s0", "other_project"], project_id="p1"))
+    assert "s0" not in left and "other_project" in left
+    assert len(left) == tasks.count() - 1
+    assert "other_project" not in ids(delete_tasks(tasks, ["other_project"]))
+
+
+def test_cancel_batch(spark):
+    jobs = spark.createDataFrame(
+        [
+            ("project123", "batch456", "processing", "python_sdk", None, 3, 0, T0),
+            ("project123", "batch789", "completed", "python_sdk", None, 3, 0, T0),
+            ("project123", "batch000", "created", "python_sdk", None, 3, 0, T0),
+        ],
+        BATCH_JOB_SCHEMA,
+    )
+    out = {r.batch_id: r.status for r in cancel_batches(jobs, ["batch456", "batch789"]).collect()}
+    assert out == {"batch456": "cancelled", "batch789": "completed", "batch000": "created"}
+
+
+def test_project_stats_and_batch_status(spark, tasks):
+    stats = {r.project_id: r for r in project_stats(tasks).collect()}
+    assert stats["p1"].n_tasks == tasks.count() - 1 and stats["p2"].n_tasks == 1
+    assert stats["p1"].n_in_progress == 1 and stats["p1"].n_completed == 2
+    jobs = spark.createDataFrame(
+        [("p1", "b1", "failed", "python_sdk", None, None, None, T0), ("p1", "empty", "created", "python_sdk", None, None, None, T0)],
+        BATCH_JOB_SCHEMA,
+    )
+    st = {r.batch_id: r for r in batch_status(jobs, tasks).collect()}
+    assert st["b1"].n_tasks == tasks.count() - 1 and st["empty"].n_tasks == 0
+    detail = batch_task_detail(jobs, tasks, omit_failed_task_data=True)
+    assert detail.where(F.col("data").isNotNull()).count() == 0 and detail.where("failed").count() == tasks.count() - 1
+
+
+def test_creation_and_delivery_schema(spark, tasks):
+    df = spark.createDataFrame([("u", '{"a": 1}'), (None, '{"a": "x"}')], "url string, output_x string")
+    prof = {r.column_name: r for r in creation_schema(df, infer_nested=True).collect()}
+    assert prof["url"].non_null == 1 and prof["url"].n_rows == 2 and not prof["url"].is_preannotation
+    assert prof["output_x"].is_preannotation and "a" in prof["output_x"].json_type.lower()
+    d = spark.createDataFrame(
+        [("1", "p", None, None, "delivered", 0, T0, T0, None, '{"a": 1, "b": "x"}', T0), ("2", "p", None, None, "delivered", 0, T0, T0, None, '{"a": 2}', T0)],
+        DELIVERY_SCHEMA,
+    )
+    fields = {r.field: r for r in delivery_schema(d, infer_types=True).collect()}
+    assert fields["a"].n_present == 2 and fields["b"].n_present == 1 and fields["a"].n_deliveries == 2
+
+
+def test_rank_within_matches_window_under_skew(spark):
+    # One key holds most rows; ranks must equal a plain window's.
+    rows = [("hot" if i % 10 else f"k{i % 7}", i // 3, f"id{i:05d}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "key string, ts int, id string")
+    ours = rank_within(df, ["key"], ["ts", "id"], num_partitions=16)
+    ref = df.withColumn("rk2", F.row_number().over(Window.partitionBy("key").orderBy("ts", "id")))
+    joined = ours.join(ref.select("id", "rk2"), "id", "full")
+    assert joined.where("rank is null or rk2 is null or rank != rk2").count() == 0
+    assert ours.count() == 3000
+
+
+def test_paginate_and_read_page(spark):
+    df = spark.createDataFrame([("p", T0 + dt.timedelta(seconds=i), f"t{i:03d}") for i in range(250)], "project_id string, created_at timestamp_ntz, id string")
+    pages = {r.id: (r.page, r.position) for r in paginate(df, 100).collect()}
+    assert pages["t000"] == (1, 1) and pages["t099"] == (1, 100) and pages["t100"] == (2, 1) and pages["t249"] == (3, 50)
+    assert read_page(df, 3, 100).count() == 50
+
+
+def test_response_log_outcomes(spark):
+    t = lambda s: T0 + dt.timedelta(seconds=s)
+    rows = [
+        ("rate", 1, t(0), 429, None),
+        ("bad", 1, t(0), 400, None),
+        ("conn", 1, t(0), None, None),
+        ("conn", 2, t(1), None, None),
+        ("conn", 3, t(3), None, None),
+        ("conn", 4, t(7), None, None),
+        ("conn", 5, t(15), None, None),
+        ("flaky", 1, t(0), 502, None),
+        ("flaky", 2, t(1), 200, '{"ok": true}'),
+        ("empty", 1, t(0), 204, None),
+        ("arr", 1, t(0), 202, "[]"),
+        ("srv", 1, t(0), 500, None),
+        ("busy", 1, t(0), 503, None),
+        ("busy", 2, t(1), 503, None),
+        ("busy", 3, t(3), 503, None),
+        ("busy", 4, t(7), 503, None),
+    ]
+    log = spark.createDataFrame(rows, RESPONSE_LOG_SCHEMA)
+    cls = {(r.request_id, r.attempt): r.outcome for r in classify_responses(log).collect()}
+    assert cls[("rate", 1)] == "retry" and cls[("bad", 1)] == "failed" and cls[("srv", 1)] == "failed"
+    assert cls[("empty", 1)] == "ok" and cls[("arr", 1)] == "ok"
+    out = {r.request_id: r for r in request_outcomes(log).collect()}
+    assert out["conn"].outcome == "exhausted" and out["conn"].n_attempts == 5
+    assert out["flaky"].outcome == "finished" and out["flaky"].attempt == 2
+    assert out["bad"].outcome == "failed" and out["rate"].outcome == "retry"
+    q = {r.request_id: r for r in retry_queue(log).collect()}
+    assert set(q) == {"rate", "busy"}
+    # waits 1, 2, 4, 8 s after attempts 1..4
+    assert q["rate"].next_at == t(1) and q["busy"].next_at == t(7 + 8) and q["busy"].next_attempt == 5
