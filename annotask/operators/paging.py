@@ -10,9 +10,10 @@ per-task counts has at most (tasks + keys) rows.
 The sorted, numbered rows are read twice (for the counts and for the final
 numbers), and both reads must see the same task layout. Adaptive execution
 may re-plan the two reads differently (other shuffle readers, other
-partition counts), so the numbered rows are written once with a reliable
-``checkpoint()`` to the shared checkpoint folder; this also cuts the lineage,
-so a lost executor re-reads the same rows instead of recomputing them.
+partition counts), so the numbered rows are written once as a Parquet table
+in the shared checkpoint folder. The counts pass then reads only the key and
+row-id columns, and the lineage is cut: a lost executor re-reads the same
+rows instead of recomputing them.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annotask.session import ensure_checkpoint_dir
+from annotask.session import scratch_path
 
 # monotonically_increasing_id() puts the partition index in the bits above 33.
 _PARTITION_SHIFT = 33
@@ -48,14 +49,15 @@ def rank_within(
     keys, order = list(keys), list(order)
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + [_col(o).asc_nulls_first() for o in order]
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(df.sparkSession)
-    ordered = (
+    spark = df.sparkSession
+    path = scratch_path(spark, "rank")
+    (
         df.repartitionByRange(n, *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("_rid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-        .withColumn("_part", F.shiftright(F.col("_rid"), _PARTITION_SHIFT))
+        .write.parquet(path)
     )
+    ordered = spark.read.parquet(path).withColumn("_part", F.shiftright(F.col("_rid"), _PARTITION_SHIFT))
     counts = ordered.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_first"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
