@@ -39,6 +39,26 @@ def classify_responses(log: DataFrame) -> DataFrame:
     return log.withColumn("outcome", response_class("status"))
 
 
+# (attempt, status) packed in one long so the per-request reduction uses
+# primitive aggregation buffers (hash aggregation, not sort aggregation).
+_STATUS_BITS = 10
+_NO_STATUS = (1 << _STATUS_BITS) - 1
+
+
+def _pack(attempt: Column, status: Column) -> Column:
+    return F.shiftleft(attempt.cast("bigint"), _STATUS_BITS) + F.coalesce(status, F.lit(_NO_STATUS)).cast("bigint")
+
+
+def _attempt_of(key: Column) -> Column:
+    return F.shiftright(key, _STATUS_BITS).cast("int")
+
+
+def _status_of(key: Column) -> Column:
+    code = F.col(key) if isinstance(key, str) else key
+    code = (code % F.lit(1 << _STATUS_BITS)).cast("int")
+    return F.when(code != F.lit(_NO_STATUS), code)
+
+
 def request_outcomes(log: DataFrame, max_tries: int = MAX_TRIES) -> DataFrame:
     """One row per request: ``finished``, ``failed``, ``retry`` or ``exhausted``.
 
@@ -49,31 +69,34 @@ def request_outcomes(log: DataFrame, max_tries: int = MAX_TRIES) -> DataFrame:
     merge: a request with very many rows is pre-aggregated in every task.
     """
     cls = response_class("status")
-    decided = F.when(cls != F.lit(RETRY), F.struct(F.col("attempt"), F.col("status"), cls.alias("cls"), F.col("at")))
+    key = _pack(F.col("attempt"), F.col("status"))
+    decisive_key = F.when(cls != F.lit(RETRY), key)
     agg = log.groupBy("request_id").agg(
         F.count(F.lit(1)).alias("n_attempts"),
-        F.min(decided).alias("_d"),
-        F.max(F.struct(F.col("attempt"), F.col("status"), F.col("at"))).alias("_last"),
+        F.min(decisive_key).alias("_d"),
+        F.min_by(F.col("at"), decisive_key).alias("_d_at"),
+        F.max(key).alias("_l"),
+        F.max_by(F.col("at"), key).alias("_l_at"),
     )
     has_decision = F.col("_d").isNotNull()
+    d_status, l_attempt = _status_of(F.col("_d")), _attempt_of(F.col("_l"))
     outcome = (
-        F.when(has_decision & (F.col("_d.cls") == F.lit(OK)), F.lit(FINISHED))
+        F.when(has_decision & (response_class(d_status) == F.lit(OK)), F.lit(FINISHED))
         .when(has_decision, F.lit(FAILED))
-        .when(F.col("_last.attempt") >= max_tries, F.lit(EXHAUSTED))
+        .when(l_attempt >= max_tries, F.lit(EXHAUSTED))
         .otherwise(F.lit(RETRY))
     )
-    deciding_attempt = F.when(has_decision, F.col("_d.attempt")).otherwise(F.col("_last.attempt"))
     next_at = F.when(
-        ~has_decision & (F.col("_last.attempt") < max_tries),
-        F.timestamp_add("SECOND", backoff_seconds(F.col("_last.attempt")), F.col("_last.at")),
+        ~has_decision & (l_attempt < max_tries),
+        F.timestamp_add("SECOND", backoff_seconds(l_attempt), F.col("_l_at")),
     )
     return agg.select(
         "request_id",
         F.col("n_attempts").cast("bigint").alias("n_attempts"),
         outcome.alias("outcome"),
-        deciding_attempt.cast("int").alias("attempt"),
-        F.when(has_decision, F.col("_d.status")).otherwise(F.col("_last.status")).alias("status"),
-        F.when(has_decision, F.col("_d.at")).otherwise(F.col("_last.at")).alias("at"),
+        F.when(has_decision, _attempt_of(F.col("_d"))).otherwise(l_attempt).alias("attempt"),
+        F.when(has_decision, d_status).otherwise(_status_of(F.col("_l"))).alias("status"),
+        F.when(has_decision, F.col("_d_at")).otherwise(F.col("_l_at")).alias("at"),
         next_at.alias("next_at"),
     )
 
