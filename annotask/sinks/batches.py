@@ -43,7 +43,7 @@ def write_task_batch(
     prefix: str = PREANNOTATION_PREFIX,
     on_error: str = "fail",
     drop_nulls: bool = False,
-    max_records_per_file: int = 1000,
+    max_records_per_file: int | None = 1_000_000,
     jobs_path: str | None = None,
     tasks_file_name: str = DEFAULT_TASKS_FILE_NAME,
 ) -> dict:
@@ -61,7 +61,7 @@ def write_task_batch(
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", int(max_records_per_file))
+        .option("maxRecordsPerFile", int(max_records_per_file or 0))
         .partitionBy("project_id", "batch_id", "outcome")
         .text(path)
     )

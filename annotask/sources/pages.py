@@ -5,7 +5,8 @@ Responses of the service land as files, one body per page, under
 and ``page`` columns, and every file is a read split, so pages are parsed in
 parallel. A body is ``{"task": T}`` (one row), ``{"tasks": [T, ...]}`` (n
 rows), or an empty body (``{}``, ``[]``, ``null``, blank: no rows). A body
-that is not a JSON object is routed to the rejects.
+that is not a JSON object, or an object with neither key, is routed to the
+rejects (``{"tasks": null}`` is an empty page, as for the client).
 """
 
 from __future__ import annotations
@@ -14,19 +15,41 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from annotask.functions.filters import rfc3339_column
 from annotask.schema import CORRUPT_FIELD, PAGE_RECORD_SCHEMA, envelope_schema
 
 JSON_OPTIONS = {
     "columnNameOfCorruptRecord": CORRUPT_FIELD,
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
 PAGE_FILE_SCHEMA = "value string, result string, page int"
 _EMPTY_BODIES = ("", "{}", "[]", "null")
 
 
+def _is_time(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.TimestampType, T.TimestampNTZType))
+
+
+def wire_schema(record_schema: T.StructType) -> T.StructType:
+    """The record schema as parsed from JSON: top-level timestamps as text.
+
+    Service timestamps carry nanoseconds and an offset
+    (``2023-09-02T10:23:36.536167366Z``); they are converted after parsing
+    by :func:`annotask.functions.filters.rfc3339_column`.
+    """
+    return T.StructType([T.StructField(f.name, T.StringType()) if _is_time(f.dataType) else f for f in record_schema.fields])
+
+
+def _from_wire(record: Column, record_schema: T.StructType) -> list[Column]:
+    return [
+        (rfc3339_column(record.getField(f.name), f.dataType) if _is_time(f.dataType) else record.getField(f.name)).alias(f.name)
+        for f in record_schema.fields
+    ]
+
+
 def _env(body: Column, record_schema: T.StructType) -> Column:
-    return F.from_json(body, envelope_schema(record_schema), JSON_OPTIONS)
+    return F.from_json(body, envelope_schema(wire_schema(record_schema)), JSON_OPTIONS)
 
 
 def _is_empty_body(body: Column) -> Column:
@@ -42,9 +65,9 @@ def parse_pages(df: DataFrame, body_col: str = "value", record_schema: T.StructT
         .when(F.col("_env.tasks").isNotNull(), F.size("_env.tasks"))
         .otherwise(F.lit(0))
     )
-    rejected = ~_is_empty_body(F.col(body_col)) & (
-        F.col(f"_env.{CORRUPT_FIELD}").isNotNull() | (F.col("_env.task").isNull() & F.col("_env.tasks").isNull())
-    )
+    keys = F.json_object_keys(F.col(body_col))
+    has_key = F.coalesce(F.array_contains(keys, "task") | F.array_contains(keys, "tasks"), F.lit(False))
+    rejected = ~_is_empty_body(F.col(body_col)) & (F.col(f"_env.{CORRUPT_FIELD}").isNotNull() | ~has_key)
     return parsed.withColumn("n_tasks", n.cast("int")).withColumn("rejected", F.coalesce(rejected, F.lit(True)))
 
 
@@ -63,7 +86,7 @@ def explode_envelope(
     env = _env(F.col(body_col), record_schema)
     items = F.when(env.getField("task").isNotNull(), F.array(env.getField("task"))).otherwise(env.getField("tasks"))
     rows = df.select(*keep, F.posexplode(items).alias("_pos", "_rec"))
-    return rows.select(*keep, (F.col("_pos") + 1).cast("int").alias("position"), "_rec.*")
+    return rows.select(*keep, (F.col("_pos") + 1).cast("int").alias("position"), *_from_wire(F.col("_rec"), record_schema))
 
 
 def envelope_rejects(df: DataFrame, body_col: str = "value", record_schema: T.StructType = PAGE_RECORD_SCHEMA) -> DataFrame:

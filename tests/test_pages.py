@@ -141,3 +141,29 @@ def test_one_body_per_line(spark, write_text, tmp_path):
     df = read_task_pages(spark, str(tmp_path), REC, one_body_per_line=True)
     assert sorted(r.id for r in df.collect()) == ["task_1", "task_2", "task_3"]
     assert df.where(F.col("page") != 1).count() == 0
+
+
+def test_tasks_null_is_an_empty_page(spark, write_text, tmp_path):
+    path = land(write_text, tmp_path, "r1", {1: '{"tasks": null}', 2: '{"task": null}'})
+    assert rows_of(spark, path) == []
+    assert envelope_rejects(read_page_files(spark, path), "value", REC).count() == 0
+
+
+def test_service_timestamps_with_nanoseconds_and_offsets(spark):
+    rec = T.StructType([T.StructField("id", T.StringType()), T.StructField("delivered_at", T.TimestampNTZType())])
+    text = json.dumps(
+        {
+            "tasks": [
+                {"id": "ns", "delivered_at": "2023-09-02T10:23:36.536167366Z"},
+                {"id": "ms", "delivered_at": "2023-09-13T00:00:00.000Z"},
+                {"id": "off", "delivered_at": "2023-09-13T02:00:00+02:00"},
+                {"id": "plain", "delivered_at": "2023-09-13T00:00:00"},
+            ]
+        }
+    )
+    import datetime as dt
+
+    df = spark.createDataFrame([(text,)], "value string")
+    out = {r.id: r.delivered_at for r in explode_envelope(df, "value", rec).collect()}
+    assert out["ns"] == dt.datetime(2023, 9, 2, 10, 23, 36, 536167)
+    assert out["ms"] == out["off"] == out["plain"] == dt.datetime(2023, 9, 13)
