@@ -48,11 +48,13 @@ def rank_within(
     """
     keys, order = list(keys), list(order)
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + [_col(o).asc_nulls_first() for o in order]
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spark = df.sparkSession
     path = scratch_path(spark, "rank")
+    # Without an explicit count, adaptive execution sizes the range partitions
+    # from spark.sql.shuffle.partitions and the measured shuffle size.
+    ranged = df.repartitionByRange(num_partitions, *sort_cols) if num_partitions else df.repartitionByRange(*sort_cols)
     (
-        df.repartitionByRange(n, *sort_cols)
+        ranged
         .sortWithinPartitions(*sort_cols)
         .withColumn("_rid", F.monotonically_increasing_id())
         .write.parquet(path)

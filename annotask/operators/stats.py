@@ -134,17 +134,16 @@ def creation_schema(inputs: DataFrame, prefix: str = PREANNOTATION_PREFIX, infer
 def delivery_schema(deliveries: DataFrame, project_id=None, infer_types: bool = False) -> DataFrame:
     """Per project: top-level answer fields and how many deliveries carry each.
 
-    Answers are read as a map of field → raw JSON text of the value, exploded
-    and counted. With ``infer_types`` the merged JSON type of each field's
-    values is added (``schema_of_variant_agg``).
+    Answers are read as a map of field → value, exploded and counted. With
+    ``infer_types`` the values are read as VARIANT and the merged JSON type of
+    each field is added (``schema_of_variant_agg``).
     """
     scoped = filter_tasks(deliveries, project_id=project_id)
-    fields = scoped.select(
-        "project_id", F.explode(F.from_json(F.col("answers"), "map<string,string>")).alias("field", "_value")
-    )
+    value_type = "map<string,variant>" if infer_types else "map<string,string>"
+    fields = scoped.select("project_id", F.explode(F.from_json(F.col("answers"), value_type)).alias("field", "_value"))
     aggs = [F.count(F.lit(1)).alias("n_present")]
     if infer_types:
-        aggs.append(F.schema_of_variant_agg(F.try_parse_json(F.col("_value"))).alias("json_type"))
+        aggs.append(F.schema_of_variant_agg(F.col("_value")).alias("json_type"))
     out = fields.groupBy("project_id", "field").agg(*aggs)
     totals = scoped.groupBy("project_id").agg(F.count(F.lit(1)).alias("n_deliveries"))
     return out.join(totals, "project_id", "inner")
