@@ -13,8 +13,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annotask.operators.mutations import cancel_batches, delete_tasks, reject_tasks, update_priorities
+from annotask.operators.paging import page_completeness, paginate
+from annotask.operators.requests import task_request_json
+from annotask.operators.retry import classify_responses, request_outcomes, retry_queue
+from annotask.operators.stats import (
+    batch_status,
+    batch_task_detail,
+    creation_schema,
+    delivery_schema,
+    project_information,
+    project_state_counts,
+    project_stats,
+)
 from annotask.plans import derived as D
+from annotask.schema import STATE_COLUMN_NAMES, TASK_STATES
+from annotask.session import scratch_path
+from annotask.sinks.batches import read_committed_requests, write_task_batch
+from annotask.sinks.pages import land_pages, pack_pages
+from annotask.sources.pages import explode_envelope, infer_task_schema, page_task_counts, read_task_pages
 from annotask.sources.tables import delivered_tasks, multi_task_status, task_status
+from annotask.streaming.deliveries import deliveries_since_last_call, start_delivery_stream
+from annotask.streaming.task_batches import stream_task_batches
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -140,7 +161,6 @@ def q_task_status_ids(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- P1 P2
-from annotask.operators.requests import task_request_json  # noqa: E402
 
 
 @register(
@@ -158,7 +178,6 @@ def q_task_requests_json(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- L1
-from annotask.operators.paging import page_completeness, paginate  # noqa: E402
 
 PAGE_SQL = """(SELECT id, project_id,
           row_number() OVER (PARTITION BY project_id ORDER BY created_at, id) AS rn FROM tasks)"""
@@ -206,7 +225,6 @@ def q_page_gaps(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- M1
-from annotask.operators.mutations import cancel_batches, delete_tasks, reject_tasks, update_priorities  # noqa: E402
 
 
 @register(
@@ -288,16 +306,6 @@ def q_cancel_batches(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- A1
-from annotask.operators.stats import (  # noqa: E402
-    batch_status,
-    batch_task_detail,
-    creation_schema,
-    delivery_schema,
-    project_information,
-    project_state_counts,
-    project_stats,
-)
-from annotask.schema import STATE_COLUMN_NAMES, TASK_STATES  # noqa: E402
 
 _STATE_COUNTS_SQL = ",\n         ".join(
     f"count(*) FILTER (WHERE state = '{s}') AS {STATE_COLUMN_NAMES[s]}" for s in TASK_STATES
@@ -428,7 +436,6 @@ def q_delivery_schema(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- R1 R2
-from annotask.operators.retry import classify_responses, request_outcomes, retry_queue  # noqa: E402
 
 _CLASS_SQL = """CASE WHEN status IS NULL OR status IN (429, 502, 503, 504) THEN 'retry'
               WHEN status >= 400 THEN 'failed' ELSE 'ok' END"""
@@ -486,9 +493,6 @@ def q_retry_queue(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- S2 (pages packed in memory)
-from annotask.session import scratch_path  # noqa: E402
-from annotask.sinks.pages import land_pages, pack_pages  # noqa: E402
-from annotask.sources.pages import explode_envelope, infer_task_schema, page_task_counts, read_task_pages  # noqa: E402
 
 _TASK_COLS = "id, project_id, batch_id, client_batch_id, state, priority, created_at, completed_at, data, answers"
 
@@ -565,7 +569,6 @@ def q_inferred_pages(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- K1 K2 round trip
-from annotask.sinks.batches import read_committed_requests, write_task_batch  # noqa: E402
 
 _REQUEST_DATA = "doc_id bigint, text string, lang string, source string, n_chars bigint, output_label string"
 _ROUND_TRIP_SQL = """SELECT 'docs' AS project_id, 'b-1' AS batch_id, 0 AS priority, false AS submit,
@@ -585,7 +588,6 @@ def q_batch_round_trip(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- K3 stream of inputs → batches
-from annotask.streaming.task_batches import stream_task_batches  # noqa: E402
 
 
 @register(
@@ -604,7 +606,6 @@ def q_stream_task_batches(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- T1 two calls of one consumer
-from annotask.streaming.deliveries import deliveries_since_last_call, start_delivery_stream  # noqa: E402
 
 _SPLIT = "2024-01-16 00:00:00"
 

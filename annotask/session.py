@@ -44,13 +44,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app_nam
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and landed files.
 
-    Read from the session; only when the cluster names none (tests, local
-    runs) is a fresh folder made and registered.
+    Read from the session; only when none is named and the master is local
+    (tests, local runs) is a fresh folder made and registered. On a cluster
+    an unset folder is an error: a machine-local folder would not survive
+    the loss of that machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="annotask-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
