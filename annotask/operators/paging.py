@@ -96,6 +96,10 @@ def paginate(
     return out.drop("_rank")
 
 
+# Deepest row a shallow read may need before switching to the full ranking.
+SHALLOW_READ_ROWS = 100_000
+
+
 def read_page(
     df: DataFrame,
     page: int,
@@ -103,8 +107,21 @@ def read_page(
     keys: tuple[str, ...] = ("project_id",),
     order: tuple[str, ...] = ("created_at", "id"),
 ) -> DataFrame:
-    """One page per key: the bounded read of a single call (page 1 = first call)."""
-    return paginate(df, page_size, keys, order, position_col=None).where(F.col("page") == int(page)).drop("page")
+    """One page per key: the bounded read of a single call (page 1 = first call).
+
+    A shallow page uses ``row_number() <= page × page_size``: Spark keeps only
+    that many rows per key in every task before the shuffle (window group
+    limit), so a key's window sorts at most (tasks × depth) rows however
+    large the key is. Deep pages use :func:`paginate`.
+    """
+    if page <= 0 or page_size <= 0:
+        raise ValueError("page and page_size must be positive")
+    depth = int(page) * int(page_size)
+    if depth > SHALLOW_READ_ROWS:
+        return paginate(df, page_size, keys, order, position_col=None).where(F.col("page") == int(page)).drop("page")
+    w = Window.partitionBy(*keys).orderBy(*[_col(o).asc_nulls_first() for o in order])
+    ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= depth)
+    return ranked.where(F.col("_rn") > depth - int(page_size)).drop("_rn")
 
 
 def page_completeness(

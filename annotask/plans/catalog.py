@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annotask.operators.mutations import cancel_batches, delete_tasks, reject_tasks, update_priorities
-from annotask.operators.paging import page_completeness, paginate
+from annotask.operators.paging import page_completeness, paginate, read_page
 from annotask.operators.requests import task_request_json
 from annotask.operators.retry import classify_responses, request_outcomes, retry_queue
 from annotask.operators.stats import (
@@ -196,6 +196,21 @@ def q_paginate(spark, sf_dir):
     return paginate(D.tasks(spark, sf_dir), 100).select("id", "project_id", "page", "position")
 
 
+# --------------------------------------------------------------------------- L2 (one bounded call per project)
+@register(
+    "first_page",
+    D.with_views(
+        f"""SELECT {TASK_COLS_NO_ANSWERS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY created_at, id) AS rn FROM tasks)
+  WHERE rn <= 100""",
+        "tasks",
+    ),
+)
+def q_first_page(spark, sf_dir):
+    # The page size is the feature here: the first call of every project returns 100 tasks.
+    return read_page(multi_task_status(D.tasks(spark, sf_dir)), 1, 100)
+
+
 # --------------------------------------------------------------------------- L3
 @register(
     "page_gaps",

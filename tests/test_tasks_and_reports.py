@@ -273,3 +273,14 @@ def test_delivery_schema_types_string_fields(spark):
     )
     types = {r.field: r.json_type for r in delivery_schema(d, infer_types=True).collect()}
     assert types["b"] == "STRING" and types["a"].startswith("BIGINT") and types["c"].startswith("OBJECT")
+
+
+def test_read_page_shallow_and_deep_agree(spark, monkeypatch):
+    import annotask.operators.paging as paging
+
+    rows = [("hot" if i % 4 else "cold", T0 + dt.timedelta(seconds=i % 50), f"t{i:04d}") for i in range(600)]
+    df = spark.createDataFrame(rows, "project_id string, created_at timestamp_ntz, id string")
+    shallow = sorted((r.project_id, r.id) for r in read_page(df, 2, 70).collect())
+    monkeypatch.setattr(paging, "SHALLOW_READ_ROWS", 0)
+    deep = sorted((r.project_id, r.id) for r in paging.read_page(df, 2, 70).collect())
+    assert shallow == deep and len(shallow) == 140
