@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from annotask.operators import mutations, stats
 from annotask.operators.keys import id_frame
 from annotask.schema import DEFAULT_PRIORITY, DEFAULT_SUBMIT, PROJECT_SCHEMA
-from annotask.sinks.batches import read_batch_jobs, write_task_batch
+from annotask.sinks.batches import read_batch_jobs, record_job_status, write_task_batch
 from annotask.sources import tables
 from annotask.streaming.deliveries import deliveries_since_last_call
 
@@ -129,7 +129,12 @@ class AnnotationTables:
         return mutations.delete_tasks(self.tasks(), task_ids, project_id=project_id)
 
     def cancel_batch_creation_job(self, project_id, batch_id) -> DataFrame:
-        return mutations.cancel_batches(self.jobs(), [batch_id], project_id=project_id)
+        """Cancel an unfinished job: its new status row is appended to the job log
+        (readers of committed batches stop seeing it); returns the job's row."""
+        jobs = self.jobs().where((F.col("project_id") == str(project_id)) & (F.col("batch_id") == str(batch_id)))
+        changed = mutations.cancel_batches(jobs, [batch_id], project_id=project_id).where(F.col("status") == mutations.CANCELLED)
+        record_job_status(self.spark, self._need(self.jobs_path, "jobs_path"), changed)
+        return self.jobs().where((F.col("project_id") == str(project_id)) & (F.col("batch_id") == str(batch_id)))
 
     # ------------------------------------------------------------------ reports
     def get_status_batch_creation_job(self, project_id, batch_id, omit_failed_task_data=False) -> DataFrame:

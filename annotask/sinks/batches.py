@@ -89,8 +89,26 @@ def commit_batch(spark: SparkSession, jobs_path: str, job: dict) -> None:
     spark.createDataFrame([row], BATCH_JOB_SCHEMA).write.mode("append").partitionBy("project_id").parquet(jobs_path)
 
 
-def read_batch_jobs(spark: SparkSession, jobs_path: str) -> DataFrame:
-    return spark.read.schema(BATCH_JOB_SCHEMA).parquet(jobs_path)
+def read_batch_jobs(spark: SparkSession, jobs_path: str, latest: bool = True) -> DataFrame:
+    """The batch-job log; by default the latest row per (project, batch).
+
+    The log is append-only: a commit retried after a lost driver, or a later
+    status change (cancel), adds a row, and the latest one wins. The log has
+    one row per batch event, so this aggregation is small.
+    """
+    log = spark.read.schema(BATCH_JOB_SCHEMA).parquet(jobs_path)
+    if not latest:
+        return log
+    others = [f.name for f in BATCH_JOB_SCHEMA.fields if f.name not in ("project_id", "batch_id", "created_at")]
+    last = log.groupBy("project_id", "batch_id").agg(F.max(F.struct("created_at", *others)).alias("_j"))
+    return last.select(*[F.col(f"_j.{f.name}").alias(f.name) if f.name not in ("project_id", "batch_id") else F.col(f.name) for f in BATCH_JOB_SCHEMA.fields])
+
+
+def record_job_status(spark: SparkSession, jobs_path: str, jobs: DataFrame) -> None:
+    """Append changed job rows (e.g. from ``cancel_batches``) with a new time."""
+    now = F.lit(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    cols = [now.alias("created_at") if f.name == "created_at" else F.col(f.name) for f in BATCH_JOB_SCHEMA.fields]
+    jobs.select(*cols).write.mode("append").partitionBy("project_id").parquet(jobs_path)
 
 
 def read_task_requests(spark: SparkSession, path: str, outcome: str = ACCEPTED) -> DataFrame:

@@ -53,7 +53,11 @@ def test_facade(spark, tmp_path):
     assert job["n_tasks"] == 1
     prof = {r.column_name: r for r in at.get_creation_task_schema("p0").collect()}
     assert prof["url"].non_null == 1 and prof["output_weather"].is_preannotation
-    assert at.cancel_batch_creation_job("p0", "nb").where(F.col("status") == "cancelled").count() == 1
+    assert [r.status for r in at.cancel_batch_creation_job("p0", "nb").collect()] == ["cancelled"]
+    from annotask.sinks.batches import read_committed_requests
+
+    assert read_committed_requests(spark, f"{root}/requests", f"{root}/jobs").count() == 0
+    assert at.cancel_batch_creation_job("p0", "nb").count() == 1
 
     rej = {r.id: r.state for r in at.reject_task("p0", "t0", ["Not accurate"]).collect()}
     assert rej["t0"] == "rejected" and rej["t1"] == "in progress"
