@@ -30,7 +30,8 @@ def as_json_text(df: DataFrame, name: str) -> Column:
     """Any column as JSON text: strings are compacted, nested values serialised."""
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.StringType):
-        return compact_json(name)
+        # Text that is not JSON is kept as it is rather than lost.
+        return F.coalesce(compact_json(name), F.col(name))
     if isinstance(dtype, (T.StructType, T.MapType, T.ArrayType, T.VariantType)):
         return F.to_json(F.col(name))
     return F.regexp_extract(F.to_json(F.array(F.col(name))), r"^\[(.*)\]$", 1)

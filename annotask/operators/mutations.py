@@ -63,9 +63,9 @@ def update_priorities(tasks: DataFrame, task_ids, priority: int, project_id=None
 
 def delete_tasks(tasks: DataFrame, task_ids, project_id=None) -> DataFrame:
     """All tasks but the listed ones (of the given project)."""
-    ids = id_frame(tasks.sparkSession, task_ids, "id")
     if project_id is None:
-        return tasks.join(ids, "id", "left_anti")
+        return tasks.join(id_frame(tasks.sparkSession, task_ids, "id", unique=False), "id", "left_anti")
+    ids = id_frame(tasks.sparkSession, task_ids, "id")
     marked = tasks.join(ids.withColumn("_hit", F.lit(True)), "id", "left")
     gone = F.coalesce(F.col("_hit"), F.lit(False)) & F.coalesce(_in_project(tasks, project_id), F.lit(False))
     return marked.where(~gone).select(*tasks.columns)

@@ -89,7 +89,7 @@ def task_status(tasks: DataFrame, task_ids, project_id=None, same_as_delivery: b
     """Status of one task (a scalar id) or of many (a list or a DataFrame of ids).
 
     One id is a pushed-down equality. Many ids are a left-semi join against the
-    de-duplicated id list; a Python list is small by construction and is
+    id list (a semi join never multiplies rows, so no de-duplication); a Python list is small by construction and is
     broadcast, a DataFrame of ids is left to adaptive execution, which
     broadcasts it only when its measured size is under the threshold.
     """
@@ -97,7 +97,7 @@ def task_status(tasks: DataFrame, task_ids, project_id=None, same_as_delivery: b
     if isinstance(task_ids, (str, int)):
         out = filter_tasks(out, task_id=task_ids)
     else:
-        ids = id_frame(tasks.sparkSession, task_ids, "id")
+        ids = id_frame(tasks.sparkSession, task_ids, "id", unique=False)
         if isinstance(task_ids, DataFrame):
             out = out.join(ids, "id", "left_semi")
         else:

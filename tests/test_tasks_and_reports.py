@@ -284,3 +284,8 @@ def test_read_page_shallow_and_deep_agree(spark, monkeypatch):
     monkeypatch.setattr(paging, "SHALLOW_READ_ROWS", 0)
     deep = sorted((r.project_id, r.id) for r in paging.read_page(df, 2, 70).collect())
     assert shallow == deep and len(shallow) == 140
+
+
+def test_answers_text_that_is_not_json_is_kept(spark, tasks):
+    df = spark.createDataFrame([task("txt", answers="free text, not json")], TASK_SCHEMA)
+    assert multi_task_status(df, omit_answers=False).collect()[0].answers == "free text, not json"
