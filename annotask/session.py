@@ -24,6 +24,20 @@ SCALE_CONF = {
 }
 
 
+# Starting point for a large cluster (hundreds of executors, tens of TB):
+# many initial shuffle partitions that adaptive execution merges down to about
+# the advisory size, larger read splits, a bounded broadcast size and skew
+# splitting. spark.checkpoint.dir must name a folder shared by all executors.
+LARGE_SCALE_CONF = {
+    **SCALE_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app_name: str = "annotask", extra=None):
     """A session for tests and the benchmark (no UI)."""
     builder = (
