@@ -167,3 +167,20 @@ def test_service_timestamps_with_nanoseconds_and_offsets(spark):
     out = {r.id: r.delivered_at for r in explode_envelope(df, "value", rec).collect()}
     assert out["ns"] == dt.datetime(2023, 9, 2, 10, 23, 36, 536167)
     assert out["ms"] == out["off"] == out["plain"] == dt.datetime(2023, 9, 13)
+
+
+def test_null_and_boolean_values_survive(spark):
+    rec = T.StructType(
+        [T.StructField("id", T.StringType()), T.StructField("flag", T.BooleanType()), T.StructField("x", T.StringType())]
+    )
+    text = json.dumps({"tasks": [{"id": "a", "flag": True, "x": None}, {"id": "b", "flag": False, "x": "v"}]})
+    df = spark.createDataFrame([(text,)], "value string")
+    out = {r.id: (r.flag, r.x) for r in explode_envelope(df, "value", rec).collect()}
+    assert out == {"a": (True, None), "b": (False, "v")}
+
+
+def test_absent_answers_column_is_left_alone(spark):
+    from annotask.functions.json import answers_to_json
+
+    df = spark.createDataFrame([("a",)], "id string")
+    assert answers_to_json(df).columns == ["id"]

@@ -121,6 +121,7 @@ def test_answers_compacted_and_kept_as_text(spark, tasks):
     assert out["ans_obj"] == '{"a":{"b":1}}'
     assert out["ans_arr"] == "[1,2]"
     assert out["ans_u"] == '{"t":"Ünïcödé"}'
+    assert out["ans_q"] == '{"q":"it\'s \\"quoted\\""}'
     assert out["s0"] is None
 
 
