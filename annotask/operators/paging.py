@@ -44,7 +44,8 @@ def rank_within(
 
     ``keys + order`` must identify a row (end ``order`` with a unique id), so
     the numbering is a function of the data and survives recomputation after
-    a lost executor.
+    a lost executor. Every column of ``df`` is written to the intermediate
+    table: select the columns needed downstream first.
     """
     keys, order = list(keys), list(order)
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + [_col(o).asc_nulls_first() for o in order]
