@@ -579,8 +579,24 @@ def q_landed_page_completeness(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- S3 (no oracle: inferred types)
-@register("inferred_pages")
+_TS_TEXT = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f')"
+
+
+@register(
+    "inferred_pages",
+    D.with_views(
+        f"""SELECT project_id AS result,
+         CAST((rn - 1) // 1000 + 1 AS INTEGER) AS page, CAST((rn - 1) % 1000 + 1 AS INTEGER) AS position,
+         json(answers)::VARCHAR AS answers, batch_id, client_batch_id,
+         {_TS_TEXT.format(c="completed_at")} AS completed_at, {_TS_TEXT.format(c="created_at")} AS created_at,
+         data, {_TS_TEXT.format(c="delivered_at")} AS delivered_at, id, CAST(priority AS BIGINT) AS priority,
+         project_id, state
+  FROM (SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY delivered_at, id) AS rn FROM deliveries)""",
+        "deliveries",
+    ),
+)
 def q_inferred_pages(spark, sf_dir):
+    # JSON inference keeps timestamps as text and types whole numbers as bigint.
     path = land_pages(D.deliveries(spark, sf_dir), scratch_path(spark, "inferred-pages"), 1000, "project_id", ("delivered_at", "id"))
     return read_task_pages(spark, path, infer_task_schema(spark, path))
 

@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annotask.schema import DEFAULT_TASKS_FILE_NAME
+
 N_PROJECTS = 25
 
 
@@ -129,7 +131,7 @@ def batch_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(seg == "HOUSEHOLD", "created")
         .otherwise("failed")
         .alias("status"),
-        F.lit("python_sdk").alias("tasks_file_name"),
+        F.lit(DEFAULT_TASKS_FILE_NAME).alias("tasks_file_name"),
         F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com"))).alias(
             "notification_email"
         ),
@@ -144,7 +146,7 @@ BATCH_JOBS_SQL = f"""
               WHEN c_mktsegment = 'FURNITURE' THEN 'processing'
               WHEN c_mktsegment = 'HOUSEHOLD' THEN 'created'
               ELSE 'failed' END AS status,
-         'python_sdk' AS tasks_file_name,
+         '{DEFAULT_TASKS_FILE_NAME}' AS tasks_file_name,
          CASE WHEN c_custkey % 3 <> 0 THEN lower(replace(c_name, '#', '.')) || '@example.com' END AS notification_email,
          TIMESTAMP '1994-12-01 00:00:00' + to_seconds(c_custkey) AS created_at
   FROM customer"""
