@@ -70,8 +70,14 @@ def delivered_tasks(
     client_batch_id_match_type=None,
     from_timestamp=None,
     task_id=None,
+    dedupe: bool = False,
 ) -> DataFrame:
-    """Deliveries after ``from_timestamp`` (strict), answers as compact JSON text."""
+    """Deliveries after ``from_timestamp`` (strict), answers as compact JSON text.
+
+    Bounds carry nanoseconds and Spark keeps microseconds, so a bound cut to
+    µs can return again a delivery made inside the same microsecond; with
+    ``dedupe`` rows are made unique by (id, delivered_at).
+    """
     out = filter_tasks(
         deliveries,
         project_id=project_id,
@@ -82,6 +88,8 @@ def delivered_tasks(
         task_id=task_id,
         date_col="delivered_at",
     )
+    if dedupe:
+        out = out.dropDuplicates(["id", "delivered_at"])
     return answers_to_json(out)
 
 

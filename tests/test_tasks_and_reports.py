@@ -143,6 +143,8 @@ def test_delivered_tasks(spark):
     out = delivered_tasks(df, project_id="p", from_timestamp="2023-09-13T00:00:00Z")
     assert [(r.id, r.answers) for r in out.collect()] == [("d2", '{"k":2}')]
     assert ids(delivered_tasks(df, task_id="d1")) == ["d1"]
+    twice = df.unionByName(df)
+    assert delivered_tasks(twice).count() == 4 and delivered_tasks(twice, dedupe=True).count() == 2
 
 
 def test_reject_keeps_latest_reasons(spark, tasks):
