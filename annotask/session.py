@@ -21,6 +21,10 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Broadcasts come from sizes Spark measured: file sizes on disk at
+    # planning time (Spark's default bound), or, for a shuffled side, its
+    # materialised size under the adaptive bound.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
 
 
@@ -33,7 +37,7 @@ LARGE_SCALE_CONF = {
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "512m",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
 }
 
