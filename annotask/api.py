@@ -147,8 +147,9 @@ class AnnotationTables:
 
     def get_creation_task_schema(self, project_id) -> DataFrame:
         """Field profile of the committed task inputs of a project (schema inferred from the request lines)."""
-        requests = self.spark.read.json(self._need(self.requests_path, "requests_path"))
-        scoped = requests.where((F.col("project_id") == str(project_id)) & (F.col("outcome") == "accepted"))
+        root = self._need(self.requests_path, "requests_path")
+        # Only this project's accepted request files are read, for inference too.
+        scoped = self.spark.read.option("basePath", root).json(f"{root}/project_id={project_id}/batch_id=*/outcome=accepted")
         return stats.creation_schema(scoped.select("data.*"))
 
     def get_delivery_task_schema(self, project_id) -> DataFrame:

@@ -97,8 +97,9 @@ def paginate(
     return out.drop("_rank")
 
 
-# Deepest row a shallow read may need before switching to the full ranking.
-SHALLOW_READ_ROWS = 100_000
+# Most rows one key may bring to its window in a shallow read (depth × input
+# partitions); beyond it the full ranking is used.
+SHALLOW_READ_ROWS = 20_000_000
 
 
 def read_page(
@@ -112,13 +113,14 @@ def read_page(
 
     A shallow page uses ``row_number() <= page × page_size``: Spark keeps only
     that many rows per key in every task before the shuffle (window group
-    limit), so a key's window sorts at most (tasks × depth) rows however
-    large the key is. Deep pages use :func:`paginate`.
+    limit), so a key's window sorts at most (input partitions × depth) rows
+    however large the key is. When that bound is too large, the page comes
+    from :func:`paginate` instead.
     """
     if page <= 0 or page_size <= 0:
         raise ValueError("page and page_size must be positive")
     depth = int(page) * int(page_size)
-    if depth > SHALLOW_READ_ROWS:
+    if depth * df.rdd.getNumPartitions() > SHALLOW_READ_ROWS:
         return paginate(df, page_size, keys, order, position_col=None).where(F.col("page") == int(page)).drop("page")
     w = Window.partitionBy(*keys).orderBy(*[_col(o).asc_nulls_first() for o in order])
     ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= depth)
