@@ -47,10 +47,6 @@ def answers_to_json(df: DataFrame, name: str = "answers") -> DataFrame:
     return df.withColumn(name, as_json_text(df, name))
 
 
-def preannotation_columns(df: DataFrame, prefix: str = PREANNOTATION_PREFIX) -> list[str]:
-    return [f.name for f in df.schema.fields if f.name.startswith(prefix)]
-
-
 def parse_preannotations(df: DataFrame, prefix: str = PREANNOTATION_PREFIX, on_error: str = "fail") -> DataFrame:
     """Decode ``output_*`` string columns from JSON text to VARIANT.
 

@@ -79,17 +79,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``Dataset.checkpoint()`` write under the shared checkpoint folder."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    root = checkpoint_root(spark)
-    sc.setCheckpointDir(f"{root}/annotask/rdd")
-    return sc.getCheckpointDir()
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/annotask/{name}-{uuid.uuid4().hex[:12]}"
