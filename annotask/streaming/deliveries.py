@@ -42,18 +42,18 @@ def delivery_stream(
     client_batch_id_match_type=None,
     record_schema: T.StructType = PAGE_RECORD_SCHEMA,
     max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Streaming DataFrame of delivered task rows from landed page files.
 
-    ``max_files_per_trigger`` / ``max_bytes_per_trigger`` bound what one
-    micro-batch reads (the per-call limit).
+    ``max_files_per_trigger`` / ``max_bytes_per_trigger`` (an integer byte
+    count) bound what one micro-batch reads (the per-call limit).
     """
     reader = spark.readStream.schema(PAGE_FILE_SCHEMA).option("wholetext", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     raw = reader.text(landing_path)
     rows = explode_envelope(raw, "value", record_schema, keep=("result", "page"))
     rows = filter_tasks(
@@ -86,6 +86,7 @@ def deliveries_since_last_call(
     checkpoint_path: str | None = None,
     record_schema: T.StructType = PAGE_RECORD_SCHEMA,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Rows delivered since this consumer's previous call (none → empty)."""
     ckpt, out = _cursor_dirs(spark, consumer, output_path, checkpoint_path)
@@ -98,6 +99,7 @@ def deliveries_since_last_call(
         client_batch_id_match_type=client_batch_id_match_type,
         record_schema=record_schema,
         max_files_per_trigger=max_files_per_trigger,
+        max_bytes_per_trigger=max_bytes_per_trigger,
     )
     seen: list[int] = []
 

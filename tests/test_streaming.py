@@ -116,3 +116,12 @@ def test_stream_of_inputs_to_batches(spark, tmp_path):
     back = read_committed_requests(spark, os.path.join(root, "req"), os.path.join(root, "jobs"), "id int, name string")
     assert sorted(r.data.id for r in back.collect()) == list(range(20))
     assert back.select("batch_id").distinct().count() >= 2
+
+
+def test_max_bytes_per_trigger_bounds_each_epoch(spark, tmp_path):
+    root = str(tmp_path)
+    for i in range(4):
+        land(root, f"r{i}", [dict(delivery(i), answers={"x": "y" * 2000})])
+    out = call(spark, root, "A", max_bytes_per_trigger=3000)
+    assert ids(out) == ["d0", "d1", "d2", "d3"]
+    assert len(os.listdir(os.path.join(root, "out", "A"))) >= 2
