@@ -94,3 +94,47 @@ def test_request_outcomes_equal_brute_force(spark, log):
     for rid in {r for r, _ in log}:
         expected[rid] = brute_outcome([(a, s) for (r, a), s in log.items() if r == rid])
     assert got == expected
+
+
+TEXT = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=12)
+
+
+@SETTINGS
+@given(
+    tasks=st.lists(
+        st.tuples(
+            st.sampled_from(["p1", "p2", "p3"]),
+            st.integers(0, 10**6),
+            st.one_of(st.none(), TEXT),
+            st.one_of(st.none(), st.dictionaries(st.sampled_from(["a", "b", "c"]), st.one_of(st.integers(-5, 5), TEXT), max_size=3)),
+        ),
+        min_size=1,
+        max_size=40,
+    ),
+    page_size=st.integers(1, 7),
+)
+def test_pages_round_trip(spark, tasks, page_size):
+    import json as _json
+
+    from annotask.schema import TASK_SCHEMA
+    from annotask.sinks.pages import pack_pages
+    from annotask.sources.pages import explode_envelope
+
+    rows = [
+        (f"t{i:03d}", p, None, cb, "new", 0, T0 + dt.timedelta(microseconds=us), None, None,
+         None if ans is None else _json.dumps(ans, separators=(",", ":"), ensure_ascii=False))
+        for i, (p, us, cb, ans) in enumerate(tasks)
+    ]
+    df = spark.createDataFrame(rows, TASK_SCHEMA)
+    back = explode_envelope(pack_pages(df, page_size), "value", TASK_SCHEMA, keep=("result", "page"))
+    # JSON is compared as values: escapes may be spelt differently (\u000b / \u000B).
+    def val(text):
+        return None if text is None else _json.loads(text)
+
+    got = {r.id: (r.project_id, r.created_at, r.client_batch_id, val(r.answers), r.page, r.position) for r in back.collect()}
+    expected = {}
+    for p in {r[1] for r in rows}:
+        mine = sorted((r for r in rows if r[1] == p), key=lambda r: (r[6], r[0]))
+        for n, r in enumerate(mine):
+            expected[r[0]] = (p, r[6], r[3], val(r[9]), n // page_size + 1, n % page_size + 1)
+    assert got == expected
