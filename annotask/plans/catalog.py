@@ -198,6 +198,23 @@ def q_paginate(spark, sf_dir):
     return paginate(tasks, 100).select("id", "project_id", "page", "position")
 
 
+# --------------------------------------------------------------------------- L1 with a third of all rows per project
+@register(
+    "paginate_hot_project",
+    D.with_views(
+        """SELECT id, project_id, CAST((rn - 1) // 1000 + 1 AS INTEGER) AS page,
+         CAST((rn - 1) % 1000 + 1 AS INTEGER) AS position
+  FROM (SELECT id, project_id, row_number() OVER (PARTITION BY project_id ORDER BY created_at, id) AS rn
+        FROM line_tasks)""",
+        "line_tasks",
+    ),
+)
+def q_paginate_hot_project(spark, sf_dir):
+    # Every project holds about a third of the rows: the ranking spreads each one over many tasks.
+    tasks = D.line_tasks(spark, sf_dir).select("id", "project_id", "created_at")
+    return paginate(tasks, 1000).select("id", "project_id", "page", "position")
+
+
 # --------------------------------------------------------------------------- L2 (one bounded call per project)
 @register(
     "first_page",

@@ -5,6 +5,8 @@ The driver's parquet tables stand in for a project's data:
 * ``tasks`` from ``orders``: one task per order; project = customer key
   modulo 25 (so project ids line up with the 25 nation keys), batch =
   customer, client batch = order priority, state from the order status.
+* ``line_tasks`` from ``lineitem``: one task per line, project = return flag,
+  so every project holds about a third of all rows (the hot-key case).
 * ``deliveries`` from ``events``: one delivery per event, answers = ``props``.
 * ``inputs`` from ``documents`` left-joined to ``labels``: task inputs, the
   label as a JSON pre-annotation string.
@@ -63,6 +65,32 @@ TASKS_SQL = f"""
   FROM orders"""
 
 
+# --------------------------------------------------------------------------- line tasks (one hot project per return flag)
+def line_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One task per line item; project = return flag, so each project holds about a third of all rows."""
+    li = table(spark, sf_dir, "lineitem")
+    key = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    return li.select(
+        F.concat_ws("-", *key).alias("id"),
+        F.col("l_returnflag").alias("project_id"),
+        F.col("l_orderkey").cast("string").alias("batch_id"),
+        F.col("l_linestatus").alias("client_batch_id"),
+        F.when(F.col("l_linestatus") == "O", "new").otherwise("completed").alias("state"),
+        F.col("l_shipdate").alias("created_at"),
+    )
+
+
+LINE_TASKS_SQL = """
+  SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
+                   CAST(l_suppkey AS VARCHAR)) AS id,
+         l_returnflag AS project_id,
+         CAST(l_orderkey AS VARCHAR) AS batch_id,
+         l_linestatus AS client_batch_id,
+         CASE WHEN l_linestatus = 'O' THEN 'new' ELSE 'completed' END AS state,
+         l_shipdate AS created_at
+  FROM lineitem"""
+
+
 # --------------------------------------------------------------------------- deliveries
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
@@ -212,6 +240,7 @@ def with_views(sql: str, *names: str) -> str:
     """Prefix a query with the CTEs of the derived tables it names."""
     bodies = {
         "tasks": TASKS_SQL,
+        "line_tasks": LINE_TASKS_SQL,
         "deliveries": DELIVERIES_SQL,
         "inputs": INPUTS_SQL,
         "batch_jobs": BATCH_JOBS_SQL,
