@@ -34,8 +34,12 @@ def pack_pages(
     return grouped.select("result", "page", body.alias("value"))
 
 
-def land_pages(df: DataFrame, path: str, page_size: int, result_col: str = "project_id", order=("created_at", "id"), mode="append"):
-    """Write packed pages as text files (one file per page)."""
+def land_pages(df: DataFrame, path: str, page_size: int, result_col: str = "project_id", order=("created_at", "id")):
+    """Write packed pages as text files (one file per page).
+
+    Dynamic partition overwrite: landing a page again replaces that page's
+    folder and leaves every other page alone, so a rerun does not duplicate.
+    """
     pages = pack_pages(df, page_size, result_col, order)
-    pages.write.mode(mode).partitionBy("result", "page").text(path)
+    pages.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("result", "page").text(path)
     return path

@@ -184,3 +184,19 @@ def test_absent_answers_column_is_left_alone(spark):
 
     df = spark.createDataFrame([("a",)], "id string")
     assert answers_to_json(df).columns == ["id"]
+
+
+def test_landing_twice_does_not_duplicate(spark, tmp_path):
+    import datetime as dt
+
+    from annotask.schema import TASK_SCHEMA
+    from annotask.sinks.pages import land_pages
+
+    rows = [(f"t{i}", "p", None, None, "new", 0, dt.datetime(2024, 1, 1, 0, 0, i), None, None, None) for i in range(5)]
+    df = spark.createDataFrame(rows, TASK_SCHEMA)
+    path = str(tmp_path / "landing")
+    land_pages(df, path, 2)
+    land_pages(df, path, 2)
+    back = read_task_pages(spark, path, TASK_SCHEMA)
+    assert sorted(r.id for r in back.collect()) == [f"t{i}" for i in range(5)]
+    assert sorted({(r.page, r.position) for r in back.collect()}) == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1)]
