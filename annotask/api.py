@@ -21,6 +21,7 @@ from annotask.operators.keys import id_frame
 from annotask.schema import DEFAULT_PRIORITY, DEFAULT_SUBMIT, PROJECT_SCHEMA
 from annotask.sinks.batches import read_batch_jobs, record_job_status, write_task_batch
 from annotask.sources import tables
+from annotask.sources.pages import read_task_pages
 from annotask.streaming.deliveries import deliveries_since_last_call
 
 
@@ -39,6 +40,9 @@ class AnnotationTables:
         return tables.read_tasks(self.spark, self._need(self.tasks_path, "tasks_path"))
 
     def deliveries(self) -> DataFrame:
+        """The Parquet deliveries table, or the landed pages when there is none."""
+        if self.deliveries_path is None and self.landing_path is not None:
+            return read_task_pages(self.spark, self.landing_path).drop("result", "page", "position")
         return tables.read_deliveries(self.spark, self._need(self.deliveries_path, "deliveries_path"))
 
     def jobs(self) -> DataFrame:

@@ -59,12 +59,14 @@ def compact_pages(
     landing_path: str,
     out_path: str,
     record_schema: T.StructType = PAGE_RECORD_SCHEMA,
-    mode: str = "append",
+    mode: str = "overwrite",
 ) -> None:
     """Parse landed page files once and keep the deliveries as Parquet.
 
     Later reads then get filter pushdown, column pruning and partition
-    pruning, which JSON text cannot offer.
+    pruning, which JSON text cannot offer. The default dynamic overwrite
+    replaces the projects present in the landing, so compacting the same
+    landing again does not duplicate rows.
     """
     rows = read_task_pages(spark, landing_path, record_schema)
     write_deliveries(rows, out_path, mode=mode)

@@ -33,6 +33,9 @@ def test_facade(spark, tmp_path):
         fh.write(json.dumps({"tasks": [{"id": "t2", "project_id": "p0", "batch_id": "b2", "answers": {"k": 2},
                                         "delivered_at": "2023-09-15T00:00:00.000000"}]}))
     compact_pages(spark, f"{root}/landing", f"{root}/deliveries")
+    compact_pages(spark, f"{root}/landing", f"{root}/deliveries")  # again: replaced, not doubled
+    from_landing = AnnotationTables(spark, landing_path=f"{root}/landing")
+    assert from_landing.get_delivered_tasks_to_table(spark, "p0").count() == 1
     at = AnnotationTables(spark, tasks_path=f"{root}/tasks", deliveries_path=f"{root}/deliveries",
                           landing_path=f"{root}/landing", requests_path=f"{root}/requests", jobs_path=f"{root}/jobs")
 
