@@ -84,3 +84,17 @@ def test_filters_and_pruning_reach_the_scan(spark):
     assert "PushedFilters" in plan
     read_schema = [line for line in plan.split("\n") if "ReadSchema" in line]
     assert read_schema and all("o_totalprice" not in line for line in read_schema)
+
+
+@pytest.mark.parametrize("name", ["delivered_since", "date_window_completion", "landed_pages", "request_outcomes"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = E.queries()[name](spark, SF001)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(E.oracle_sql()[name])
+    dcols = [d[0] for d in res.description]
+    assert _rows(df.columns, rows) == _rows(dcols, res.fetchall())
