@@ -83,9 +83,11 @@ def explode_envelope(
     back in (page, position) order give the service's order.
     """
     keep = tuple(c for c in df.columns if c != body_col) if keep is None else keep
-    env = _env(F.col(body_col), record_schema)
-    items = F.when(env.getField("task").isNotNull(), F.array(env.getField("task"))).otherwise(env.getField("tasks"))
-    rows = df.select(*keep, F.posexplode(items).alias("_pos", "_rec"))
+    # Parse each body once; the generator then reads fields of the parsed value.
+    parsed = df.select(*keep, _env(F.col(body_col), record_schema).alias("_env"))
+    task, tasks = F.col("_env.task"), F.col("_env.tasks")
+    items = F.when(task.isNotNull(), F.array(task)).otherwise(tasks)
+    rows = parsed.select(*keep, F.posexplode(items).alias("_pos", "_rec"))
     return rows.select(*keep, (F.col("_pos") + 1).cast("int").alias("position"), *_from_wire(F.col("_rec"), record_schema))
 
 
