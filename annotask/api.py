@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from annotask.operators import mutations, stats
 from annotask.operators.keys import id_frame
-from annotask.schema import DEFAULT_PRIORITY, DEFAULT_SUBMIT, PROJECT_SCHEMA
+from annotask.operators.paging import read_page
+from annotask.schema import DEFAULT_PRIORITY, DEFAULT_SUBMIT, DELIVERED_PAGE_SIZE, MULTI_STATUS_PAGE_SIZE, PROJECT_SCHEMA
 from annotask.sinks.batches import read_batch_jobs, record_job_status, write_task_batch
 from annotask.sources import tables
 from annotask.sources.pages import read_task_pages
@@ -116,6 +117,16 @@ class AnnotationTables:
             from_timestamp=from_timestamp, to_timestamp=to_timestamp, state=state, omit_answers=omit_answers,
         )
 
+    def get_multi_task_status_page(self, project_id, page: int = 1, page_size: int = MULTI_STATUS_PAGE_SIZE, **filters) -> DataFrame:
+        """One page of the multi-task status listing (by creation time, then id), per project."""
+        rows = self.get_multi_task_status_to_table(self.spark, project_id, **filters)
+        return read_page(rows, page, page_size, ("project_id",), ("created_at", "id"))
+
+    def get_delivered_tasks_page(self, project_id, page: int = 1, page_size: int = DELIVERED_PAGE_SIZE, **filters) -> DataFrame:
+        """One page of the delivered-task listing (by delivery time, then id), per project."""
+        rows = self.get_delivered_tasks_to_table(self.spark, project_id, **filters)
+        return read_page(rows, page, page_size, ("project_id",), ("delivered_at", "id"))
+
     # ------------------------------------------------------------------ changes
     def reject_task(self, project_id, task_id, reasons) -> DataFrame:
         rej = id_frame(self.spark, [task_id], "id").withColumn(

@@ -45,6 +45,11 @@ def test_facade(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(project_id" in plan
     assert "answers" not in [line for line in plan.split("\n") if "ReadSchema" in line][0]
 
+    page1 = at.get_multi_task_status_page("p0", 1, 3, state="delivered")
+    page4 = at.get_multi_task_status_page("p0", 4, 3, state="delivered")
+    assert [r.id for r in page1.orderBy("created_at").collect()] == ["t2", "t6", "t10"]
+    assert [r.id for r in page4.collect()] == ["t38"]
+    assert at.get_delivered_tasks_page("p0", 1, 1000).count() == 1
     one = at.get_task_status_to_table(spark, "p0", "t2").collect()
     assert one[0].answers == '{"k":2}'
     assert at.get_delivered_tasks_to_table(spark, "p0").count() == 1
