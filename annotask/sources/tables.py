@@ -96,10 +96,12 @@ def delivered_tasks(
 def task_status(tasks: DataFrame, task_ids, project_id=None, same_as_delivery: bool = True) -> DataFrame:
     """Status of one task (a scalar id) or of many (a list or a DataFrame of ids).
 
-    One id is a pushed-down equality. Many ids are a left-semi join against the
-    id list (a semi join never multiplies rows, so no de-duplication); a Python list is small by construction and is
-    broadcast, a DataFrame of ids is left to adaptive execution, which
-    broadcasts it only when its measured size is under the threshold.
+    One id is a pushed-down equality (and a bloom-filter hit on tables written
+    by ``write_tasks``). Many ids are a left-semi join against the id list; a
+    semi join never multiplies rows, so the list is not de-duplicated. A
+    Python list is already in driver memory and is broadcast; for a DataFrame
+    of ids Spark broadcasts only from a measured size, otherwise both sides
+    are shuffled on ``id``.
     """
     out = filter_tasks(tasks, project_id=project_id)
     if isinstance(task_ids, (str, int)):
