@@ -156,3 +156,8 @@ def test_no_driver_collect_in_library():
         text = path.read_text()
         for banned in (".collect()", ".toPandas()", "parallelize(", "localCheckpoint"):
             assert banned not in text, f"{banned} in {path}"
+
+
+def test_variant_input_is_written_as_nested_json(spark):
+    df = spark.range(1).select(F.parse_json(F.lit('{"a": [1, {"b": null}]}')).alias("v"), F.lit("x").alias("name"))
+    assert requests_of(df)[0]["data"] == {"v": {"a": [1, {"b": None}]}, "name": "x"}

@@ -292,3 +292,13 @@ def test_read_page_shallow_and_deep_agree(spark, monkeypatch):
 def test_answers_text_that_is_not_json_is_kept(spark, tasks):
     df = spark.createDataFrame([task("txt", answers="free text, not json")], TASK_SCHEMA)
     assert multi_task_status(df, omit_answers=False).collect()[0].answers == "free text, not json"
+
+
+def test_state_accepts_an_enum_member(spark, tasks):
+    import enum
+
+    class States(enum.Enum):
+        IN_PROGRESS = "in progress"
+        DELIVERED = "delivered"
+
+    assert ids(multi_task_status(tasks, state=States.IN_PROGRESS)) == ["s1"]
