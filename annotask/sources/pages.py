@@ -118,9 +118,13 @@ def read_task_pages(
     return explode_envelope(read_page_files(spark, path, one_body_per_line), "value", record_schema, keep=("result", "page"))
 
 
-def page_task_counts(spark: SparkSession, path: str, record_schema: T.StructType = PAGE_RECORD_SCHEMA) -> DataFrame:
-    """Per landed page: task count and reject flag (input of page completeness)."""
-    pages = parse_pages(read_page_files(spark, path), "value", record_schema)
+def page_task_counts(spark: SparkSession, path: str, record_schema: T.StructType | None = None) -> DataFrame:
+    """Per landed page: task count and reject flag (input of page completeness).
+
+    Counting needs no record field, so by default records are parsed against
+    an empty struct: the parser skips their values instead of building them.
+    """
+    pages = parse_pages(read_page_files(spark, path), "value", record_schema or T.StructType([]))
     return pages.select("result", "page", "n_tasks", "rejected")
 
 
