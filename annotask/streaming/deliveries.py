@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -66,6 +67,13 @@ def delivery_stream(
     return answers_to_json(rows)
 
 
+def _empty_call(spark: SparkSession, record_schema: T.StructType, filters: dict) -> DataFrame:
+    """An empty result with the schema a call returns."""
+    pages = spark.createDataFrame([], PAGE_FILE_SCHEMA)
+    rows = filter_tasks(explode_envelope(pages, "value", record_schema, keep=("result", "page")), **filters)
+    return answers_to_json(rows)
+
+
 def _cursor_dirs(spark: SparkSession, consumer: str | None, output_path: str | None, checkpoint_path: str | None):
     key = consumer_key(consumer)
     root = checkpoint_root(spark)
@@ -90,17 +98,26 @@ def deliveries_since_last_call(
 ) -> DataFrame:
     """Rows delivered since this consumer's previous call (none → empty)."""
     ckpt, out = _cursor_dirs(spark, consumer, output_path, checkpoint_path)
-    stream = delivery_stream(
-        spark,
-        landing_path,
+    filters = dict(
         project_id=project_id,
         batch_id=batch_id,
         client_batch_id=client_batch_id,
         client_batch_id_match_type=client_batch_id_match_type,
-        record_schema=record_schema,
-        max_files_per_trigger=max_files_per_trigger,
-        max_bytes_per_trigger=max_bytes_per_trigger,
     )
+    try:
+        stream = delivery_stream(
+            spark,
+            landing_path,
+            record_schema=record_schema,
+            max_files_per_trigger=max_files_per_trigger,
+            max_bytes_per_trigger=max_bytes_per_trigger,
+            **filters,
+        )
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # Nothing has landed yet: no rows, and no cursor is created.
+        return _empty_call(spark, record_schema, filters)
     seen: list[int] = []
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:

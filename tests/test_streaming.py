@@ -125,3 +125,11 @@ def test_max_bytes_per_trigger_bounds_each_epoch(spark, tmp_path):
     out = call(spark, root, "A", max_bytes_per_trigger=3000)
     assert ids(out) == ["d0", "d1", "d2", "d3"]
     assert len(os.listdir(os.path.join(root, "out", "A"))) >= 2
+
+
+def test_call_before_anything_landed_is_empty(spark, tmp_path):
+    root = str(tmp_path)
+    empty = call(spark, root, "A")
+    assert empty.count() == 0 and "answers" in empty.columns
+    land(root, "r1", [delivery(1)])
+    assert ids(call(spark, root, "A")) == ["d1"]
