@@ -100,6 +100,8 @@ def paginate(
 # Most rows one key may bring to its window in a shallow read (depth × input
 # partitions); beyond it the full ranking is used.
 SHALLOW_READ_ROWS = 20_000_000
+# Input partitions assumed when the DataFrame has no RDD view to ask.
+ASSUMED_PARTITIONS = 10_000
 
 
 def read_page(
@@ -120,7 +122,11 @@ def read_page(
     if page <= 0 or page_size <= 0:
         raise ValueError("page and page_size must be positive")
     depth = int(page) * int(page_size)
-    if depth * df.rdd.getNumPartitions() > SHALLOW_READ_ROWS:
+    try:
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): assume a large scan
+        partitions = ASSUMED_PARTITIONS
+    if depth * partitions > SHALLOW_READ_ROWS:
         return paginate(df, page_size, keys, order, position_col=None).where(F.col("page") == int(page)).drop("page")
     w = Window.partitionBy(*keys).orderBy(*[_col(o).asc_nulls_first() for o in order])
     ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= depth)

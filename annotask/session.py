@@ -68,14 +68,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     the loss of that machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    try:
+        sc = spark.sparkContext  # absent in a Spark Connect session
+    except Exception:  # noqa: BLE001
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors") from None
+    root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="annotask-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

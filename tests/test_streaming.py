@@ -133,3 +133,21 @@ def test_call_before_anything_landed_is_empty(spark, tmp_path):
     assert empty.count() == 0 and "answers" in empty.columns
     land(root, "r1", [delivery(1)])
     assert ids(call(spark, root, "A")) == ["d1"]
+
+
+def test_progress_lists_the_epochs_a_call_wrote(spark, tmp_path):
+    from annotask.streaming.deliveries import _progress
+
+    root = str(tmp_path)
+    for i in range(3):
+        land(root, f"r{i}", [delivery(i)])
+    seen = []
+    q = (
+        delivery_stream(spark, os.path.join(root, "landing"), max_files_per_trigger=1)
+        .writeStream.foreachBatch(lambda b, e: (b.count(), seen.append(e)))
+        .option("checkpointLocation", os.path.join(root, "ck"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    assert sorted(p["batchId"] for p in _progress(q) if p["numInputRows"] > 0) == sorted(seen) == [0, 1, 2]
