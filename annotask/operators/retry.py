@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annotask.functions.filters import timestamp_literal
 from annotask.schema import BACKOFF_FACTOR, FIRST_DELAY_SECONDS, MAX_TRIES, RETRIABLE_STATUS
 
 OK, RETRY, FAILED = "ok", "retry", "failed"
@@ -54,6 +55,7 @@ def _attempt_of(key: Column) -> Column:
 
 
 def _status_of(key: Column) -> Column:
+    # Status codes are HTTP codes (below 1023); 1023 marks "no status".
     code = F.col(key) if isinstance(key, str) else key
     code = (code % F.lit(1 << _STATUS_BITS)).cast("int")
     return F.when(code != F.lit(_NO_STATUS), code)
@@ -101,9 +103,15 @@ def request_outcomes(log: DataFrame, max_tries: int = MAX_TRIES) -> DataFrame:
     )
 
 
-def retry_queue(log: DataFrame, max_tries: int = MAX_TRIES) -> DataFrame:
-    """Requests to try again: last attempt, its status, and when to retry."""
+def retry_queue(log: DataFrame, max_tries: int = MAX_TRIES, as_of=None) -> DataFrame:
+    """Requests to try again: last attempt, its status, and when to retry.
+
+    With ``as_of`` (RFC3339 text or a datetime) only the retries already due
+    at that time are kept (``next_at <= as_of``).
+    """
     out = request_outcomes(log, max_tries).where(F.col("outcome") == F.lit(RETRY))
+    if as_of is not None:
+        out = out.where(F.col("next_at") <= timestamp_literal(as_of, out.schema["next_at"].dataType))
     return out.select(
         "request_id",
         "attempt",

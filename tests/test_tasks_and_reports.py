@@ -267,6 +267,8 @@ def test_response_log_outcomes(spark):
     assert set(q) == {"rate", "busy"}
     # waits 1, 2, 4, 8 s after attempts 1..4
     assert q["rate"].next_at == t(1) and q["busy"].next_at == t(7 + 8) and q["busy"].next_attempt == 5
+    due = [r.request_id for r in retry_queue(log, as_of="2023-09-13T00:00:10Z").collect()]
+    assert due == ["rate"]
 
 
 def test_delivery_schema_types_string_fields(spark):
