@@ -138,3 +138,43 @@ def test_pages_round_trip(spark, tasks, page_size):
         for n, r in enumerate(mine):
             expected[r[0]] = (p, r[6], r[3], val(r[9]), n // page_size + 1, n % page_size + 1)
     assert got == expected
+
+
+def brute_page(body):
+    """(tasks, rejected) for one body, by the client's rule (bad text and objects without a key are rejects)."""
+    import json as _json
+
+    text = (body or "").strip()
+    if text in ("", "{}", "[]", "null"):
+        return 0, False
+    try:
+        value = _json.loads(text)
+    except ValueError:
+        return 0, True
+    if not isinstance(value, dict) or ("task" not in value and "tasks" not in value):
+        return 0, True
+    if value.get("task") is not None:
+        return 1, False
+    return len(value.get("tasks") or []), False
+
+
+BODY = st.one_of(
+    st.sampled_from(["", "{}", "[]", "null", "nope", "[1]", '{"other": 1}', '{"tasks": null}', '{"task": null}', "{bad"]),
+    st.lists(st.integers(0, 9), max_size=4).map(lambda ids: '{"tasks": [%s]}' % ", ".join('{"id": "t%d"}' % i for i in ids)),
+    st.integers(0, 9).map(lambda i: '{"task": {"id": "t%d"}}' % i),
+)
+
+
+@SETTINGS
+@given(bodies=st.lists(BODY, min_size=1, max_size=12))
+def test_page_parsing_equals_brute_force(spark, bodies):
+    from pyspark.sql import types as T
+
+    from annotask.sources.pages import explode_envelope, parse_pages
+
+    rec = T.StructType([T.StructField("id", T.StringType())])
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "page int, value string")
+    pages = {r.page: (r.n_tasks, r.rejected) for r in parse_pages(df, "value", rec).collect()}
+    assert pages == {i: brute_page(b) for i, b in enumerate(bodies)}
+    rows = explode_envelope(df, "value", rec).groupBy("page").count().collect()
+    assert {r.page: r["count"] for r in rows} == {i: n for i, (n, _) in pages.items() if n}
