@@ -178,3 +178,68 @@ def test_page_parsing_equals_brute_force(spark, bodies):
     assert pages == {i: brute_page(b) for i, b in enumerate(bodies)}
     rows = explode_envelope(df, "value", rec).groupBy("page").count().collect()
     assert {r.page: r["count"] for r in rows} == {i: n for i, (n, _) in pages.items() if n}
+
+
+FILTER_ROW = st.tuples(
+    st.sampled_from(["p1", "p2", None]),
+    st.sampled_from(["b1", "b2", None]),
+    st.sampled_from(["50%_off", "50xxoff", "x_y", "plain", None]),
+    st.sampled_from(["new", "in progress", "delivered", None]),
+    st.integers(0, 20),
+    st.one_of(st.none(), st.integers(0, 20)),
+)
+
+
+@SETTINGS
+@given(
+    rows=st.lists(FILTER_ROW, min_size=1, max_size=25),
+    project=st.sampled_from([None, "p1"]),
+    batch=st.sampled_from([None, "b2"]),
+    cb=st.sampled_from([None, ("%_", "contains"), ("_", "contains"), ("plain", "exact"), ("50%_off", None)]),
+    state=st.sampled_from([None, "in progress", "delivered"]),
+    window=st.sampled_from([None, ("creation_date", 5, 15), ("completion_date", None, 10), ("creation_date", 3, None)]),
+)
+def test_task_filters_equal_brute_force(spark, rows, project, batch, cb, state, window):
+    from annotask.schema import TASK_SCHEMA
+    from annotask.sources.tables import multi_task_status
+
+    def ts(d):
+        return None if d is None else T0 + dt.timedelta(days=d)
+
+    data = [(f"t{i}", p, b, c, s, 0, ts(cr), ts(co), None, None) for i, (p, b, c, s, cr, co) in enumerate(rows)]
+    df = spark.createDataFrame(data, TASK_SCHEMA)
+    kw = dict(project_id=project, batch_id=batch, state=state)
+    if cb:
+        kw.update(client_batch_id=cb[0], client_batch_id_match_type=cb[1])
+    if window:
+        kw.update(
+            date_type=window[0],
+            from_timestamp=None if window[1] is None else ts(window[1]).isoformat() + "Z",
+            to_timestamp=None if window[2] is None else ts(window[2]).isoformat() + "Z",
+        )
+    got = sorted(r.id for r in multi_task_status(df, **kw).collect())
+
+    def keep(r):
+        _, p, b, c, s, _, cr, co, _, _ = r
+        if project is not None and p != project:
+            return False
+        if batch is not None and b != batch:
+            return False
+        if cb:
+            if c is None:
+                return False
+            if (cb[1] or "exact") == "exact" and c != cb[0]:
+                return False
+            if cb[1] == "contains" and cb[0] not in c:
+                return False
+        if state is not None and s != state:
+            return False
+        if window:
+            d = cr if window[0] == "creation_date" else co
+            if window[1] is not None and (d is None or not d > ts(window[1])):
+                return False
+            if window[2] is not None and (d is None or not d < ts(window[2])):
+                return False
+        return True
+
+    assert got == sorted(r[0] for r in data if keep(r))
