@@ -243,3 +243,23 @@ def test_task_filters_equal_brute_force(spark, rows, project, batch, cb, state,
         return True
 
     assert got == sorted(r[0] for r in data if keep(r))
+
+
+@SETTINGS
+@given(
+    projects=st.lists(st.sampled_from(["p1", "p2"]), min_size=1, max_size=20),
+    picked=st.lists(st.integers(0, 25), max_size=10),
+    scope=st.sampled_from([None, "p1"]),
+)
+def test_priorities_and_deletes_equal_brute_force(spark, projects, picked, scope):
+    from annotask.operators.mutations import delete_tasks, update_priorities
+    from annotask.schema import TASK_SCHEMA
+
+    data = [(f"t{i}", p, None, None, "new", 0, T0, None, None, None) for i, p in enumerate(projects)]
+    df = spark.createDataFrame(data, TASK_SCHEMA)
+    ids = [f"t{i}" for i in picked]  # duplicates and unknown ids included
+    hit = {r[0] for r in data if r[0] in ids and (scope is None or r[1] == scope)}
+    prio = {r.id: r.priority for r in update_priorities(df, ids, -100, project_id=scope).collect()}
+    assert prio == {r[0]: (-100 if r[0] in hit else 0) for r in data}
+    left = sorted(r.id for r in delete_tasks(df, ids, project_id=scope).collect())
+    assert left == sorted(r[0] for r in data if r[0] not in hit)
