@@ -263,3 +263,31 @@ def test_priorities_and_deletes_equal_brute_force(spark, projects, picked, scope
     assert prio == {r[0]: (-100 if r[0] in hit else 0) for r in data}
     left = sorted(r.id for r in delete_tasks(df, ids, project_id=scope).collect())
     assert left == sorted(r[0] for r in data if r[0] not in hit)
+
+
+@SETTINGS
+@given(
+    projects=st.lists(st.sampled_from(["p1", "p2"]), min_size=1, max_size=12),
+    rejections=st.lists(
+        st.tuples(st.integers(0, 14), st.integers(0, 50), st.lists(st.sampled_from(["Not accurate", "Late", "Blurry"]), min_size=1, max_size=2)),
+        max_size=12,
+    ),
+    scope=st.sampled_from([None, "p1"]),
+)
+def test_rejections_keep_the_latest_reasons(spark, projects, rejections, scope):
+    from annotask.operators.mutations import reject_tasks
+    from annotask.schema import TASK_SCHEMA
+
+    data = [(f"t{i}", p, None, None, "new", 0, T0, None, None, None) for i, p in enumerate(projects)]
+    df = spark.createDataFrame(data, TASK_SCHEMA)
+    rej_rows = [(f"t{i}", reasons, T0 + dt.timedelta(minutes=m)) for i, m, reasons in rejections]
+    rej = spark.createDataFrame(rej_rows, "id string, reasons array<string>, at timestamp_ntz")
+    got = {r.id: (r.state, r.reject_reasons) for r in reject_tasks(df, rej, project_id=scope).collect()}
+    expected = {}
+    for tid, p, *_ in data:
+        mine = [(at, reasons) for i, reasons, at in rej_rows if i == tid]
+        if mine and (scope is None or p == scope):
+            expected[tid] = ("rejected", max(mine)[1])
+        else:
+            expected[tid] = ("new", None)
+    assert got == expected
