@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotask.llm import bpe
+from annotask.llm import bpe, exact_dedup, mixing, simhash, toxicity
 from annotask.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,78 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    "op4_exact_dedup",
+    r"""
+    WITH t AS (
+      SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
+    SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+           doc_id = min(doc_id) OVER w AS kept, sha256(body) AS text_sha256
+    FROM t WINDOW w AS (PARTITION BY body)
+    """,
+)
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact_dedup.exact_dedup(documents).drop("text")
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels")
+    return toxicity.toxicity(documents, labels).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op8_simhash")
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(read_table(spark, sf_dir, "documents"), length=3, radius=2)
+
+
+@query(
+    "op10_mix",
+    r"""
+    WITH d AS (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+             (('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT + 0.5::DOUBLE)
+               / 4503599627370496.0::DOUBLE AS u
+      FROM documents),
+    ranked AS (SELECT doc_id, source, size, u / (1.0::DOUBLE - u) * sqrt(CAST(size AS DOUBLE)) AS mix_rank FROM d),
+    totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM ranked GROUP BY source),
+    weighed AS (
+      SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+      FROM totals),
+    filling AS (
+      SELECT *, 3.0::DOUBLE * source_size AS most,
+             row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS fill_order,
+             CAST(sum(source_size) OVER () AS DOUBLE) AS all_size
+      FROM weighed),
+    levels AS (
+      SELECT *, (all_size - coalesce(sum(most) OVER (ORDER BY fill_order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE))
+               / sum(weight) OVER (ORDER BY fill_order ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+      FROM filling),
+    opened AS (
+      SELECT min(fill_order) AS open_order, arg_min(level, fill_order) AS open_level FROM levels WHERE weight * level < most),
+    targets AS (
+      SELECT source, source_size, open_order IS NULL OR fill_order < open_order AS is_full,
+             CASE WHEN open_order IS NULL OR fill_order < open_order THEN most ELSE weight * open_level END AS target
+      FROM levels CROSS JOIN opened),
+    plan AS (
+      SELECT *, CASE WHEN source_size = 0 THEN 0 WHEN is_full THEN 3 ELSE CAST(floor(target / source_size) AS INTEGER) END AS certain
+      FROM targets),
+    cut AS (
+      SELECT r.doc_id, r.size, p.source_size, p.target, p.certain,
+             greatest(p.target - p.certain * p.source_size, 0.0::DOUBLE) AS remaining,
+             coalesce(sum(r.size) OVER (PARTITION BY r.source ORDER BY r.mix_rank, r.doc_id
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM ranked r JOIN plan p ON r.source IS NOT DISTINCT FROM p.source)
+    SELECT doc_id, size, source_size, target,
+           CAST(size * (certain + CASE WHEN before + size / 2.0::DOUBLE < remaining THEN 1 ELSE 0 END) AS BIGINT) AS taken
+    FROM cut
+    """,
+)
+def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    taken = mixing.mix_sources(documents, keep_text=False)
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
