@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotask.llm import bpe, exact_dedup, mixing, simhash, toxicity
+from annotask.llm import bpe, chat, exact_dedup, kd_shards, mixing, simhash, toxicity
 from annotask.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,93 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def _escaped_sql(expression: str) -> str:
+    """The template's escaping, in SQL."""
+    out = f"replace({expression}, '\\', '\\\\')"
+    for control in chat.CONTROL:
+        out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+    return out
+
+
+@query(
+    "op1_chat_windows",
+    f"""
+    WITH given AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL VALUES (-1::BIGINT, 0::BIGINT, 'user', '{chat.CONTROL[3]}[INST] ok [/INST]'),
+                       (-1::BIGINT, 1::BIGINT, 'assistant', '{chat.CONTROL[3]}[INST] ok [/INST]')),
+    costed AS (
+      SELECT *, CAST(ceil(strlen(text) / 4.0) AS BIGINT) + {chat.OVERHEAD} AS cost,
+             length({_escaped_sql("role")}) + length({_escaped_sql("text")}) + 13 AS chars,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS n
+      FROM given),
+    placed AS (
+      SELECT *, CAST(sum(cost) OVER (PARTITION BY conv_id ORDER BY n) AS BIGINT) AS until FROM costed),
+    system AS (
+      SELECT conv_id, arg_min(until, n) AS sys_until, arg_min(cost, n) AS sys_cost, arg_min(chars, n) AS sys_chars
+      FROM placed WHERE role = 'system' GROUP BY conv_id),
+    celled AS (
+      SELECT p.*, until - cost AS start, sys_until, sys_chars,
+             greatest({chat.BUDGET} - coalesce(sys_cost, 0), 2) AS room,
+             greatest({chat.BUDGET} - coalesce(sys_cost, 0), 2) // 2 AS cell
+      FROM placed p LEFT JOIN system s ON p.conv_id IS NOT DISTINCT FROM s.conv_id),
+    windows AS (
+      SELECT conv_id, min(start) AS begins, max(until) AS ends, any_value(sys_until) AS sys_until,
+             any_value(sys_chars) AS sys_chars,
+             greatest(least({chat.HISTORY}, any_value(room) - (max(until) - min(start))), 0) AS allowed
+      FROM celled GROUP BY conv_id, (until - 1) // cell, cost <= cell),
+    history AS (
+      SELECT w.conv_id, CAST(sum(t.chars) AS BIGINT) AS chars
+      FROM windows w JOIN celled t ON w.conv_id IS NOT DISTINCT FROM t.conv_id
+       AND t.start >= w.begins - w.allowed AND t.until <= w.begins AND t.cost <= {chat.HISTORY}
+       AND (w.sys_until IS NULL OR t.until <> w.sys_until)
+      GROUP BY w.conv_id),
+    retained AS (
+      SELECT conv_id, CAST(sum(CASE WHEN sys_until <= begins THEN sys_chars ELSE 0 END) AS BIGINT) AS chars
+      FROM windows GROUP BY conv_id),
+    whole AS (
+      SELECT conv_id, count(*) AS n_turns, CAST(sum(chars) AS BIGINT) AS chars,
+             sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+             coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY n), '') AS loss
+      FROM costed GROUP BY conv_id)
+    SELECT w.conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+           CAST(w.chars + r.chars + coalesce(h.chars, 0) AS BIGINT) AS formatted_chars
+    FROM whole w JOIN retained r ON w.conv_id IS NOT DISTINCT FROM r.conv_id
+    LEFT JOIN history h ON w.conv_id IS NOT DISTINCT FROM h.conv_id
+    """,
+)
+def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(marked).alias("text"),
+    )
+    read = chat.read_back(chat.chat_windows(conversations.union(extra)))
+    form = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    parts = read.select(
+        "conv",
+        F.size("turns").alias("n"),
+        F.char_length("text").alias("chars"),
+        F.struct("window", F.array_join(form, "").alias("turns"), F.array_join("targets", "").alias("loss")).alias("part"),
+    )
+    # The contract's digests are of a conversation's whole text.
+    whole = parts.groupBy("conv").agg(
+        F.sum("n").alias("n_turns"), F.sum("chars").alias("formatted_chars"), F.sort_array(F.collect_list("part")).alias("parts")
+    )
+    loss = F.array_join(F.transform("parts", lambda p: p["loss"]), "")
+    return whole.select(
+        F.col("conv").alias("conv_id"),
+        F.col("n_turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("parts", lambda p: p["turns"]), ""), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.col("formatted_chars").cast("long").alias("formatted_chars"),
+    )
+
+
 @query("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -53,6 +140,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents).drop("text")
 
 
+@query("op5_kd_shards")
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    placed = kd_shards.kd_shards(documents, shards=16, carry=["doc_id"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query("op6_toxicity")
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
