@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotask.llm import bpe, chat, exact_dedup, kd_shards, mixing, simhash, toxicity
+from annotask.llm import bpe, chat, exact_dedup, kd_shards, mixing, perplexity, simhash, toxicity
 from annotask.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,6 +161,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read_table(spark, sf_dir, "documents"), length=3, radius=2)
 
 
+@query("op9_perplexity_rules")
+def op9_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    judged = perplexity.quality_rules(documents)
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *counts, "base_failed", "kept", "perplexity", "lower", "upper")
+
+
 @query(
     "op10_mix",
     r"""
