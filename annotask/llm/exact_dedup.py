@@ -3,8 +3,8 @@
 Rows are read as a stream whose keyed state lives on the executors' disks
 (RocksDB, with its changes written to the shared checkpoint folder) and never
 expires. For each digest of a normalised text the state retains the row that
-stays: its stable identifier and its content locator, the row's place in the
-staged table, and the number of rows seen. Spark adds up the rows of a
+stays: its stable identifier and its content locator, the row's file and place
+in it, and the number of rows seen. Spark adds up the rows of a
 digest within each task before they reach the state, so a large group of
 copies arrives there as one row per task.
 
@@ -17,10 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotask.llm.common import SPACE_RUN
+from annotask.llm.common import SPACE_RUN, free_name, written
 from annotask.session import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -77,6 +78,17 @@ def digest_state(spark: SparkSession, staged: str, schema, checkpoint: str, file
     return state.select(F.col("key.digest").alias("digest"), F.col(f"value.{first}").alias("first"), F.col(f"value.{members}").alias("members"))
 
 
+def located(df: DataFrame) -> tuple[DataFrame, Column]:
+    """Rows with a locator, their file and row number in it: ``df`` itself if
+    it is read from files, else a written copy."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    try:
+        df.select(place)
+    except AnalysisException:  # not read from Parquet files
+        df = written(df, "dedup-rows")
+    return df, place
+
+
 def exact_dedup(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -87,48 +99,45 @@ def exact_dedup(
 
     Texts are equal when their normalised forms are; null counts as empty. Of
     equal texts the row with the smallest id stays (null ids last); of
-    rows that share that id too, the one staged first, so exactly one row of
+    rows that share that id too, the one located first, so exactly one row of
     a group is kept. An empty table gives an empty table. Columns of the added
     names are replaced, all others pass through.
     """
     spark = df.sparkSession
+    rows, place = located(df)
     own = [c for c in df.columns if c not in ADDED]
-    text = normalised(F.col(text_col))
+    mark, at = free_name(df, "digest"), free_name(df, "locator")
+    body = normalised(F.col(text_col))
+    full = rows.select(*own, digest(body).alias(mark), place.alias(at))
+
+    # Digests, ids and locators only: what the stream reads.
     staged = scratch_path(spark, "dedup-staged")
-    df.select(
-        F.struct(*own).alias("row"),
-        F.col(id_col).alias("id"),
-        digest(text).alias("digest"),
-        F.monotonically_increasing_id().alias("locator"),
-    ).write.parquet(staged)
-    rows = spark.read.parquet(staged)
-    state = digest_state(spark, staged, rows.schema, scratch_path(spark, "dedup-state"))
-
-    found = rows.join(state, "digest")
-    again = F.col("locator") != F.col("first.locator")
+    full.select(F.col(mark).alias("digest"), F.col(id_col).alias("id"), F.col(at).alias("locator")).write.parquet(staged)
+    narrow = spark.read.parquet(staged)
+    state = written(digest_state(spark, staged, narrow.schema, scratch_path(spark, "dedup-state")), "dedup-groups")
+
     # Full bytes of hits against those of the row that stays.
-    body = normalised(F.col(f"row.{text_col}"))
-    hits = found.where("members > 1").select("digest", "locator", "first", body.alias("body"))
-    stays = hits.where(~again).select("digest", F.col("body").alias("kept_body"))
-    differ = hits.where(again).join(stays, "digest").where("body != kept_body").select("digest").distinct()
-    differ_path = scratch_path(spark, "dedup-collisions")
-    differ.write.parquet(differ_path)
-    differ = spark.read.schema(differ.schema).parquet(differ_path)
-
-    decided = found.select("row", "locator", "digest", F.col("first.id").alias("keep_id"), F.col("first.locator").alias("keep_at"), "members")
+    hits = state.where("members > 1").select(F.col("digest").alias(mark), "first")
+    fetched = full.select(mark, at, body.alias("body")).join(hits, mark)
+    again = F.col(at) != F.col("first.locator")
+    fetched = written(fetched.select(F.col(mark).alias("digest"), again.alias("again"), "body"), "dedup-hits")
+    stays = fetched.where("not again").select("digest", F.col("body").alias("kept_body"))
+    differ = fetched.where("again").join(stays, "digest").where("body != kept_body").select("digest").distinct()
+    differ = written(differ, "dedup-collisions")
+
+    groups = state.select(F.col("digest").alias(mark), "first", "members")
+    decided = full.join(groups, mark)
     if not differ.isEmpty():
-        apart = rows.join(differ, "digest", "left_semi").withColumn("body", body)
-        order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("locator"))
-        texts = apart.groupBy("digest", "body").agg(F.min(order).alias("first"), F.count("*").alias("members"))
-        mended = apart.join(texts, ["digest", "body"]).select(
-            "row", "locator", "digest", F.col("first.id").alias("keep_id"), F.col("first.locator").alias("keep_at"), "members"
-        )
-        decided = decided.join(differ, "digest", "left_anti").union(mended)
-    sha = F.col("digest") if digest is sha256 else F.sha2(body, 256)
+        # Rows of these digests go by their texts instead.
+        apart = full.withColumn("body", body).join(differ.withColumnRenamed("digest", mark), mark, "left_semi")
+        order = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(at).alias("locator"))
+        texts = apart.groupBy("body").agg(F.min(order).alias("first"), F.count("*").alias("members"))
+        mended = apart.join(texts, "body").select(*decided.columns)
+        decided = decided.join(differ.withColumnRenamed("digest", mark), mark, "left_anti").union(mended)
     return decided.select(
-        *(F.col("row").getField(c).alias(c) for c in own),
-        "keep_id",
+        *own,
+        F.col("first.id").alias("keep_id"),
         F.col("members").cast("long").alias("group_size"),
-        (F.col("locator") == F.col("keep_at")).alias("kept"),
-        sha.alias("text_sha256"),
+        (F.col(at) == F.col("first.locator")).alias("kept"),
+        (F.col(mark) if digest is sha256 else F.sha2(body, 256)).alias("text_sha256"),
     )
