@@ -51,6 +51,8 @@ def _stateful_session(spark: SparkSession) -> SparkSession:
     session.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
     session.conf.set(f"{store}.rocksdb.boundedMemoryUsage", "true")
     session.conf.set(f"{store}.rocksdb.maxMemoryUsageMB", str(STATE_MEMORY_MB))
+    # Many small stores: no space set aside in advance for each one's logs.
+    session.conf.set(f"{store}.rocksdb.allowFAllocate", "false")
     return session
 
 
