@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotask.llm import bpe, chat, exact_dedup, kd_shards, mixing, perplexity, simhash, toxicity
+from annotask.llm import bpe, chat, exact_dedup, kd_shards, mixing, perplexity, pii, simhash, site_quality, toxicity
 from annotask.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,6 +112,13 @@ def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_site_quality")
+def op2_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    # A document's site is its source, its path the language section of it.
+    return site_quality.site_quality(documents, labels, host=F.col("source"), path=F.col("lang"))
+
+
 @query("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -156,6 +163,21 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+@query("op7_pii")
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.extract_pii(read_table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in pii.KINDS),
+        F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
+        pii.spans_text(F.concat("base", "added")).alias("spans"),
+    )
+
+
 @query("op8_simhash")
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read_table(spark, sf_dir, "documents"), length=3, radius=2)
