@@ -27,7 +27,7 @@ MAX_TRAINING_ROWS = 16_384
 ROWS_PER_LEARNER = 2_048
 # Coordinates broadcast at most: those of the largest weights.
 MAX_WEIGHTS = 65_536
-HASH_BITS = 32
+HASH_BITS = 32  # at most 32
 ALPHA, BETA, L2 = 2.0, 1.0, 0.0
 L1, PASSES = 12.0, 6
 REFIT_L1, REFIT_PASSES = 0.5, 20
@@ -45,7 +45,7 @@ def coordinates(text: str | None) -> np.ndarray:
     words = np.array([digest(w) for w in _WORD.findall((text or "").lower())], dtype=np.uint64)
     pairs = words[:-1] * _NEXT[0] + words[1:] * _NEXT[1]
     skips = words[:-2] * _SKIP[0] + words[2:] * _SKIP[1]
-    return np.concatenate((words, pairs, skips)) >> np.uint64(64 - HASH_BITS)
+    return (np.concatenate((words, pairs, skips)) >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
 
 
 def ftrl(rows: list[np.ndarray], labels: list[int], passes: int, l1: float, alpha=ALPHA, beta=BETA, l2=L2):
@@ -54,9 +54,10 @@ def ftrl(rows: list[np.ndarray], labels: list[int], passes: int, l1: float, alph
     A row's coordinates count once each. Rows are taken in the given order.
     """
     rows = [np.unique(r) for r in rows]
-    known, place = np.unique(np.concatenate(rows) if rows else np.empty(0, np.uint64), return_inverse=True)
+    known, place = np.unique(np.concatenate(rows) if rows else np.empty(0, np.uint32), return_inverse=True)
     ends = np.cumsum([len(r) for r in rows])
-    places = [np.append(at, 0) for at in np.split(place + 1, ends[:-1])] if rows else []
+    place = (place + 1).astype(np.int32)
+    places = [np.append(at, np.int32(0)) for at in np.split(place, ends[:-1])] if rows else []
     z, n = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
     shrink = np.full(len(known) + 1, l1)
     shrink[0] = 0.0
@@ -126,7 +127,7 @@ def scored(
     is_bias = top["coordinate"] == -1
     base = float(top.loc[is_bias, "weight"].sum())
     model = df.sparkSession.sparkContext.broadcast((
-        top.loc[~is_bias, "coordinate"].to_numpy(np.uint64), top.loc[~is_bias, "weight"].to_numpy(np.float64), base,
+        top.loc[~is_bias, "coordinate"].to_numpy(np.uint32), top.loc[~is_bias, "weight"].to_numpy(np.float64), base,
     ))
     kept = [f for f in df.schema.fields if f.name != out_col]
     keep = [f.name for f in kept]

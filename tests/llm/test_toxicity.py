@@ -49,7 +49,7 @@ def test_held_out_labels_are_never_used(spark):
 
 def test_ftrl_against_a_plain_statement():
     draw = random.Random(1)
-    data = [np.array(draw.sample(range(12), 4), dtype=np.uint64) for _ in range(60)]
+    data = [np.array(draw.sample(range(12), 4), dtype=np.uint32) for _ in range(60)]
     labels = [int(0 in d or 3 in d) for d in data]
     z, n, alpha, beta, l1, l2 = {}, {}, 0.5, 1.0, 0.4, 0.1
 
