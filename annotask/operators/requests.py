@@ -25,16 +25,15 @@ def task_requests(
     """Wrap the input columns as ``struct<data, priority, submit>``.
 
     Columns named in ``keep`` stay beside the request (e.g. a partition
-    column) and are not put into ``data``.
+    column) and are not put into ``data``; all others are, whatever their name.
     """
-    data_cols = [c for c in df.columns if c not in keep and c != "_invalid"]
+    data_cols = [c for c in df.columns if c not in keep]
     request = F.struct(
         F.struct(*[F.col(f"`{c}`") for c in data_cols]).alias("data"),
         F.lit(int(priority)).cast("int").alias("priority"),
         F.lit(bool(submit)).alias("submit"),
     )
-    extra = [c for c in keep if c in df.columns] + (["_invalid"] if "_invalid" in df.columns else [])
-    return df.select(*extra, request.alias(request_col))
+    return df.select(*[F.col(f"`{c}`") for c in keep if c in df.columns], request.alias(request_col))
 
 
 def request_json(column="request", drop_nulls: bool = False) -> Column:
@@ -52,8 +51,19 @@ def task_request_json(
     drop_nulls: bool = False,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Decode pre-annotations, wrap, serialise: one JSON request per input row."""
-    parsed = parse_preannotations(df, prefix=prefix, on_error=on_error)
-    wrapped = task_requests(parsed, priority=priority, submit=submit, keep=keep)
-    extra = [c for c in wrapped.columns if c != "request"]
-    return wrapped.select(*extra, request_json("request", drop_nulls).alias("request_json"))
+    """Decode pre-annotations, wrap, serialise: one JSON request per input row.
+
+    With ``on_error="reject"`` the result has a boolean column ``_invalid``;
+    an input column of that name is input data like any other.
+    """
+    flag = "_invalid"
+    while flag in df.columns:
+        flag += "_"
+    parsed = parse_preannotations(df, prefix=prefix, on_error=on_error, flag=flag)
+    marks = (flag,) if flag in parsed.columns else ()
+    wrapped = task_requests(parsed, priority=priority, submit=submit, keep=(*keep, *marks))
+    return wrapped.select(
+        *[F.col(f"`{c}`") for c in keep if c in df.columns],
+        *[F.col(m).alias("_invalid") for m in marks],
+        request_json("request", drop_nulls).alias("request_json"),
+    )

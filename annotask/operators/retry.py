@@ -40,27 +40,6 @@ def classify_responses(log: DataFrame) -> DataFrame:
     return log.withColumn("outcome", response_class("status"))
 
 
-# (attempt, status) packed in one long so the per-request reduction uses
-# primitive aggregation buffers (hash aggregation, not sort aggregation).
-_STATUS_BITS = 10
-_NO_STATUS = (1 << _STATUS_BITS) - 1
-
-
-def _pack(attempt: Column, status: Column) -> Column:
-    return F.shiftleft(attempt.cast("bigint"), _STATUS_BITS) + F.coalesce(status, F.lit(_NO_STATUS)).cast("bigint")
-
-
-def _attempt_of(key: Column) -> Column:
-    return F.shiftright(key, _STATUS_BITS).cast("int")
-
-
-def _status_of(key: Column) -> Column:
-    # Status codes are HTTP codes (below 1023); 1023 marks "no status".
-    code = F.col(key) if isinstance(key, str) else key
-    code = (code % F.lit(1 << _STATUS_BITS)).cast("int")
-    return F.when(code != F.lit(_NO_STATUS), code)
-
-
 def request_outcomes(log: DataFrame, max_tries: int = MAX_TRIES) -> DataFrame:
     """One row per request: ``finished``, ``failed``, ``retry`` or ``exhausted``.
 
@@ -71,17 +50,15 @@ def request_outcomes(log: DataFrame, max_tries: int = MAX_TRIES) -> DataFrame:
     merge: a request with very many rows is pre-aggregated in every task.
     """
     cls = response_class("status")
-    key = _pack(F.col("attempt"), F.col("status"))
-    decisive_key = F.when(cls != F.lit(RETRY), key)
+    # Any integer or NULL may be a status; NULL comes after all codes.
+    row = F.struct(F.col("attempt"), F.col("status").isNull().alias("no_status"), F.col("status"), F.col("at"))
     agg = log.groupBy("request_id").agg(
         F.count(F.lit(1)).alias("n_attempts"),
-        F.min(decisive_key).alias("_d"),
-        F.min_by(F.col("at"), decisive_key).alias("_d_at"),
-        F.max(key).alias("_l"),
-        F.max_by(F.col("at"), key).alias("_l_at"),
+        F.min(F.when(cls != F.lit(RETRY), row)).alias("_d"),
+        F.max(row).alias("_l"),
     )
     has_decision = F.col("_d").isNotNull()
-    d_status, l_attempt = _status_of(F.col("_d")), _attempt_of(F.col("_l"))
+    d_status, l_attempt = F.col("_d.status"), F.col("_l.attempt")
     outcome = (
         F.when(has_decision & (response_class(d_status) == F.lit(OK)), F.lit(FINISHED))
         .when(has_decision, F.lit(FAILED))
@@ -90,15 +67,15 @@ def request_outcomes(log: DataFrame, max_tries: int = MAX_TRIES) -> DataFrame:
     )
     next_at = F.when(
         ~has_decision & (l_attempt < max_tries),
-        F.timestamp_add("SECOND", backoff_seconds(l_attempt), F.col("_l_at")),
+        F.timestamp_add("SECOND", backoff_seconds(l_attempt), F.col("_l.at")),
     )
     return agg.select(
         "request_id",
         F.col("n_attempts").cast("bigint").alias("n_attempts"),
         outcome.alias("outcome"),
-        F.when(has_decision, _attempt_of(F.col("_d"))).otherwise(l_attempt).alias("attempt"),
-        F.when(has_decision, d_status).otherwise(_status_of(F.col("_l"))).alias("status"),
-        F.when(has_decision, F.col("_d_at")).otherwise(F.col("_l_at")).alias("at"),
+        F.when(has_decision, F.col("_d.attempt")).otherwise(l_attempt).alias("attempt"),
+        F.when(has_decision, d_status).otherwise(F.col("_l.status")).alias("status"),
+        F.when(has_decision, F.col("_d.at")).otherwise(F.col("_l.at")).alias("at"),
         next_at.alias("next_at"),
     )
 
