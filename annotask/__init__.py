@@ -21,7 +21,6 @@ from annotask.operators.stats import (
 )
 from annotask.schema import TASK_STATES
 from annotask.sinks.batches import read_committed_requests, write_task_batch
-from annotask.sinks.pages import land_pages, pack_pages
 from annotask.sinks.tables import compact_pages, write_deliveries, write_tasks
 from annotask.sources.pages import explode_envelope, infer_task_schema, read_task_pages
 from annotask.sources.tables import delivered_tasks, multi_task_status, read_deliveries, read_tasks, task_status

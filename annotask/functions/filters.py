@@ -55,19 +55,23 @@ def timestamp_literal(value, data_type: T.DataType = T.TimestampNTZType()) -> Co
     return F.lit(text).cast(T.TimestampNTZType())
 
 
+_RFC3339_SQL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$"
 _EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
 def rfc3339_column(column, data_type: T.DataType = T.TimestampNTZType()) -> Column:
     """RFC3339 text column → timestamp; any fraction length (cut to µs), any offset.
 
-    Text without an offset is read as UTC. The result does not depend on the
+    Text without an offset is read as UTC, a date as its first moment; text
+    that is no timestamp gives NULL. The result does not depend on the
     session time zone: NTZ values hold UTC wall time.
     """
     column = F.col(column) if isinstance(column, str) else column
-    text = F.regexp_replace(F.trim(column), r"(\.\d{6})\d+", "$1")
-    text = F.when(text.rlike(r"([Zz]|[+-]\d{2}:?\d{2})$"), text).otherwise(F.concat(text, F.lit("Z")))
-    instant = text.cast(T.TimestampType())
+    text = F.regexp_replace(F.upper(F.trim(column)), r"(\.\d{6})\d+", "$1")
+    text = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2})(Z|[+-]\d{2}:?\d{2})?$", "$1T00:00:00$2")
+    text = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), text).otherwise(F.concat(text, F.lit("Z")))
+    # The same texts as parse_timestamp; anything else is NULL.
+    instant = F.when(text.rlike(_RFC3339_SQL), text.try_cast(T.TimestampType()))
     if isinstance(data_type, T.TimestampType):
         return instant
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit(_EPOCH_NTZ).cast(T.TimestampNTZType()))

@@ -97,11 +97,8 @@ def paginate(
     return out.drop("_rank")
 
 
-# Most rows one key may bring to its window in a shallow read (depth × input
-# partitions); beyond it the full ranking is used.
-SHALLOW_READ_ROWS = 20_000_000
-# Input partitions assumed when the DataFrame has no RDD view to ask.
-ASSUMED_PARTITIONS = 10_000
+# Parts that a key's rows are dealt to before its first rows are chosen.
+READ_PARTS = 64
 
 
 def read_page(
@@ -113,23 +110,21 @@ def read_page(
 ) -> DataFrame:
     """One page per key: the bounded read of a single call (page 1 = first call).
 
-    A shallow page uses ``row_number() <= page × page_size``: Spark keeps only
-    that many rows per key in every task before the shuffle (window group
-    limit), so a key's window sorts at most (input partitions × depth) rows
-    however large the key is. When that bound is too large, the page comes
-    from :func:`paginate` instead.
+    One lazy plan at every depth: each part of a key keeps its first
+    ``page × page_size`` rows (a window group limit, applied in the tasks that
+    read them too), and the key's window orders only what the parts kept.
+    What it orders is bounded by the depth of the page, not by the key;
+    reading a listing to its end is :func:`paginate`'s work.
     """
     if page <= 0 or page_size <= 0:
         raise ValueError("page and page_size must be positive")
     depth = int(page) * int(page_size)
-    try:
-        partitions = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): assume a large scan
-        partitions = ASSUMED_PARTITIONS
-    if depth * partitions > SHALLOW_READ_ROWS:
-        return paginate(df, page_size, keys, order, position_col=None).where(F.col("page") == int(page)).drop("page")
-    w = Window.partitionBy(*keys).orderBy(*[_col(o).asc_nulls_first() for o in order])
-    ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= depth)
+    by = [_col(o).asc_nulls_first() for o in order]
+    part = F.pmod(F.xxhash64(*[_col(o) for o in order]), F.lit(READ_PARTS))
+    in_part = Window.partitionBy(*keys, "_part").orderBy(*by)
+    parts = df.withColumn("_part", part).withColumn("_rn", F.row_number().over(in_part)).where(F.col("_rn") <= depth)
+    in_key = Window.partitionBy(*keys).orderBy(*by)
+    ranked = parts.drop("_part").withColumn("_rn", F.row_number().over(in_key)).where(F.col("_rn") <= depth)
     return ranked.where(F.col("_rn") > depth - int(page_size)).drop("_rn")
 
 
@@ -139,25 +134,37 @@ def page_completeness(
     result_col: str = "result",
     page_col: str = "page",
     count_col: str = "n_tasks",
+    rejected_col: str = "rejected",
 ) -> DataFrame:
-    """Per result: are pages 1..k all there, all but the last full?
+    """Per result: are pages 1..k all there and readable, all but the last full?
 
     The last page must be short or empty; a full last page means a further
-    page may exist (the client would ask for one more). One aggregation with
-    partial merge, so no result is gathered in one task.
+    page may exist (the client would ask for one more). A page that is there
+    several times counts once, by its readable copy if it has one. A page whose
+    body was rejected (``rejected_col``, where ``pages`` has it) makes the
+    result incomplete. Two aggregations with partial merge, so no result is
+    gathered in one task.
     """
-    n = F.col(count_col)
-    agg = pages.groupBy(result_col).agg(
+    bad = F.coalesce(F.col(rejected_col), F.lit(False)) if rejected_col in pages.columns else F.lit(False)
+    # One row per page: the best copy is readable and has the most tasks.
+    best = F.max(F.struct((~bad).alias("readable"), F.coalesce(F.col(count_col), F.lit(0)).alias("n")))
+    once = pages.groupBy(result_col, page_col).agg(best.alias("_best"), F.count(F.lit(1)).alias("_copies"))
+    n = F.col("_best.n")
+    agg = once.groupBy(result_col).agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.min(page_col).alias("first_page"),
         F.max(page_col).alias("last_page"),
         F.sum(n).cast("bigint").alias("n_tasks"),
         F.max_by(n, F.col(page_col)).alias("last_page_tasks"),
-        F.count_if(n < page_size).alias("_n_short"),
+        F.count_if((n < page_size) & F.col("_best.readable")).alias("_n_short"),
+        F.count_if(~F.col("_best.readable")).alias("rejected_pages"),
+        F.sum(F.col("_copies") - 1).cast("bigint").alias("duplicate_pages"),
+        F.max_by(F.col("_best.readable"), F.col(page_col)).alias("_last_readable"),
     )
     last_short = F.col("last_page_tasks") < page_size
-    short_inner = F.col("_n_short") - F.when(last_short, 1).otherwise(0)
+    short_inner = F.col("_n_short") - F.when(last_short & F.col("_last_readable"), 1).otherwise(0)
     missing = F.col("last_page") - F.col("n_pages")
+    sound = (missing == 0) & (F.col("first_page") == 1) & (F.col("rejected_pages") == 0)
     return agg.select(
         result_col,
         "n_pages",
@@ -166,6 +173,8 @@ def page_completeness(
         "n_tasks",
         missing.cast("bigint").alias("missing_pages"),
         short_inner.cast("bigint").alias("short_inner_pages"),
+        "rejected_pages",
+        "duplicate_pages",
         (~last_short).alias("last_page_full"),
-        ((missing == 0) & (short_inner == 0) & last_short).alias("complete"),
+        (sound & (short_inner == 0) & last_short).alias("complete"),
     )

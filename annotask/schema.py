@@ -20,11 +20,8 @@ MAX_TRIES = 5
 FIRST_DELAY_SECONDS = 1
 BACKOFF_FACTOR = 2
 # Page sizes of the service's listings.
-DEFAULT_PAGE_SIZE = 1000
 MULTI_STATUS_PAGE_SIZE = 100
 DELIVERED_PAGE_SIZE = 1000
-SINCE_LAST_CALL_LIMIT = 1000
-BATCH_STATUS_PAGE_SIZE = 1000
 # Prefix of pre-annotation input columns.
 PREANNOTATION_PREFIX = "output_"
 # Client batch id matching modes; None means "exact".
@@ -54,6 +51,21 @@ TASK_SCHEMA = T.StructType(
     ]
 )
 
+# The stored task table also keeps why a task was rejected.
+STORED_TASK_SCHEMA = T.StructType(TASK_SCHEMA.fields + [T.StructField("reject_reasons", T.ArrayType(T.StringType()))])
+
+# Log of state changes to tasks.
+TASK_CHANGE_SCHEMA = T.StructType(
+    [
+        T.StructField("project_id", T.StringType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("reasons", T.ArrayType(T.StringType())),
+        T.StructField("priority", T.IntegerType()),
+        T.StructField("at", T.TimestampNTZType()),
+    ]
+)
+
 DELIVERY_SCHEMA = T.StructType(TASK_SCHEMA.fields + [T.StructField("delivered_at", T.TimestampNTZType())])
 
 # Columns a single-task status carries when it is shaped "same as delivery".
@@ -72,6 +84,9 @@ BATCH_JOB_SCHEMA = T.StructType(
     ]
 )
 
+# Rows of the job log also name the attempt at the batch they belong to.
+JOB_LOG_SCHEMA = T.StructType(BATCH_JOB_SCHEMA.fields + [T.StructField("attempt", T.StringType())])
+
 PROJECT_SCHEMA = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -114,17 +129,12 @@ PAGE_RECORD_SCHEMA = T.StructType(
 
 CORRUPT_FIELD = "_corrupt"
 
-
-def envelope_schema(record: T.StructType) -> T.StructType:
-    """Schema of one response body: ``{"task": T}`` or ``{"tasks": [T]}``.
-
-    The trailing string field receives the raw text of a body that is not a
-    JSON object (``columnNameOfCorruptRecord``).
-    """
-    return T.StructType(
-        [
-            T.StructField("task", record),
-            T.StructField("tasks", T.ArrayType(record)),
-            T.StructField(CORRUPT_FIELD, T.StringType()),
-        ]
-    )
+# One response body: ``{"task": T}`` or ``{"tasks": [T]}``, each record as its
+# text; the last field receives a body that is not a JSON object.
+ENVELOPE_SCHEMA = T.StructType(
+    [
+        T.StructField("task", T.StringType()),
+        T.StructField("tasks", T.ArrayType(T.StringType())),
+        T.StructField(CORRUPT_FIELD, T.StringType()),
+    ]
+)

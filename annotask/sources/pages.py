@@ -1,29 +1,41 @@
 """Landed response pages → task rows.
 
-Responses of the service land as files, one body per page, under
-``<root>/result=<id>/page=<n>/``; partition discovery gives the ``result``
-and ``page`` columns, and every file is a read split, so pages are parsed in
-parallel. A body is ``{"task": T}`` (one row), ``{"tasks": [T, ...]}`` (n
-rows), or an empty body (``{}``, ``[]``, ``null``, blank: no rows). A body
-that is not a JSON object, or an object with neither key, is routed to the
-rejects (``{"tasks": null}`` is an empty page, as for the client).
+A landing is a folder of JSON lines, one response page a line:
+``{"result": R, "page": N, "value": "<body>"}``, under ``project_id=<p>/``
+folders where pages belong to projects. Many pages share a file, so a
+listing of the landing grows with its bytes and not with its pages. Folders
+with one body per file (``result=<id>/page=<n>/``) can be read as well.
+
+A body is ``{"task": T}`` (one row), ``{"tasks": [T, ...]}`` (n rows), or an
+empty body (``{}``, ``[]``, ``null``, blank: no rows; ``{"tasks": null}`` too).
+Anything else is rejected as a body. Of a body that is an envelope, each record
+is judged by itself: a record that is no object, or has a value that its column's
+type cannot hold, is rejected, and the others are kept. Nothing is both.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from annotask.functions.filters import rfc3339_column
-from annotask.schema import CORRUPT_FIELD, PAGE_RECORD_SCHEMA, envelope_schema
+from annotask.functions.json import is_one_json_value
+from annotask.schema import CORRUPT_FIELD, ENVELOPE_SCHEMA, PAGE_RECORD_SCHEMA
 
 JSON_OPTIONS = {
     "columnNameOfCorruptRecord": CORRUPT_FIELD,
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
+# One body per file, with its result and page as folders.
 PAGE_FILE_SCHEMA = "value string, result string, page int"
+# One page per line; a line that is no JSON object comes whole as a body.
+PAGE_LINE_SCHEMA = f"result string, page int, value string, {CORRUPT_FIELD} string"
+# What became of a record or body.
+ROW, BAD_RECORD, BAD_BODY = "row", "record", "body"
 _EMPTY_BODIES = ("", "{}", "[]", "null")
 
 
@@ -31,73 +43,155 @@ def _is_time(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.TimestampType, T.TimestampNTZType))
 
 
-def wire_schema(record_schema: T.StructType) -> T.StructType:
-    """The record schema as parsed from JSON: top-level timestamps as text.
-
-    Service timestamps carry nanoseconds and an offset
-    (``2023-09-02T10:23:36.536167366Z``); they are converted after parsing
-    by :func:`annotask.functions.filters.rfc3339_column`.
-    """
-    return T.StructType([T.StructField(f.name, T.StringType()) if _is_time(f.dataType) else f for f in record_schema.fields])
+def _fields_as_text(record: Column, record_schema: T.StructType) -> Column:
+    """The record's fields as text: what is read does not depend on their types."""
+    names = [*(f.name for f in record_schema.fields), CORRUPT_FIELD]
+    return F.from_json(record, T.StructType([T.StructField(n, T.StringType()) for n in names]), JSON_OPTIONS)
 
 
-def _from_wire(record: Column, record_schema: T.StructType) -> list[Column]:
-    return [
-        (rfc3339_column(record.getField(f.name), f.dataType) if _is_time(f.dataType) else record.getField(f.name)).alias(f.name)
-        for f in record_schema.fields
-    ]
+def _typed(text: Column, dtype: T.DataType) -> Column:
+    """A field's text as its type; NULL where it does not fit.
 
-
-def _env(body: Column, record_schema: T.StructType) -> Column:
-    return F.from_json(body, envelope_schema(wire_schema(record_schema)), JSON_OPTIONS)
+    Service timestamps carry nanoseconds and an offset
+    (``2023-09-02T10:23:36.536167366Z``).
+    """
+    if isinstance(dtype, T.StringType):
+        return text
+    if _is_time(dtype):
+        return rfc3339_column(text, dtype)
+    if isinstance(dtype, T.VariantType):
+        return F.try_parse_json(text)
+    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(text, dtype, JSON_OPTIONS)
+    return text.try_cast(dtype)
 
 
 def _is_empty_body(body: Column) -> Column:
     return F.coalesce(F.trim(body), F.lit("")).isin(*_EMPTY_BODIES)
 
 
-def parse_pages(df: DataFrame, body_col: str = "value", record_schema: T.StructType = PAGE_RECORD_SCHEMA) -> DataFrame:
-    """Per page: the parsed envelope, its task count and a reject flag."""
-    env = _env(F.col(body_col), record_schema)
-    parsed = df.withColumn("_env", env)
+def parse_pages(df: DataFrame, body_col: str = "value") -> DataFrame:
+    """Per page: the parsed envelope, its record count and a reject flag."""
+    body = F.col(body_col)
+    parsed = df.withColumn("_env", F.from_json(body, ENVELOPE_SCHEMA, JSON_OPTIONS))
     n = (
         F.when(F.col("_env.task").isNotNull(), F.lit(1))
         .when(F.col("_env.tasks").isNotNull(), F.size("_env.tasks"))
         .otherwise(F.lit(0))
     )
-    keys = F.json_object_keys(F.col(body_col))
+    keys = F.json_object_keys(body)
     has_key = F.coalesce(F.array_contains(keys, "task") | F.array_contains(keys, "tasks"), F.lit(False))
-    rejected = ~_is_empty_body(F.col(body_col)) & (F.col(f"_env.{CORRUPT_FIELD}").isNotNull() | ~has_key)
-    return parsed.withColumn("n_tasks", n.cast("int")).withColumn("rejected", F.coalesce(rejected, F.lit(True)))
+    sound = F.col(f"_env.{CORRUPT_FIELD}").isNull() & has_key & is_one_json_value(body)
+    rejected = ~_is_empty_body(body) & ~F.coalesce(sound, F.lit(False))
+    parsed = parsed.withColumn("rejected", F.coalesce(rejected, F.lit(True)))
+    return parsed.withColumn("n_tasks", F.when(F.col("rejected"), F.lit(0)).otherwise(n).cast("int"))
 
 
-def explode_envelope(
+def _kept_names(keep, record_schema: T.StructType) -> dict[str, str]:
+    """Page columns whose name a record field has too get a leading underscore."""
+    taken = {f.name.lower() for f in record_schema.fields}
+    return {c: f"_{c}" if c.lower() in taken else c for c in keep}
+
+
+def explode_all(
     df: DataFrame,
     body_col: str = "value",
     record_schema: T.StructType = PAGE_RECORD_SCHEMA,
     keep: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """One row per task of every body; ``task`` wins over ``tasks``.
+    """One row per record and per rejected body, with ``_outcome`` (row, record, body)
+    and ``_text`` (the text of what was rejected). ``task`` wins over ``tasks``.
 
-    ``position`` is the 1-based place of the task in its page, so pages read
-    back in (page, position) order give the service's order.
+    ``position`` is the 1-based place of the record in its page, so pages read
+    back in (page, position) order give the service's order. A page column
+    that shares its name with a record field is named ``_<name>``.
     """
     keep = tuple(c for c in df.columns if c != body_col) if keep is None else keep
-    # Parse each body once; the generator then reads fields of the parsed value.
-    parsed = df.select(*keep, _env(F.col(body_col), record_schema).alias("_env"))
+    names = _kept_names((*keep, "position"), record_schema)
+    pages = parse_pages(df.select(*keep, F.col(body_col).alias("_body")), "_body")
     task, tasks = F.col("_env.task"), F.col("_env.tasks")
-    items = F.when(task.isNotNull(), F.array(task)).otherwise(tasks)
-    rows = parsed.select(*keep, F.posexplode(items).alias("_pos", "_rec"))
-    return rows.select(*keep, (F.col("_pos") + 1).cast("int").alias("position"), *_from_wire(F.col("_rec"), record_schema))
+    none = F.array(F.lit(None).cast("string"))
+    items = F.when(F.col("rejected"), none).when(task.isNotNull(), F.array(task)).otherwise(tasks)
+    rows = pages.select(*keep, "rejected", "_body", F.posexplode(items).alias("_pos", "_record"))
+    fields = _fields_as_text(F.col("_record"), record_schema)
+    rows = rows.withColumn("_fields", fields)
+    is_object = F.col("_record").startswith("{") & F.col(f"_fields.{CORRUPT_FIELD}").isNull()
+    typed = {f.name: _typed(F.col("_fields").getField(f.name), f.dataType) for f in record_schema.fields}
+    rows = rows.select("*", F.struct(*[c.alias(n) for n, c in typed.items()], F.lit(1).alias("_")).alias("_typed"))
+    misfit = [
+        F.col("_fields").getField(f.name).isNotNull() & F.col("_typed").getField(f.name).isNull()
+        for f in record_schema.fields
+        if not isinstance(f.dataType, T.StringType)
+    ]
+    bad = reduce(lambda a, b: a | b, misfit, ~F.coalesce(is_object, F.lit(False)))
+    outcome = F.when(F.col("rejected"), F.lit(BAD_BODY)).when(bad, F.lit(BAD_RECORD)).otherwise(F.lit(ROW))
+    position = F.when(~F.col("rejected"), F.col("_pos") + 1).cast("int").alias(names["position"])
+    rows = rows.withColumn("_outcome", outcome)
+    text = F.when(F.col("_outcome") == BAD_BODY, F.col("_body")).when(F.col("_outcome") == BAD_RECORD, F.col("_record"))
+    return rows.select(
+        *[F.col(c).alias(names[c]) for c in keep],
+        position,
+        *[F.col("_typed").getField(f.name).alias(f.name) for f in record_schema.fields],
+        "_outcome",
+        text.alias("_text"),
+    )
+
+
+def rows_of(exploded: DataFrame) -> DataFrame:
+    """The task rows of :func:`explode_all`."""
+    return exploded.where(F.col("_outcome") == F.lit(ROW)).drop("_outcome", "_text")
+
+
+def rejects_of(exploded: DataFrame, record_schema: T.StructType = PAGE_RECORD_SCHEMA) -> DataFrame:
+    """What :func:`explode_all` rejected: the page's columns, ``rejected`` (record or body) and ``text``."""
+    names = [f.name for f in record_schema.fields]
+    page = [c for c in exploded.columns if c not in (*names, "_outcome", "_text")]
+    bad = exploded.where(F.col("_outcome") != F.lit(ROW))
+    return bad.select(*page, F.col("_outcome").alias("rejected"), F.col("_text").alias("text"))
+
+
+def explode_envelope(
+    df: DataFrame,
+    body_col: str = "value",
+    record_schema: T.StructType = PAGE_RECORD_SCHEMA,
+    keep: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """One row per sound record of every body, with ``position``."""
+    return rows_of(explode_all(df, body_col, record_schema, keep))
+
+
+def envelope_rejects(
+    df: DataFrame,
+    body_col: str = "value",
+    record_schema: T.StructType = PAGE_RECORD_SCHEMA,
+    keep: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """Records and bodies that give no row: page columns, ``position`` (of a record), ``rejected`` and ``text``."""
+    return rejects_of(explode_all(df, body_col, record_schema, keep), record_schema)
+
+
+def page_lines(df: DataFrame) -> DataFrame:
+    """Pages from lines as read: a line that is no JSON object is a body itself."""
+    return df.withColumn("value", F.coalesce("value", CORRUPT_FIELD)).drop(CORRUPT_FIELD)
 
 
-def envelope_rejects(df: DataFrame, body_col: str = "value", record_schema: T.StructType = PAGE_RECORD_SCHEMA) -> DataFrame:
-    """Bodies that are neither an envelope nor empty (bad JSON, bare arrays, ...)."""
-    return parse_pages(df, body_col, record_schema).where(F.col("rejected")).drop("_env", "n_tasks", "rejected")
+def read_landing(spark: SparkSession, path: str, project_id=None) -> DataFrame:
+    """The pages of a landing of lines: ``result``, ``page``, ``value`` (and the
+    folders' columns, such as ``project_id``); of one project, only its folder is read."""
+    if project_id is not None:
+        path = project_folder(path, project_id)
+    return page_lines(spark.read.schema(PAGE_LINE_SCHEMA).options(**JSON_OPTIONS).json(path))
+
+
+def project_folder(path: str, project_id) -> str:
+    """The folder of a project's pages; characters that folders cannot hold are escaped as Spark's writers do."""
+    unsafe = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(1, 32)}
+    name = "".join(f"%{ord(c):02X}" if c in unsafe else c for c in str(project_id))
+    return f"{path.rstrip('/')}/project_id={name}"
 
 
 def read_page_files(spark: SparkSession, path: str, one_body_per_line: bool = False) -> DataFrame:
-    """Raw page files: ``value`` (the body), ``result`` and ``page``.
+    """Raw page files: ``value`` (the body), ``result`` and ``page`` from the folders.
 
     With ``one_body_per_line`` every line of a file is a body; otherwise a
     file is one body (pages are bounded by the service's page size).
@@ -113,42 +207,83 @@ def read_task_pages(
     path: str,
     record_schema: T.StructType = PAGE_RECORD_SCHEMA,
     one_body_per_line: bool = False,
+    lines: bool = False,
 ) -> DataFrame:
-    """Every task of every landed page, with ``result``, ``page``, ``position``."""
-    return explode_envelope(read_page_files(spark, path, one_body_per_line), "value", record_schema, keep=("result", "page"))
+    """Every task of every landed page, with ``result``, ``page``, ``position``;
+    ``lines``: from a landing of lines."""
+    pages = read_landing(spark, path) if lines else read_page_files(spark, path, one_body_per_line)
+    return explode_envelope(pages, "value", record_schema, keep=("result", "page"))
 
 
-def page_task_counts(spark: SparkSession, path: str, record_schema: T.StructType | None = None) -> DataFrame:
-    """Per landed page: task count and reject flag (input of page completeness).
+def page_task_counts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Per landed page: record count and reject flag (input of page completeness)."""
+    pages = read_landing(spark, path) if lines else read_page_files(spark, path)
+    return parse_pages(pages).select("result", "page", "n_tasks", "rejected")
 
-    Counting needs no record field, so by default records are parsed against
-    an empty struct: the parser skips their values instead of building them.
-    """
-    pages = parse_pages(read_page_files(spark, path), "value", record_schema or T.StructType([]))
-    return pages.select("result", "page", "n_tasks", "rejected")
+
+def _widened(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type for the values of both; text where nothing narrower holds both."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return _merge_struct(a, b)
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(_widened(a.elementType, b.elementType))
+    if {type(a), type(b)} == {T.LongType, T.DoubleType}:
+        return T.DoubleType()
+    return T.StringType()
 
 
 def _merge_struct(a: T.StructType | None, b: T.StructType | None) -> T.StructType:
-    if a is None:
-        return b
-    if b is None:
-        return a
-    names = {f.name for f in a.fields}
-    return T.StructType(a.fields + [f for f in b.fields if f.name not in names])
+    if a is None or b is None:
+        return a if b is None else b
+    other = {f.name: f.dataType for f in b.fields}
+    merged = [T.StructField(f.name, _widened(f.dataType, other.pop(f.name, T.NullType()))) for f in a.fields]
+    return T.StructType(merged + [T.StructField(n, t) for n, t in other.items()])
 
 
-def infer_task_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0, answers: str = "answers") -> T.StructType:
+def infer_task_schema(
+    spark: SparkSession, path: str, sampling_ratio: float = 1.0, answers: str = "answers", lines: bool = False
+) -> T.StructType:
     """Record schema inferred from landed bodies, with ``answers`` pinned to string.
 
     Inference is one distributed pass over the files (sampled by
     ``sampling_ratio``); pinning ``answers`` keeps its type independent of the
-    data, so it is captured as raw JSON text.
+    data, so it is captured as raw JSON text. A field of several types across
+    ``task`` and ``tasks`` bodies gets one that holds both. Every record field is
+    kept, whatever its name.
     """
-    env = spark.read.option("multiLine", True).option("samplingRatio", sampling_ratio).json(path).schema
+    if lines:
+        bodies = read_landing(spark, path)
+        if sampling_ratio < 1.0:
+            bodies = bodies.sample(fraction=sampling_ratio, seed=0)
+        found = bodies.select(F.schema_of_variant_agg(F.try_parse_json("value"))).first()[0]
+        env = variant_type(found)
+    else:
+        env = spark.read.option("multiLine", True).option("samplingRatio", sampling_ratio).json(path).schema
     single = env["task"].dataType if "task" in env.names else None
-    many = env["tasks"].dataType.elementType if "tasks" in env.names else None
+    many = env["tasks"].dataType if "tasks" in env.names else None
+    many = many.elementType if isinstance(many, T.ArrayType) else None
     record = _merge_struct(many if isinstance(many, T.StructType) else None, single if isinstance(single, T.StructType) else None)
-    if record is None:
-        record = T.StructType([])
-    fields = [T.StructField(f.name, T.StringType()) if f.name == answers else f for f in record.fields]
-    return T.StructType([f for f in fields if f.name not in ("result", "page")])
+    fields = (record or T.StructType([])).fields
+    return T.StructType([T.StructField(f.name, T.StringType()) if f.name == answers else f for f in fields])
+
+
+def variant_type(text: str | None) -> T.StructType:
+    """The type that a merged JSON schema names, its values as a JSON reader types them."""
+    ddl = (text or "VOID").replace("OBJECT<", "STRUCT<")
+    dtype = T.DataType.fromDDL(ddl)
+
+    def read(t: T.DataType) -> T.DataType:
+        if isinstance(t, T.StructType):
+            return T.StructType([T.StructField(f.name, read(f.dataType)) for f in t.fields])
+        if isinstance(t, T.ArrayType):
+            return T.ArrayType(read(t.elementType))
+        if isinstance(t, T.DecimalType):
+            return T.DoubleType()
+        return T.StringType() if isinstance(t, (T.VariantType, T.NullType)) else t
+
+    dtype = read(dtype)
+    return dtype if isinstance(dtype, T.StructType) else T.StructType([])

@@ -1,7 +1,7 @@
 """Create task batches from a stream: one batch per micro-batch.
 
 Each epoch is written by :func:`annotask.sinks.batches.write_task_batch` as
-batch ``<name>-<epoch>``; a replayed epoch overwrites its own batch folder,
+batch ``<name>-<epoch>``; a replayed epoch is a new attempt at its own batch,
 so the sink is exactly-once for readers of committed batches.
 """
 
