@@ -18,7 +18,7 @@ from annotask.operators.keys import id_frame
 REJECTED = "rejected"
 CANCELLED = "cancelled"
 # Batch jobs that are already over are not cancelled again.
-FINAL_JOB_STATES = ("completed", "failed", CANCELLED)
+FINAL_JOB_STATES = ("committed", "completed", "failed", CANCELLED)
 
 
 def _in_project(df: DataFrame, project_id) -> object:
@@ -30,7 +30,8 @@ def reject_tasks(tasks: DataFrame, rejections: DataFrame, project_id=None) -> Da
 
     ``rejections(id, reasons array<string>[, at timestamp])``; when a task is
     rejected several times the latest rejection (by ``at``, then by reasons)
-    is kept. Tasks of other projects are left alone.
+    is kept. Tasks of other projects are left alone. Reasons of an earlier
+    rejection (``reject_reasons`` in ``tasks``) are replaced by a later one.
     """
     order = F.col("at") if "at" in rejections.columns else F.lit(None).cast("timestamp_ntz")
     reasons = F.col("reasons")
@@ -44,10 +45,15 @@ def reject_tasks(tasks: DataFrame, rejections: DataFrame, project_id=None) -> Da
         .select("id", F.lit(True).alias("_hit"), F.col("_r.reasons").alias("_reasons"))
     )
     hit = F.coalesce(F.col("_hit"), F.lit(False)) & _in_project(tasks, project_id)
+    before = F.col("reject_reasons") if "reject_reasons" in tasks.columns else F.lit(None).cast("array<string>")
     out = tasks.join(latest, "id", "left")
     return out.select(
-        *[F.when(hit, F.lit(REJECTED)).otherwise(F.col("state")).alias("state") if c == "state" else F.col(c) for c in tasks.columns],
-        F.when(hit, F.col("_reasons")).alias("reject_reasons"),
+        *[
+            F.when(hit, F.lit(REJECTED)).otherwise(F.col("state")).alias("state") if c == "state" else F.col(c)
+            for c in tasks.columns
+            if c != "reject_reasons"
+        ],
+        F.when(hit, F.col("_reasons")).otherwise(before).alias("reject_reasons"),
     )
 
 

@@ -6,7 +6,7 @@ batch is pre-aggregated in every task before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,38 +51,52 @@ def batch_status(jobs: DataFrame, tasks: DataFrame, project_id=None, batch_id=No
     """Status of batch-creation jobs with the counts of their tasks.
 
     Tasks are counted per (project, batch) first, so the join sees one row
-    per batch on each side.
+    per batch on each side. Where the job rows have it, ``n_failed`` is how many
+    inputs did not become tasks.
     """
     jobs = filter_tasks(jobs, project_id=project_id, batch_id=batch_id)
     tasks = filter_tasks(tasks, project_id=project_id, batch_id=batch_id)
     counts = batch_task_counts(tasks)
     count_cols = ["n_tasks"] + [STATE_COLUMN_NAMES[s] for s in TASK_STATES]
-    out = jobs.select("project_id", "batch_id", "status", "tasks_file_name", "notification_email", "created_at").join(
-        counts, ["project_id", "batch_id"], "left"
-    )
+    of_job = ["project_id", "batch_id", "status", "tasks_file_name", "notification_email", "created_at"]
+    failed = ["n_failed"] if "n_failed" in jobs.columns else []
+    out = jobs.select(*of_job, *failed).join(counts, ["project_id", "batch_id"], "left")
     return out.select(
-        "project_id",
-        "batch_id",
-        "status",
-        "tasks_file_name",
-        "notification_email",
-        "created_at",
-        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in count_cols],
+        *of_job,
+        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in (*count_cols, *failed)],
         "first_created_at",
         "last_created_at",
     )
 
 
-def batch_task_detail(jobs: DataFrame, tasks: DataFrame, omit_failed_task_data: bool = False, project_id=None, batch_id=None):
-    """Per-task rows of batch jobs; ``failed`` when the job failed.
-
-    With ``omit_failed_task_data`` the input data of failed tasks is blanked.
+def batch_task_detail(
+    jobs: DataFrame,
+    tasks: DataFrame,
+    omit_failed_task_data: bool = False,
+    project_id=None,
+    batch_id=None,
+    rejected_requests: DataFrame | None = None,
+) -> DataFrame:
+    """Per-task rows of batch jobs; ``failed`` when the job or the task itself failed.
+
+    ``rejected_requests`` (project_id, batch_id, value: the request as JSON)
+    are the inputs of the jobs that did not become tasks: rows without an id,
+    failed each by itself. With ``omit_failed_task_data`` the input data
+    of failed tasks is blanked.
     """
     jobs = filter_tasks(jobs, project_id=project_id, batch_id=batch_id).select(
         "project_id", "batch_id", (F.col("status") == F.lit("failed")).alias("failed")
     )
     tasks = filter_tasks(tasks, project_id=project_id, batch_id=batch_id).select("project_id", "batch_id", "id", "state", "data")
     out = tasks.join(jobs, ["project_id", "batch_id"], "inner")
+    if rejected_requests is not None:
+        own = filter_tasks(rejected_requests, project_id=project_id, batch_id=batch_id)
+        own = own.join(jobs.select("project_id", "batch_id"), ["project_id", "batch_id"], "left_semi")
+        nothing = F.lit(None).cast("string")
+        data = F.from_json("value", "data string").getField("data")
+        out = out.unionByName(
+            own.select("project_id", "batch_id", nothing.alias("id"), nothing.alias("state"), data.alias("data"), F.lit(True).alias("failed"))
+        )
     return _blank_failed_data(out) if omit_failed_task_data else out
 
 
@@ -91,59 +105,60 @@ def project_information(projects: DataFrame, project_id=None) -> DataFrame:
     return projects if project_id is None else projects.where(F.col("id") == F.lit(str(project_id)))
 
 
-def _profile(df: DataFrame, columns: list[str], group_cols: list[str]) -> DataFrame:
-    """One row per (group, column): non-null count and row count.
-
-    A single aggregation computes every count; ``stack`` then turns the wide
-    row into long rows.
-    """
-    aggs = [F.count(F.lit(1)).alias("_rows")] + [F.count(F.col(f"`{c}`")).alias(f"_nn{i}") for i, c in enumerate(columns)]
-    wide = df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
-    pairs = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', _nn{i}" for i, c in enumerate(columns))
-    long = wide.select(*group_cols, "_rows", F.expr(f"stack({len(columns)}, {pairs}) AS (column_name, non_null)"))
-    return long.withColumnRenamed("_rows", "n_rows")
-
-
 def creation_schema(inputs: DataFrame, prefix: str = PREANNOTATION_PREFIX, infer_nested: bool = False) -> DataFrame:
     """Field profile of task inputs: name, type, non-null count, pre-annotation flag.
 
     With ``infer_nested`` the JSON type of each string pre-annotation column
     is merged over all rows (``schema_of_variant_agg``).
     """
-    columns = inputs.columns
     types = {f.name: f.dataType.simpleString() for f in inputs.schema.fields}
-    prof = _profile(inputs, columns, [])
-    type_map = F.create_map(*[x for c in columns for x in (F.lit(c), F.lit(types[c]))])
-    out = prof.select(
-        "column_name",
-        type_map[F.col("column_name")].alias("data_type"),
-        F.col("non_null").cast("bigint").alias("non_null"),
-        F.col("n_rows").cast("bigint").alias("n_rows"),
-        F.col("column_name").startswith(prefix).alias("is_preannotation"),
-    )
-    if infer_nested:
-        targets = [f.name for f in inputs.schema.fields if f.name.startswith(prefix) and isinstance(f.dataType, T.StringType)]
-        if targets:
-            nested = inputs.agg(*[F.schema_of_variant_agg(F.try_parse_json(F.col(f"`{c}`"))).alias(f"_t{i}") for i, c in enumerate(targets)])
-            pairs = ", ".join(f"'{c}', _t{i}" for i, c in enumerate(targets))
-            nested = nested.select(F.expr(f"stack({len(targets)}, {pairs}) AS (column_name, json_type)"))
-            out = out.join(nested, "column_name", "left")
-    return out
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    rows = []
+    for i, f in enumerate(inputs.schema.fields):
+        column = F.col(f"`{f.name.replace('`', '``')}`")
+        aggs.append(F.count(column).alias(f"_n{i}"))
+        row = [
+            F.lit(f.name).alias("column_name"),
+            F.lit(types[f.name]).alias("data_type"),
+            F.col(f"_n{i}").cast("bigint").alias("non_null"),
+            F.col("_rows").cast("bigint").alias("n_rows"),
+            F.lit(f.name.startswith(prefix)).alias("is_preannotation"),
+        ]
+        if infer_nested:
+            nested = f.name.startswith(prefix) and isinstance(f.dataType, T.StringType)
+            if nested:
+                aggs.append(F.schema_of_variant_agg(F.try_parse_json(column)).alias(f"_t{i}"))
+            row.append((F.col(f"_t{i}") if nested else F.lit(None).cast("string")).alias("json_type"))
+        rows.append(F.struct(*row))
+    # All counts in one aggregation; the wide row then becomes long rows.
+    return inputs.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def delivery_schema(deliveries: DataFrame, project_id=None, infer_types: bool = False) -> DataFrame:
     """Per project: top-level answer fields and how many deliveries carry each.
 
-    Answers are read as a map of field → value, exploded and counted. With
-    ``infer_types`` the values are read as VARIANT and the merged JSON type of
-    each field is added (``schema_of_variant_agg``).
+    Answers are read as a map of field → value, exploded and counted in one
+    scan: every delivery adds a row without a field too, whose count is the
+    project's deliveries. A project without any field has one row, its field
+    NULL and ``n_present`` 0. With ``infer_types`` the values are read as
+    VARIANT and the merged JSON type of each field is added
+    (``schema_of_variant_agg``).
     """
     scoped = filter_tasks(deliveries, project_id=project_id)
-    value_type = "map<string,variant>" if infer_types else "map<string,string>"
-    fields = scoped.select("project_id", F.explode(F.from_json(F.col("answers"), value_type)).alias("field", "_value"))
-    aggs = [F.count(F.lit(1)).alias("n_present")]
+    value_type = "variant" if infer_types else "string"
+    fields = F.map_entries(F.from_json(F.col("answers"), f"map<string,{value_type}>"))
+    none = F.expr(f"array(named_struct('key', cast(null as string), 'value', cast(null as {value_type})))")
+    nothing = F.expr(f"cast(array() as array<struct<key:string,value:{value_type}>>)")
+    each = scoped.select("project_id", F.explode(F.concat(none, F.coalesce(fields, nothing))).alias("_e"))
+    aggs = [F.count(F.lit(1)).alias("_n")]
     if infer_types:
-        aggs.append(F.schema_of_variant_agg(F.col("_value")).alias("json_type"))
-    out = fields.groupBy("project_id", "field").agg(*aggs)
-    totals = scoped.groupBy("project_id").agg(F.count(F.lit(1)).alias("n_deliveries"))
-    return out.join(totals, "project_id", "inner")
+        aggs.append(F.schema_of_variant_agg(F.col("_e.value")).alias("json_type"))
+    counts = each.groupBy("project_id", F.col("_e.key").alias("field")).agg(*aggs)
+    # One row per field and project is all that this window sees.
+    of_project = Window.partitionBy("project_id")
+    counts = counts.withColumn("n_deliveries", F.max(F.when(F.col("field").isNull(), F.col("_n"))).over(of_project))
+    counts = counts.withColumn("_fields", F.count("field").over(of_project))
+    out = counts.where(F.col("field").isNotNull() | (F.col("_fields") == 0))
+    present = F.when(F.col("field").isNull(), F.lit(0)).otherwise(F.col("_n")).cast("bigint").alias("n_present")
+    types = [F.when(F.col("field").isNotNull(), F.col("json_type")).alias("json_type")] if infer_types else []
+    return out.select("project_id", "field", present, *types, "n_deliveries")

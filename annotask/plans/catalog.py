@@ -9,10 +9,13 @@ same on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annotask.functions.filters import parse_timestamp
+from annotask.operators.changes import deletion_changes, priority_changes, record_changes, rejection_changes
 from annotask.operators.mutations import cancel_batches, delete_tasks, reject_tasks, update_priorities
 from annotask.operators.paging import page_completeness, paginate, read_page
 from annotask.operators.requests import task_request_json
@@ -27,13 +30,21 @@ from annotask.operators.stats import (
     project_stats,
 )
 from annotask.plans import derived as D
+from annotask.plans.landing import land_pages, pack_pages
 from annotask.schema import STATE_COLUMN_NAMES, TASK_STATES
 from annotask.session import scratch_path
-from annotask.sinks.batches import read_committed_requests, write_task_batch
-from annotask.sinks.pages import land_pages, pack_pages
-from annotask.sources.pages import explode_envelope, infer_task_schema, page_task_counts, read_task_pages
-from annotask.sources.tables import delivered_tasks, multi_task_status, task_status
-from annotask.streaming.deliveries import deliveries_since_last_call, start_delivery_stream
+from annotask.sinks.batches import (
+    commit_batch,
+    read_batch_jobs,
+    read_committed_requests,
+    read_task_requests,
+    record_job_status,
+    write_task_batch,
+)
+from annotask.sinks.tables import write_tasks
+from annotask.sources.pages import explode_envelope, infer_task_schema, page_task_counts, parse_pages, read_task_pages
+from annotask.sources.tables import delivered_tasks, multi_task_status, read_tasks, task_status
+from annotask.streaming.deliveries import deliveries_since_last_call, delivery_rejects, start_delivery_stream
 from annotask.streaming.task_batches import stream_task_batches
 
 
@@ -237,6 +248,7 @@ def q_first_page(spark, sf_dir):
         f"""SELECT result, n_pages, first_page, last_page, n_tasks,
          CAST(last_page - n_pages AS BIGINT) AS missing_pages,
          CAST(n_short - CASE WHEN last_page_tasks < 100 THEN 1 ELSE 0 END AS BIGINT) AS short_inner_pages,
+         0::BIGINT AS rejected_pages, 0::BIGINT AS duplicate_pages,
          last_page_tasks >= 100 AS last_page_full,
          (last_page - n_pages = 0 AND n_short - CASE WHEN last_page_tasks < 100 THEN 1 ELSE 0 END = 0
           AND last_page_tasks < 100) AS complete
@@ -562,7 +574,7 @@ _DELIVERY_ROWS_SQL = """SELECT id, project_id, batch_id, client_batch_id, state,
 )
 def q_landed_pages(spark, sf_dir):
     path = land_pages(D.deliveries(spark, sf_dir), scratch_path(spark, "landed-pages"), 1000, "project_id", ("delivered_at", "id"))
-    rows = read_task_pages(spark, path)
+    rows = read_task_pages(spark, path, lines=True)
     return rows.select(
         "id", "project_id", "batch_id", "client_batch_id", "state", "priority", "created_at", "completed_at",
         "delivered_at", "data", "answers", "result", "page", "position",
@@ -576,6 +588,7 @@ def q_landed_pages(spark, sf_dir):
         """SELECT result, n_pages, first_page, last_page, n_tasks,
          CAST(last_page - n_pages AS BIGINT) AS missing_pages,
          CAST(n_short - CASE WHEN last_page_tasks < 200 THEN 1 ELSE 0 END AS BIGINT) AS short_inner_pages,
+         0::BIGINT AS rejected_pages, 0::BIGINT AS duplicate_pages,
          last_page_tasks >= 200 AS last_page_full,
          (last_page - n_pages = 0 AND n_short - CASE WHEN last_page_tasks < 200 THEN 1 ELSE 0 END = 0
           AND last_page_tasks < 200) AS complete
@@ -592,7 +605,7 @@ def q_landed_pages(spark, sf_dir):
 )
 def q_landed_page_completeness(spark, sf_dir):
     path = land_pages(D.deliveries(spark, sf_dir), scratch_path(spark, "landed-complete"), 200, "project_id", ("delivered_at", "id"))
-    return page_completeness(page_task_counts(spark, path), 200)
+    return page_completeness(page_task_counts(spark, path, lines=True), 200)
 
 
 # --------------------------------------------------------------------------- S3 (no oracle: inferred types)
@@ -615,7 +628,7 @@ _TS_TEXT = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f')"
 def q_inferred_pages(spark, sf_dir):
     # JSON inference keeps timestamps as text and types whole numbers as bigint.
     path = land_pages(D.deliveries(spark, sf_dir), scratch_path(spark, "inferred-pages"), 1000, "project_id", ("delivered_at", "id"))
-    return read_task_pages(spark, path, infer_task_schema(spark, path))
+    return read_task_pages(spark, path, infer_task_schema(spark, path, lines=True), lines=True)
 
 
 # --------------------------------------------------------------------------- K1 K2 round trip
@@ -697,3 +710,321 @@ def q_delivery_stream(spark, sf_dir):
         q.stop()
     cols = ["id", "project_id", "batch_id", "client_batch_id", "state", "priority", "created_at", "completed_at", "delivered_at", "data", "answers"]
     return spark.read.parquet(f"{base}/out").select(*cols)
+
+
+# --------------------------------------------------------------------------- T1 two projects, two consumers, interleaved
+@register(
+    "since_last_call_projects",
+    D.with_views(
+        f"""SELECT consumer, call, {", ".join(f"d.{c}" for c in ("id", "project_id", "delivered_at"))}
+  FROM deliveries d JOIN (VALUES ('a', '3', 1), ('a', '4', 1), ('b', '4', 1), ('a', '3', 2), ('b', '3', 2), ('a', '4', 2))
+       AS c(consumer, project, call) ON d.project_id = c.project
+  WHERE CASE WHEN call = 1 THEN delivered_at < TIMESTAMP '{_SPLIT}'
+             WHEN consumer = 'b' THEN TRUE ELSE delivered_at >= TIMESTAMP '{_SPLIT}' END""",
+        "deliveries",
+    ),
+)
+def q_since_last_call_projects(spark, sf_dir):
+    base = scratch_path(spark, "since-projects")
+    landing = f"{base}/landing"
+    dl = D.deliveries(spark, sf_dir).where(F.col("project_id").isin("3", "4"))
+    cut = F.lit(_SPLIT).cast("timestamp_ntz")
+
+    def call(consumer: str, project: str, number: int) -> DataFrame:
+        # The cursors are those of the landing's own path, which is new.
+        rows = deliveries_since_last_call(spark, landing, consumer=consumer, project_id=project)
+        return rows.select(F.lit(consumer).alias("consumer"), F.lit(number).alias("call"), "id", "project_id", "delivered_at")
+
+    def land(rows: DataFrame, tag: str) -> None:
+        rows = rows.withColumn("_r", F.concat(F.col("project_id"), F.lit(tag)))
+        land_pages(rows, landing, 1000, "_r", ("delivered_at", "id"))
+
+    land(dl.where(F.col("delivered_at") < cut), "-a")
+    out = [call("a", "3", 1), call("a", "4", 1), call("b", "4", 1)]
+    land(dl.where(F.col("delivered_at") >= cut), "-b")
+    # Consumer b calls for project 3 for the first time: all of it is new.
+    out += [call("a", "3", 2), call("b", "3", 2), call("a", "4", 2)]
+    return reduce(DataFrame.unionByName, out)
+
+
+# --------------------------------------------------------------------------- T1 what a call could not read
+_FAULTY_SQL = """SELECT event_id, event_id % 7 AS fault, CAST(user_id % 3 AS VARCHAR) AS project_id,
+         'r' || CAST(event_id // 50 AS VARCHAR) AS result, CAST(event_id % 50 + 1 AS INTEGER) AS page FROM events"""
+
+
+def _faulty_pages(spark, sf_dir) -> DataFrame:
+    """One page per event; its fault depends on the event: none, a bad body, an
+    empty page, an empty time, a single task, text for a number, a bare array."""
+    e = D.table(spark, sf_dir, "events")
+    i = F.col("event_id").cast("string")
+
+    def tasks(extra: str):
+        return F.concat(F.lit('{"tasks":[{"id":"a'), i, F.lit('"},{"id":"b'), i, F.lit(f'"{extra}}}]}}'))
+
+    fault = F.col("event_id") % 7
+    body = (
+        F.when(fault == 0, tasks(""))
+        .when(fault == 1, F.concat(F.lit('{"tasks":[{"id":"a'), i, F.lit('"}')))
+        .when(fault == 2, F.lit("{}"))
+        .when(fault == 3, tasks(',"completed_at":""'))
+        .when(fault == 4, F.concat(F.lit('{"task":{"id":"a'), i, F.lit('","completed_at":"2024-01-02z"}}')))
+        .when(fault == 5, tasks(',"priority":"high"'))
+        .otherwise(F.concat(F.lit('[{"id":"a'), i, F.lit('"}]')))
+    )
+    return e.select(
+        (F.col("user_id") % 3).cast("string").alias("project_id"),
+        F.concat(F.lit("r"), F.expr("event_id div 50").cast("string")).alias("result"),
+        (F.col("event_id") % 50 + 1).cast("int").alias("page"),
+        body.alias("value"),
+    )
+
+
+@register(
+    "delivery_rejects",
+    f"""WITH f AS ({_FAULTY_SQL})
+  SELECT result, page, CASE WHEN fault IN (3, 5) THEN 2 END AS "position",
+         CASE WHEN fault IN (3, 5) THEN 'record' ELSE 'body' END AS rejected,
+         CASE fault WHEN 1 THEN '{{"tasks":[{{"id":"a' || event_id || '"}}'
+                    WHEN 3 THEN '{{"id":"b' || event_id || '","completed_at":""}}'
+                    WHEN 5 THEN '{{"id":"b' || event_id || '","priority":"high"}}'
+                    ELSE '[{{"id":"a' || event_id || '"}}]' END AS text
+  FROM f WHERE fault IN (1, 3, 5, 6) AND project_id = '1'""",
+)
+def q_delivery_rejects(spark, sf_dir):
+    landing = f"{scratch_path(spark, 'delivery-rejects')}/landing"
+    _faulty_pages(spark, sf_dir).write.partitionBy("project_id").json(landing)
+    deliveries_since_last_call(spark, landing, consumer="c", project_id="1")
+    return delivery_rejects(spark, landing, consumer="c", project_id="1")
+
+
+# --------------------------------------------------------------------------- S2 bodies of every kind
+@register(
+    "envelope_mixed",
+    f"""WITH f AS ({_FAULTY_SQL}),
+  kept AS (
+    SELECT result, page, fault, 1 AS "position", 'a' || event_id AS id FROM f WHERE fault IN (0, 3, 4, 5)
+    UNION ALL SELECT result, page, fault, 2, 'b' || event_id FROM f WHERE fault = 0)
+  SELECT result, page, "position", id, CASE WHEN fault = 4 THEN TIMESTAMP '2024-01-02 00:00:00' END AS completed_at FROM kept""",
+)
+def q_envelope_mixed(spark, sf_dir):
+    rows = explode_envelope(_faulty_pages(spark, sf_dir), "value", keep=("result", "page"))
+    return rows.select("result", "page", "position", "id", "completed_at")
+
+
+# --------------------------------------------------------------------------- L3 with unreadable and doubled pages
+@register(
+    "completeness_faulty",
+    f"""WITH f AS ({_FAULTY_SQL}),
+  pages AS (SELECT result, page, CASE WHEN fault IN (1, 6) THEN 0 WHEN fault = 2 THEN 0 WHEN fault = 4 THEN 1 ELSE 2 END AS n,
+                   fault IN (1, 6) AS bad FROM f),
+  agg AS (SELECT result, count(*) AS n_pages, min(page) AS first_page, max(page) AS last_page, CAST(sum(n) AS BIGINT) AS n_tasks,
+                 arg_max(n, page) AS last_n, arg_max(bad, page) AS last_bad, count(*) FILTER (WHERE bad) AS rejected_pages,
+                 count(*) FILTER (WHERE n < 2 AND NOT bad) AS n_short, count(*) FILTER (WHERE page % 5 = 0) AS duplicate_pages
+          FROM pages GROUP BY result)
+  SELECT result, n_pages, first_page, last_page, n_tasks, CAST(last_page - n_pages AS BIGINT) AS missing_pages,
+         CAST(n_short - CASE WHEN last_n < 2 AND NOT last_bad THEN 1 ELSE 0 END AS BIGINT) AS short_inner_pages,
+         rejected_pages, CAST(duplicate_pages AS BIGINT) AS duplicate_pages, last_n >= 2 AS last_page_full,
+         (last_page = n_pages AND first_page = 1 AND rejected_pages = 0 AND last_n < 2
+          AND n_short - CASE WHEN last_n < 2 AND NOT last_bad THEN 1 ELSE 0 END = 0) AS complete
+  FROM agg""",
+)
+def q_completeness_faulty(spark, sf_dir):
+    pages = parse_pages(_faulty_pages(spark, sf_dir)).select("result", "page", "n_tasks", "rejected")
+    # Every fifth page came twice.
+    return page_completeness(pages.union(pages.where(F.col("page") % 5 == 0)), 2)
+
+
+# --------------------------------------------------------------------------- P3 awkward answers
+_ANSWERS = [
+    ('{ "b": 1.0, "a": [1, 2 ] }', '{"b":1.0,"a":[1,2]}'),
+    ("5}garbage", None),
+    ('"a","b":1', None),
+    ('1,"v":2', None),
+    ('"123"', '"123"'),
+    ("123", "123"),
+    ("free text", None),
+    ('{"x":1} trailing', None),
+]
+
+
+@register(
+    "answers_text",
+    "SELECT CAST(event_id AS VARCHAR) AS id, CASE event_id % 8 "
+    + " ".join(f"WHEN {k} THEN '{want or text}'" for k, (text, want) in enumerate(_ANSWERS))
+    + " END || '' AS answers FROM events",
+)
+def q_answers_text(spark, sf_dir):
+    e = D.table(spark, sf_dir, "events")
+    text = F.element_at(F.array(*[F.lit(text) for text, _ in _ANSWERS]), (F.col("event_id") % 8 + 1).cast("int"))
+    return delivered_tasks(e.select(F.col("event_id").cast("string").alias("id"), text.alias("answers")))
+
+
+# --------------------------------------------------------------------------- M1 M2 M3 kept in the change log
+@register(
+    "task_state_after_changes",
+    D.with_views(
+        """SELECT id, project_id, batch_id, client_batch_id,
+         CASE WHEN project_id = '2' AND batch_id IN (SELECT batch_id FROM tasks WHERE priority = 1) THEN 'rejected' ELSE state END AS state,
+         CASE WHEN project_id = '3' THEN -5 ELSE priority END AS priority, created_at, completed_at, data, answers,
+         CASE WHEN project_id = '2' AND batch_id IN (SELECT batch_id FROM tasks WHERE priority = 1)
+              THEN CASE WHEN priority = 1 THEN 'second|look' ELSE 'first' END END AS reject_reasons
+  FROM tasks WHERE project_id <> '4'""",
+        "tasks",
+    ),
+)
+def q_task_state_after_changes(spark, sf_dir):
+    base = scratch_path(spark, "task-changes")
+    tasks, log = D.tasks(spark, sf_dir), f"{base}/changes"
+    write_tasks(tasks, f"{base}/tasks")
+    of = {p: tasks.where(F.col("project_id") == p) for p in ("2", "3", "4")}
+    chosen = of["2"].join(tasks.where("priority = 1").select("batch_id").distinct(), "batch_id", "left_semi")
+    first = chosen.select("id", F.array(F.lit("first")).alias("reasons"))
+    second = chosen.where("priority = 1").select("id", F.array(F.lit("second"), F.lit("look")).alias("reasons"))
+    record_changes(rejection_changes(first, "2", at="2024-01-01T00:00:00Z"), log)
+    record_changes(rejection_changes(second, "2", at="2024-01-02T00:00:00Z"), log)
+    record_changes(priority_changes(spark, of["3"].select("id"), "3", -5), log)
+    # Every task of project 4 goes; another project's change names its ids in vain.
+    record_changes(deletion_changes(spark, of["4"].select("id"), "4"), log)
+    record_changes(deletion_changes(spark, of["2"].select("id"), "3"), log)
+    out = read_tasks(spark, f"{base}/tasks", log)
+    return out.withColumn("reject_reasons", F.array_join("reject_reasons", "|"))
+
+
+# --------------------------------------------------------------------------- K1 K2 a second run, all rejected; a cancel before the commit
+_LABELS = "doc_id bigint, lang string, output_label string"
+
+
+@register(
+    "batch_rerun",
+    """SELECT CASE WHEN lang = 'en' THEN 'rerun' ELSE 'once' END AS batch_id, doc_id, lang,
+         CASE WHEN lang = 'en' THEN NULL ELSE '{"n":' || doc_id || '}' END AS output_label, lang = 'en' AS was_rejected
+  FROM documents""",
+)
+def q_batch_rerun(spark, sf_dir):
+    base = scratch_path(spark, "batch-rerun")
+    docs = D.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    label = F.concat(F.lit('{"n":'), F.col("doc_id").cast("string"), F.lit("}"))
+    good = docs.withColumn("output_label", label)
+    english = good.where(F.col("lang") == "en")
+
+    def write(df, batch):
+        write_task_batch(df, f"{base}/requests", "docs", batch, on_error="reject", jobs_path=f"{base}/jobs")
+
+    write(good.where(F.col("lang") != "en"), "once")
+    write(english, "rerun")
+    write(english.withColumn("output_label", F.lit("not json")), "rerun")
+    back = [
+        read_committed_requests(spark, f"{base}/requests", f"{base}/jobs", _LABELS, outcome=outcome).select(
+            "batch_id", "data.*", F.lit(outcome == "rejected").alias("was_rejected")
+        )
+        for outcome in ("accepted", "rejected")
+    ]
+    return back[0].union(back[1])
+
+
+@register(
+    "batch_cancel_race",
+    """SELECT batch_id, status, n FROM (VALUES ('late', 'committed'), ('early', 'cancelled')) AS j(batch_id, status)
+  JOIN (SELECT count(*) AS n FROM documents) ON TRUE""",
+)
+def q_batch_cancel_race(spark, sf_dir):
+    base = scratch_path(spark, "batch-cancel")
+    docs = D.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    jobs = f"{base}/jobs"
+    done = write_task_batch(docs, f"{base}/requests", "docs", "late", jobs_path=jobs)
+    record_job_status(spark, jobs, cancel_batches(read_batch_jobs(spark, jobs), ["late"]).where("status = 'cancelled'"))
+    # A run that is opened, cancelled while it is written, and then commits.
+    opened = {**done, "batch_id": "early", "attempt": "x", "status": "opened", "n_tasks": None, "n_failed": None}
+    commit_batch(spark, jobs, {**opened, "created_at": parse_timestamp("2024-01-01T00:00:00Z")})
+    current = read_batch_jobs(spark, jobs).where("batch_id = 'early'")
+    record_job_status(spark, jobs, cancel_batches(current, ["early"]))
+    commit_batch(spark, jobs, {**done, "batch_id": "early", "attempt": "x", "created_at": parse_timestamp("2099-01-01T00:00:00Z")})
+    counts = read_task_requests(spark, f"{base}/requests").agg(F.count("*").alias("n"))
+    return read_batch_jobs(spark, jobs).select("batch_id", "status").join(counts)
+
+
+# --------------------------------------------------------------------------- A2 P6 inputs that failed by themselves
+def _failed_inputs(spark, sf_dir):
+    base = scratch_path(spark, "batch-failures")
+    docs = D.table(spark, sf_dir, "documents").select("doc_id", "source")
+    bad = F.when(F.col("doc_id") % 5 == 0, F.lit("oops")).otherwise(F.lit("1"))
+    write_task_batch(docs.withColumn("output_n", bad), f"{base}/requests", "docs", "b", on_error="reject", jobs_path=f"{base}/jobs")
+    accepted = read_committed_requests(spark, f"{base}/requests", f"{base}/jobs", "doc_id bigint, source string")
+    state = F.when(F.col("r.doc_id") % 2 == 0, F.lit("new")).otherwise(F.lit("completed"))
+    tasks = accepted.select("project_id", "batch_id", F.col("data").alias("r")).select(
+        F.col("r.doc_id").cast("string").alias("id"), "project_id", "batch_id", state.alias("state"), F.to_json("r").alias("data"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
+    )
+    rejected = read_committed_requests(spark, f"{base}/requests", f"{base}/jobs", outcome="rejected")
+    return read_batch_jobs(spark, f"{base}/jobs"), tasks, rejected
+
+
+@register(
+    "batch_status_failures",
+    """SELECT 'docs' AS project_id, 'b' AS batch_id, 'committed' AS status, count(*) FILTER (WHERE doc_id % 5 <> 0) AS n_tasks,
+         count(*) FILTER (WHERE doc_id % 5 <> 0 AND doc_id % 2 = 0) AS n_new, count(*) FILTER (WHERE doc_id % 5 = 0) AS n_failed
+  FROM documents""",
+)
+def q_batch_status_failures(spark, sf_dir):
+    jobs, tasks, _ = _failed_inputs(spark, sf_dir)
+    return batch_status(jobs, tasks).select("project_id", "batch_id", "status", "n_tasks", "n_new", "n_failed")
+
+
+@register(
+    "batch_task_detail_failures",
+    """SELECT 'docs' AS project_id, 'b' AS batch_id, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id AS VARCHAR) END AS id,
+         CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 2 = 0 THEN 'new' ELSE 'completed' END AS state,
+         CASE WHEN doc_id % 5 <> 0 THEN json_object('doc_id', doc_id, 'source', source)::VARCHAR END AS data, doc_id % 5 = 0 AS failed
+  FROM documents""",
+)
+def q_batch_task_detail_failures(spark, sf_dir):
+    jobs, tasks, rejected = _failed_inputs(spark, sf_dir)
+    return batch_task_detail(jobs, tasks, omit_failed_task_data=True, rejected_requests=rejected)
+
+
+# --------------------------------------------------------------------------- A4 A5 with JSON types
+@register(
+    "creation_types",
+    D.with_views(
+        "\n  UNION ALL\n  ".join(
+            f"""SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null, count(*) AS n_rows,
+         {str(c.startswith('output_')).upper()} AS is_preannotation,
+         {"'OBJECT<quality: BIGINT, toxic: BIGINT>'" if c == 'output_label' else 'CAST(NULL AS VARCHAR)'} AS json_type FROM inputs"""
+            for c, t in _INPUT_TYPES
+        ),
+        "inputs",
+    ),
+)
+def q_creation_types(spark, sf_dir):
+    return creation_schema(D.inputs(spark, sf_dir), infer_nested=True)
+
+
+@register(
+    "delivery_types",
+    """WITH d AS (SELECT CAST(user_id % 25 AS VARCHAR) AS project_id, event_id % 4 AS k FROM events),
+  t AS (SELECT project_id, count(*) AS n_deliveries, count(*) FILTER (WHERE k = 0) AS n0, count(*) FILTER (WHERE k IN (0, 1)) AS n01 FROM d GROUP BY 1)
+  SELECT project_id, field, n_present, json_type, n_deliveries FROM (
+    SELECT project_id, 'n' AS field, n01 AS n_present, CASE WHEN n0 > 0 AND n01 > n0 THEN 'DECIMAL(21,1)' WHEN n0 > 0 THEN 'BIGINT' ELSE 'DECIMAL(2,1)' END AS json_type, n_deliveries FROM t
+    UNION ALL SELECT project_id, 's', n0, 'STRING', n_deliveries FROM t)
+  WHERE n_present > 0""",
+)
+def q_delivery_types(spark, sf_dir):
+    e = D.table(spark, sf_dir, "events")
+    k = F.col("event_id") % 4
+    answers = F.when(k == 0, F.lit('{"n":1,"s":"x"}')).when(k == 1, F.lit('{"n":1.5}')).when(k == 2, F.lit("{}"))
+    return delivery_schema(e.select((F.col("user_id") % 25).cast("string").alias("project_id"), answers.alias("answers")), infer_types=True)
+
+
+# --------------------------------------------------------------------------- M3 without a project; S4 without repeats
+@register(
+    "delete_tasks_unscoped",
+    D.with_views("SELECT * FROM tasks WHERE id NOT IN (SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'A')", "tasks"),
+)
+def q_delete_tasks_unscoped(spark, sf_dir):
+    return delete_tasks(D.tasks(spark, sf_dir), D.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "A").select("l_orderkey"))
+
+
+@register("delivered_once", D.with_views("SELECT DISTINCT id, delivered_at FROM deliveries", "deliveries"))
+def q_delivered_once(spark, sf_dir):
+    dl = D.deliveries(spark, sf_dir).select("id", "delivered_at")
+    return delivered_tasks(dl.union(dl.where(F.col("id").cast("long") % 3 == 0)), dedupe=True)

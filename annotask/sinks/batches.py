@@ -1,35 +1,47 @@
-"""Create task batches from a DataFrame: data files first, then a commit row.
-
-``write_task_batch`` decodes pre-annotations, wraps every row as a task
-request and writes JSON lines on the executors, partitioned by
-``project_id`` / ``batch_id`` / ``outcome`` (``accepted`` or ``rejected``).
-Nothing passes through the driver except the row counts, gathered with
-``observe`` in the same pass. Only then is one job row appended to the
-batch-job table: readers join on committed jobs, so a half-written batch is
-never seen. Re-running a batch replaces its folder (dynamic partition
-overwrite), so retries do not duplicate tasks.
+"""Create task batches from a DataFrame: an opened job, the data, then a commit.
+
+``write_task_batch`` appends an ``opened`` job row, so that a batch being
+written can be cancelled, then decodes pre-annotations, wraps every row as a task
+request and writes the requests on the executors. Every run of a batch is an
+attempt of its own: its rows carry the attempt, and the commit row names it.
+Readers see the rows of the committed attempt only, so a half-written batch or
+an earlier run of the same batch is never seen, whatever it left behind. A batch
+that was cancelled before its commit stays cancelled; a committed one cannot be
+cancelled any more. Nothing passes through the driver except row counts, gathered
+with ``observe`` in the same pass.
+
+Requests are Parquet partitioned by ``project_id`` alone, batch, attempt and
+outcome being columns: listing them does not grow with the number of batches'
+folders.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from annotask.functions.filters import filter_tasks
+from annotask.operators.mutations import CANCELLED
 from annotask.operators.requests import task_request_json
 from annotask.schema import (
-    BATCH_JOB_SCHEMA,
     DEFAULT_PRIORITY,
     DEFAULT_SUBMIT,
     DEFAULT_TASKS_FILE_NAME,
+    JOB_LOG_SCHEMA,
     PREANNOTATION_PREFIX,
 )
 
-COMMITTED = "committed"
+OPENED, COMMITTED = "opened", "committed"
 ACCEPTED, REJECTED = "accepted", "rejected"
-REQUEST_FILE_SCHEMA = "value string, project_id string, batch_id string, outcome string"
+REQUEST_SCHEMA = "value string, project_id string, batch_id string, attempt string, outcome string"
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
 def write_task_batch(
@@ -47,94 +59,120 @@ def write_task_batch(
     jobs_path: str | None = None,
     tasks_file_name: str = DEFAULT_TASKS_FILE_NAME,
 ) -> dict:
-    """Write one batch of task requests; return its job row (as a dict)."""
+    """Write one batch of task requests; return its job row (as a dict).
+
+    The row's status is ``committed``, or ``cancelled`` where the batch was
+    cancelled while it was written.
+    """
+    spark, attempt = df.sparkSession, uuid.uuid4().hex
+    job = {
+        "project_id": str(project_id),
+        "batch_id": str(batch_id),
+        "status": OPENED,
+        "tasks_file_name": tasks_file_name,
+        "notification_email": notification_email,
+        "n_tasks": None,
+        "n_failed": None,
+        "created_at": _now(),
+        "attempt": attempt,
+    }
+    if jobs_path is not None:
+        commit_batch(spark, jobs_path, job)
     requests = task_request_json(df, priority=priority, submit=submit, prefix=prefix, on_error=on_error, drop_nulls=drop_nulls)
     invalid = F.col("_invalid") if "_invalid" in requests.columns else F.lit(False)
     out = requests.select(
         F.col("request_json").alias("value"),
         F.lit(str(project_id)).alias("project_id"),
         F.lit(str(batch_id)).alias("batch_id"),
+        F.lit(attempt).alias("attempt"),
         F.when(invalid, F.lit(REJECTED)).otherwise(F.lit(ACCEPTED)).alias("outcome"),
     )
-    obs = Observation(f"batch-{project_id}-{batch_id}")
+    obs = Observation(f"batch-{project_id}-{batch_id}-{attempt}")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("outcome") == REJECTED).alias("rejected"))
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", int(max_records_per_file or 0))
-        .partitionBy("project_id", "batch_id", "outcome")
-        .text(path)
-    )
+    out.write.mode("append").option("maxRecordsPerFile", int(max_records_per_file or 0)).partitionBy("project_id").parquet(path)
     counts = obs.get
     rows = int(counts.get("rows", 0) or 0)
     rejected = int(counts.get("rejected", 0) or 0)
-    job = {
-        "project_id": str(project_id),
-        "batch_id": str(batch_id),
-        "status": COMMITTED,
-        "tasks_file_name": tasks_file_name,
-        "notification_email": notification_email,
-        "n_tasks": rows - rejected,
-        "n_failed": rejected,
-        "created_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-    }
+    job |= {"status": COMMITTED, "n_tasks": rows - rejected, "n_failed": rejected, "created_at": _now()}
     if jobs_path is not None:
-        commit_batch(df.sparkSession, jobs_path, job)
+        commit_batch(spark, jobs_path, job)
+        # The log decides: a cancel that came before this row stands.
+        of_batch = (F.col("project_id") == F.lit(str(project_id))) & (F.col("batch_id") == F.lit(str(batch_id)))
+        job["status"] = read_batch_jobs(spark, jobs_path).where(of_batch).first()["status"]
     return job
 
 
 def commit_batch(spark: SparkSession, jobs_path: str, job: dict) -> None:
-    """Append the job row that makes a written batch visible to readers."""
-    row = tuple(job.get(f.name) for f in BATCH_JOB_SCHEMA.fields)
-    spark.createDataFrame([row], BATCH_JOB_SCHEMA).write.mode("append").partitionBy("project_id").parquet(jobs_path)
+    """Append a job row; a ``committed`` one makes the attempt it names visible to readers."""
+    row = tuple(job.get(f.name) for f in JOB_LOG_SCHEMA.fields)
+    spark.createDataFrame([row], JOB_LOG_SCHEMA).write.mode("append").partitionBy("project_id").parquet(jobs_path)
 
 
 def read_batch_jobs(spark: SparkSession, jobs_path: str, latest: bool = True) -> DataFrame:
     """The batch-job log; by default the latest row per (project, batch).
 
-    The log is append-only: a commit retried after a lost driver, or a later
-    status change (cancel), adds a row, and the latest one wins. The log has
-    one row per batch event, so this aggregation is small.
+    The log is append-only. Of a batch the attempt opened last counts. A
+    cancel row ends that attempt if it came before the attempt's commit, and is
+    void after it; otherwise the attempt's latest row counts. The log has a few
+    rows per batch, so these aggregations are small.
     """
-    log = spark.read.schema(BATCH_JOB_SCHEMA).parquet(jobs_path)
+    log = spark.read.schema(JOB_LOG_SCHEMA).parquet(jobs_path)
     if not latest:
         return log
-    others = [f.name for f in BATCH_JOB_SCHEMA.fields if f.name not in ("project_id", "batch_id", "created_at")]
-    last = log.groupBy("project_id", "batch_id").agg(F.max(F.struct("created_at", *others)).alias("_j"))
-    return last.select(*[F.col(f"_j.{f.name}").alias(f.name) if f.name not in ("project_id", "batch_id") else F.col(f.name) for f in BATCH_JOB_SCHEMA.fields])
+    names = [f.name for f in JOB_LOG_SCHEMA.fields]
+    row = F.struct("created_at", *[n for n in names if n != "created_at"])
+    cancel, commit = F.col("status") == CANCELLED, F.col("status") == COMMITTED
+    attempts = log.groupBy("project_id", "batch_id", "attempt").agg(
+        F.min("created_at").alias("_opened"),
+        F.min(F.when(cancel, row)).alias("_cancel"),
+        F.min(F.when(commit, F.col("created_at"))).alias("_commit"),
+        F.max(F.when(~cancel, row)).alias("_last"),
+    )
+    stands = F.col("_cancel").isNotNull() & (F.col("_commit").isNull() | (F.col("_cancel.created_at") <= F.col("_commit")))
+    job = F.when(stands, F.col("_cancel")).otherwise(F.col("_last"))
+    last = attempts.groupBy("project_id", "batch_id").agg(F.max_by(job, F.struct("_opened", "attempt")).alias("_j"))
+    return last.select(*[F.col(n) if n in ("project_id", "batch_id") else F.col(f"_j.{n}").alias(n) for n in names])
 
 
 def record_job_status(spark: SparkSession, jobs_path: str, jobs: DataFrame) -> None:
     """Append changed job rows (e.g. from ``cancel_batches``) with a new time."""
-    now = F.lit(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
-    cols = [now.alias("created_at") if f.name == "created_at" else F.col(f.name) for f in BATCH_JOB_SCHEMA.fields]
+    now = F.lit(_now().strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    cols = [now.alias("created_at") if f.name == "created_at" else F.col(f.name) for f in JOB_LOG_SCHEMA.fields]
     jobs.select(*cols).write.mode("append").partitionBy("project_id").parquet(jobs_path)
 
 
+def compact_batch_jobs(spark: SparkSession, jobs_path: str, project_id) -> None:
+    """Keep a project's current job rows only, in place of its log's many small files."""
+    jobs = read_batch_jobs(spark, jobs_path).where(F.col("project_id") == F.lit(str(project_id)))
+    jobs.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("project_id").parquet(jobs_path)
+
+
 def read_task_requests(spark: SparkSession, path: str, outcome: str = ACCEPTED) -> DataFrame:
-    """All request lines of one outcome, with project and batch (no commit check)."""
-    return spark.read.schema(REQUEST_FILE_SCHEMA).text(path).where(F.col("outcome") == F.lit(outcome))
+    """All requests of one outcome, with project, batch and attempt (no commit check)."""
+    return spark.read.schema(REQUEST_SCHEMA).parquet(path).where(F.col("outcome") == F.lit(outcome))
 
 
 def read_committed_requests(
-    spark: SparkSession, path: str, jobs_path: str, data_schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    jobs_path: str,
+    data_schema: T.StructType | str | None = None,
+    project_id=None,
+    outcome: str = ACCEPTED,
 ) -> DataFrame:
-    """Accepted requests of committed batches only (left-semi on the job table).
+    """Requests of committed attempts only (left-semi on the job table), accepted ones by default.
 
     With ``data_schema`` the request JSON is parsed into
     ``data``/``priority``/``submit`` columns.
     """
-    jobs = read_batch_jobs(spark, jobs_path).where(F.col("status") == F.lit(COMMITTED)).select("project_id", "batch_id")
-    lines = read_task_requests(spark, path).join(jobs, ["project_id", "batch_id"], "left_semi")
+    jobs = filter_tasks(read_batch_jobs(spark, jobs_path), project_id=project_id).where(~F.col("status").isin(OPENED, CANCELLED))
+    keys = ["project_id", "batch_id", "attempt"]
+    lines = filter_tasks(read_task_requests(spark, path, outcome), project_id=project_id)
+    lines = lines.join(jobs.select(*keys), keys, "left_semi").select("value", "project_id", "batch_id", "outcome")
     if data_schema is None:
         return lines
     if isinstance(data_schema, str):
-        data_schema = T._parse_datatype_string(data_schema)
-    req = T.StructType(
-        [
-            T.StructField("data", data_schema),
-            T.StructField("priority", T.IntegerType()),
-            T.StructField("submit", T.BooleanType()),
-        ]
-    )
-    return lines.select("project_id", "batch_id", F.from_json("value", req).alias("r")).select("project_id", "batch_id", "r.*")
+        data_schema = T.StructType.fromDDL(data_schema)
+    request = T.StructType([T.StructField("data", data_schema), T.StructField("priority", T.IntegerType()), T.StructField("submit", T.BooleanType())])
+    request = F.from_json("value", request)
+    return lines.select("project_id", "batch_id", request.alias("r")).select("project_id", "batch_id", "r.*")

@@ -1,22 +1,26 @@
 """Write task and delivery tables; turn landed pages into a Parquet table.
 
 Tables are Parquet partitioned by ``project_id`` (a project filter prunes
-folders). Rows are sorted inside each write task by project and date, with
-no shuffle, so Parquet row-group statistics are tight on the date and date
-windows skip row groups; a bloom filter on ``id`` lets id lookups skip row
-groups too. A project that holds a third of all rows is still
-written by every task that holds some of its rows, never by one task.
+folders). Rows are rebalanced by project first: adaptive execution puts small
+projects into a task together and splits a large one over many, by measured
+size, so the number of files follows the bytes and not tasks times projects.
+Inside each write task rows are sorted by project and date, so Parquet
+row-group statistics are tight on the date and date windows skip row groups; a
+bloom filter on ``id`` lets id lookups skip row groups too.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from annotask.functions.json import answers_to_json
-from annotask.schema import DELIVERY_SCHEMA, PAGE_RECORD_SCHEMA, TASK_SCHEMA
-from annotask.sources.pages import read_task_pages
+from annotask.operators.changes import DELETE, apply_changes, read_changes
+from annotask.schema import DELIVERY_SCHEMA, PAGE_RECORD_SCHEMA, STORED_TASK_SCHEMA
+from annotask.sources.pages import explode_all, read_landing, read_page_files, rejects_of, rows_of
 
 
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -30,15 +34,18 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def _write(df: DataFrame, path: str, date_col: str, mode: str, max_records_per_file: int | None) -> None:
+def _write(
+    df: DataFrame, path: str, date_col: str, mode: str, max_records_per_file: int | None, by: tuple[str, ...] = ("project_id",)
+) -> None:
     writer = (
-        df.sortWithinPartitions("project_id", date_col)
+        df.hint("rebalance", "project_id")
+        .sortWithinPartitions("project_id", date_col)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         # Task ids are looked up one by one and in id lists; rows are sorted by
         # date, so min/max statistics cannot skip on id, a bloom filter can.
         .option("parquet.bloom.filter.enabled#id", "true")
-        .partitionBy("project_id")
+        .partitionBy(*by)
     )
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
@@ -47,26 +54,54 @@ def _write(df: DataFrame, path: str, date_col: str, mode: str, max_records_per_f
 
 def write_tasks(df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int | None = None) -> None:
     """Write a task table; ``overwrite`` replaces only the projects present in ``df``."""
-    _write(answers_to_json(_conform(df, TASK_SCHEMA)), path, "created_at", mode, max_records_per_file)
+    _write(answers_to_json(_conform(df, STORED_TASK_SCHEMA)), path, "created_at", mode, max_records_per_file)
 
 
 def write_deliveries(df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int | None = None) -> None:
     _write(answers_to_json(_conform(df, DELIVERY_SCHEMA)), path, "delivered_at", mode, max_records_per_file)
 
 
+def compact_changes(spark: SparkSession, tasks_path: str, changes_path: str, project_id) -> None:
+    """Fold a project's changes into its part of the task table.
+
+    Deletions stay in the log: they also hold for a project that is left without
+    tasks, whose folder no write replaces. Folding a change twice changes
+    nothing, so a stop between the two writes does no harm.
+    """
+    tasks = spark.read.schema(STORED_TASK_SCHEMA).parquet(tasks_path)
+    log = read_changes(spark, changes_path, project_id)
+    write_tasks(apply_changes(tasks, log, project_id), tasks_path)
+    kept = log.where(F.col("kind") == DELETE).distinct()
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("project_id").parquet(changes_path)
+
+
+def landing_name(landing_path: str) -> str:
+    """The name under which a landing's rows are kept in a compacted table."""
+    return hashlib.sha256(landing_path.rstrip("/").encode("utf-8")).hexdigest()[:16]
+
+
 def compact_pages(
     spark: SparkSession,
     landing_path: str,
     out_path: str,
     record_schema: T.StructType = PAGE_RECORD_SCHEMA,
-    mode: str = "overwrite",
+    rejects_path: str | None = None,
+    lines: bool = True,
 ) -> None:
-    """Parse landed page files once and keep the deliveries as Parquet.
+    """Parse landed pages (``lines``, or one body per file) once and keep the deliveries as Parquet.
 
     Later reads then get filter pushdown, column pruning and partition
-    pruning, which JSON text cannot offer. The default dynamic overwrite
-    replaces the projects present in the landing, so compacting the same
-    landing again does not duplicate rows.
+    pruning, which JSON text cannot offer. The table is partitioned by project
+    and landing: compacting a landing again replaces what it gave before, and
+    other landings' rows stay. Records and bodies that give no row are written to
+    ``rejects_path`` (default ``<out_path>_rejects``), by landing.
     """
-    rows = read_task_pages(spark, landing_path, record_schema)
-    write_deliveries(rows, out_path, mode=mode)
+    name = F.lit(landing_name(landing_path)).alias("landing")
+    pages = read_landing(spark, landing_path) if lines else read_page_files(spark, landing_path)
+    found = explode_all(pages, "value", record_schema, keep=("result", "page"))
+    rows = answers_to_json(_conform(rows_of(found), DELIVERY_SCHEMA)).select("*", name)
+    _write(rows, out_path, "delivered_at", "overwrite", None, ("project_id", "landing"))
+    rejects = rejects_of(found, record_schema).select("*", name)
+    rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("landing").parquet(
+        rejects_path or f"{out_path.rstrip('/')}_rejects"
+    )

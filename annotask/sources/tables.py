@@ -8,24 +8,40 @@ filters are pushed into the scan, the project filter prunes folders, and
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from annotask.functions.filters import filter_tasks
 from annotask.functions.json import answers_to_json
 from annotask.operators.projections import omit_answers as _omit_answers
 from annotask.operators.projections import same_as_delivery as _same_as_delivery
 from annotask.operators.keys import id_frame
-from annotask.schema import DELIVERY_SCHEMA, TASK_SCHEMA
+from annotask.operators.changes import apply_changes, read_changes
+from annotask.schema import DELIVERY_SCHEMA, STORED_TASK_SCHEMA
 
 
-def read_tasks(spark: SparkSession, path: str) -> DataFrame:
-    """A task table written partitioned by project (declared schema, no inference)."""
-    return spark.read.schema(TASK_SCHEMA).parquet(path)
+def read_tasks(spark: SparkSession, path: str, changes_path: str | None = None, project_id=None) -> DataFrame:
+    """A task table written partitioned by project (declared schema, no inference).
+
+    With ``changes_path`` as its log of state changes leaves it; with
+    ``project_id`` only that project's part of both is read.
+    """
+    tasks = spark.read.schema(STORED_TASK_SCHEMA).parquet(path)
+    tasks = filter_tasks(tasks, project_id=project_id)
+    if changes_path is None:
+        return tasks
+    try:
+        changes = read_changes(spark, changes_path, project_id)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return tasks  # no change was ever recorded
+    return apply_changes(tasks, changes)
 
 
 def read_deliveries(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DELIVERY_SCHEMA).parquet(path)
+    """A delivery table, from ``write_deliveries`` or ``compact_pages`` (answers are compact text already)."""
+    return spark.read.schema(DELIVERY_SCHEMA).parquet(path).select(*DELIVERY_SCHEMA.names)
 
 
 def multi_task_status(
@@ -39,12 +55,14 @@ def multi_task_status(
     to_timestamp=None,
     state=None,
     omit_answers: bool = True,
+    compact: bool = True,
 ) -> DataFrame:
     """Tasks matching every given filter.
 
     ``date_type`` and ``to_timestamp`` are honoured (creation or completion
     date, strict bounds). ``omit_answers`` drops the answers column, so the
-    scan does not read it.
+    scan does not read it. With ``compact=False`` answers are taken as they are:
+    those of stored tables are compact text already.
     """
     out = filter_tasks(
         tasks,
@@ -59,7 +77,7 @@ def multi_task_status(
     )
     if omit_answers:
         return _omit_answers(out)
-    return answers_to_json(out)
+    return answers_to_json(out) if compact else out
 
 
 def delivered_tasks(
@@ -71,6 +89,7 @@ def delivered_tasks(
     from_timestamp=None,
     task_id=None,
     dedupe: bool = False,
+    compact: bool = True,
 ) -> DataFrame:
     """Deliveries after ``from_timestamp`` (strict), answers as compact JSON text.
 
@@ -90,29 +109,27 @@ def delivered_tasks(
     )
     if dedupe:
         out = out.dropDuplicates(["id", "delivered_at"])
-    return answers_to_json(out)
+    return answers_to_json(out) if compact else out
 
 
-def task_status(tasks: DataFrame, task_ids, project_id=None, same_as_delivery: bool = True) -> DataFrame:
+def task_status(
+    tasks: DataFrame, task_ids, project_id=None, same_as_delivery: bool = True, compact: bool = True
+) -> DataFrame:
     """Status of one task (a scalar id) or of many (a list or a DataFrame of ids).
 
     One id is a pushed-down equality (and a bloom-filter hit on tables written
     by ``write_tasks``). Many ids are a left-semi join against the id list; a
-    semi join never multiplies rows, so the list is not de-duplicated. A
-    Python list is already in driver memory and is broadcast; for a DataFrame
-    of ids Spark broadcasts only from a measured size, otherwise both sides
-    are shuffled on ``id``.
+    semi join never multiplies rows, so the list is not de-duplicated. Spark
+    broadcasts the list only from a measured size, otherwise both sides are
+    shuffled on ``id``.
     """
     out = filter_tasks(tasks, project_id=project_id)
     if isinstance(task_ids, (str, int)):
         out = filter_tasks(out, task_id=task_ids)
     else:
         ids = id_frame(tasks.sparkSession, task_ids, "id", unique=False)
-        if isinstance(task_ids, DataFrame):
-            out = out.join(ids, "id", "left_semi")
-        else:
-            out = out.join(F.broadcast(ids), "id", "left_semi")
-    out = answers_to_json(out)
+        out = out.join(ids, "id", "left_semi")
+    out = answers_to_json(out) if compact else out
     if same_as_delivery:
         return _same_as_delivery(out)
     return out
