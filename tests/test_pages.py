@@ -19,7 +19,7 @@ REC = T.StructType([T.StructField("id", T.StringType()), T.StructField("info", T
 
 
 def task(i):
-    return {"id": f"task_{i}", "info": f"test_info_{i}"}
+    return {"id": f"t-{i}", "info": f"about {i}"}
 
 
 def body(tasks=None, single=None):
@@ -41,7 +41,7 @@ def rows_of(spark, path):
 
 
 def completeness(spark, path, page_size):
-    return page_completeness(page_task_counts(spark, path, REC), page_size).collect()[0]
+    return page_completeness(page_task_counts(spark, path), page_size).collect()[0]
 
 
 def test_empty_body(spark, write_text, tmp_path):
@@ -53,31 +53,31 @@ def test_empty_body(spark, write_text, tmp_path):
 
 def test_single_page(spark, write_text, tmp_path):
     path = land(write_text, tmp_path, "r1", {1: body([task(1), task(2)])})
-    assert rows_of(spark, path) == [(1, 1, "task_1"), (1, 2, "task_2")]
+    assert rows_of(spark, path) == [(1, 1, "t-1"), (1, 2, "t-2")]
     assert completeness(spark, path, 1000).complete
 
 
 def test_full_then_empty(spark, write_text, tmp_path):
     path = land(write_text, tmp_path, "r1", {1: body([task(1), task(2)]), 2: "{}"})
-    assert [r[2] for r in rows_of(spark, path)] == ["task_1", "task_2"]
+    assert [r[2] for r in rows_of(spark, path)] == ["t-1", "t-2"]
     c = completeness(spark, path, 2)
     assert c.complete and c.n_pages == 2
 
 
 def test_full_then_short_keeps_page_order(spark, write_text, tmp_path):
     path = land(write_text, tmp_path, "r1", {1: body([task(1), task(2)]), 2: body([task(3)])})
-    assert rows_of(spark, path) == [(1, 1, "task_1"), (1, 2, "task_2"), (2, 1, "task_3")]
+    assert rows_of(spark, path) == [(1, 1, "t-1"), (1, 2, "t-2"), (2, 1, "t-3")]
     assert completeness(spark, path, 2).complete
 
 
 def test_single_task_body(spark, write_text, tmp_path):
     path = land(write_text, tmp_path, "r1", {1: body(single=task(1))})
-    assert rows_of(spark, path) == [(1, 1, "task_1")]
+    assert rows_of(spark, path) == [(1, 1, "t-1")]
 
 
 def test_task_wins_over_tasks(spark):
     df = spark.createDataFrame([(json.dumps({"task": task(9), "tasks": [task(1), task(2)]}),)], "value string")
-    assert [r.id for r in explode_envelope(df, "value", REC).collect()] == ["task_9"]
+    assert [r.id for r in explode_envelope(df, "value", REC).collect()] == ["t-9"]
 
 
 def test_full_last_page_is_incomplete(spark, write_text, tmp_path):
@@ -139,7 +139,7 @@ def test_infer_schema_pins_answers_to_string(spark, write_text, tmp_path):
 def test_one_body_per_line(spark, write_text, tmp_path):
     write_text(tmp_path, {"result=r/page=1/a.json": body([task(1)]) + "\n" + body([task(2), task(3)]) + "\n"})
     df = read_task_pages(spark, str(tmp_path), REC, one_body_per_line=True)
-    assert sorted(r.id for r in df.collect()) == ["task_1", "task_2", "task_3"]
+    assert sorted(r.id for r in df.collect()) == ["t-1", "t-2", "t-3"]
     assert df.where(F.col("page") != 1).count() == 0
 
 
@@ -190,13 +190,13 @@ def test_landing_twice_does_not_duplicate(spark, tmp_path):
     import datetime as dt
 
     from annotask.schema import TASK_SCHEMA
-    from annotask.sinks.pages import land_pages
+    from annotask.plans.landing import land_pages
 
     rows = [(f"t{i}", "p", None, None, "new", 0, dt.datetime(2024, 1, 1, 0, 0, i), None, None, None) for i in range(5)]
     df = spark.createDataFrame(rows, TASK_SCHEMA)
     path = str(tmp_path / "landing")
     land_pages(df, path, 2)
-    land_pages(df, path, 2)
-    back = read_task_pages(spark, path, TASK_SCHEMA)
+    land_pages(df, path, 2, mode="overwrite")
+    back = read_task_pages(spark, path, TASK_SCHEMA, lines=True)
     assert sorted(r.id for r in back.collect()) == [f"t{i}" for i in range(5)]
     assert sorted({(r.page, r.position) for r in back.collect()}) == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1)]

@@ -117,7 +117,7 @@ def test_pages_round_trip(spark, tasks, page_size):
     import json as _json
 
     from annotask.schema import TASK_SCHEMA
-    from annotask.sinks.pages import pack_pages
+    from annotask.plans.landing import pack_pages
     from annotask.sources.pages import explode_envelope
 
     rows = [
@@ -174,7 +174,7 @@ def test_page_parsing_equals_brute_force(spark, bodies):
 
     rec = T.StructType([T.StructField("id", T.StringType())])
     df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "page int, value string")
-    pages = {r.page: (r.n_tasks, r.rejected) for r in parse_pages(df, "value", rec).collect()}
+    pages = {r.page: (r.n_tasks, r.rejected) for r in parse_pages(df, "value").collect()}
     assert pages == {i: brute_page(b) for i, b in enumerate(bodies)}
     rows = explode_envelope(df, "value", rec).groupBy("page").count().collect()
     assert {r.page: r["count"] for r in rows} == {i: n for i, (n, _) in pages.items() if n}

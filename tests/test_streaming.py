@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from annotask.streaming.deliveries import deliveries_since_last_call, delivery_stream, start_delivery_stream
+from annotask.streaming.deliveries import deliveries_since_last_call, delivery_rejects, delivery_stream, start_delivery_stream
 from annotask.streaming.task_batches import stream_task_batches
 from annotask.sinks.batches import read_committed_requests
 
@@ -14,11 +14,11 @@ def delivery(i, batch="b1", cb="cb"):
     return {"id": f"d{i}", "project_id": "p", "batch_id": batch, "client_batch_id": cb, "answers": {"k": i}}
 
 
-def land(root, name, records):
-    path = os.path.join(root, "landing", f"result={name}", "page=1")
+def land(root, name, records, project="p", body=None):
+    path = os.path.join(root, "landing", f"project_id={project}")
     os.makedirs(path, exist_ok=True)
-    with open(os.path.join(path, "body.json"), "w") as fh:
-        fh.write(json.dumps({"tasks": records}))
+    with open(os.path.join(path, f"{name}.json"), "w") as fh:
+        fh.write(json.dumps({"result": name, "page": 1, "value": body or json.dumps({"tasks": records})}) + "\n")
 
 
 def ids(df):
@@ -78,8 +78,7 @@ def test_replay_after_crash_is_not_doubled(spark, tmp_path):
     land(root, "r2", [delivery(3)])
     again = call(spark, root, "A")
     assert ids(again) == ["d1", "d2"] or ids(again) == ["d1", "d2", "d3"]
-    everything = spark.read.parquet(os.path.join(root, "out", "A", "epoch=*"))
-    assert ids(everything) == ["d1", "d2", "d3"]
+    assert ids(again.union(call(spark, root, "A"))) == ["d1", "d2", "d3"]
 
 
 def test_max_files_per_trigger_runs_several_epochs(spark, tmp_path):
@@ -124,7 +123,8 @@ def test_max_bytes_per_trigger_bounds_each_epoch(spark, tmp_path):
         land(root, f"r{i}", [dict(delivery(i), answers={"x": "y" * 2000})])
     out = call(spark, root, "A", max_bytes_per_trigger=3000)
     assert ids(out) == ["d0", "d1", "d2", "d3"]
-    assert len(os.listdir(os.path.join(root, "out", "A"))) >= 2
+    (folder,) = os.listdir(os.path.join(root, "out", "A"))
+    assert len(os.listdir(os.path.join(root, "out", "A", folder))) >= 2
 
 
 def test_call_before_anything_landed_is_empty(spark, tmp_path):
@@ -135,19 +135,52 @@ def test_call_before_anything_landed_is_empty(spark, tmp_path):
     assert ids(call(spark, root, "A")) == ["d1"]
 
 
-def test_progress_lists_the_epochs_a_call_wrote(spark, tmp_path):
-    from annotask.streaming.deliveries import _progress
+def test_files_of_any_age_are_read(spark, tmp_path):
+    root = str(tmp_path)
+    land(root, "r1", [delivery(1)])
+    assert ids(call(spark, root, "A")) == ["d1"]
+    land(root, "r2", [delivery(2)])
+    old = os.path.join(root, "landing", "project_id=p", "r2.json")
+    os.utime(old, (os.path.getmtime(old) - 40 * 86400,) * 2)
+    assert ids(call(spark, root, "A")) == ["d2"]
+
 
+def test_a_call_of_many_epochs_returns_all_of_them(spark, tmp_path):
     root = str(tmp_path)
-    for i in range(3):
+    for i in range(105):
         land(root, f"r{i}", [delivery(i)])
-    seen = []
-    q = (
-        delivery_stream(spark, os.path.join(root, "landing"), max_files_per_trigger=1)
-        .writeStream.foreachBatch(lambda b, e: (b.count(), seen.append(e)))
-        .option("checkpointLocation", os.path.join(root, "ck"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    assert sorted(p["batchId"] for p in _progress(q) if p["numInputRows"] > 0) == sorted(seen) == [0, 1, 2]
+    assert len(ids(call(spark, root, "A", max_files_per_trigger=1))) == 105
+
+
+def test_projects_and_consumers_have_their_own_cursor(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    land(str(tmp_path), "r1", [delivery(1)], "p")
+    land(str(tmp_path), "r2", [dict(delivery(2), project_id="q/1")], "q%2F1")
+
+    def since(consumer, project):
+        return ids(deliveries_since_last_call(spark, landing, consumer, project))
+
+    assert since("A", "p") == ["d1"]
+    assert since("A", "q/1") == ["d2"]
+    assert since("B", "q/1") == ["d2"]
+    land(str(tmp_path), "r3", [delivery(3)], "p")
+    assert since("A", "q/1") == [] and since("A", "p") == ["d3"] and since("B", "p") == ["d1", "d3"]
+    assert since("A", None) == ["d1", "d2", "d3"] and since("A", "none yet") == []
+
+
+def test_what_cannot_be_read_is_kept_and_does_not_stop_the_cursor(spark, tmp_path):
+    root = str(tmp_path)
+    land(root, "r1", [dict(delivery(1), completed_at=""), delivery(2), dict(delivery(3), priority="high"), 7])
+    land(root, "r2", None, body='{"tasks": [1')
+    land(root, "r3", [dict(delivery(4), completed_at="2023-09-02z", created_at="2023-09-02")])
+    with open(os.path.join(root, "landing", "project_id=p", "r4.json"), "w") as fh:
+        fh.write("not json\n")
+    got = call(spark, root, "A")
+    assert ids(got) == ["d2", "d4"]
+    assert got.where("completed_at = timestamp_ntz'2023-09-02 00:00:00' and created_at = completed_at").count() == 1
+    rejects = delivery_rejects(spark, os.path.join(root, "landing"), "A", output_path=os.path.join(root, "out", "A"))
+    found = sorted((r.result or "", r.position or 0, r.rejected, (r.text or "")[:12]) for r in rejects.collect())
+    assert found == [("", 0, "body", "not json"), ("r1", 1, "record", '{"id":"d1","'), ("r1", 3, "record", '{"id":"d3","'),
+                     ("r1", 4, "record", "7"), ("r2", 0, "body", '{"tasks": [1')]
+    land(root, "r5", [delivery(5)])
+    assert ids(call(spark, root, "A")) == ["d5"]

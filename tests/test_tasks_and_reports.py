@@ -1,6 +1,7 @@
 """Filters, status views, mutations, reports, paging and the response log."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -280,15 +281,61 @@ def test_delivery_schema_types_string_fields(spark):
     assert types["b"] == "STRING" and types["a"].startswith("BIGINT") and types["c"].startswith("OBJECT")
 
 
-def test_read_page_shallow_and_deep_agree(spark, monkeypatch):
-    import annotask.operators.paging as paging
+def test_read_page_is_lazy_and_agrees_with_paginate(spark):
+    from annotask.operators.paging import paginate
 
     rows = [("hot" if i % 4 else "cold", T0 + dt.timedelta(seconds=i % 50), f"t{i:04d}") for i in range(600)]
     df = spark.createDataFrame(rows, "project_id string, created_at timestamp_ntz, id string")
-    shallow = sorted((r.project_id, r.id) for r in read_page(df, 2, 70).collect())
-    monkeypatch.setattr(paging, "SHALLOW_READ_ROWS", 0)
-    deep = sorted((r.project_id, r.id) for r in paging.read_page(df, 2, 70).collect())
-    assert shallow == deep and len(shallow) == 140
+    paged = {(r.project_id, r.id): r.page for r in paginate(df, 70).collect()}
+    for page in (1, 2, 6, 9):
+        assert {(r.project_id, r.id) for r in read_page(df, page, 70).collect()} == {k for k, p in paged.items() if p == page}
+    plan = read_page(df, 2, 70)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 3  # in the parts, before and after their shuffle, and in the key
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [("5}garbage", None), ('"a","b":1', None), ('1,"v":2', None), ("1],[2", None), ("{} {}", None), ("", None), ("nope", None),
+     ('"123"', '"123"'), (" \"a b\" ", '"a b"'), ("123", "123"), ("null", "null"), ("true", "true"),
+     ('{ "b" : 1.0, "a": [ 1e2, "x" ] }', '{"b":1.0,"a":[1e2,"x"]}'), ("[ ]", "[]")],
+)
+def test_compact_json_takes_one_value_and_keeps_its_spelling(spark, text, want):
+    from annotask.functions.json import as_json_text, compact_json
+
+    df = spark.createDataFrame([(text,)], "t string")
+    row = df.select(compact_json("t").alias("c"), as_json_text(df, "t").alias("k")).first()
+    assert row.k == (text if want is None else row.c)
+    assert row.c == want or (want == '{"b":1.0,"a":[1e2,"x"]}' and json.loads(row.c) == json.loads(want))
+
+
+@pytest.mark.parametrize("status", [-1, 0, 1022, 1023, 1100, None])
+def test_any_status_is_reported_as_it_is(spark, status):
+    from annotask.operators.retry import request_outcomes
+
+    log = spark.createDataFrame([("r", 1, T0, status)], "request_id string, attempt int, at timestamp_ntz, status int")
+    row = request_outcomes(log).first()
+    want = "retry" if status is None else "failed" if status >= 400 else "finished"
+    assert (row.outcome, row.attempt, row.status) == (want, 1, status)
+
+
+def test_completeness_of_faulty_pages(spark):
+    from annotask.operators.paging import page_completeness
+
+    pages = spark.createDataFrame(
+        [("corrupt last", 1, 2, False), ("corrupt last", 2, 0, True), ("twice", 1, 2, False), ("twice", 1, 2, False), ("twice", 3, 1, False),
+         ("mended", 1, 2, False), ("mended", 2, 0, True), ("mended", 2, 1, False), ("late", 2, 1, False)],
+        "result string, page int, n_tasks int, rejected boolean")
+    got = {r.result: (r.complete, r.missing_pages, r.rejected_pages, r.duplicate_pages) for r in page_completeness(pages, 2).collect()}
+    assert got == {"corrupt last": (False, 0, 1, 0), "twice": (False, 1, 0, 1), "mended": (True, 0, 0, 1), "late": (False, 1, 0, 0)}
+
+
+def test_projects_without_fields_have_a_row(spark):
+    from annotask.operators.stats import delivery_schema
+
+    df = spark.createDataFrame([("p", '{"a": 1}'), ("p", None), ("q", "{}"), ("q", None)], "project_id string, answers string")
+    for infer in (False, True):
+        got = {(r.project_id, r.field): (r.n_present, r.n_deliveries) for r in delivery_schema(df, infer_types=infer).collect()}
+        assert got == {("p", "a"): (1, 2), ("q", None): (0, 2)}
 
 
 def test_answers_text_that_is_not_json_is_kept(spark, tasks):
