@@ -329,12 +329,13 @@ def quality_rules(
         F.percentile_approx(mean, 0.5, 10_000).alias("median"),
         (F.sum("log_p2") / F.sum("n_scored") - F.pow(F.sum("log_p") / F.sum("n_scored"), 2)).alias("variance"),
     )
-    spread = written(spread, "quality-medians")
+    # One row per language: in one file, its measured size lets Spark broadcast it.
+    spread = written(spread.coalesce(1), "quality-medians")
     off = F.abs(mean - F.col("median"))
     bands = read.join(spread, "lang").groupBy("lang").agg(
         F.first("median").alias("median"), F.first("variance").alias("variance"), F.percentile_approx(off, 0.5, 10_000).alias("mad")
     )
-    bands = bands.withColumnRenamed("lang", "of")
+    bands = written(bands.coalesce(1), "quality-bands").withColumnRenamed("lang", "of")
     met = scored.join(bands, F.col("lang") == F.col("of"), "left")
     half = F.lit(band) * F.sqrt(F.pow(F.lit(1.4826) * F.col("mad"), 2) + F.greatest(F.col("variance"), F.lit(0.0)) / F.col("n_scored"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
