@@ -12,8 +12,9 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("local[4]", 8, app_name="annotask-tests")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("checkpoints"))
+    session = build_session("local[4]", 8, app_name="annotask-tests", extra={"spark.checkpoint.dir": shared})
     yield session
     session.stop()
 
