@@ -3,8 +3,10 @@
 Labelled rows are dealt to learners. Each learner goes over its rows in
 several passes with a learning rate per coordinate and an L1 term that leaves
 every coordinate at zero whose gradients do not add up to more than it; the
-weights of the learners are averaged. What is left is a short list of
-coordinates, which is broadcast to score all rows.
+weights of the learners are averaged. A fifth of the labelled rows is kept from
+the learners and sets the scale and offset of the scores (Platt's method): weights
+that are drawn to zero understate how sure a text is. What is left is a short list
+of coordinates, which is broadcast to score all rows.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ HASH_BITS = 32  # at most 32
 ALPHA, BETA, L2 = 2.0, 1.0, 0.0
 L1, PASSES = 12.0, 6
 REFIT_L1, REFIT_PASSES = 0.5, 20
+# One labelled row of so many sets the scale of the scores.
+CALIBRATION = 5
 THRESHOLD = 0.7
 
 _WORD = re.compile(r"[^\W_]+")
@@ -85,6 +89,33 @@ def learn(rows: list[np.ndarray], labels: list[int]) -> tuple[np.ndarray, np.nda
     return ftrl([r[np.isin(r, selected)] for r in rows], labels, REFIT_PASSES, REFIT_L1)
 
 
+def calibration(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Scale and offset that turn logits into probabilities of the labels, by
+    Newton steps on the likelihood of Platt's smoothed targets; (1, 0) where one
+    label is missing or the logits do not rise with the label."""
+    ones = labels.sum()
+    if ones == 0 or ones == len(labels):
+        return 1.0, 0.0
+    target = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (len(labels) - ones + 2))
+    x = np.column_stack((logits, np.ones(len(logits))))
+    fit, loss = np.zeros(2), np.inf
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ fit, -35, 35)))
+        now = -(target * np.log(p) + (1 - target) * np.log(1 - p)).sum()
+        if loss - now < 1e-9:
+            break
+        loss = now
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-9 * np.eye(2), x.T @ (target - p))
+        # Shorter steps where a whole one would not improve the fit.
+        for _ in range(30):
+            q = np.clip(x @ (fit + step), -35, 35)
+            if (np.logaddexp(0, q) - target * q).sum() < loss:
+                break
+            step /= 2
+        fit = fit + step
+    return (float(fit[0]), float(fit[1])) if fit[0] > 0 else (1.0, 0.0)
+
+
 def train(
     labelled: DataFrame,
     id_col: str = "doc_id",
@@ -105,7 +136,8 @@ def train(
     learners = max(1, math.ceil(count * share / rows_per_learner))
     # The upper bits draw the sample, the lower ones deal it out.
     drawn = rows.where(F.shiftrightunsigned("draw", 16) < int(share * (1 << 48)))
-    dealt = drawn.withColumn("learner", F.pmod(F.col("draw"), F.lit(learners)))
+    kept_back = F.pmod(F.shiftrightunsigned("draw", 8), F.lit(CALIBRATION)) == 0
+    dealt = drawn.where(~kept_back).withColumn("learner", F.pmod(F.col("draw"), F.lit(learners)))
 
     def learner(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["draw", "text"], kind="stable")
@@ -114,7 +146,13 @@ def train(
 
     each = dealt.groupBy("learner").applyInPandas(learner, "coordinate long, weight double")
     mean = each.groupBy("coordinate").agg((F.sum("weight") / F.lit(float(learners))).alias("weight"))
-    return mean
+    mean = written(mean, "toxicity-learned")
+    # A score and a label for each row kept back: their number is bounded by the sample's.
+    checked = scored(drawn.where(kept_back), mean).select("score", "label").toPandas()
+    score = checked["score"].clip(1e-15, 1 - 1e-15).to_numpy(np.float64)
+    scale, offset = calibration(np.log(score / (1 - score)), checked["label"].to_numpy(np.int64))
+    moved = F.when(F.col("coordinate") == -1, F.lit(offset)).otherwise(F.lit(0.0))
+    return mean.select("coordinate", (F.col("weight") * scale + moved).alias("weight"))
 
 
 def scored(

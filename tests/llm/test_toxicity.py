@@ -72,6 +72,17 @@ def test_ftrl_against_a_plain_statement():
     assert dict(zip(coords.tolist(), weights)) == pytest.approx({i: weight(i) for i in range(12) if weight(i)})
 
 
+def test_calibration_recovers_scale_and_offset():
+    draw = np.random.default_rng(3)
+    logits = draw.normal(size=20_000) * 2
+    labels = (draw.random(20_000) < 1 / (1 + np.exp(-(3 * logits + 1)))).astype(int)
+    assert toxicity.calibration(logits, labels) == pytest.approx((3, 1), abs=0.15)
+    assert toxicity.calibration(logits, np.zeros(20_000, int)) == (1.0, 0.0)
+    apart = np.concatenate((np.full(900, -6.0), np.full(100, -2.0)))
+    scale, offset = toxicity.calibration(apart, (apart > -4).astype(int))
+    assert scale > 1 and scale * -2 + offset > 2 > -2 > scale * -6 + offset
+
+
 def test_coordinates_hold_words_pairs_and_skips():
     got = toxicity.coordinates("One, two THREE")
     assert len(got) == 3 + 2 + 1 and len(set(got.tolist())) == 6
