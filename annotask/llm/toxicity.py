@@ -33,8 +33,9 @@ HASH_BITS = 32  # at most 32
 ALPHA, BETA, L2 = 2.0, 1.0, 0.0
 L1, PASSES = 12.0, 6
 REFIT_L1, REFIT_PASSES = 0.5, 20
-# One labelled row of so many sets the scale of the scores.
-CALIBRATION = 5
+# One labelled row of so many sets the scale of the scores, where that gives so
+# many rows of each label.
+CALIBRATION, CALIBRATION_ROWS = 5, 20
 THRESHOLD = 0.7
 
 _WORD = re.compile(r"[^\W_]+")
@@ -131,12 +132,15 @@ def train(
     rows = labelled.where(F.col(label_col).isNotNull()).select(
         F.xxhash64(F.col(id_col)).alias("draw"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")
     )
-    count = rows.count()
+    seen = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("ones")).first()
+    count = seen["n"]
     share = min(1.0, max_rows / max(count, 1))
+    # Too few rows of either label to set a scale by: all go to the learners.
+    enough = min(seen["ones"], count - seen["ones"]) * share / CALIBRATION >= CALIBRATION_ROWS
     learners = max(1, math.ceil(count * share / rows_per_learner))
     # The upper bits draw the sample, the lower ones deal it out.
     drawn = rows.where(F.shiftrightunsigned("draw", 16) < int(share * (1 << 48)))
-    kept_back = F.pmod(F.shiftrightunsigned("draw", 8), F.lit(CALIBRATION)) == 0
+    kept_back = (F.pmod(F.shiftrightunsigned("draw", 8), F.lit(CALIBRATION)) == 0) & F.lit(enough)
     dealt = drawn.where(~kept_back).withColumn("learner", F.pmod(F.col("draw"), F.lit(learners)))
 
     def learner(group: pd.DataFrame) -> pd.DataFrame:
@@ -147,6 +151,8 @@ def train(
     each = dealt.groupBy("learner").applyInPandas(learner, "coordinate long, weight double")
     mean = each.groupBy("coordinate").agg((F.sum("weight") / F.lit(float(learners))).alias("weight"))
     mean = written(mean, "toxicity-learned")
+    if not enough:
+        return mean
     # A score and a label for each row kept back: their number is bounded by the sample's.
     checked = scored(drawn.where(kept_back), mean).select("score", "label").toPandas()
     score = checked["score"].clip(1e-15, 1 - 1e-15).to_numpy(np.float64)
