@@ -124,8 +124,9 @@ def exact_dedup(
     again = F.col(at) != F.col("first.locator")
     fetched = written(fetched.select(F.col(mark).alias("digest"), again.alias("again"), "body"), "dedup-hits")
     stays = fetched.where("not again").select("digest", F.col("body").alias("kept_body"))
-    differ = fetched.where("again").join(stays, "digest").where("body != kept_body").select("digest").distinct()
-    differ = written(differ, "dedup-collisions")
+    # Written as the join leaves them, so that a large group's rows can be split.
+    differ = fetched.where("again").join(stays, "digest").where("body != kept_body").select("digest")
+    differ = written(differ, "dedup-collisions").distinct()
 
     groups = state.select(F.col("digest").alias(mark), "first", "members")
     decided = full.join(groups, mark)
