@@ -54,21 +54,22 @@ def turn_tokens(text: Column) -> Column:
     return F.ceil(F.octet_length(text) / F.lit(4)).cast("long") + F.lit(OVERHEAD)
 
 
-def _same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+def _key(column: Column) -> Column:
+    """A key for any id, null included, so that joins keep the rows where they are."""
+    return F.when(column.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), column.cast("string")))
 
 
 def placed_turns(turns: DataFrame, tokens=turn_tokens, block: int = BLOCK) -> DataFrame:
-    """``turns`` (conv, turn, role, text) with ``start`` and ``end`` on the
+    """``turns`` (key, conv, turn, role, text) with ``start`` and ``end`` on the
     conversation's token axis and ``first_system``, where its system turn ends."""
     rows = turns.withColumn("cost", tokens(F.col("text"))).withColumn("block", F.floor(F.coalesce("turn", F.lit(0)) / F.lit(block)))
     # Null turns come last, in a block of their own.
     rows = rows.withColumn("block", F.when(F.col("turn").isNull(), F.lit((1 << 62))).otherwise(F.col("block")))
-    in_order = W.partitionBy("conv", "block").orderBy("turn", "role", "text").rowsBetween(W.unboundedPreceding, 0)
+    in_order = W.partitionBy("key", "block").orderBy("turn", "role", "text").rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn("so_far", F.sum("cost").over(in_order))
     system = F.min(F.when(F.col("role") == SYSTEM, F.struct("so_far", "cost", "role", "text")))
-    blocks = rows.groupBy("conv", "block").agg(F.sum("cost").alias("cost"), system.alias("system"))
-    by_block = W.partitionBy("conv").orderBy("block")
+    blocks = rows.groupBy("key", "block").agg(F.sum("cost").alias("cost"), system.alias("system"))
+    by_block = W.partitionBy("key").orderBy("block")
     blocks = blocks.withColumn("before", F.coalesce(F.sum("cost").over(by_block.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     at = F.when(
         F.col("system").isNotNull(),
@@ -79,12 +80,11 @@ def placed_turns(turns: DataFrame, tokens=turn_tokens, block: int = BLOCK) -> Da
             F.col("system.text").alias("text"),
         ),
     )
-    whole = W.partitionBy("conv").orderBy("block").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    whole = W.partitionBy("key").orderBy("block").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     blocks = blocks.withColumn("first_system", F.first(at, ignorenulls=True).over(whole))
-    blocks = blocks.select(F.col("conv").alias("c"), F.col("block").alias("b"), "before", "first_system")
-    met = rows.join(blocks, _same(F.col("conv"), F.col("c")) & (F.col("block") == F.col("b")))
+    met = rows.join(blocks.select("key", "block", "before", "first_system"), ["key", "block"])
     end = F.col("before") + F.col("so_far")
-    return met.select("conv", "turn", "role", "text", "cost", (end - F.col("cost")).alias("start"), end.alias("end"), "first_system")
+    return met.select("key", "conv", "role", "text", "cost", (end - F.col("cost")).alias("start"), end.alias("end"), "first_system")
 
 
 def chat_windows(
@@ -110,6 +110,7 @@ def chat_windows(
     columns are not read.
     """
     turns = conversations.select(
+        _key(F.col(conv_col)).alias("key"),
         F.col(conv_col).alias("conv"),
         F.col(turn_col).alias("turn"),
         F.coalesce(F.col(role_col), F.lit("")).alias("role"),
@@ -123,7 +124,7 @@ def chat_windows(
     opened = F.concat(F.lit("<|"), escaped(F.col("role")), F.lit("|>\n"))
     body = escaped(F.col("text"))
     made = placed.select(
-        "conv", "turn", "role", "start", "end", "cost", "first_system",
+        "key", "conv", "role", "start", "end", "cost", "first_system",
         room.alias("room"),
         # Of a cell, the turns up to a long one and those after it are apart, as
         # a long turn that ends in a cell is the first to end there.
@@ -132,7 +133,8 @@ def chat_windows(
         F.char_length(opened).cast("long").alias("skip"),
         F.char_length(body).cast("long").alias("chars"),
     )
-    new = made.groupBy("conv", "part").agg(
+    new = made.groupBy("key", "part").agg(
+        F.first("conv").alias("conv"),
         F.sort_array(F.collect_list(F.struct("start", "end", "role", "form", "skip", "chars"))).alias("new"),
         F.min("start").alias("window"),
         F.max("end").alias("until"),
@@ -146,20 +148,21 @@ def chat_windows(
     wide = F.lit(max(history, 1))
     cells = F.sequence(F.floor((F.col("window") - F.col("allowed")) / wide), F.floor((F.col("window") - 1) / wide))
     asks = new.where("allowed > 0 and window > 0").select(
-        "conv", "window", "allowed", F.col("system.end").alias("system_end"), F.explode(cells).alias("cell")
+        "key", "window", "allowed", F.col("system.end").alias("system_end"), F.explode(cells).alias("cell")
     )
     gives = made.where(F.col("cost") <= history).select(
-        F.col("conv").alias("c"), F.floor(F.col("start") / wide).alias("at"), "start", "end", "form"
+        "key", F.floor(F.col("start") / wide).alias("cell"), "start", "end", "form"
     )
     within = (F.col("start") >= F.col("window") - F.col("allowed")) & (F.col("end") <= F.col("window"))
     # The system turn is repeated as itself.
     other = F.col("system_end").isNull() | (F.col("end") != F.col("system_end"))
     old = (
-        asks.join(gives, _same(F.col("conv"), F.col("c")) & (F.col("cell") == F.col("at")) & within & other)
-        .groupBy(F.col("conv").alias("c"), F.col("window").alias("w"))
+        asks.join(gives, ["key", "cell"])
+        .where(within & other)
+        .groupBy("key", "window")
         .agg(F.sort_array(F.collect_list(F.struct("start", "end", "form"))).alias("old"))
     )
-    met = new.join(old, _same(F.col("conv"), F.col("c")) & (F.col("window") == F.col("w")), "left")
+    met = new.join(old, ["key", "window"], "left")
     no_turns = F.expr("cast(array() as array<struct<start:bigint,end:bigint,form:string>>)")
     system = F.when(
         F.col("system.end") <= F.col("window"),
