@@ -7,9 +7,18 @@ their texts and Spark adds the counts up; counts of lower orders (how many
 classes precede a gram), discounts, context sums and probabilities are grouped
 aggregations and joins. The result is held in arrays sorted by gram hash.
 
-A text is rejected when its perplexity lies outside its language's band: the
-median over all texts, plus or minus a number of robust standard deviations,
-wider for short texts, whose perplexity varies more.
+Over it lies a model of whole words (64-bit hashes), discounted like the lower
+orders: what the discounts take goes in equal parts to the word's spelling, that is, to
+the character model, and to all words alike, unseen ones as one word. A word is scored by the counts of the other half of the texts,
+so a text does not vouch for itself; halves go by the smallest hash of a few
+neighbouring words, which near copies mostly share. No entry is left out: where a model is
+larger than a broadcast, languages and ranges of word hashes take turns.
+
+A text is rejected when its perplexity (per word) lies outside its language's
+band. Log perplexities are put in robust standard deviations from the median, wider for
+short texts, whose perplexity varies more. Each side of the band starts at the
+smallest deviation at which the texts beyond it outnumber those of a normal
+distribution so far that at most a share ``FALSE_SHARE`` of them is expected.
 """
 
 from __future__ import annotations
@@ -20,7 +29,9 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,11 +47,16 @@ MARKS = ".,;:!?'\"-()#*$%&|<>"
 OTHER = 4 + len(LETTERS) + len(MARKS)
 # Characters of one language that are counted or scored together.
 CHUNK = 1 << 21
-# Entries of the model that are broadcast at most; beyond it, 4-grams seen
-# rarely are left to the lower orders.
+# Entries of the model that are broadcast at a time, about; one language's
+# character model (at most 2^24 4-grams) is not divided.
 MAX_ENTRIES = 8_000_000
-# Half the width of a band, in robust standard deviations.
-BAND = 8.0
+# Parts of the word hashes' range that a language is divided into at most.
+RANGES = 1 << 10
+# Words whose hashes a worker holds; a counting task hands on eight times as many.
+HELD_WORDS = 200_000
+# A side of a band is chosen in steps of robust standard deviations, up to BAND,
+# so that of the texts beyond it at most this share is expected by chance.
+BAND, NARROWEST, STEP, FALSE_SHARE = 8.0, 1.5, 0.1, 0.3
 
 MIN_WORDS = 20
 MAX_REPEATED = 30  # per cent of the words
@@ -216,9 +232,137 @@ class Model:
         return out
 
 
-def rules(text: str) -> tuple[int, int, int, int, int]:
+class Hashes(dict):
+    """The 64-bit hash of each word met lately."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= HELD_WORDS:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return found
+
+
+def word_hashes(words: list[str], cache: dict[str, int]) -> np.ndarray:
+    """The 64-bit hash of each word; a plain ``cache`` is not kept."""
+    cache = cache if isinstance(cache, Hashes) else Hashes(cache)
+    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+
+
+def half(hashes: np.ndarray) -> int:
+    """0 or 1, by the smallest hash of four neighbouring words (of all, in a shorter text)."""
+    width = min(4, len(hashes))
+    mixed = np.zeros(len(hashes) - width + 1, dtype=np.uint64)
+    for k in range(width):
+        mixed = (mixed ^ hashes[k : k + len(mixed)]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(31)
+    return int(mixed.min() >> np.uint64(7)) & 1 if len(mixed) else 0
+
+
+def word_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, word, n0, n1): how often each word (its hash) occurs in either half of each language's texts."""
+    schema = T.StructType([T.StructField("lang", T.StringType()), *(T.StructField(n, T.LongType()) for n in ("word", "n0", "n1"))])
+
+    def run(batches):
+        held, size, cache = {}, 0, Hashes()
+
+        def rows():
+            for lang, pair in held.items():
+                keys = np.unique(np.concatenate([k for k, _, _ in pair]))
+                sums = np.zeros((2, len(keys)), np.int64)
+                for k, n, h in pair:
+                    sums[h, np.searchsorted(keys, k)] += n
+                for at in range(0, len(keys), CHUNK // 8):
+                    cut = slice(at, at + CHUNK // 8)
+                    own = keys[cut].view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(own), pa.string()), pa.array(own), pa.array(sums[0, cut]), pa.array(sums[1, cut])], names=schema.names)
+
+        for batch in batches:
+            met = {}
+            for lang, text in zip(batch.column(0), batch.column(1)):
+                hashes = word_hashes(_WORD.findall(text.as_py() or ""), cache)
+                if len(hashes):
+                    met.setdefault((lang.as_py() or "", half(hashes)), []).append(hashes)
+            for (lang, h), parts in met.items():
+                keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+                held.setdefault(lang, []).append((keys, counts, h))
+                size += len(keys)
+            if size > HELD_WORDS * 8:
+                yield from rows()
+                held, size = {}, 0
+        yield from rows()
+
+    pairs = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    return pairs.mapInArrow(run, schema).groupBy("lang", "word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+class Words:
+    """Word counts of one language (or a range of hashes of it) and the discounts of each half."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, totals: dict):
+        order = np.argsort(keys)
+        # As small a type as holds the largest count.
+        self.keys, self.counts = keys[order], counts[:, order].astype(np.min_scalar_type(int(counts.max(initial=0))))
+        self.by_half = []
+        for h in (0, 1):
+            n, types, *t = (totals[f"{c}_{h}"] for c in ("n", "types", "t1", "t2", "t3", "t4"))
+            one, two, three, four = (max(1, x) for x in t)
+            y = one / (one + 2 * two)
+            # Small tables can leave the estimate's range.
+            ds = [min(k - 0.1, max(0.1, k - (k + 1) * y * after / this)) for k, this, after in ((1, one, two), (2, two, three), (3, three, four))]
+            taken = ds[0] * t[0] + ds[1] * t[1] + ds[2] * (types - t[0] - t[1])
+            self.by_half.append((n, np.array([0.0, *ds]), taken, types))
+
+    def log_p(self, hashes: np.ndarray, spelling: np.ndarray, other: int) -> np.ndarray:
+        """Log probability of words by the counts of half ``other``, given those of their spelling."""
+        total, ds, taken, types = self.by_half[other]
+        if not total:
+            return spelling
+        n = np.zeros(len(hashes), np.int64)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+            n = np.where(self.keys[at] == hashes, self.counts[other][at], 0)
+        base = (np.exp(spelling) + 1 / (types + 1)) / 2
+        return np.log((n - ds[np.minimum(n, 3)]) / total + taken / total * base)
+
+
+def _turns(sizes: list[tuple[str, int, int]], most: int) -> list[list[tuple[str, int, int]]]:
+    """(lang, part, parts) in groups that are broadcast together, from (lang, characters' entries, words)."""
+    turns, room = [], 0
+    for lang, fixed, words in sorted(sizes, key=lambda s: s[1] + s[2]):
+        parts = min(RANGES, max(1, math.ceil(words / max(most - fixed, most // 4, 1))))
+        need = fixed + words // parts
+        for part in range(parts):
+            if not turns or need > room or parts > 1:
+                turns.append([])
+                room = most
+            turns[-1].append((lang, part, parts))
+            room -= need
+    return turns
+
+
+def _normal_tail(z: float) -> float:
+    return math.erfc(z / math.sqrt(2)) / 2
+
+
+def band_sides(deviations: DataFrame, band: float = BAND, false_share: float = FALSE_SHARE) -> DataFrame:
+    """(lang, below, above): where each side of a band starts, from (lang, z) of all texts."""
+    steps = max(0, round((band - NARROWEST) / STEP))
+    starts = [min(band, NARROWEST + STEP * k) for k in range(steps)] + [band]
+    bins = F.least(F.floor((F.abs("z") - F.lit(NARROWEST)) / F.lit(STEP)), F.lit(len(starts) - 1)).cast("int")
+    counted = deviations.withColumn("side", F.col("z") > 0).groupBy("lang", "side", bins.alias("bin")).agg(F.count("*").alias("n"))
+    # Small: a row per language, side and step.
+    beyond = counted.withColumn("beyond", F.sum("n").over(W.partitionBy("lang", "side").orderBy(F.col("bin").desc())))
+    beyond = beyond.withColumn("all", F.sum("n").over(W.partitionBy("lang")))
+    tail = F.element_at(F.array(*(F.lit(_normal_tail(s)) for s in starts)), F.greatest(F.col("bin"), F.lit(0)) + 1)
+    good = beyond.where((F.col("bin") >= 0) & (F.col("all") * tail <= F.lit(false_share) * F.col("beyond")))
+    start = F.element_at(F.array(*map(F.lit, starts)), F.col("bin") + 1)
+    return good.groupBy("lang").agg(F.min(F.when(~F.col("side"), start)).alias("below"), F.min(F.when(F.col("side"), start)).alias("above"))
+
+
+def rules(text: str, words: list[str] | None = None) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text."""
-    words = _WORD.findall(text)
+    words = _WORD.findall(text) if words is None else words
     chars = len(text) - sum(map(text.count, _SPACES))
     symbols = sum(map(text.count, SYMBOLS))
     seen, doubles = set(), 0
@@ -263,71 +407,133 @@ def quality_rules(
     max_entries: int = MAX_ENTRIES,
 ) -> DataFrame:
     """Per row of ``df``: its id, ``lang``, the rules' counts, ``n_chars_scored``,
-    ``perplexity`` (per character), the band's ``lower`` and ``upper`` limits,
+    ``perplexity`` (per word), the band's ``lower`` and ``upper`` limits,
     ``base_failed`` and ``kept``.
 
-    Null and empty texts have no words, fail the base rules and have a null
+    Texts without words (null and empty ones too) fail the base rules and have a null
     perplexity; a null language is a language of its own, as ''. Rows that
     repeat are judged alike. An empty table gives an empty table; other columns
-    are not read.
+    are not read. ``band`` is the widest a side of a band may be; ``max_entries``
+    bounds what is broadcast at a time and changes no result.
     """
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.col(text_col).alias("text"))
-    counts = written(gram_counts(rows), "grams")
-    entries = written(kneser_ney(counts), "grams-model")
-    least, kept = 1, entries
-    while kept.count() > max_entries:
-        least += 1
-        kept = entries.where((F.col("ord") < ORDER) | (F.col("n") >= least))
-    shared = df.sparkSession.sparkContext.broadcast(Model(kept.drop("n").toArrow()))
+    entries = written(kneser_ney(written(gram_counts(rows), "grams")).drop("n"), "grams-model")
+    words = written(word_counts(rows), "words")
+    per_half = [
+        f(F.col(f"n{h}")).alias(f"{name}_{h}")
+        for h in (0, 1)
+        for name, f in (
+            ("n", F.sum), ("types", lambda c: F.count_if(c > 0)), *((f"t{k}", lambda c, k=k: F.count_if(c == k)) for k in (1, 2, 3, 4)))
+    ]
+    # One row per language.
+    totals = {r["lang"]: r.asDict() for r in words.groupBy("lang").agg(F.count("*").alias("words"), *per_half).collect()}
+    sizes = {r["lang"]: r["count"] for r in entries.groupBy("lang").count().collect()}
+    turns = _turns([(lang, n, totals[lang]["words"] if lang in totals else 0) for lang, n in sizes.items()], max_entries)
 
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_scored"]
-    schema = T.StructType(
-        [f for f in rows.schema.fields if f.name != "text"]
-        + [T.StructField(n, T.LongType()) for n in names]
-        + [T.StructField("log_p", T.DoubleType()), T.StructField("log_p2", T.DoubleType())]
-    )
-
-    def run(batches):
-        model = shared.value
-        table, table_lang, filled = np.full(1 << CLASS_BITS * ORDER, np.nan, np.float32), None, []
-
-        def look_up(lang, codes):
-            nonlocal table_lang
-            if table_lang != lang:
-                for keys in filled:
-                    table[keys] = np.nan
-                filled.clear()
-                table_lang = lang
-                keys, values = model.arrays[lang, "log_p", ORDER]
-                table[keys] = values
-                filled.append(keys)
-            found = table[codes]
-            missing = np.isnan(found)
-            if missing.any():
-                keys = np.unique(codes[missing])
-                table[keys] = model.log_p(lang, keys)
-                filled.append(keys)
+    sums = [T.StructField("log_p", T.DoubleType()), T.StructField("log_p2", T.DoubleType())]
+    key = T.StructField("key", T.BinaryType())
+    counted = T.StructType([f for f in rows.schema.fields if f.name != "text"] + [T.StructField(n, T.LongType()) for n in names] + [key])
+
+    whole = T.StructType([*counted.fields, *sums])
+    partial = T.StructType([whole["lang"], key, *sums])
+
+    def digest(text):
+        return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+
+    def score(shared, with_rules):
+        def run(batches):
+            models = shared.value
+            table, table_lang, filled, cache = np.full(1 << CLASS_BITS * ORDER, np.nan, np.float32), None, [], Hashes()
+
+            def look_up(lang, codes):
+                nonlocal table_lang
+                model = models[lang][0]
+                if table_lang != lang:
+                    for keys in filled:
+                        table[keys] = np.nan
+                    filled.clear()
+                    table_lang = lang
+                    keys, values = model.arrays[lang, "log_p", ORDER]
+                    table[keys] = values
+                    filled.append(keys)
                 found = table[codes]
-            return found.astype(np.float64)
-
-        for batch in batches:
-            langs = batch.column(1).to_pylist()
-            made = [None] * batch.num_rows
-            # By language, so that one table serves a batch's rows of it.
-            for i in sorted(range(batch.num_rows), key=langs.__getitem__):
-                text = batch.column(2)[i].as_py() or ""
-                one = look_up(langs[i], grams(text)) if text else np.empty(0)
-                made[i] = (*rules(text), len(text), float(one.sum()), float((one * one).sum()))
-            columns = [pa.array(c, f.dataType.typeName() == "double" and pa.float64() or pa.int64()) for c, f in zip(zip(*made), schema.fields[2:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=schema.names)
-
-    scored = written(rows.mapInArrow(run, schema), "quality-scores")
-    mean = F.col("log_p") / F.col("n_scored")
-    read = scored.where("n_scored > 0")
-    # Spread of a single character around its text's mean, for short texts.
+                missing = np.isnan(found)
+                if missing.any():
+                    keys = np.unique(codes[missing])
+                    table[keys] = model.log_p(lang, keys)
+                    filled.append(keys)
+                    found = table[codes]
+                return found.astype(np.float64)
+
+            def sums_of(lang, text, words):
+                if not words:
+                    return 0.0, 0.0
+                _, counts, part, parts = models[lang]
+                hashes = word_hashes(words, cache)
+                codes = grams(text)
+                # A word's spelling goes up to the next word.
+                inside = np.concatenate(([False], (codes & np.uint32(CLASSES - 1)) != SPACE))
+                starts = np.flatnonzero(inside[1:] & ~inside[:-1])
+                spelling = np.add.reduceat(look_up(lang, codes), starts)
+                other = 1 - half(hashes)
+                if parts > 1:
+                    own = hashes % np.uint64(parts) == np.uint64(part)
+                    hashes, spelling = hashes[own], spelling[own]
+                one = counts.log_p(hashes, spelling, other)
+                return float(one.sum()), float((one * one).sum())
+
+            for batch in batches:
+                langs = batch.column(1).to_pylist()
+                made = [None] * batch.num_rows
+                # By language, so that one table serves a batch's rows of it.
+                for i in sorted(range(batch.num_rows), key=langs.__getitem__):
+                    text = batch.column(2)[i].as_py() or ""
+                    words = _WORD.findall(text)
+                    own = (digest(text), *(sums_of(langs[i], text, words) if langs[i] in models else (0.0, 0.0)))
+                    made[i] = (*rules(text, words), len(text), *own) if with_rules else own
+                fields = whole.fields[2:] if with_rules else partial.fields[1:]
+                kinds = {"bigint": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
+                columns = [pa.array(c, kinds[f.dataType.simpleString()]) for c, f in zip(zip(*made), fields)]
+                if made:
+                    given = [batch.column(0), batch.column(1)] if with_rules else [batch.column(1)]
+                    yield pa.RecordBatch.from_arrays([*given, *columns], names=whole.names if with_rules else partial.names)
+
+        return run
+
+    def broadcast(turn):
+        models = {}
+        for lang, part, parts in turn:
+            model = Model(entries.where(F.col("lang") == lang).toArrow())
+            # The remainder of the hash as an unsigned number, as numpy takes it.
+            unsigned = F.pmod(F.pmod(F.shiftrightunsigned("word", 1), F.lit(parts)) * 2 + F.col("word").bitwiseAND(F.lit(1)), F.lit(parts))
+            own = words.where((F.col("lang") == lang) & (unsigned == part)).toArrow()
+            keys, n0, n1 = (own.column(c).to_numpy() for c in ("word", "n0", "n1"))
+            if lang in totals:
+                models[lang] = model, Words(keys.astype(np.int64).view(np.uint64), np.stack((n0, n1)), totals[lang]), part, parts
+        return df.sparkSession.sparkContext.broadcast(models)
+
+    first, *others = turns or [[]]
+    shared = broadcast(first)
+    scored = written(rows.mapInArrow(score(shared, True), whole), "quality-scores")
+    if others:
+        shared.destroy()
+        each = scored.select("lang", "key", "log_p", "log_p2").groupBy("lang", "key").agg(F.max("log_p").alias("log_p"), F.max("log_p2").alias("log_p2"))
+        for turn in others:
+            shared = broadcast(turn)
+            own = rows.where(F.col("lang").isin([lang for lang, _, _ in turn])).mapInArrow(score(shared, False), partial)
+            # Rows of one text have the same sums.
+            own = own.groupBy("lang", "key").agg(F.max("log_p").alias("log_p"), F.max("log_p2").alias("log_p2"))
+            each = each.unionByName(written(own, "quality-part"))
+            shared.destroy()
+        each = each.groupBy("lang", "key").agg(F.sum("log_p").alias("log_p"), F.sum("log_p2").alias("log_p2"))
+        scored = written(scored.drop("log_p", "log_p2").join(each, ["lang", "key"]), "quality-sums")
+    mean = F.col("log_p") / F.col("n_words")
+    read = scored.where("n_words > 0")
+    # Spread of a single word around its text's mean, for short texts.
     spread = read.groupBy("lang").agg(
         F.percentile_approx(mean, 0.5, 10_000).alias("median"),
-        (F.sum("log_p2") / F.sum("n_scored") - F.pow(F.sum("log_p") / F.sum("n_scored"), 2)).alias("variance"),
+        ((F.sum("log_p2") - F.sum(F.col("log_p") * mean)) / F.sum("n_words")).alias("variance"),
     )
     # One row per language: in one file, its measured size lets Spark broadcast it.
     spread = written(spread.coalesce(1), "quality-medians")
@@ -335,14 +541,23 @@ def quality_rules(
     bands = read.join(spread, "lang").groupBy("lang").agg(
         F.first("median").alias("median"), F.first("variance").alias("variance"), F.percentile_approx(off, 0.5, 10_000).alias("mad")
     )
-    bands = written(bands.coalesce(1), "quality-bands").withColumnRenamed("lang", "of")
+    bands = written(bands.coalesce(1), "quality-bands")
+    unit = F.greatest(
+        F.sqrt(F.pow(F.lit(1.4826) * F.col("mad"), 2) + F.greatest(F.col("variance"), F.lit(0.0)) / F.col("n_words")), F.lit(1e-9)
+    )
+    put = read.join(bands, "lang").select("lang", ((F.col("median") - mean) / unit).alias("z"))
+    scale = put.groupBy("lang").agg((F.lit(1.4826) * F.percentile_approx(F.abs("z"), 0.5, 10_000)).alias("scale"))
+    scale = written(scale.withColumn("scale", F.greatest("scale", F.lit(1e-9))).coalesce(1), "quality-scales")
+    sides = band_sides(put.join(scale, "lang").select("lang", (F.col("z") / F.col("scale")).alias("z")), band)
+    bands = bands.join(scale, "lang").join(sides, "lang", "left").fillna({"below": band, "above": band})
+    bands = written(bands.coalesce(1), "quality-sides").withColumnRenamed("lang", "of")
     met = scored.join(bands, F.col("lang") == F.col("of"), "left")
-    half = F.lit(band) * F.sqrt(F.pow(F.lit(1.4826) * F.col("mad"), 2) + F.greatest(F.col("variance"), F.lit(0.0)) / F.col("n_scored"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
+    step = unit * F.col("scale")
     met = (
-        met.withColumn("perplexity", F.when(F.col("n_scored") > 0, F.exp(-mean)))
-        .withColumn("lower", F.when(F.col("n_scored") > 0, F.exp(-F.col("median") - half)))
-        .withColumn("upper", F.when(F.col("n_scored") > 0, F.exp(-F.col("median") + half)))
+        met.withColumn("perplexity", F.when(F.col("n_words") > 0, F.exp(-mean)))
+        .withColumn("lower", F.when(F.col("n_words") > 0, F.exp(-F.col("median") - F.col("below") * step)))
+        .withColumn("upper", F.when(F.col("n_words") > 0, F.exp(-F.col("median") + F.col("above") * step)))
         .withColumn("base_failed", failed)
     )
     inside = F.coalesce(F.col("perplexity").between(F.col("lower"), F.col("upper")), F.lit(False))

@@ -120,3 +120,44 @@ def test_query_against_brute_force(spark):
         failed = want[0] < 20 or 100 * want[4] > 30 * want[0]
         assert r["base_failed"] == failed and r["kept"] <= (not failed)
         assert failed or r["kept"] == (r["lower"] <= r["perplexity"] <= r["upper"])
+
+
+def invented(count, seed=8):
+    """Prose of invented words, every tenth text with marks after its words."""
+    draw = random.Random(seed)
+    parts = ["th", "an", "er", "in", "on", "re", "st", "ou", "ha", "es"]
+    docs = []
+    for i in range(count):
+        words = ["".join(draw.choice(parts) for _ in range(draw.choice((1, 1, 2, 3)))) for _ in range(draw.randrange(60, 200))]
+        marks = ("|",) if i % 20 else ("###", "%%%", "$$$")
+        text = " ".join(w + draw.choice(marks) if len(marks) > 1 else f"{w} |" for w in words) if i % 10 == 0 else " ".join(words)
+        docs.append((i, text))
+    return docs
+
+
+def test_bands_reject_junk_with_marks_and_keep_prose(spark):
+    docs = invented(1000)
+    got = {r["doc_id"]: r for r in rows(perplexity.quality_rules(documents(spark, docs)))}
+    junk, clean = ([got[i]["kept"] for i, _ in docs if (i % 10 == 0) == bad and not got[i]["base_failed"]] for bad in (True, False))
+    assert len(junk) > 80 and np.mean(junk) < 0.1 and np.mean(clean) > 0.93
+
+
+def test_a_smaller_broadcast_changes_no_result(spark):
+    df = documents(spark, [(i, t, "en" if i % 3 else "de", "a") for i, t in invented(240)] + [(900, None, "fr", "a"), (901, " ", "", "a")])
+    whole, divided = ({r["doc_id"]: r for r in rows(perplexity.quality_rules(df, max_entries=n))} for n in (10**7, 500))
+    assert len(whole) == len(divided) == 242
+    for i, r in whole.items():
+        assert divided[i]["kept"] == r["kept"] and divided[i]["n_words"] == r["n_words"]
+        assert (divided[i]["perplexity"] is None) == (r["perplexity"] is None)
+        assert r["perplexity"] is None or divided[i]["perplexity"] == pytest.approx(r["perplexity"], rel=1e-9)
+
+
+def test_words_are_counted_whole_and_by_halves(spark):
+    texts = ["ночь улица фонарь аптека ночь", "ночь улица", "a b", "夜 道 夜"]
+    got = rows(perplexity.word_counts(documents(spark, list(enumerate(texts)))))
+    want = [collections.Counter(), collections.Counter()]
+    for text in texts:
+        hashes = perplexity.word_hashes(text.split(), {})
+        want[perplexity.half(hashes)].update(hashes.view(np.int64).tolist())
+    assert {r["word"]: (r["n0"], r["n1"]) for r in got} == {w: (want[0][w], want[1][w]) for w in want[0] | want[1]}
+    assert len(got) == 8
