@@ -3,10 +3,14 @@
 Labelled rows are dealt to learners. Each learner goes over its rows in
 several passes with a learning rate per coordinate and an L1 term that leaves
 every coordinate at zero whose gradients do not add up to more than it; the
-weights of the learners are averaged. A fifth of the labelled rows is kept from
-the learners and sets the scale and offset of the scores (Platt's method): weights
+weights of the learners are averaged. Each learner also learns without each
+fifth of its rows in turn; the scores that these models give the rows left out set the
+scale and offset of the scores (Platt's method), whatever the number of rows: weights
 that are drawn to zero understate how sure a text is. What is left is a short list
 of coordinates, which is broadcast to score all rows.
+
+The sample to learn from is bounded and drawn by label, so a rare label is not
+thinned out with the other; the offset makes up for the shares drawn.
 """
 
 from __future__ import annotations
@@ -24,7 +28,8 @@ from pyspark.sql import types as T
 
 from annotask.llm.common import written
 
-# Labelled rows to learn from, about; beyond it a sample by hash of the id.
+# Labelled rows to learn from, about; beyond it a sample by hash of the id, of
+# the rarer label up to half of it.
 MAX_TRAINING_ROWS = 16_384
 ROWS_PER_LEARNER = 2_048
 # Coordinates broadcast at most: those of the largest weights.
@@ -33,9 +38,8 @@ HASH_BITS = 32  # at most 32
 ALPHA, BETA, L2 = 2.0, 1.0, 0.0
 L1, PASSES = 12.0, 6
 REFIT_L1, REFIT_PASSES = 0.5, 20
-# One labelled row of so many sets the scale of the scores, where that gives so
-# many rows of each label.
-CALIBRATION, CALIBRATION_ROWS = 5, 20
+# Folds of the scores that set the scale.
+CALIBRATION = 5
 THRESHOLD = 0.7
 
 _WORD = re.compile(r"[^\W_]+")
@@ -127,38 +131,46 @@ def train(
 ) -> DataFrame:
     """(coordinate, weight) learned from ``labelled`` (rows with a null label are left out).
 
-    Of more than about ``max_rows`` rows a share is taken by hash of the id.
+    Of more than about ``max_rows`` rows a share of each label is taken by hash of
+    the id: all rows of the rarer label, up to half of ``max_rows``.
     """
     rows = labelled.where(F.col(label_col).isNotNull()).select(
         F.xxhash64(F.col(id_col)).alias("draw"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")
     )
-    seen = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("ones")).first()
-    count = seen["n"]
-    share = min(1.0, max_rows / max(count, 1))
-    # Too few rows of either label to set a scale by: all go to the learners.
-    enough = min(seen["ones"], count - seen["ones"]) * share / CALIBRATION >= CALIBRATION_ROWS
-    learners = max(1, math.ceil(count * share / rows_per_learner))
+    seen = rows.agg(F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("ones")).first()
+    ones, others = seen["ones"], seen["n"] - seen["ones"]
+    half = max_rows // 2
+    share_one = min(1.0, max(half, max_rows - others) / max(ones, 1))
+    share_other = min(1.0, max(half, max_rows - ones) / max(others, 1))
+    learners = max(1, math.ceil((ones * share_one + others * share_other) / rows_per_learner))
     # The upper bits draw the sample, the lower ones deal it out.
-    drawn = rows.where(F.shiftrightunsigned("draw", 16) < int(share * (1 << 48)))
-    kept_back = (F.pmod(F.shiftrightunsigned("draw", 8), F.lit(CALIBRATION)) == 0) & F.lit(enough)
-    dealt = drawn.where(~kept_back).withColumn("learner", F.pmod(F.col("draw"), F.lit(learners)))
+    limit = F.when(F.col("label") == 1, int(share_one * (1 << 48))).otherwise(int(share_other * (1 << 48)))
+    drawn = rows.where(F.shiftrightunsigned("draw", 16) < limit)
+    drawn = drawn.withColumn("fold", F.pmod(F.shiftrightunsigned("draw", 8), F.lit(CALIBRATION)).cast("int"))
+    drawn = written(drawn.withColumn("learner", F.pmod(F.col("draw"), F.lit(learners))), "toxicity-sample")
 
     def learner(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["draw", "text"], kind="stable")
-        found, weights, bias = learn([coordinates(t) for t in group["text"]], group["label"].tolist())
-        return pd.DataFrame({"coordinate": np.append(found.astype(np.int64), -1), "weight": np.append(weights, bias)})
-
-    each = dealt.groupBy("learner").applyInPandas(learner, "coordinate long, weight double")
-    mean = each.groupBy("coordinate").agg((F.sum("weight") / F.lit(float(learners))).alias("weight"))
+        found, folds, labels = [coordinates(t) for t in group["text"]], group["fold"].tolist(), group["label"].tolist()
+        made = []
+        for fold in range(CALIBRATION + 1):  # the last one leaves no row out
+            own = [i for i, f in enumerate(folds) if f != fold]
+            coords, weights, bias = learn([found[i] for i in own], [labels[i] for i in own])
+            made.append(pd.DataFrame({"model": fold, "coordinate": np.append(coords.astype(np.int64), -1), "weight": np.append(weights, bias)}))
+        return pd.concat(made)
+
+    each = drawn.groupBy("learner").applyInPandas(learner, "model int, coordinate long, weight double")
+    mean = each.groupBy("model", "coordinate").agg((F.sum("weight") / F.lit(float(learners))).alias("weight"))
     mean = written(mean, "toxicity-learned")
-    if not enough:
-        return mean
-    # A score and a label for each row kept back: their number is bounded by the sample's.
-    checked = scored(drawn.where(kept_back), mean).select("score", "label").toPandas()
+    # A score and a label for each row of the sample, by the model that left it out.
+    checked = [scored(drawn.where(F.col("fold") == k), mean.where(F.col("model") == k).drop("model")).select("score", "label") for k in range(CALIBRATION)]
+    checked = pd.concat([c.toPandas() for c in checked])
     score = checked["score"].clip(1e-15, 1 - 1e-15).to_numpy(np.float64)
-    scale, offset = calibration(np.log(score / (1 - score)), checked["label"].to_numpy(np.int64))
+    scale, offset = calibration(np.log(score / (1 - score)), (checked["label"] == 1).to_numpy(np.int64))
+    # The odds of the sample are those of all rows times the ratio of the shares.
+    offset += math.log(share_other / share_one)
     moved = F.when(F.col("coordinate") == -1, F.lit(offset)).otherwise(F.lit(0.0))
-    return mean.select("coordinate", (F.col("weight") * scale + moved).alias("weight"))
+    return mean.where(F.col("model") == CALIBRATION).select("coordinate", (F.col("weight") * scale + moved).alias("weight"))
 
 
 def scored(

@@ -107,3 +107,27 @@ def test_query_on_held_out_rows(spark):
     assert len(got) == 1000 and sum(r["predicted"] for r in clean) == 0
     # A few hundred labels only here, some of texts without any toxic word.
     assert np.mean([r["score"] for r in toxic]) > np.mean([r["score"] for r in clean]) + 0.4
+
+
+def recall(spark, docs, labels, max_rows):
+    """Shares of toxic and of clean rows that reach the threshold, of 400 rows not learned from."""
+    known, unseen = docs[:-400], docs[-400:]
+    marked = spark.createDataFrame(labels, "doc_id long, label int")
+    weights = toxicity.train(documents(spark, known).join(marked, "doc_id"), max_rows=max_rows)
+    got = {r["doc_id"]: r["score"] >= toxicity.THRESHOLD for r in rows(toxicity.scored(documents(spark, unseen), weights))}
+    return tuple(np.mean([got[i] for i, t in labels[-400:] if t == k]) for k in (1, 0))
+
+
+def test_rare_labels_are_not_thinned_out(spark):
+    docs, labels = corpus(8400)
+    docs = [(k, t.replace("foul", f"foul{k // 80 % 3}").replace("vile", f"vile{k // 80 % 3}")) for k, t in docs]
+    # One toxic row of about sixty among the rows to learn from.
+    kept = [k for k in range(len(docs)) if k >= 8000 or not labels[k][1] or k % 80 == 0]
+    toxic, clean = recall(spark, [docs[k] for k in kept], [labels[k] for k in kept], 400)
+    assert toxic > 0.8 and clean < 0.02
+
+
+def test_few_labels_are_calibrated_too(spark):
+    docs, labels = corpus(560)
+    toxic, clean = recall(spark, docs, labels, toxicity.MAX_TRAINING_ROWS)
+    assert toxic > 0.8 and clean < 0.02
