@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotask.llm import bpe, chat, exact_dedup, kd_shards, mixing, perplexity, pii, simhash, site_quality, toxicity
+from annotask.llm import bpe, chat, exact_dedup, kd_shards, licenses, mixing, perplexity, pii, simhash, site_quality, toxicity
 from annotask.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -237,3 +237,52 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     taken = mixing.mix_sources(documents, keep_text=False)
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def _license_sql() -> str:
+    """Every block against every notice, without the join's filters."""
+    word = "regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '{}')".format(
+        licenses.UPPER, licenses.LOWER, licenses.LICENSE_WORD
+    )
+    sets = licenses.notice_sets(licenses.NOTICES, licenses.CONTAINMENT)
+    notices = ", ".join(f"({i}, '{s['label']}', {s['step']}, {s['need']}, {s['tokens']})" for i, s in enumerate(sets))
+    phrases = [(label, phrase.split(" ")) for label, phrase in licenses.PHRASES]
+    cases = " ".join(
+        "WHEN " + " AND ".join(f"w{k} = '{w}'" for k, w in enumerate(words)) + f" THEN '{label}'" for label, words in phrases
+    )
+    return f"""
+    WITH t AS (SELECT doc_id, {word} AS words FROM documents),
+    p AS (SELECT doc_id, unnest(words) AS w0, generate_subscripts(words, 1) - 1 AS place FROM t),
+    n AS (SELECT *, lead(w0, 1) OVER w AS w1, lead(w0, 2) OVER w AS w2 FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+    base AS (
+      SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
+      FROM (SELECT doc_id, place, CASE {cases} END AS label FROM n) WHERE label IS NOT NULL GROUP BY doc_id),
+    notices(id, label, step, need, tokens) AS (VALUES {notices}),
+    tokens AS (SELECT id, label, step, need, len(tokens) AS size, unnest(tokens) AS token FROM notices),
+    met AS (
+      SELECT doc_id, id, label, place // step - back AS block, count(DISTINCT token) / any_value(size) AS share
+      FROM p JOIN tokens ON w0 = token CROSS JOIN (VALUES (0), (1)) AS b(back)
+      WHERE place // step - back >= 0 GROUP BY doc_id, id, label, block HAVING count(DISTINCT token) >= any_value(need)),
+    best AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM met GROUP BY doc_id)
+    SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+           coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+           coalesce(array_to_string(list_sort(list_distinct(list_concat(base.labels, best.labels))), ','), '') AS labels,
+           CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+    FROM t LEFT JOIN base ON t.doc_id = base.doc_id LEFT JOIN best ON t.doc_id = best.doc_id
+    """
+
+
+@query("op12_license_scan", _license_sql())
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    starts = F.transform("base", lambda p: p["start"])
+    return licenses.license_scan(documents).select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        F.col("license_score").alias("score"),
+    )
