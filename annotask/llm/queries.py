@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotask.llm import bpe, chat, exact_dedup, kd_shards, licenses, mixing, perplexity, pii, simhash, site_quality, toxicity
-from annotask.llm.common import read_table
+from annotask.llm import bpe, chat, exact_dedup, hard_negatives, kd_shards, licenses, mixing, perplexity, pii, simhash
+from annotask.llm import site_quality, toxicity, vector_codes
+from annotask.llm.common import read_table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -286,3 +288,89 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("labels", ",").alias("labels"),
         F.col("license_score").alias("score"),
     )
+
+
+@query(
+    "op11_hard_negatives",
+    """
+    WITH finite AS (
+      SELECT vec_id, CAST(label AS BIGINT) AS label, embedding FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+      FROM finite),
+    scored AS (
+      SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+             CAST(list_dot_product(a.vec, b.vec) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (
+      SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+    SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank
+    FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+     AND 80 * positive_score <= 100 * score AND score <= positive_score
+    QUALIFY rank <= 5
+    """,
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def _codes_sql() -> str:
+    """Every part against every entry, round by round."""
+    parts, rounds, scale = vector_codes.PARTS, vector_codes.ROUNDS, vector_codes.SCALE
+    steps = []
+    for r in range(rounds + 1):
+        # Whole numbers far below 2^53, so these doubles are exact.
+        steps.append(f"""
+    near{r} AS MATERIALIZED (
+      SELECT vec_id, part, any_value(p) AS p, min(gap) AS gap, arg_min(entry, gap * 256 + entry) AS entry
+      FROM (SELECT vec_id, part, p, entry,
+                   list_dot_product(p, p) - 2 * list_dot_product(p, c) + list_dot_product(c, c) AS gap
+            FROM points JOIN book{r} USING (part)) GROUP BY vec_id, part)""")
+        if r < rounds:
+            steps.append(f"""
+    mean{r} AS (
+      SELECT part, entry, list(x ORDER BY place) AS c
+      FROM (SELECT part, entry, place, floor(sum(x) / count(*)) AS x
+            FROM (SELECT part, entry, unnest(p) AS x, generate_subscripts(p, 1) AS place FROM near{r})
+            GROUP BY part, entry, place)
+      GROUP BY part, entry),
+    book{r + 1} AS MATERIALIZED (
+      SELECT part, entry, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN mean{r} m USING (part, entry))""")
+    return f"""
+    WITH kept AS (
+      SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS vec FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    points AS MATERIALIZED (
+      SELECT vec_id, CAST(part AS INTEGER) AS part,
+             vec[len(vec) // {parts} * part + 1 : len(vec) // {parts} * (part + 1)] AS p
+      FROM kept CROSS JOIN range({parts}) AS r(part)),
+    starts AS (
+      SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < {vector_codes.ENTRIES}),
+    book0 AS MATERIALIZED (SELECT part, entry, p AS c FROM points JOIN starts USING (vec_id)),{','.join(steps)},
+    digest AS (
+      SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, place)) AS codebooks_sha256
+      FROM (SELECT part, entry, unnest(c) AS x, generate_subscripts(c, 1) AS place FROM book{rounds})),
+    coded AS (
+      SELECT vec_id, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(gap) AS BIGINT) AS error
+      FROM near{rounds} GROUP BY vec_id)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM coded JOIN kept USING (vec_id) CROSS JOIN digest
+    """
+
+
+@query("op13_vector_codes", _codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = vector_codes.vector_codes(read_table(spark, sf_dir, "embeddings"))
+    coded = written(coded.select("vec_id", "label", "code", F.col("code_error").alias("error")), "codes")
+    by_label = coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    numbers = ",".join(map(str, codebooks.ravel().tolist()))
+    return coded.join(by_label, F.col("label").eqNullSafe(F.col("of"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(hashlib.sha256(numbers.encode()).hexdigest()).alias("codebooks_sha256")
+    )
