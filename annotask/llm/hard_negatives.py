@@ -31,7 +31,7 @@ from annotask.llm.common import written
 # Rows of a candidate tile and of an anchor pack.
 TILE, PACK = 2048, 512
 # Products with a side no longer than this are made directly.
-LEAF = 16
+LEAF = 8
 _ROWS_BITS = 33  # of monotonically_increasing_id(), below the partition
 _LEAST = np.iinfo(np.int64).min
 
