@@ -160,7 +160,7 @@ class AnnotationTables:
         change log, only the latter, for the caller to write."""
         if self.changes_path is None:
             return changes.apply_changes(self.tasks(project_id), log)
-        changes.record_changes(log, self.changes_path)
+        changes.record_changes(log, self.changes_path, project_id)
         return self.tasks(project_id)
 
     def reject_task(self, project_id, task_id, reasons) -> DataFrame:
@@ -182,7 +182,7 @@ class AnnotationTables:
         (readers of committed batches stop seeing it); returns the job's row."""
         jobs = self.jobs().where((F.col("project_id") == str(project_id)) & (F.col("batch_id") == str(batch_id)))
         changed = mutations.cancel_batches(jobs, [batch_id], project_id=project_id).where(F.col("status") == mutations.CANCELLED)
-        record_job_status(self.spark, self._need(self.jobs_path, "jobs_path"), changed)
+        record_job_status(self.spark, self._need(self.jobs_path, "jobs_path"), changed, project_id)
         return self.jobs().where((F.col("project_id") == str(project_id)) & (F.col("batch_id") == str(batch_id)))
 
     # ------------------------------------------------------------------ reports

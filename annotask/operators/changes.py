@@ -1,10 +1,15 @@
 """State changes of tasks as a log, folded into what readers see.
 
-Rejections, priority changes and deletions are appended to a log that is
-partitioned by project like the task table. ``apply_changes`` folds it: one
-row per task (the latest rejection, the latest priority, whether it was
-deleted), joined to the tasks. A change is therefore kept even where it leaves a
-project without tasks, and a project's change reads and writes that project only.
+Rejections, priority changes and deletions are appended to a versioned log
+(``sinks.versions``) that is partitioned by project like the task table.
+``apply_changes`` folds it: one row per task (the latest rejection, the latest
+priority, whether it was deleted), joined to the tasks. A change is therefore
+kept even where it leaves a project without tasks.
+
+Later means of a higher version of the log, then (inside one version) of a later time.
+A stored task can carry the version that its state already takes in (``as_of``, see
+``write_tasks``): only changes after it are folded, so a task that was rejected,
+reworked and written back is not rejected again by the old row.
 """
 
 from __future__ import annotations
@@ -17,9 +22,11 @@ from pyspark.sql import functions as F
 from annotask.functions.filters import timestamp_literal
 from annotask.operators.keys import id_frame
 from annotask.operators.mutations import REJECTED
-from annotask.schema import TASK_CHANGE_SCHEMA
+from annotask.schema import AS_OF, TASK_CHANGE_SCHEMA
+from annotask.sinks.versions import VERSION, VersionedLog
 
 REJECT, PRIORITY, DELETE = "reject", "priority", "delete"
+_ALWAYS = (1 << 63) - 1
 
 
 def _time(at) -> Column:
@@ -52,14 +59,23 @@ def deletion_changes(spark: SparkSession, task_ids, project_id, at=None) -> Data
     return _rows(id_frame(spark, task_ids, "id"), project_id, DELETE, at)
 
 
-def record_changes(changes: DataFrame, path: str) -> None:
-    """Append changes to the log."""
-    changes.write.mode("append").partitionBy("project_id").parquet(path)
+def change_log(spark: SparkSession, path: str) -> VersionedLog:
+    return VersionedLog(spark, path, TASK_CHANGE_SCHEMA)
 
 
-def read_changes(spark: SparkSession, path: str, project_id=None) -> DataFrame:
-    log = spark.read.schema(TASK_CHANGE_SCHEMA).parquet(path)
-    return log if project_id is None else log.where(F.col("project_id") == F.lit(str(project_id)))
+def record_changes(changes: DataFrame, path: str, project_id=None) -> int:
+    """Append changes to the log (``project_id``: all are of that project); returns their version."""
+    return change_log(changes.sparkSession, path).append(changes, project_id)
+
+
+def changes_version(spark: SparkSession, path: str) -> int:
+    """The log's newest version; -1 before the first change."""
+    return change_log(spark, path).version()
+
+
+def read_changes(spark: SparkSession, path: str, project_id=None, version: int | None = None) -> DataFrame:
+    """The changes of a version of the log (by default the newest), each with its own version."""
+    return change_log(spark, path).read(version, project_id)
 
 
 def apply_changes(tasks: DataFrame, changes: DataFrame, project_id=None) -> DataFrame:
@@ -67,21 +83,27 @@ def apply_changes(tasks: DataFrame, changes: DataFrame, project_id=None) -> Data
 
     The log is reduced to one row per task first, with partial aggregation, so a
     task changed very often, or a project with very many changes, reaches the join
-    as one row per task.
+    as one row per task. Changes without a version (not from a log) hold for every task.
     """
     if project_id is not None:
         tasks = tasks.where(F.col("project_id") == F.lit(str(project_id)))
         changes = changes.where(F.col("project_id") == F.lit(str(project_id)))
 
-    def latest(kind: str, value: str) -> Column:
-        return F.max(F.when(F.col("kind") == kind, F.struct("at", F.col(value).alias("value"))))
+    version = F.coalesce(F.col(VERSION) if VERSION in changes.columns else F.lit(None), F.lit(_ALWAYS)).cast("long")
+
+    def latest(kind: str, *value: str) -> Column:
+        return F.max(F.when(F.col("kind") == kind, F.struct(version.alias("version"), "at", *(F.col(v).alias("value") for v in value))))
 
     folded = changes.groupBy("project_id", "id").agg(
         latest(REJECT, "reasons").alias("_reject"),
         latest(PRIORITY, "priority").alias("_priority"),
-        F.max(F.col("kind") == DELETE).alias("_deleted"),
+        latest(DELETE).alias("_delete"),
     )
-    met = tasks.join(folded, ["project_id", "id"], "left").where(~F.coalesce(F.col("_deleted"), F.lit(False)))
+    met = tasks.join(folded, ["project_id", "id"], "left")
+    if AS_OF in tasks.columns:
+        known = F.coalesce(F.col(AS_OF), F.lit(-1).cast("long"))
+        met = met.withColumns({c: F.when(F.col(f"{c}.version") > known, F.col(c)) for c in ("_reject", "_priority", "_delete")})
+    met = met.where(F.col("_delete").isNull())
     before = F.col("reject_reasons") if "reject_reasons" in tasks.columns else F.lit(None).cast("array<string>")
     new = {
         "state": F.when(F.col("_reject").isNotNull(), F.lit(REJECTED)).otherwise(F.col("state")),

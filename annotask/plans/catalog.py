@@ -14,8 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annotask.functions.filters import parse_timestamp
-from annotask.operators.changes import deletion_changes, priority_changes, record_changes, rejection_changes
+from annotask.operators.changes import changes_version, deletion_changes, priority_changes, record_changes, rejection_changes
 from annotask.operators.mutations import cancel_batches, delete_tasks, reject_tasks, update_priorities
 from annotask.operators.paging import page_completeness, paginate, read_page
 from annotask.operators.requests import task_request_json
@@ -35,13 +34,13 @@ from annotask.schema import STATE_COLUMN_NAMES, TASK_STATES
 from annotask.session import scratch_path
 from annotask.sinks.batches import (
     commit_batch,
+    compact_batch_jobs,
     read_batch_jobs,
     read_committed_requests,
-    read_task_requests,
     record_job_status,
     write_task_batch,
 )
-from annotask.sinks.tables import write_tasks
+from annotask.sinks.tables import compact_changes, write_tasks
 from annotask.sources.pages import explode_envelope, infer_task_schema, page_task_counts, parse_pages, read_task_pages
 from annotask.sources.tables import delivered_tasks, multi_task_status, read_tasks, task_status
 from annotask.streaming.deliveries import deliveries_since_last_call, delivery_rejects, start_delivery_stream
@@ -924,23 +923,69 @@ def q_batch_rerun(spark, sf_dir):
 
 @register(
     "batch_cancel_race",
-    """SELECT batch_id, status, n FROM (VALUES ('late', 'committed'), ('early', 'cancelled')) AS j(batch_id, status)
-  JOIN (SELECT count(*) AS n FROM documents) ON TRUE""",
+    """SELECT batch_id, status, CASE WHEN status = 'committed' THEN (SELECT count(*) FROM documents WHERE lang = 'en') ELSE 0 END AS n
+  FROM (VALUES ('late', 'committed'), ('early', 'cancelled')) AS j(batch_id, status)""",
 )
 def q_batch_cancel_race(spark, sf_dir):
     base = scratch_path(spark, "batch-cancel")
-    docs = D.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    docs = D.table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", "lang")
     jobs = f"{base}/jobs"
+
+    def cancel(batch):
+        current = read_batch_jobs(spark, jobs, project_id="docs").where(F.col("batch_id") == batch)
+        record_job_status(spark, jobs, cancel_batches(current, [batch]), "docs")
+
+    # A run that is opened, cancelled while it is written, and then commits; and one that is cancelled too late.
     done = write_task_batch(docs, f"{base}/requests", "docs", "late", jobs_path=jobs)
-    record_job_status(spark, jobs, cancel_batches(read_batch_jobs(spark, jobs), ["late"]).where("status = 'cancelled'"))
-    # A run that is opened, cancelled while it is written, and then commits.
-    opened = {**done, "batch_id": "early", "attempt": "x", "status": "opened", "n_tasks": None, "n_failed": None}
-    commit_batch(spark, jobs, {**opened, "created_at": parse_timestamp("2024-01-01T00:00:00Z")})
-    current = read_batch_jobs(spark, jobs).where("batch_id = 'early'")
-    record_job_status(spark, jobs, cancel_batches(current, ["early"]))
-    commit_batch(spark, jobs, {**done, "batch_id": "early", "attempt": "x", "created_at": parse_timestamp("2099-01-01T00:00:00Z")})
-    counts = read_task_requests(spark, f"{base}/requests").agg(F.count("*").alias("n"))
-    return read_batch_jobs(spark, jobs).select("batch_id", "status").join(counts)
+    early = {**done, "batch_id": "early", "attempt": "x"}
+    commit_batch(spark, jobs, {**early, "status": "opened", "n_tasks": None, "n_failed": None})
+    cancel("early")
+    compact_batch_jobs(spark, jobs, "docs")
+    commit_batch(spark, jobs, early)
+    commit_batch(spark, jobs, {**done, "status": "cancelled"})
+    seen = read_committed_requests(spark, f"{base}/requests", jobs).groupBy("batch_id").agg(F.count("*").alias("n"))
+    out = read_batch_jobs(spark, jobs).join(seen, "batch_id", "left")
+    return out.select("batch_id", "status", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+# --------------------------------------------------------------------------- M1 a task written back after its rejection
+@register(
+    "reworked_tasks",
+    D.with_views(
+        """SELECT id, project_id, CASE WHEN priority = 1 THEN 'rejected' WHEN state = 'completed' THEN 'approved' ELSE state END AS state,
+         CASE WHEN priority = 1 THEN 'again' END AS reasons
+  FROM tasks""",
+        "tasks",
+    ),
+)
+def q_reworked_tasks(spark, sf_dir):
+    """Completed tasks are rejected, approved in the table as of that change; some are rejected once more, before and after a compaction."""
+    base = scratch_path(spark, "reworked")
+    log, path = f"{base}/changes", f"{base}/tasks"
+    tasks = D.tasks(spark, sf_dir)
+    write_tasks(tasks, path)
+
+    def reject(df, why):
+        for project in ("2", "3"):
+            of = df.where(F.col("project_id") == project).select("id", F.array(F.lit(why)).alias("reasons"))
+            record_changes(rejection_changes(of, project), log, project)
+        rest = df.where(~F.col("project_id").isin("2", "3"))
+        changes = rejection_changes(rest.select("id", F.array(F.lit(why)).alias("reasons"), "project_id"), "")
+        made = changes.drop("project_id").join(rest.select("id", "project_id"), "id")
+        record_changes(made, log)
+
+    reject(tasks.where("state = 'completed'"), "first")
+    version = changes_version(spark, log)
+    seen = read_tasks(spark, path, log, version=version)
+    approved = F.array_contains("reject_reasons", "first")
+    write_tasks(
+        seen.withColumn("state", F.when(approved, F.lit("approved")).otherwise(F.col("state"))).withColumn("reject_reasons", F.lit(None)),
+        f"{base}/reworked", as_of=version,
+    )
+    reject(tasks.where("priority = 1"), "again")
+    compact_changes(spark, f"{base}/reworked", log, "3")
+    out = read_tasks(spark, f"{base}/reworked", log)
+    return out.select("id", "project_id", "state", F.array_join("reject_reasons", "|").alias("reasons"))
 
 
 # --------------------------------------------------------------------------- A2 P6 inputs that failed by themselves

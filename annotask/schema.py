@@ -54,6 +54,9 @@ TASK_SCHEMA = T.StructType(
 # The stored task table also keeps why a task was rejected.
 STORED_TASK_SCHEMA = T.StructType(TASK_SCHEMA.fields + [T.StructField("reject_reasons", T.ArrayType(T.StringType()))])
 
+# A stored task's state takes in the change log up to this version (NULL: none of it).
+AS_OF = "_as_of"
+
 # Log of state changes to tasks.
 TASK_CHANGE_SCHEMA = T.StructType(
     [

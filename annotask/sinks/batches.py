@@ -10,6 +10,10 @@ that was cancelled before its commit stays cancelled; a committed one cannot be
 cancelled any more. Nothing passes through the driver except row counts, gathered
 with ``observe`` in the same pass.
 
+The job log is versioned (``sinks.versions``): what came before what is told by
+the versions in which the rows were committed, not by the writers' clocks, and
+compaction takes out only the folders that it read.
+
 Requests are Parquet partitioned by ``project_id`` alone, batch, attempt and
 outcome being columns: listing them does not grow with the number of batches'
 folders.
@@ -34,6 +38,7 @@ from annotask.schema import (
     JOB_LOG_SCHEMA,
     PREANNOTATION_PREFIX,
 )
+from annotask.sinks.versions import VERSION, VersionedLog
 
 OPENED, COMMITTED = "opened", "committed"
 ACCEPTED, REJECTED = "accepted", "rejected"
@@ -98,53 +103,77 @@ def write_task_batch(
         commit_batch(spark, jobs_path, job)
         # The log decides: a cancel that came before this row stands.
         of_batch = (F.col("project_id") == F.lit(str(project_id))) & (F.col("batch_id") == F.lit(str(batch_id)))
-        job["status"] = read_batch_jobs(spark, jobs_path).where(of_batch).first()["status"]
+        job["status"] = read_batch_jobs(spark, jobs_path, project_id=project_id).where(of_batch).first()["status"]
     return job
 
 
-def commit_batch(spark: SparkSession, jobs_path: str, job: dict) -> None:
-    """Append a job row; a ``committed`` one makes the attempt it names visible to readers."""
+def job_log(spark: SparkSession, jobs_path: str) -> VersionedLog:
+    return VersionedLog(spark, jobs_path, JOB_LOG_SCHEMA)
+
+
+def commit_batch(spark: SparkSession, jobs_path: str, job: dict) -> int:
+    """Append a job row; a ``committed`` one makes the attempt it names visible to readers. Returns its version."""
     row = tuple(job.get(f.name) for f in JOB_LOG_SCHEMA.fields)
-    spark.createDataFrame([row], JOB_LOG_SCHEMA).write.mode("append").partitionBy("project_id").parquet(jobs_path)
+    # One row needs one task, whatever the session's parallelism.
+    frame = spark.createDataFrame([row], JOB_LOG_SCHEMA).coalesce(1)
+    return job_log(spark, jobs_path).append(frame, job["project_id"])
 
 
-def read_batch_jobs(spark: SparkSession, jobs_path: str, latest: bool = True) -> DataFrame:
-    """The batch-job log; by default the latest row per (project, batch).
+def _attempts(log: DataFrame) -> DataFrame:
+    """Per attempt at a batch the rows that decide: its first, its first cancel and commit, its last but cancels.
 
-    The log is append-only. Of a batch the attempt opened last counts. A
-    cancel row ends that attempt if it came before the attempt's commit, and is
-    void after it; otherwise the attempt's latest row counts. The log has a few
-    rows per batch, so these aggregations are small.
+    The log has a few rows per attempt, so this aggregation is small.
     """
-    log = spark.read.schema(JOB_LOG_SCHEMA).parquet(jobs_path)
-    if not latest:
-        return log
-    names = [f.name for f in JOB_LOG_SCHEMA.fields]
-    row = F.struct("created_at", *[n for n in names if n != "created_at"])
+    row = F.struct(VERSION, "created_at", *[f.name for f in JOB_LOG_SCHEMA.fields if f.name != "created_at"])
     cancel, commit = F.col("status") == CANCELLED, F.col("status") == COMMITTED
-    attempts = log.groupBy("project_id", "batch_id", "attempt").agg(
-        F.min("created_at").alias("_opened"),
+    return log.groupBy("project_id", "batch_id", "attempt").agg(
+        F.min(row).alias("_first"),
         F.min(F.when(cancel, row)).alias("_cancel"),
-        F.min(F.when(commit, F.col("created_at"))).alias("_commit"),
+        F.min(F.when(commit, row)).alias("_commit"),
         F.max(F.when(~cancel, row)).alias("_last"),
     )
-    stands = F.col("_cancel").isNotNull() & (F.col("_commit").isNull() | (F.col("_cancel.created_at") <= F.col("_commit")))
-    job = F.when(stands, F.col("_cancel")).otherwise(F.col("_last"))
-    last = attempts.groupBy("project_id", "batch_id").agg(F.max_by(job, F.struct("_opened", "attempt")).alias("_j"))
+
+
+def _current(log: DataFrame) -> DataFrame:
+    """Per (project, batch) the row that counts.
+
+    Of a batch the attempt opened last counts. A cancel row ends that attempt if
+    it came before the attempt's commit, and is void after it; otherwise the
+    attempt's latest row counts.
+    """
+    names = [f.name for f in JOB_LOG_SCHEMA.fields]
+    before = F.col("_commit").isNull() | (F.col(f"_cancel.{VERSION}") < F.col(f"_commit.{VERSION}"))
+    job = F.when(F.col("_cancel").isNotNull() & before, F.col("_cancel")).otherwise(F.col("_last"))
+    opened = F.struct(F.col(f"_first.{VERSION}"), "attempt")
+    last = _attempts(log).groupBy("project_id", "batch_id").agg(F.max_by(job, opened).alias("_j"))
     return last.select(*[F.col(n) if n in ("project_id", "batch_id") else F.col(f"_j.{n}").alias(n) for n in names])
 
 
-def record_job_status(spark: SparkSession, jobs_path: str, jobs: DataFrame) -> None:
-    """Append changed job rows (e.g. from ``cancel_batches``) with a new time."""
+def read_batch_jobs(spark: SparkSession, jobs_path: str, latest: bool = True, project_id=None, version: int | None = None) -> DataFrame:
+    """The batch-job log; by default the current row per (project, batch). ``version``: as of that version."""
+    log = job_log(spark, jobs_path).read(version, project_id)
+    return _current(log) if latest else log.drop(VERSION)
+
+
+def record_job_status(spark: SparkSession, jobs_path: str, jobs: DataFrame, project_id=None) -> int:
+    """Append changed job rows (e.g. from ``cancel_batches``) with a new time; returns their version."""
     now = F.lit(_now().strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     cols = [now.alias("created_at") if f.name == "created_at" else F.col(f.name) for f in JOB_LOG_SCHEMA.fields]
-    jobs.select(*cols).write.mode("append").partitionBy("project_id").parquet(jobs_path)
+    return job_log(spark, jobs_path).append(jobs.select(*cols), project_id)
+
 
+def compact_batch_jobs(spark: SparkSession, jobs_path: str, project_id) -> int:
+    """Keep the rows that decide about a project's attempts, in place of the folders of its log that were read.
 
-def compact_batch_jobs(spark: SparkSession, jobs_path: str, project_id) -> None:
-    """Keep a project's current job rows only, in place of its log's many small files."""
-    jobs = read_batch_jobs(spark, jobs_path).where(F.col("project_id") == F.lit(str(project_id)))
-    jobs.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("project_id").parquet(jobs_path)
+    Rows keep their versions, so what is appended meanwhile or later (a commit, a cancel) is judged as
+    it would have been before. Another compaction that finished first is a LogConflict; nothing is lost then.
+    Folders with rows of several projects stay as they are.
+    """
+    log = job_log(spark, jobs_path)
+    read = [f for f in log.folders(project_id=project_id) if "project" in f]
+    rows = F.array_distinct(F.array_compact(F.array("_first", "_cancel", "_commit", "_last")))
+    kept = _attempts(log.read(folders=read)).select(F.explode(rows).alias("_row")).select("_row.*")
+    return log.rewrite(kept.coalesce(1), read, project_id)
 
 
 def read_task_requests(spark: SparkSession, path: str, outcome: str = ACCEPTED) -> DataFrame:
@@ -165,7 +194,7 @@ def read_committed_requests(
     With ``data_schema`` the request JSON is parsed into
     ``data``/``priority``/``submit`` columns.
     """
-    jobs = filter_tasks(read_batch_jobs(spark, jobs_path), project_id=project_id).where(~F.col("status").isin(OPENED, CANCELLED))
+    jobs = read_batch_jobs(spark, jobs_path, project_id=project_id).where(~F.col("status").isin(OPENED, CANCELLED))
     keys = ["project_id", "batch_id", "attempt"]
     lines = filter_tasks(read_task_requests(spark, path, outcome), project_id=project_id)
     lines = lines.join(jobs.select(*keys), keys, "left_semi").select("value", "project_id", "batch_id", "outcome")

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from annotask.functions.json import answers_to_json
-from annotask.operators.changes import DELETE, apply_changes, read_changes
-from annotask.schema import DELIVERY_SCHEMA, PAGE_RECORD_SCHEMA, STORED_TASK_SCHEMA
+from annotask.operators.changes import DELETE, apply_changes, change_log
+from annotask.schema import AS_OF, DELIVERY_SCHEMA, PAGE_RECORD_SCHEMA, STORED_TASK_SCHEMA
+from annotask.sinks.versions import VERSION, LogConflict
 from annotask.sources.pages import explode_all, read_landing, read_page_files, rejects_of, rows_of
 
 
@@ -52,9 +53,16 @@ def _write(
     writer.parquet(path)
 
 
-def write_tasks(df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int | None = None) -> None:
-    """Write a task table; ``overwrite`` replaces only the projects present in ``df``."""
-    _write(answers_to_json(_conform(df, STORED_TASK_SCHEMA)), path, "created_at", mode, max_records_per_file)
+def write_tasks(
+    df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int | None = None, as_of: int | None = None
+) -> None:
+    """Write a task table; ``overwrite`` replaces only the projects present in ``df``.
+
+    ``as_of``: the version of the change log that these tasks were read with (``changes_version``, then
+    ``read_tasks(..., version=...)``): readers fold only later changes into them.
+    """
+    rows = answers_to_json(_conform(df, STORED_TASK_SCHEMA)).withColumn(AS_OF, F.lit(as_of).cast("long"))
+    _write(rows, path, "created_at", mode, max_records_per_file)
 
 
 def write_deliveries(df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int | None = None) -> None:
@@ -64,15 +72,29 @@ def write_deliveries(df: DataFrame, path: str, mode: str = "overwrite", max_reco
 def compact_changes(spark: SparkSession, tasks_path: str, changes_path: str, project_id) -> None:
     """Fold a project's changes into its part of the task table.
 
-    Deletions stay in the log: they also hold for a project that is left without
-    tasks, whose folder no write replaces. Folding a change twice changes
-    nothing, so a stop between the two writes does no harm.
+    One version of the log is read and folded; the tasks are written as of that
+    version, and then the folders of that version that held the project alone are replaced in the
+    log. What others append meanwhile is of a later version: it stays in the log and is
+    folded into the rewritten tasks by every read. Deletions stay in the log: they also hold for a project
+    that is left without tasks, whose folder no write replaces. A stop between the two writes does no harm,
+    and of two compactions at once the second leaves the log as the first made it.
     """
-    tasks = spark.read.schema(STORED_TASK_SCHEMA).parquet(tasks_path)
-    log = read_changes(spark, changes_path, project_id)
-    write_tasks(apply_changes(tasks, log, project_id), tasks_path)
-    kept = log.where(F.col("kind") == DELETE).distinct()
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("project_id").parquet(changes_path)
+    log = change_log(spark, changes_path)
+    version = log.version()
+    read = log.folders(version, project_id)
+    changes = log.read(version, project_id)
+    stored = T.StructType([*STORED_TASK_SCHEMA.fields, T.StructField(AS_OF, T.LongType())])
+    tasks = spark.read.schema(stored).parquet(tasks_path)
+    write_tasks(apply_changes(tasks, changes, project_id), tasks_path, as_of=version)
+    own = [f for f in read if "project" in f]
+    if own:
+        kept = log.read(folders=own).where(F.col("kind") == DELETE)
+        newest = F.max(VERSION).alias(VERSION)
+        kept = kept.groupBy("project_id", "id", "kind", "reasons", "priority").agg(F.max("at").alias("at"), newest)
+        try:
+            log.rewrite(kept, own, project_id)
+        except LogConflict:
+            pass
 
 
 def landing_name(landing_path: str) -> str:

@@ -8,8 +8,8 @@ filters are pushed into the scan, the project filter prunes folders, and
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from annotask.functions.filters import filter_tasks
 from annotask.functions.json import answers_to_json
@@ -17,26 +17,22 @@ from annotask.operators.projections import omit_answers as _omit_answers
 from annotask.operators.projections import same_as_delivery as _same_as_delivery
 from annotask.operators.keys import id_frame
 from annotask.operators.changes import apply_changes, read_changes
-from annotask.schema import DELIVERY_SCHEMA, STORED_TASK_SCHEMA
+from annotask.schema import AS_OF, DELIVERY_SCHEMA, STORED_TASK_SCHEMA
 
 
-def read_tasks(spark: SparkSession, path: str, changes_path: str | None = None, project_id=None) -> DataFrame:
+def read_tasks(
+    spark: SparkSession, path: str, changes_path: str | None = None, project_id=None, version: int | None = None
+) -> DataFrame:
     """A task table written partitioned by project (declared schema, no inference).
 
-    With ``changes_path`` as its log of state changes leaves it; with
-    ``project_id`` only that project's part of both is read.
+    With ``changes_path`` as its log of state changes leaves it (``version``: as that version of the log does);
+    with ``project_id`` only that project's part of both is read.
     """
-    tasks = spark.read.schema(STORED_TASK_SCHEMA).parquet(path)
-    tasks = filter_tasks(tasks, project_id=project_id)
+    stored = STORED_TASK_SCHEMA if changes_path is None else T.StructType([*STORED_TASK_SCHEMA.fields, T.StructField(AS_OF, T.LongType())])
+    tasks = filter_tasks(spark.read.schema(stored).parquet(path), project_id=project_id)
     if changes_path is None:
         return tasks
-    try:
-        changes = read_changes(spark, changes_path, project_id)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return tasks  # no change was ever recorded
-    return apply_changes(tasks, changes)
+    return apply_changes(tasks, read_changes(spark, changes_path, project_id, version)).drop(AS_OF)
 
 
 def read_deliveries(spark: SparkSession, path: str) -> DataFrame:
