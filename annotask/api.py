@@ -27,6 +27,7 @@ from annotask.sinks.batches import REJECTED, read_batch_jobs, read_committed_req
 from annotask.sources import tables
 from annotask.sources.pages import explode_envelope, read_landing, variant_type
 from annotask.streaming.deliveries import deliveries_since_last_call
+from annotask.streaming.feed import call_deliveries
 
 
 @dataclass
@@ -39,6 +40,7 @@ class AnnotationTables:
     jobs_path: str | None = None
     projects_path: str | None = None
     changes_path: str | None = None
+    feed_path: str | None = None
 
     # ------------------------------------------------------------------ tables
     def tasks(self, project_id=None, spark: SparkSession | None = None) -> DataFrame:
@@ -122,8 +124,16 @@ class AnnotationTables:
 
     def get_delivered_tasks_since_last_call_to_table(
         self, spark=None, project_id=None, batch_id=None, client_batch_id=None, client_batch_id_match_type=None,
-        consumer=None,
+        consumer=None, limit=None, call=None,
     ) -> DataFrame:
+        """With ``feed_path`` set: at most ``limit`` rows in landing order, and a call can be named, to be read again."""
+        if self.feed_path is not None:
+            return call_deliveries(
+                spark or self.spark, self._need(self.landing_path, "landing_path"), self.feed_path, project_id, consumer,
+                limit, call, batch_id, client_batch_id, client_batch_id_match_type,
+            )
+        if limit is not None or call is not None:
+            raise ValueError("feed_path is not set: limits and named calls need it")
         return deliveries_since_last_call(
             spark or self.spark, self._need(self.landing_path, "landing_path"), consumer=consumer,
             project_id=project_id, batch_id=batch_id, client_batch_id=client_batch_id,

@@ -44,6 +44,7 @@ from annotask.sinks.tables import compact_changes, write_tasks
 from annotask.sources.pages import explode_envelope, infer_task_schema, page_task_counts, parse_pages, read_task_pages
 from annotask.sources.tables import delivered_tasks, multi_task_status, read_tasks, task_status
 from annotask.streaming.deliveries import deliveries_since_last_call, delivery_rejects, start_delivery_stream
+from annotask.streaming.feed import call_deliveries, publish, read_whole_feed
 from annotask.streaming.task_batches import stream_task_batches
 
 
@@ -696,6 +697,57 @@ def q_since_last_call(spark, sf_dir):
     return first.select(*cols, F.lit(1).alias("call")).unionByName(second.select(*cols, F.lit(2).alias("call")))
 
 
+# --------------------------------------------------------------------------- T1 calls of a number of rows, from the numbered feed
+_SEQ_SQL = f"""SELECT id, project_id, delivered_at, delivered_at < TIMESTAMP '{_SPLIT}' AS early,
+         row_number() OVER (PARTITION BY project_id ORDER BY delivered_at >= TIMESTAMP '{_SPLIT}', delivered_at, id) AS seq
+  FROM deliveries"""
+
+
+def _landed_twice(spark, sf_dir, between, after):
+    """All projects' deliveries in two landings, one page per project each; calls made between and after them."""
+    base = scratch_path(spark, "feed")
+    landing, feed = f"{base}/landing", f"{base}/feed"
+    dl = D.deliveries(spark, sf_dir)
+    cut = F.lit(_SPLIT).cast("timestamp_ntz")
+    out = []
+    for tag, rows, calls in (("-a", dl.where(F.col("delivered_at") < cut), between), ("-b", dl.where(F.col("delivered_at") >= cut), after)):
+        land_pages(rows.withColumn("_r", F.concat(F.col("project_id"), F.lit(tag))), landing, 1_000_000, "_r", ("delivered_at", "id"))
+        publish(spark, landing, feed)
+        out += [call(landing, feed) for call in calls]
+    return out, feed
+
+
+@register(
+    "since_last_call_limited",
+    D.with_views(
+        f"""SELECT consumer, s.project_id, s.id, s.seq,
+         CASE WHEN consumer = 'b' THEN 1 WHEN seq <= c1 THEN 1 WHEN seq <= c2 THEN 2 WHEN seq <= c3 THEN 3 ELSE 4 END AS call
+  FROM ({_SEQ_SQL}) s
+  JOIN (SELECT project_id, least(50, e) AS c1, least(least(50, e) + 70, e) AS c2, least(least(least(50, e) + 70, e) + 30, n) AS c3
+        FROM (SELECT project_id, count(*) FILTER (WHERE early) AS e, count(*) AS n FROM ({_SEQ_SQL}) GROUP BY project_id)) USING (project_id)
+  JOIN (VALUES ('a', '3'), ('a', '4'), ('b', '4')) AS c(consumer, project) ON s.project_id = c.project""",
+        "deliveries",
+    ),
+)
+def q_since_last_call_limited(spark, sf_dir):
+    def call(consumer, project, number, limit=None):
+        def run(landing, feed):
+            rows = call_deliveries(spark, landing, feed, project, consumer, limit, discover=False)
+            return rows.select(F.lit(consumer).alias("consumer"), "project_id", "id", "seq", F.lit(number).alias("call"))
+
+        return run
+
+    between = [call("a", p, n, limit) for p in ("3", "4") for n, limit in ((1, 50), (2, 70))]
+    after = [call("a", p, n, limit) for p in ("3", "4") for n, limit in ((3, 30), (4, None))] + [call("b", "4", 1)]
+    return reduce(DataFrame.unionByName, _landed_twice(spark, sf_dir, between, after)[0])
+
+
+@register("delivery_feed", D.with_views(f"SELECT id, project_id, seq FROM ({_SEQ_SQL})", "deliveries"))
+def q_delivery_feed(spark, sf_dir):
+    _, feed = _landed_twice(spark, sf_dir, [], [])
+    return read_whole_feed(spark, feed).select("id", "project_id", "seq")
+
+
 # --------------------------------------------------------------------------- T2 continuous stream
 @register("delivery_stream", D.with_views(f"{_DELIVERY_ROWS_SQL}\n  FROM deliveries", "deliveries"))
 def q_delivery_stream(spark, sf_dir):
