@@ -128,14 +128,19 @@ def train(
     label_col: str = "label",
     max_rows: int = MAX_TRAINING_ROWS,
     rows_per_learner: int = ROWS_PER_LEARNER,
+    texts: DataFrame | None = None,
 ) -> DataFrame:
     """(coordinate, weight) learned from ``labelled`` (rows with a null label are left out).
 
     Of more than about ``max_rows`` rows a share of each label is taken by hash of
-    the id: all rows of the rarer label, up to half of ``max_rows``.
+    the id: all rows of the rarer label, up to half of ``max_rows``. With ``texts`` (id, text) the labelled
+    rows need no text: the sample is drawn from the ids, and only its texts are fetched.
     """
     rows = labelled.where(F.col(label_col).isNotNull()).select(
-        F.xxhash64(F.col(id_col)).alias("draw"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")
+        F.col(id_col).alias("key"),
+        F.xxhash64(F.col(id_col)).alias("draw"),
+        F.col(label_col).cast("int").alias("label"),
+        *([F.col(text_col).alias("text")] if texts is None else []),
     )
     seen = rows.agg(F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("ones")).first()
     ones, others = seen["ones"], seen["n"] - seen["ones"]
@@ -146,6 +151,11 @@ def train(
     # The upper bits draw the sample, the lower ones deal it out.
     limit = F.when(F.col("label") == 1, int(share_one * (1 << 48))).otherwise(int(share_other * (1 << 48)))
     drawn = rows.where(F.shiftrightunsigned("draw", 16) < limit)
+    if texts is not None:
+        # About max_rows ids: every task gets them, and no text but theirs leaves its task.
+        ids = written(drawn, "toxicity-drawn")
+        drawn = texts.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(ids), "key")
+    drawn = drawn.drop("key")
     drawn = drawn.withColumn("fold", F.pmod(F.shiftrightunsigned("draw", 8), F.lit(CALIBRATION)).cast("int"))
     drawn = written(drawn.withColumn("learner", F.pmod(F.col("draw"), F.lit(learners))), "toxicity-sample")
 
@@ -229,7 +239,8 @@ def toxicity(
     """
     known = labels.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(id_col, F.col(label_col).alias("label"))
     texts = (df if reference is None else reference).select(id_col, F.col(text_col).alias("text"))
-    weights = written(train(texts.join(known, id_col), id_col, "text"), "toxicity-weights")
+    labelled = known.join(texts.select(id_col), id_col, "left_semi")
+    weights = written(train(labelled, id_col, "text", texts=texts), "toxicity-weights")
     added = ("held_out", "score", "predicted")
     found = scored(df.drop(*added), weights, text_col)
     return found.withColumn("held_out", held_out(F.col(id_col))).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
