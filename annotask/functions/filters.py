@@ -57,6 +57,8 @@ def timestamp_literal(value, data_type: T.DataType = T.TimestampNTZType()) -> Co
 
 _RFC3339_SQL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$"
 _EPOCH_NTZ = "1970-01-01 00:00:00"
+# The service's own spelling, which a cast reads as it is.
+_PLAIN_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?Z?$"
 
 
 def rfc3339_column(column, data_type: T.DataType = T.TimestampNTZType()) -> Column:
@@ -67,6 +69,13 @@ def rfc3339_column(column, data_type: T.DataType = T.TimestampNTZType()) -> Colu
     session time zone: NTZ values hold UTC wall time.
     """
     column = F.col(column) if isinstance(column, str) else column
+    wall = F.substring_index(column, "Z", 1)
+    if isinstance(data_type, T.TimestampType):
+        wall = F.concat(wall, F.lit("Z"))
+    return F.when(column.rlike(_PLAIN_TIME), wall.try_cast(data_type)).otherwise(_any_rfc3339(column, data_type))
+
+
+def _any_rfc3339(column: Column, data_type: T.DataType) -> Column:
     text = F.regexp_replace(F.upper(F.trim(column)), r"(\.\d{6})\d+", "$1")
     text = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2})(Z|[+-]\d{2}:?\d{2})?$", "$1T00:00:00$2")
     text = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), text).otherwise(F.concat(text, F.lit("Z")))

@@ -11,6 +11,10 @@ empty body (``{}``, ``[]``, ``null``, blank: no rows; ``{"tasks": null}`` too).
 Anything else is rejected as a body. Of a body that is an envelope, each record
 is judged by itself: a record that is no object, or has a value that its column's
 type cannot hold, is rejected, and the others are kept. Nothing is both.
+
+A body is parsed once, straight into the record's types. Only where that leaves a
+doubt (something did not fit, or the text is no envelope) is it taken apart again,
+body, records and fields each as text, to see what exactly was wrong.
 """
 
 from __future__ import annotations
@@ -66,25 +70,58 @@ def _typed(text: Column, dtype: T.DataType) -> Column:
     return text.try_cast(dtype)
 
 
+# A body is parsed inside this text: whatever follows or closes it too early
+# leaves the end mark out of place.
+_END = "_end_of_the_body"
+
+
+def _whole(body: Column, envelope: T.StructType) -> Column:
+    """The body parsed as one envelope and nothing else: ``v`` (one element), the end mark and, where anything
+    did not fit, the corrupt text."""
+    schema = T.StructType(
+        [T.StructField("v", T.ArrayType(envelope)), T.StructField(_END, T.IntegerType()), T.StructField(CORRUPT_FIELD, T.StringType())]
+    )
+    strict = JSON_OPTIONS | {"allowNonNumericNumbers": "false"}
+    return F.from_json(F.concat(F.lit('{"v":['), body, F.lit(f'],"{_END}":1}}')), schema, strict)
+
+
+def _fits(whole: Column, body: Column) -> Column:
+    """Whether the body is an envelope with a task or tasks, all of whose values fit."""
+    env = F.get(whole.getField("v"), F.lit(0))
+    holds = env.getField("task").isNotNull() | env.getField("tasks").isNotNull()
+    one = (F.size(whole.getField("v")) == 1) & (whole.getField(_END) == 1) & whole.getField(CORRUPT_FIELD).isNull()
+    return F.coalesce(one & holds & ~F.contains(body, F.lit(_END)), F.lit(False))
+
+
 def _is_empty_body(body: Column) -> Column:
     return F.coalesce(F.trim(body), F.lit("")).isin(*_EMPTY_BODIES)
 
 
-def parse_pages(df: DataFrame, body_col: str = "value") -> DataFrame:
-    """Per page: the parsed envelope, its record count and a reject flag."""
-    body = F.col(body_col)
-    parsed = df.withColumn("_env", F.from_json(body, ENVELOPE_SCHEMA, JSON_OPTIONS))
-    n = (
-        F.when(F.col("_env.task").isNotNull(), F.lit(1))
-        .when(F.col("_env.tasks").isNotNull(), F.size("_env.tasks"))
-        .otherwise(F.lit(0))
-    )
+def _slow_parse(df: DataFrame, body: Column, fits: Column) -> DataFrame:
+    """For the bodies in doubt: the envelope with its records as text, and whether it is rejected."""
+    env = F.from_json(body, ENVELOPE_SCHEMA, JSON_OPTIONS)
+    df = df.withColumn("_env", F.when(~fits, env))
     keys = F.json_object_keys(body)
     has_key = F.coalesce(F.array_contains(keys, "task") | F.array_contains(keys, "tasks"), F.lit(False))
     sound = F.col(f"_env.{CORRUPT_FIELD}").isNull() & has_key & is_one_json_value(body)
     rejected = ~_is_empty_body(body) & ~F.coalesce(sound, F.lit(False))
-    parsed = parsed.withColumn("rejected", F.coalesce(rejected, F.lit(True)))
-    return parsed.withColumn("n_tasks", F.when(F.col("rejected"), F.lit(0)).otherwise(n).cast("int"))
+    return df.withColumn("rejected", F.when(fits, F.lit(False)).otherwise(F.coalesce(rejected, F.lit(True))))
+
+
+def _count(env: Column) -> Column:
+    task, tasks = env.getField("task"), env.getField("tasks")
+    return F.when(task.isNotNull(), F.lit(1)).when(tasks.isNotNull(), F.size(tasks)).otherwise(F.lit(0))
+
+
+def parse_pages(df: DataFrame, body_col: str = "value") -> DataFrame:
+    """Per page: its record count and a reject flag."""
+    body = F.col(body_col)
+    text_envelope = T.StructType([f for f in ENVELOPE_SCHEMA.fields if f.name != CORRUPT_FIELD])
+    parsed = df.withColumn("_whole", _whole(body, text_envelope))
+    parsed = parsed.withColumn("_fits", _fits(F.col("_whole"), body))
+    parsed = _slow_parse(parsed, body, F.col("_fits"))
+    n = F.when(F.col("_fits"), _count(F.get("_whole.v", F.lit(0)))).when(F.col("rejected"), F.lit(0)).otherwise(_count(F.col("_env")))
+    return parsed.withColumn("n_tasks", n.cast("int")).drop("_whole", "_fits", "_env")
 
 
 def _kept_names(keep, record_schema: T.StructType) -> dict[str, str]:
@@ -108,26 +145,49 @@ def explode_all(
     """
     keep = tuple(c for c in df.columns if c != body_col) if keep is None else keep
     names = _kept_names((*keep, "position"), record_schema)
-    pages = parse_pages(df.select(*keep, F.col(body_col).alias("_body")), "_body")
-    task, tasks = F.col("_env.task"), F.col("_env.tasks")
+    # Times come in several spellings: they are parsed as text first.
+    record = T.StructType([T.StructField(f.name, T.StringType() if _is_time(f.dataType) else f.dataType) for f in record_schema.fields])
+    typed_envelope = T.StructType([T.StructField("task", record), T.StructField("tasks", T.ArrayType(record))])
+    body = F.col("_body")
+    pages = df.select(*keep, F.col(body_col).alias("_body")).withColumn("_whole", _whole(body, typed_envelope))
+    pages = pages.withColumn("_fits", _fits(F.col("_whole"), body))
+    pages = _slow_parse(pages, body, F.col("_fits"))
+
+    def items(env: Column) -> Column:
+        return F.when(env.getField("task").isNotNull(), F.array(env.getField("task"))).otherwise(env.getField("tasks"))
+
     none = F.array(F.lit(None).cast("string"))
-    items = F.when(F.col("rejected"), none).when(task.isNotNull(), F.array(task)).otherwise(tasks)
-    rows = pages.select(*keep, "rejected", "_body", F.posexplode(items).alias("_pos", "_record"))
-    fields = _fields_as_text(F.col("_record"), record_schema)
-    rows = rows.withColumn("_fields", fields)
-    is_object = F.col("_record").startswith("{") & F.col(f"_fields.{CORRUPT_FIELD}").isNull()
-    typed = {f.name: _typed(F.col("_fields").getField(f.name), f.dataType) for f in record_schema.fields}
-    rows = rows.select("*", F.struct(*[c.alias(n) for n, c in typed.items()], F.lit(1).alias("_")).alias("_typed"))
-    misfit = [
-        F.col("_fields").getField(f.name).isNotNull() & F.col("_typed").getField(f.name).isNull()
-        for f in record_schema.fields
-        if not isinstance(f.dataType, T.StringType)
-    ]
-    bad = reduce(lambda a, b: a | b, misfit, ~F.coalesce(is_object, F.lit(False)))
+    as_text = F.when(F.col("_fits"), F.lit(None)).when(F.col("rejected"), none).otherwise(items(F.col("_env")))
+    as_types = F.when(F.col("_fits"), items(F.get("_whole.v", F.lit(0))))
+    pages = pages.withColumn("_types", F.coalesce(as_types, F.array().cast(T.ArrayType(record))))
+    pages = pages.withColumn("_texts", F.coalesce(as_text, F.array().cast("array<string>")))
+    both = F.arrays_zip("_types", "_texts")
+    rows = pages.select(*keep, "rejected", "_fits", "_body", F.posexplode(both).alias("_pos", "_item"))
+    fits, given, text = F.col("_fits"), F.col("_item").getField("_types"), F.col("_item").getField("_texts")
+    rows = rows.withColumn("_fields", F.when(~fits, _fields_as_text(text, record_schema)))
+    is_object = F.when(fits, given.isNotNull()).otherwise(text.startswith("{") & F.col(f"_fields.{CORRUPT_FIELD}").isNull())
+
+    def typed(f: T.StructField) -> Column:
+        fast = _typed(given.getField(f.name), f.dataType) if _is_time(f.dataType) else given.getField(f.name)
+        return F.when(fits, fast).otherwise(_typed(F.col("_fields").getField(f.name), f.dataType))
+
+    rows = rows.select("*", F.struct(*[typed(f).alias(f.name) for f in record_schema.fields], F.lit(1).alias("_")).alias("_typed"))
+
+    def misfit(f: T.StructField) -> Column:
+        had = F.col("_fields").getField(f.name).isNotNull()
+        if _is_time(f.dataType):
+            had = F.when(fits, given.getField(f.name).isNotNull()).otherwise(had)
+        else:
+            had = ~fits & had  # what fits was checked by the parse
+        return had & F.col("_typed").getField(f.name).isNull()
+
+    misfits = [misfit(f) for f in record_schema.fields if not isinstance(f.dataType, T.StringType)]
+    bad = reduce(lambda a, b: a | b, misfits, ~F.coalesce(is_object, F.lit(False)))
     outcome = F.when(F.col("rejected"), F.lit(BAD_BODY)).when(bad, F.lit(BAD_RECORD)).otherwise(F.lit(ROW))
     position = F.when(~F.col("rejected"), F.col("_pos") + 1).cast("int").alias(names["position"])
     rows = rows.withColumn("_outcome", outcome)
-    text = F.when(F.col("_outcome") == BAD_BODY, F.col("_body")).when(F.col("_outcome") == BAD_RECORD, F.col("_record"))
+    again = F.get(items(F.from_json(body, ENVELOPE_SCHEMA, JSON_OPTIONS)), F.col("_pos"))
+    text = F.when(F.col("_outcome") == BAD_BODY, body).when(F.col("_outcome") == BAD_RECORD, F.when(fits, again).otherwise(text))
     return rows.select(
         *[F.col(c).alias(names[c]) for c in keep],
         position,
