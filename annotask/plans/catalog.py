@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from annotask.operators.changes import changes_version, deletion_changes, priority_changes, record_changes, rejection_changes
 from annotask.operators.mutations import cancel_batches, delete_tasks, reject_tasks, update_priorities
+from annotask.operators.page_runs import merge_steps, missing_pages, page_steps
 from annotask.operators.paging import page_completeness, paginate, read_page
+from annotask.operators.rank_index import indexed_page, update_rank_index
 from annotask.operators.requests import task_request_json
 from annotask.operators.retry import classify_responses, request_outcomes, retry_queue
 from annotask.operators.stats import (
@@ -748,6 +750,49 @@ def q_delivery_feed(spark, sf_dir):
     return read_whole_feed(spark, feed).select("id", "project_id", "seq")
 
 
+# --------------------------------------------------------------------------- L1 pages by the rank index
+_INDEXED = (("7", 1), ("7", 3), ("0", 2), ("19", 4))
+
+
+@register(
+    "rank_index_pages",
+    D.with_views(
+        f"""SELECT id, project_id, page, created_at FROM (
+    SELECT id, project_id, created_at,
+           CAST((row_number() OVER (PARTITION BY project_id ORDER BY created_at, id) - 1) // 100 + 1 AS INTEGER) AS page FROM tasks)
+  WHERE (project_id, page) IN ({", ".join(f"('{p}', {n})" for p, n in _INDEXED)})""",
+        "tasks",
+    ),
+)
+def q_rank_index_pages(spark, sf_dir):
+    path = f"{scratch_path(spark, 'rank-index')}/tasks"
+    write_tasks(D.tasks(spark, sf_dir), path, max_records_per_file=250, ranged=True)
+    update_rank_index(spark, path)
+    pages = [indexed_page(spark, path, p, n, 100).select("id", "project_id", F.lit(n).alias("page"), "created_at") for p, n in _INDEXED]
+    return reduce(DataFrame.unionByName, pages)
+
+
+# --------------------------------------------------------------------------- L3 which pages are missing
+_HOUR_PAGES_SQL = "SELECT DISTINCT CAST(user_id AS VARCHAR) AS result, CAST(floor((epoch(ts) - 1704067200) / 3600) AS BIGINT) + 1 AS page FROM events"
+
+
+@register(
+    "missing_page_intervals",
+    f"""SELECT result, from_page, page - 1 AS to_page FROM (
+    SELECT result, page, coalesce(lag(page) OVER (PARTITION BY result ORDER BY page), 0) + 1 AS from_page FROM ({_HOUR_PAGES_SQL}) WHERE page >= 1)
+  WHERE from_page < page""",
+)
+def q_missing_page_intervals(spark, sf_dir):
+    """A user's events as a listing with a page an hour: the hours without an event are its missing pages. The
+    early and the late events are sets of their own, merged."""
+    e = D.table(spark, sf_dir, "events")
+    hour = F.floor(F.timestamp_diff("SECOND", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts").cast("timestamp_ntz")) / 3600) + 1
+    pages = e.select("ts", F.col("user_id").cast("string").alias("result"), hour.alias("page"))
+    cut = F.lit(_SPLIT).cast("timestamp_ntz")
+    early, late = (page_steps(pages.where(c)) for c in (F.col("ts") < cut, F.col("ts") >= cut))
+    return missing_pages(merge_steps(early, late))
+
+
 # --------------------------------------------------------------------------- T2 continuous stream
 @register("delivery_stream", D.with_views(f"{_DELIVERY_ROWS_SQL}\n  FROM deliveries", "deliveries"))
 def q_delivery_stream(spark, sf_dir):

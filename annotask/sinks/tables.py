@@ -36,11 +36,13 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _write(
-    df: DataFrame, path: str, date_col: str, mode: str, max_records_per_file: int | None, by: tuple[str, ...] = ("project_id",)
+    df: DataFrame, path: str, date_col: str, mode: str, max_records_per_file: int | None, by: tuple[str, ...] = ("project_id",),
+    ranged: bool = False,
 ) -> None:
+    order = ["project_id", date_col, "id"]
     writer = (
-        df.hint("rebalance", "project_id")
-        .sortWithinPartitions("project_id", date_col)
+        (df.repartitionByRange(*order) if ranged else df.hint("rebalance", "project_id"))
+        .sortWithinPartitions(*order)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         # Task ids are looked up one by one and in id lists; rows are sorted by
@@ -54,15 +56,17 @@ def _write(
 
 
 def write_tasks(
-    df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int | None = None, as_of: int | None = None
+    df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int | None = None, as_of: int | None = None,
+    ranged: bool = False,
 ) -> None:
     """Write a task table; ``overwrite`` replaces only the projects present in ``df``.
 
     ``as_of``: the version of the change log that these tasks were read with (``changes_version``, then
-    ``read_tasks(..., version=...)``): readers fold only later changes into them.
+    ``read_tasks(..., version=...)``): readers fold only later changes into them. ``ranged``: a project's files
+    follow each other in listing order, so that a page by the rank index opens one or two of them.
     """
     rows = answers_to_json(_conform(df, STORED_TASK_SCHEMA)).withColumn(AS_OF, F.lit(as_of).cast("long"))
-    _write(rows, path, "created_at", mode, max_records_per_file)
+    _write(rows, path, "created_at", mode, max_records_per_file, ranged=ranged)
 
 
 def write_deliveries(df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int | None = None) -> None:

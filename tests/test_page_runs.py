@@ -1,0 +1,119 @@
+"""Missing page intervals against sets of page numbers."""
+
+import json
+import os
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from annotask.operators.page_runs import merge_steps, missing_pages, page_runs, page_steps, running_within
+from annotask.sinks.page_state import missing_landed_pages, update_page_state
+
+PAGES = "result string, page int, rejected boolean"
+
+
+def intervals(numbers):
+    out = []
+    for n in sorted(numbers):
+        if out and n == out[-1][1] + 1:
+            out[-1][1] = n
+        else:
+            out.append([n, n])
+    return [tuple(i) for i in out]
+
+
+def got(df):
+    found = {}
+    for r in df.collect():
+        found.setdefault(r.result, []).append((r.from_page, r.to_page))
+    return {k: sorted(v) for k, v in found.items()}
+
+
+def want_missing(sets):
+    found = {k: intervals(set(range(1, max(v) + 1)) - v) for k, v in sets.items() if v}
+    return {k: v for k, v in found.items() if v}
+
+
+@given(st.lists(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(1, 12)), max_size=25), min_size=1, max_size=3))
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_merged_states_against_sets(spark, parts):
+    sets = {}
+    for result, page in (p for part in parts for p in part):
+        sets.setdefault(result, set()).add(page)
+    steps = [page_steps(spark.createDataFrame([(*p, False) for p in part], PAGES)) for part in parts]
+    merged = merge_steps(*steps)
+    assert got(missing_pages(merged)) == want_missing(sets)
+    assert got(page_runs(merged)) == {k: intervals(v) for k, v in sets.items()}
+
+
+def test_rejected_and_odd_pages_are_not_there(spark):
+    rows = [("r", 1, False), ("r", 2, True), ("r", 3, None), ("r", 4, True), ("r", 4, False), ("r", 6, False), ("r", 0, False), ("r", None, False)]
+    steps = page_steps(spark.createDataFrame(rows, PAGES))
+    assert got(missing_pages(steps)) == {"r": [(2, 2), (5, 5)]}
+
+
+def test_a_state_is_as_large_as_its_gaps(spark):
+    pages = spark.range(1, 50_001).selectExpr("'hot' AS result", "CAST(id AS INT) AS page", "id % 10000 = 0 AND id < 50000 AS rejected")
+    steps = page_steps(pages)
+    assert steps.count() == 10
+    assert got(missing_pages(steps)) == {"hot": [(n, n) for n in (10_000, 20_000, 30_000, 40_000)]}
+
+
+def test_a_running_sum_over_many_tasks(spark):
+    df = spark.range(20_000).selectExpr("'k' AS k", "id AS at", "id % 3 - 1 AS v").repartition(7)
+    out = running_within(df, ["k"], ["at"], "v").orderBy("at").collect()
+    total = 0
+    for n, row in enumerate(out, 1):
+        total += row.v
+        assert (row.rank, row.running) == (n, total)
+
+
+def test_empty(spark):
+    steps = page_steps(spark.createDataFrame([], PAGES))
+    assert missing_pages(steps).count() == page_runs(steps).count() == 0
+
+
+def land(landing, name, pages):
+    os.makedirs(landing, exist_ok=True)
+    with open(os.path.join(landing, f"{name}.json"), "w") as out:
+        for result, page, body in pages:
+            out.write(json.dumps({"result": result, "page": page, "value": body}) + "\n")
+
+
+def test_the_state_follows_the_landings(spark, tmp_path):
+    landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
+    assert update_page_state(spark, landing, state) == -1 and missing_landed_pages(spark, state).count() == 0
+    good = json.dumps({"tasks": [{"id": "a"}]})
+    land(landing, "one", [("r", 1, good), ("r", 5, good), ("s", 2, good), ("r", 3, "{broken")])
+    assert update_page_state(spark, landing, state) == 0
+    assert got(missing_landed_pages(spark, state)) == {"r": [(2, 4)], "s": [(1, 1)]}
+    land(landing, "two", [("r", 3, good), ("r", 9, good), ("s", 1, "{}")])
+    assert update_page_state(spark, landing, state) == update_page_state(spark, landing, state) == 1
+    assert got(missing_landed_pages(spark, state)) == {"r": [(2, 2), (4, 4), (6, 8)]}
+
+
+def test_two_updates_at_once(spark, tmp_path, monkeypatch):
+    from annotask.sinks.versions import Numbered
+
+    landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
+    land(landing, "one", [("r", 2, "{}")])
+    put = Numbered.put
+
+    def overtaken(self, number, record):
+        if "/state/" in self.path:
+            monkeypatch.setattr(Numbered, "put", put)
+            land(landing, "two", [("r", 4, "{}")])
+            update_page_state(spark, landing, state)
+        return put(self, number, record)
+
+    monkeypatch.setattr(Numbered, "put", overtaken)
+    # The faster update took both landings in.
+    assert update_page_state(spark, landing, state) == 0
+    assert got(missing_landed_pages(spark, state)) == {"r": [(1, 1), (3, 3)]}
+
+
+@pytest.mark.parametrize("name", ["result", "at", "step", "rank", "running"])
+def test_other_columns_do_not_matter(spark, name):
+    df = spark.createDataFrame([("r", 1, False), ("r", 3, False)], "of string, nr int, bad boolean").selectExpr("*", f"'x' AS {name}")
+    assert got(missing_pages(page_steps(df, "of", "nr", "bad"))) == {"r": [(2, 2)]}
