@@ -18,6 +18,7 @@ from annotask.operators.changes import changes_version, deletion_changes, priori
 from annotask.operators.mutations import cancel_batches, delete_tasks, reject_tasks, update_priorities
 from annotask.operators.page_runs import merge_steps, missing_pages, page_steps
 from annotask.operators.paging import page_completeness, paginate, read_page
+from annotask.operators.positions import read_tasks_at, record_position_changes
 from annotask.operators.rank_index import indexed_page, update_rank_index
 from annotask.operators.requests import task_request_json
 from annotask.operators.retry import classify_responses, request_outcomes, retry_queue
@@ -986,6 +987,30 @@ def q_task_state_after_changes(spark, sf_dir):
     return out.withColumn("reject_reasons", F.array_join("reject_reasons", "|"))
 
 
+@register(
+    "position_changes",
+    D.with_views(
+        """SELECT id, project_id, CASE WHEN project_id = '2' AND priority = 1 THEN 'rejected' ELSE state END AS state,
+         CASE WHEN project_id = '3' THEN -5 ELSE priority END AS priority
+  FROM tasks WHERE project_id IN ('2', '3', '4')
+   AND NOT (project_id = '4' AND id IN (SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'A'))""",
+        "tasks",
+    ),
+)
+def q_position_changes(spark, sf_dir):
+    """The same kinds of changes, resolved to files and rows; the three projects that have changes are read."""
+    base = scratch_path(spark, "positions")
+    tasks, path, log = D.tasks(spark, sf_dir), f"{base}/tasks", f"{base}/positions"
+    write_tasks(tasks, path)
+    why = tasks.where("project_id = '2' AND priority = 1").select("id", F.array(F.lit("again")).alias("reasons"))
+    gone = D.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "A").select("l_orderkey")
+    record_position_changes(rejection_changes(why, "2"), path, log, "2")
+    record_position_changes(priority_changes(spark, tasks.where("project_id = '3'").select("id"), "3", -5), path, log, "3")
+    record_position_changes(deletion_changes(spark, gone, "4"), path, log, "4")
+    parts = [read_tasks_at(spark, path, log, p).select("id", "project_id", "state", "priority") for p in ("2", "3", "4")]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --------------------------------------------------------------------------- K1 K2 a second run, all rejected; a cancel before the commit
 _LABELS = "doc_id bigint, lang string, output_label string"
 
