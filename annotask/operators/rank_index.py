@@ -35,7 +35,8 @@ def _stored(spark: SparkSession, path: str, order: tuple[str, ...], folder: str)
     return spark.read.parquet(f"{path.rstrip('/')}/_rank_index/{'-'.join(order)}/{folder}")
 
 
-def _table(spark: SparkSession, path: str, files: list[str] | None = None) -> DataFrame:
+def task_files(spark: SparkSession, path: str, files: list[str] | None = None) -> DataFrame:
+    """A stored task table, or only some of its files."""
     reader = spark.read.schema(STORED_TASK_SCHEMA).option("basePath", path)
     return reader.parquet(*(files or [path]))
 
@@ -55,7 +56,7 @@ def rank_spans(files: DataFrame) -> DataFrame:
     return spans
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
+def table_files(spark: SparkSession, path: str) -> DataFrame:
     """The table's files, as it lists them: (project_id, file). No row is read."""
     listed = spark.read.format("binaryFile").option("basePath", path).load(path)
     return listed.select(F.col("project_id").cast("string").alias("project_id"), F.element_at(F.split("path", "/"), -1).alias("file"))
@@ -67,11 +68,11 @@ def update_rank_index(spark: SparkSession, path: str, order: tuple[str, ...] = O
     version = versions.latest()
     before = versions.read(version)
     key = F.struct(*order)
-    keyed = _table(spark, path).select("project_id", F.col("_metadata.file_name").alias("file"), key.alias("key"))
+    keyed = task_files(spark, path).select("project_id", F.col("_metadata.file_name").alias("file"), key.alias("key"))
     if before is not None:
         known = _stored(spark, path, order, before["folder"])
         # The files that are still there keep their rows of the index; the keys of the others are read.
-        there = _files(spark, path)
+        there = table_files(spark, path)
         keyed = _unknown(spark, path, there, known, key)
         kept = known.select("project_id", "file", "n", "first", "last").join(there, ["project_id", "file"], "left_semi")
     counted = keyed.groupBy("project_id", "file").agg(F.count("*").alias("n"), F.min("key").alias("first"), F.max("key").alias("last"))
@@ -90,13 +91,13 @@ def update_rank_index(spark: SparkSession, path: str, order: tuple[str, ...] = O
 def _unknown(spark: SparkSession, path: str, there: DataFrame, known: DataFrame, key) -> DataFrame:
     new = there.join(known, ["project_id", "file"], "left_anti").collect()  # names, as a reader needs them
     if not new:
-        empty = _table(spark, path).limit(0)
+        empty = task_files(spark, path).limit(0)
         return empty.select("project_id", F.lit(None).cast("string").alias("file"), key.alias("key"))
     files = [f"{project_folder(path, r.project_id)}/{r.file}" for r in new]
-    return _table(spark, path, files).select("project_id", F.col("_metadata.file_name").alias("file"), key.alias("key"))
+    return task_files(spark, path, files).select("project_id", F.col("_metadata.file_name").alias("file"), key.alias("key"))
 
 
-def _names(spark: SparkSession, folder: str) -> set[str]:
+def project_files(spark: SparkSession, folder: str) -> set[str]:
     """A project's files, as a reader lists them."""
     try:
         return {f.rsplit("/", 1)[1] for f in spark.read.schema(STORED_TASK_SCHEMA).parquet(folder).inputFiles()}
@@ -119,7 +120,7 @@ def indexed_page(
     versions = _versions(spark, path, order)
     record = versions.read(versions.latest())
     folder = project_folder(path, project_id)
-    there = _names(spark, folder)
+    there = project_files(spark, folder)
     first = (page - 1) * page_size + 1
     for attempt in range(2):
         if record is not None:
@@ -134,7 +135,7 @@ def indexed_page(
         record = versions.read(update_rank_index(spark, path, order))
     held = [f"{folder}/{s.file}" for s in spans if s.to_rank >= first and s.from_rank < first + page_size]
     if not held:
-        return _table(spark, path).limit(0)
+        return task_files(spark, path).limit(0)
     before = sum(s.n for s in spans if s.to_rank < first)
     keys = [F.col(c).asc_nulls_first() for c in order]
-    return _table(spark, path, held).orderBy(*keys).offset(first - 1 - before).limit(page_size)
+    return task_files(spark, path, held).orderBy(*keys).offset(first - 1 - before).limit(page_size)

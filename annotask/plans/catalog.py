@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annotask.operators.changes import changes_version, deletion_changes, priority_changes, record_changes, rejection_changes
+from annotask.operators.frame_counts import FrameCounts, day_counts, state_moves
 from annotask.operators.mutations import cancel_batches, delete_tasks, reject_tasks, update_priorities
 from annotask.operators.page_runs import merge_steps, missing_pages, page_steps
 from annotask.operators.paging import page_completeness, paginate, read_page
@@ -31,6 +32,7 @@ from annotask.operators.stats import (
     project_state_counts,
     project_stats,
 )
+from annotask.operators.substring_index import tasks_containing, update_substring_index
 from annotask.plans import derived as D
 from annotask.plans.landing import land_pages, pack_pages
 from annotask.schema import STATE_COLUMN_NAMES, TASK_STATES
@@ -751,6 +753,49 @@ def q_delivery_feed(spark, sf_dir):
     return read_whole_feed(spark, feed).select("id", "project_id", "seq")
 
 
+# --------------------------------------------------------------------------- F3 by the trigram index
+@register(
+    "substring_index_search",
+    D.with_views(
+        "SELECT id, project_id, client_batch_id, state FROM tasks WHERE project_id IN ('7', '8') AND contains(client_batch_id, 'URG') AND state = 'delivered'",
+        "tasks",
+    ),
+)
+def q_substring_index_search(spark, sf_dir):
+    path = f"{scratch_path(spark, 'substrings')}/tasks"
+    tasks = D.tasks(spark, sf_dir)
+    # One project comes after the index was made, and is taken in by the next update; another is not.
+    write_tasks(tasks.where("project_id <> '8'"), path, max_records_per_file=500)
+    update_substring_index(spark, path)
+    write_tasks(tasks.where("project_id = '8'"), path, mode="append")
+    found = [tasks_containing(spark, path, p, "URG", state="delivered").select("id", "project_id", "client_batch_id", "state") for p in ("7", "8")]
+    return found[0].unionByName(found[1])
+
+
+# --------------------------------------------------------------------------- A1 counts of a time frame from cumulative cells
+_FRAME = ("1995-03-05T10:00:00Z", "1997-11-20T00:00:00Z")
+
+
+@register(
+    "framed_state_counts",
+    D.with_views(
+        """SELECT project_id, state, count(*) AS n_tasks FROM tasks
+  WHERE created_at > TIMESTAMP '1995-03-05 10:00:00' AND created_at < TIMESTAMP '1997-11-20 00:00:00' GROUP BY project_id, state""",
+        "tasks",
+    ),
+)
+def q_framed_state_counts(spark, sf_dir):
+    """The tasks come in two parts, and those in progress are completed afterwards and then put back."""
+    tasks = D.tasks(spark, sf_dir)
+    cells = FrameCounts(spark, f"{scratch_path(spark, 'frames')}/cells")
+    busy = tasks.where("state = 'in progress'")
+    cells.add(day_counts(tasks.where("priority < 3")))
+    cells.add(day_counts(tasks.where("priority >= 3")))
+    cells.add(state_moves(busy, busy.withColumn("state", F.lit("completed"))))
+    cells.add(state_moves(busy.withColumn("state", F.lit("completed")), busy))
+    return cells.project_state_counts(tasks, None, *_FRAME)
+
+
 # --------------------------------------------------------------------------- L1 pages by the rank index
 _INDEXED = (("7", 1), ("7", 3), ("0", 2), ("19", 4))
 
@@ -824,7 +869,7 @@ def q_delivery_stream(spark, sf_dir):
 def q_since_last_call_projects(spark, sf_dir):
     base = scratch_path(spark, "since-projects")
     landing = f"{base}/landing"
-    dl = D.deliveries(spark, sf_dir).where(F.col("project_id").isin("3", "4"))
+    dl = D.deliveries(spark, sf_dir)
     cut = F.lit(_SPLIT).cast("timestamp_ntz")
 
     def call(consumer: str, project: str, number: int) -> DataFrame:

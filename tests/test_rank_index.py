@@ -61,8 +61,8 @@ def test_new_and_removed_files_are_noticed(spark, tmp_path, monkeypatch):
     write_tasks(tasks(spark, 100), path, max_records_per_file=15, ranged=True)
     first = update_rank_index(spark, path)
     write_tasks(tasks(spark, 60, seed=2, start=1000), path, mode="append", max_records_per_file=15)
-    read, opened = rank_index._table, []
-    monkeypatch.setattr(rank_index, "_table", lambda s, p, files=None: opened.append(files) or read(s, p, files))
+    read, opened = rank_index.task_files, []
+    monkeypatch.setattr(rank_index, "task_files", lambda s, p, files=None: opened.append(files) or read(s, p, files))
     assert update_rank_index(spark, path) == first + 1
     # Only the new files' keys were read.
     assert [len(f) for f in opened if f] == [len([f for f in read(spark, path).inputFiles()]) - index_size(spark, path, first)]
