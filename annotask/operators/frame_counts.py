@@ -69,7 +69,7 @@ class FrameCounts:
             merged = merged.groupBy("project_id", "state", "day").agg(F.sum("n").alias("n"))
             folder = uuid.uuid4().hex
             cells = cumulative_cells(merged)
-            cells.sortWithinPartitions("day").write.partitionBy("project_id").parquet(f"{self.path}/cells/{folder}")
+            cells.hint("rebalance", "project_id").sortWithinPartitions("project_id", "day").write.partitionBy("project_id").parquet(f"{self.path}/cells/{folder}")
             last = self.spark.read.schema(_CELLS).parquet(f"{self.path}/cells/{folder}").agg(F.min("day"), F.max("day")).first()
             first, last = (None if d is None else d.isoformat() for d in last)
             if self.versions.put(version + 1, {"folder": folder, "first": first, "last": last}):

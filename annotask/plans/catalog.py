@@ -779,21 +779,20 @@ _FRAME = ("1995-03-05T10:00:00Z", "1997-11-20T00:00:00Z")
 @register(
     "framed_state_counts",
     D.with_views(
-        """SELECT project_id, state, count(*) AS n_tasks FROM tasks
-  WHERE created_at > TIMESTAMP '1995-03-05 10:00:00' AND created_at < TIMESTAMP '1997-11-20 00:00:00' GROUP BY project_id, state""",
+        """SELECT project_id, CASE WHEN state = 'in progress' THEN 'completed' ELSE state END AS state, count(*) AS n_tasks FROM tasks
+  WHERE created_at > TIMESTAMP '1995-03-05 10:00:00' AND created_at < TIMESTAMP '1997-11-20 00:00:00' GROUP BY ALL""",
         "tasks",
     ),
 )
 def q_framed_state_counts(spark, sf_dir):
-    """The tasks come in two parts, and those in progress are completed afterwards and then put back."""
+    """The tasks are counted, then those in progress are completed."""
     tasks = D.tasks(spark, sf_dir)
+    done = F.when(F.col("state") == "in progress", F.lit("completed")).otherwise(F.col("state"))
     cells = FrameCounts(spark, f"{scratch_path(spark, 'frames')}/cells")
+    cells.add(day_counts(tasks))
     busy = tasks.where("state = 'in progress'")
-    cells.add(day_counts(tasks.where("priority < 3")))
-    cells.add(day_counts(tasks.where("priority >= 3")))
-    cells.add(state_moves(busy, busy.withColumn("state", F.lit("completed"))))
-    cells.add(state_moves(busy.withColumn("state", F.lit("completed")), busy))
-    return cells.project_state_counts(tasks, None, *_FRAME)
+    cells.add(state_moves(busy, busy.withColumn("state", done)))
+    return cells.project_state_counts(tasks.withColumn("state", done), None, *_FRAME)
 
 
 # --------------------------------------------------------------------------- L1 pages by the rank index
