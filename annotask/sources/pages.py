@@ -150,21 +150,26 @@ def explode_all(
     typed_envelope = T.StructType([T.StructField("task", record), T.StructField("tasks", T.ArrayType(record))])
     body = F.col("_body")
     pages = df.select(*keep, F.col(body_col).alias("_body")).withColumn("_whole", _whole(body, typed_envelope))
-    pages = pages.withColumn("_fits", _fits(F.col("_whole"), body))
-    pages = _slow_parse(pages, body, F.col("_fits"))
+    times = [f for f in record_schema.fields if _is_time(f.dataType)]
+
+    def bad_time(record: Column) -> Column:
+        wrong = [record.getField(f.name).isNotNull() & _typed(record.getField(f.name), f.dataType).isNull() for f in times]
+        return reduce(lambda a, b: a | b, wrong, F.lit(False))
 
     def items(env: Column) -> Column:
         return F.when(env.getField("task").isNotNull(), F.array(env.getField("task"))).otherwise(env.getField("tasks"))
 
-    none = F.array(F.lit(None).cast("string"))
-    as_text = F.when(F.col("_fits"), F.lit(None)).when(F.col("rejected"), none).otherwise(items(F.col("_env")))
+    # A body with a time that does not fit is in doubt too. No row carries its page's body.
+    sound = _fits(F.col("_whole"), body) & ~F.coalesce(F.exists(items(F.get("_whole.v", F.lit(0))), bad_time), F.lit(False))
+    pages = _slow_parse(pages.withColumn("_fits", sound), body, F.col("_fits"))
+    as_text = F.when(F.col("_fits"), F.lit(None)).when(F.col("rejected"), F.array(body)).otherwise(items(F.col("_env")))
     as_types = F.when(F.col("_fits"), items(F.get("_whole.v", F.lit(0))))
     pages = pages.withColumn("_types", F.coalesce(as_types, F.array().cast(T.ArrayType(record))))
     pages = pages.withColumn("_texts", F.coalesce(as_text, F.array().cast("array<string>")))
     both = F.arrays_zip("_types", "_texts")
-    rows = pages.select(*keep, "rejected", "_fits", "_body", F.posexplode(both).alias("_pos", "_item"))
+    rows = pages.select(*keep, "rejected", "_fits", F.posexplode(both).alias("_pos", "_item"))
     fits, given, text = F.col("_fits"), F.col("_item").getField("_types"), F.col("_item").getField("_texts")
-    rows = rows.withColumn("_fields", F.when(~fits, _fields_as_text(text, record_schema)))
+    rows = rows.withColumn("_fields", F.when(~fits & ~F.col("rejected"), _fields_as_text(text, record_schema)))
     is_object = F.when(fits, given.isNotNull()).otherwise(text.startswith("{") & F.col(f"_fields.{CORRUPT_FIELD}").isNull())
 
     def typed(f: T.StructField) -> Column:
@@ -186,8 +191,7 @@ def explode_all(
     outcome = F.when(F.col("rejected"), F.lit(BAD_BODY)).when(bad, F.lit(BAD_RECORD)).otherwise(F.lit(ROW))
     position = F.when(~F.col("rejected"), F.col("_pos") + 1).cast("int").alias(names["position"])
     rows = rows.withColumn("_outcome", outcome)
-    again = F.get(items(F.from_json(body, ENVELOPE_SCHEMA, JSON_OPTIONS)), F.col("_pos"))
-    text = F.when(F.col("_outcome") == BAD_BODY, body).when(F.col("_outcome") == BAD_RECORD, F.when(fits, again).otherwise(text))
+    text = F.when(F.col("_outcome") != ROW, text)
     return rows.select(
         *[F.col(c).alias(names[c]) for c in keep],
         position,
