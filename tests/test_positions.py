@@ -70,6 +70,14 @@ def test_a_lookup_reads_only_the_files_that_can_hold_the_ids(spark, tmp_path):
     assert spark.conf.get(positions._PUSHED_IDS) == "10"
 
 
+def test_the_longest_list_that_is_looked_up(spark, tmp_path):
+    path = str(tmp_path / "tasks")
+    write_tasks(tasks(spark, 12_000, projects=("p",)), path, max_records_per_file=6000)
+    with positions._id_lists_pushed(spark):
+        found = locate(spark, path, "p", frame(spark, [f"t{i:05}" for i in range(4000, 14_000)]))  # 10,000 ids, 8,000 of them there
+        assert found.count() == 8000 and found.select("file", "row").distinct().count() == 8000
+
+
 def test_a_read_shuffles_no_tasks(spark, tmp_path, monkeypatch):
     path, log = str(tmp_path / "tasks"), str(tmp_path / "positions")
     write_tasks(tasks(spark, 500, projects=("p",)), path, max_records_per_file=100)
