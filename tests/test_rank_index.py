@@ -54,6 +54,16 @@ def test_a_page_opens_only_the_files_that_hold_it(spark, tmp_path):
     assert len(indexed_page(spark, path, "hot", 1, 2000).inputFiles()) >= 40
 
 
+def test_files_are_as_large_as_their_rows_need(spark, tmp_path):
+    path = tmp_path / "tasks"
+    write_tasks(tasks(spark, 2000, projects=("hot",)), str(path), max_records_per_file=50, ranged=True)
+    sizes = [f.stat().st_size for f in path.rglob("*.parquet")]
+    # A bloom filter of Parquet's own size would take 1 MB in each.
+    assert len(sizes) >= 40 and max(sizes) < 16_384
+    one = read_tasks(spark, str(path)).where("id = 't00077'")
+    assert one.count() == 1
+
+
 def test_new_and_removed_files_are_noticed(spark, tmp_path, monkeypatch):
     from annotask.operators import rank_index
 
