@@ -43,6 +43,11 @@ from annotask.sinks.versions import VERSION, VersionedLog
 OPENED, COMMITTED = "opened", "committed"
 ACCEPTED, REJECTED = "accepted", "rejected"
 REQUEST_SCHEMA = "value string, project_id string, batch_id string, attempt string, outcome string"
+# Bytes of committed attempts that every task is given at most; about so many a row, besides its texts.
+BROADCAST_BYTES = 32 << 20
+_ATTEMPT_BYTES = 200
+# Parts that an attempt's requests are dealt to where the attempts are too many for that.
+ATTEMPT_PARTS = 64
 
 
 def _now() -> _dt.datetime:
@@ -191,13 +196,21 @@ def read_committed_requests(
 ) -> DataFrame:
     """Requests of committed attempts only (left-semi on the job table), accepted ones by default.
 
-    With ``data_schema`` the request JSON is parsed into
-    ``data``/``priority``/``submit`` columns.
+    One attempt can hold all requests, so they are not gathered by attempt: the attempts are counted and broadcast
+    up to BROADCAST_BYTES, and joined to parts of each attempt's requests beyond. With ``data_schema`` the request JSON
+    is parsed into ``data``/``priority``/``submit`` columns.
     """
-    jobs = read_batch_jobs(spark, jobs_path, project_id=project_id).where(~F.col("status").isin(OPENED, CANCELLED))
     keys = ["project_id", "batch_id", "attempt"]
+    jobs = read_batch_jobs(spark, jobs_path, project_id=project_id).where(~F.col("status").isin(OPENED, CANCELLED)).select(*keys)
     lines = filter_tasks(read_task_requests(spark, path, outcome), project_id=project_id)
-    lines = lines.join(jobs.select(*keys), keys, "left_semi").select("value", "project_id", "batch_id", "outcome")
+    size = F.sum(F.octet_length(F.concat_ws("", *keys)) + _ATTEMPT_BYTES)
+    if (jobs.agg(size).first()[0] or 0) <= BROADCAST_BYTES:
+        lines = lines.join(F.broadcast(jobs), keys, "left_semi")
+    else:
+        lines = lines.withColumn("_part", F.col("_metadata.row_index") % ATTEMPT_PARTS)
+        parts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ATTEMPT_PARTS - 1).cast("long")))
+        lines = lines.join(jobs.withColumn("_part", parts), [*keys, "_part"], "left_semi")
+    lines = lines.select("value", "project_id", "batch_id", "outcome")
     if data_schema is None:
         return lines
     if isinstance(data_schema, str):

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from annotask.functions.json import parse_preannotations
 from annotask.operators.requests import task_request_json
+from annotask.sinks import batches
 from annotask.sinks.batches import (
     read_batch_jobs,
     read_committed_requests,
@@ -142,6 +143,26 @@ def test_rewrite_of_a_batch_does_not_duplicate(spark, tmp_path):
     assert back.count() == 20
 
 
+@pytest.mark.parametrize("given", [batches.BROADCAST_BYTES, -1])
+def test_one_batch_is_read_by_many_tasks(spark, tmp_path, monkeypatch, given):
+    req, jobs = str(tmp_path / "requests"), str(tmp_path / "jobs")
+    df = spark.range(4000).select(F.col("id").alias("n")).repartition(4)
+    write_task_batch(df, req, "p", "b", jobs_path=jobs)
+    write_task_batch(df, req, "p", "uncommitted")
+    monkeypatch.setattr(batches, "BROADCAST_BYTES", given)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for name, value in zip(before, ("-1", "-1", "false")):
+        spark.conf.set(name, value)
+    try:
+        back = read_committed_requests(spark, req, jobs, "n bigint")
+        met = back.select("data.n", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted(r.n for r in met) == list(range(4000))
+    assert len({r.task for r in met}) > 1
+
+
 def test_rerun_whose_rows_are_all_rejected_shows_none(spark, tmp_path):
     req, jobs = str(tmp_path / "requests"), str(tmp_path / "jobs")
     good = spark.createDataFrame([("a", "1"), ("b", "2")], "name string, output_x string")
