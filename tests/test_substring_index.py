@@ -57,6 +57,14 @@ def test_a_search_opens_only_the_files_that_can_hold_it(spark, tmp_path):
     assert len(ids(tasks_containing(spark, path, "p", "ch-07-"))) == 20
 
 
+def test_table_and_index_are_as_large_as_the_rows_need(spark, tmp_path):
+    path = str(tmp_path / "tasks")
+    write_tasks(tasks(spark, [f"batch {i % 50}" for i in range(1000)]), path, max_records_per_file=25)
+    update_substring_index(spark, path)
+    files = [f.stat().st_size for f in (tmp_path / "tasks").rglob("*.parquet")]
+    assert len(files) >= 40 and sum(files) < len(files) * 16_384
+
+
 def test_two_updates_at_once(spark, tmp_path, monkeypatch):
     from annotask.sinks.versions import Numbered
 
