@@ -11,7 +11,7 @@ Over it lies a model of whole words (64-bit hashes), discounted like the lower
 orders: what the discounts take goes in equal parts to the word's spelling, that is, to
 the character model, and to all words alike, unseen ones as one word. A word is scored by the counts of the other half of the texts,
 so a text does not vouch for itself; halves go by the smallest hash of a few
-neighbouring words, which near copies mostly share. No entry is left out: where a model is
+neighbouring words, which near copies mostly share. No entry that a score asks is left out: where a model is
 larger than a broadcast, languages and ranges of word hashes take turns.
 
 A text is rejected when its perplexity (per word) lies outside its language's
@@ -24,7 +24,6 @@ distribution so far that at most a share ``FALSE_SHARE`` of them is expected.
 from __future__ import annotations
 
 import math
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -52,18 +51,24 @@ CHUNK = 1 << 21
 MAX_ENTRIES = 8_000_000
 # Parts of the word hashes' range that a language is divided into at most.
 RANGES = 1 << 10
-# Words whose hashes a worker holds; a counting task hands on eight times as many.
-HELD_WORDS = 200_000
+# Word counts that a counting task holds before it hands them on.
+HELD_WORDS = 1_600_000
 # A side of a band is chosen in steps of robust standard deviations, up to BAND,
 # so that of the texts beyond it at most this share is expected by chance.
 BAND, NARROWEST, STEP, FALSE_SHARE = 8.0, 1.5, 0.1, 0.3
 
+# Neighbouring words whose hashes choose a text's half.
+NEIGHBOURS = 4
+
 MIN_WORDS = 20
 MAX_REPEATED = 30  # per cent of the words
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\v\f\r"
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# Put before each of several joined texts, and after the last: as many signs as a 4-gram looks back.
+_GAP = b" " * (ORDER - 1)
+# Words up to so many bytes are told apart eight bytes at a time.
+LONG_WORD = 64
 
 
 def _class_table() -> np.ndarray:
@@ -84,15 +89,119 @@ def _class_table() -> np.ndarray:
 _TABLE = _class_table()
 
 
+_IN_WORD = ~np.isin(np.arange(256), list(_SPACES.encode()))
+_IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS.encode()))
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
+class Joined:
+    """Texts (as UTF-8) side by side, so that a call of numpy serves many of them.
+
+    Words ``cuts[i]`` to ``cuts[i + 1]`` are those of text ``i``; ``begins``, ``ends``, ``starts`` and ``stops``
+    are the places of texts and words in bytes, ``place`` turns them into code points.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        self.texts, self.data = texts, _GAP.join([b"", *texts, b""])
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.ends = np.cumsum(sizes + len(_GAP))
+        self.begins = self.ends - sizes
+        self.raw = np.frombuffer(self.data, np.uint8)
+        inside = _IN_WORD[self.raw]
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        self.starts, self.stops = edges[::2], edges[1::2]
+        self.cuts = np.concatenate(([0], np.searchsorted(self.starts, self.ends)))
+        self.n_words = np.diff(self.cuts)
+        self._places = None if self.data.isascii() else np.cumsum((self.raw & 0xC0) != 0x80) - 1
+
+    def place(self, at: np.ndarray) -> np.ndarray:
+        return at if self._places is None else self._places[at]
+
+    def gaps(self) -> np.ndarray:
+        """The signs around the texts, by their places in code points."""
+        first = self.place(np.append(self.begins - len(_GAP), self.ends[-1:]))
+        return (first[:, None] + np.arange(len(_GAP))).ravel()
+
+    def codes(self) -> np.ndarray:
+        """The hash of the 4-gram that ends at each character; each text is preceded by start signs."""
+        if self._places is None:
+            own = _TABLE[self.raw]
+        else:
+            points = np.frombuffer(self.data.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), dtype="<u4")
+            own = _TABLE[np.minimum(points, 127)]
+            far = np.flatnonzero(points > 127)
+            own[far] = OTHER + points[far] % (CLASSES - OTHER)
+        own[self.gaps()] = START
+        out = own.astype(np.uint32)
+        for width in (1, 2):  # of single classes, then of pairs
+            out[width:] |= out[:-width] << np.uint32(CLASS_BITS * width)
+        return out
+
+    def hashes(self) -> np.ndarray:
+        """The 64-bit hash (XXH3) of each word, made once for those that are equal."""
+        mixed = self._mixed_words()
+        _, first, which = np.unique(mixed, return_index=True, return_inverse=True)
+        spans = zip(self.starts[first].tolist(), self.stops[first].tolist())
+        return np.fromiter((xxhash.xxh3_64_intdigest(self.data[a:b]) for a, b in spans), np.uint64, len(first))[which]
+
+    def _mixed_words(self) -> np.ndarray:
+        """A number of 64 bits that tells words apart: eight bytes at a time are mixed in, long words have their hash."""
+        eight = np.ndarray(len(self.data), "<u8", self.data + bytes(8), strides=(1,))
+        sizes = self.stops - self.starts
+        out = sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        open_ = np.flatnonzero(sizes <= LONG_WORD)
+        for k in range(0, LONG_WORD, 8):
+            rest = sizes[open_] - k
+            mixed = out[open_] ^ (eight[self.starts[open_] + k] & _FIRST_BYTES[np.minimum(rest, 8)])
+            for factor, shift in ((0xBF58476D1CE4E5B9, 32), (0x94D049BB133111EB, 29)):
+                mixed *= np.uint64(factor)
+                mixed ^= mixed >> np.uint64(shift)
+            out[open_] = mixed
+            open_ = open_[rest > 8]
+        for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(self.data[self.starts[i] : self.stops[i]])
+        return out
+
+    def halves(self, hashes: np.ndarray) -> np.ndarray:
+        """``half`` of each text."""
+        out = np.zeros(len(self.texts), np.int64)
+        for i in np.flatnonzero((self.n_words > 0) & (self.n_words < NEIGHBOURS)).tolist():
+            out[i] = half(hashes[self.cuts[i] : self.cuts[i + 1]])
+        long = np.flatnonzero(self.n_words >= NEIGHBOURS)
+        if len(long):
+            mixed = np.append(_mixed(hashes, NEIGHBOURS), np.uint64(0))  # the last text's end is a place too
+            spans = np.stack((self.cuts[long], self.cuts[long + 1] - (NEIGHBOURS - 1)), axis=1).ravel()
+            out[long] = np.minimum.reduceat(mixed, spans)[::2] >> np.uint64(7) & np.uint64(1)
+        return out
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """The sum of the characters' values for each word, which goes up to the next one or the text's end."""
+        full = np.flatnonzero(self.n_words)
+        after = self.cuts[full + 1]
+        places = self.place(np.insert(self.starts, after, self.ends[full]))
+        return np.delete(np.add.reduceat(values, places), after + np.arange(len(full))) if len(full) else np.zeros(0)
+
+    def rules(self, hashes: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of each text."""
+        chars = np.concatenate(([0], np.cumsum(self.place(self.stops) - self.place(self.starts))))[self.cuts]
+        symbols = np.searchsorted(np.flatnonzero(_IS_SYMBOL[self.raw]), np.append(0, self.ends))
+        repeated = np.zeros(len(self.texts), np.int64)
+        windows = hashes
+        for width in (1, 2, 4):  # of single words, pairs, fours
+            windows = windows[:-width] * np.uint64(0xBF58476D1CE4E5B9) + windows[width:]
+            windows ^= windows >> np.uint64(31)
+        for i in np.flatnonzero(self.n_words > WINDOW).tolist():
+            own = np.sort(windows[self.cuts[i] : self.cuts[i + 1] - (WINDOW - 1)])
+            if (own[1:] == own[:-1]).any():
+                # Equal hashes are only a hint: the words themselves decide.
+                repeated[i] = _repeated(self.texts[i].split())
+        doubles = map(_double_lines, self.texts)
+        return list(zip(self.n_words.tolist(), np.diff(chars).tolist(), np.diff(symbols).tolist(), doubles, repeated.tolist()))
+
+
 def grams(text: str) -> np.ndarray:
     """The hash of the 4-gram that ends at each character; the text is preceded by start signs."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    own = np.where(points < 128, _TABLE[np.minimum(points, 127)], OTHER + points % (CLASSES - OTHER)).astype(np.uint32)
-    padded = np.concatenate((np.full(ORDER - 1, START, np.uint32), own))
-    out = np.zeros(len(own), dtype=np.uint32)
-    for k in range(ORDER):
-        out = out << CLASS_BITS | padded[k : k + len(own)]
-    return out
+    return Joined([text.encode("utf-8", "surrogatepass")]).codes()[len(_GAP) : -len(_GAP)]
 
 
 def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,13 +216,14 @@ def gram_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])
 
     def run(batches):
-        held: dict[str, list[np.ndarray]] = {}
+        held: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
         sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
         def add_up(lang):
             if sizes.get(lang):
-                keys, counts = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
+                joined = Joined(held.pop(lang))
+                keys, counts = np.unique(np.delete(joined.codes(), joined.gaps()), return_counts=True)
                 sizes[lang] = 0
                 if lang in sums:
                     keys, counts = np.concatenate((sums[lang][0], keys)), np.concatenate((sums[lang][1], counts))
@@ -126,10 +236,10 @@ def gram_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part[0]), pa.string()), *map(pa.array, part)], names=["lang", "gram", "n"])
 
         for batch in batches:
-            for lang, text in zip(batch.column(0), batch.column(1)):
-                lang, text = lang.as_py() or "", text.as_py() or ""
+            for lang, text in zip(batch.column(0).to_pylist(), _utf8(batch.column(1))):
+                lang = lang or ""
                 if text:
-                    held.setdefault(lang, []).append(grams(text))
+                    held.setdefault(lang, []).append(text)
                     sizes[lang] = sizes.get(lang, 0) + len(text)
                     if sizes[lang] >= CHUNK:
                         add_up(lang)
@@ -232,30 +342,42 @@ class Model:
         return out
 
 
-class Hashes(dict):
-    """The 64-bit hash of each word met lately."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= HELD_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return found
-
-
-def word_hashes(words: list[str], cache: dict[str, int]) -> np.ndarray:
-    """The 64-bit hash of each word; a plain ``cache`` is not kept."""
-    cache = cache if isinstance(cache, Hashes) else Hashes(cache)
-    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[str], cache: dict | None = None) -> np.ndarray:
+    """The 64-bit hash of each word; ``cache`` is not used any more."""
+    return Joined([" ".join(words).encode("utf-8", "surrogatepass")]).hashes()
 
 
-def half(hashes: np.ndarray) -> int:
-    """0 or 1, by the smallest hash of four neighbouring words (of all, in a shorter text)."""
-    width = min(4, len(hashes))
+def _mixed(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A hash for each so many neighbouring words."""
     mixed = np.zeros(len(hashes) - width + 1, dtype=np.uint64)
     for k in range(width):
         mixed = (mixed ^ hashes[k : k + len(mixed)]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(31)
-    return int(mixed.min() >> np.uint64(7)) & 1 if len(mixed) else 0
+    return mixed
+
+
+def half(hashes: np.ndarray) -> int:
+    """0 or 1, by the smallest hash of four neighbouring words (of all, in a shorter text)."""
+    return int(_mixed(hashes, min(NEIGHBOURS, len(hashes))).min() >> np.uint64(7)) & 1 if len(hashes) else 0
+
+
+def _utf8(texts: pa.Array) -> list[bytes]:
+    """The texts of a batch; null counts as empty."""
+    return [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+
+
+def _chunks(langs: list[str], texts: list[bytes]):
+    """(lang, numbers of its rows, their texts joined), a few megabytes at a time."""
+    rows, size, last = [], 0, None
+    # By language, so that one table serves a batch's rows of it.
+    for i in sorted(range(len(langs)), key=langs.__getitem__):
+        if rows and (langs[i] != last or size + len(texts[i]) > CHUNK):
+            yield last, rows, Joined([texts[k] for k in rows])
+            rows, size = [], 0
+        rows.append(i)
+        size, last = size + len(texts[i]), langs[i]
+    if rows:
+        yield last, rows, Joined([texts[k] for k in rows])
 
 
 def word_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -263,14 +385,20 @@ def word_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     schema = T.StructType([T.StructField("lang", T.StringType()), *(T.StructField(n, T.LongType()) for n in ("word", "n0", "n1"))])
 
     def run(batches):
-        held, size, cache = {}, 0, Hashes()
+        held, size = {}, 0
 
-        def rows():
+        def merge():
             for lang, pair in held.items():
-                keys = np.unique(np.concatenate([k for k, _, _ in pair]))
+                keys = np.unique(np.concatenate([k for k, _ in pair]))
                 sums = np.zeros((2, len(keys)), np.int64)
-                for k, n, h in pair:
-                    sums[h, np.searchsorted(keys, k)] += n
+                for k, n in pair:
+                    sums[:, np.searchsorted(keys, k)] += n
+                held[lang] = [(keys, sums)]
+            return sum(len(pair[0][0]) for pair in held.values())
+
+        def rows():
+            merge()
+            for lang, [(keys, sums)] in held.items():
                 for at in range(0, len(keys), CHUNK // 8):
                     cut = slice(at, at + CHUNK // 8)
                     own = keys[cut].view(np.int64)
@@ -278,18 +406,20 @@ def word_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -
                         [pa.array([lang] * len(own), pa.string()), pa.array(own), pa.array(sums[0, cut]), pa.array(sums[1, cut])], names=schema.names)
 
         for batch in batches:
-            met = {}
-            for lang, text in zip(batch.column(0), batch.column(1)):
-                hashes = word_hashes(_WORD.findall(text.as_py() or ""), cache)
-                if len(hashes):
-                    met.setdefault((lang.as_py() or "", half(hashes)), []).append(hashes)
-            for (lang, h), parts in met.items():
-                keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-                held.setdefault(lang, []).append((keys, counts, h))
-                size += len(keys)
-            if size > HELD_WORDS * 8:
-                yield from rows()
-                held, size = {}, 0
+            langs = [lang or "" for lang in batch.column(0).to_pylist()]
+            for lang, _, joined in _chunks(langs, _utf8(batch.column(1))):
+                hashes = joined.hashes()
+                of_word = np.repeat(joined.halves(hashes), joined.n_words)
+                for h in (0, 1):
+                    keys, counts = np.unique(hashes[of_word == h], return_counts=True)
+                    if len(keys):
+                        held.setdefault(lang, []).append((keys, np.stack((counts * (1 - h), counts * h))))
+                        size += len(keys)
+                if size > HELD_WORDS:
+                    size = merge()
+                    if size > HELD_WORDS // 2:
+                        yield from rows()
+                        held, size = {}, 0
         yield from rows()
 
     pairs = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
@@ -313,17 +443,18 @@ class Words:
             taken = ds[0] * t[0] + ds[1] * t[1] + ds[2] * (types - t[0] - t[1])
             self.by_half.append((n, np.array([0.0, *ds]), taken, types))
 
-    def log_p(self, hashes: np.ndarray, spelling: np.ndarray, other: int) -> np.ndarray:
-        """Log probability of words by the counts of half ``other``, given those of their spelling."""
-        total, ds, taken, types = self.by_half[other]
-        if not total:
-            return spelling
-        n = np.zeros(len(hashes), np.int64)
+    def log_p(self, hashes: np.ndarray, spelling: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Log probability of words by the counts of each one's half ``other``, given those of their spelling."""
+        n, out = np.zeros(len(hashes), np.int64), spelling.copy()
         if len(self.keys):
             at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-            n = np.where(self.keys[at] == hashes, self.counts[other][at], 0)
-        base = (np.exp(spelling) + 1 / (types + 1)) / 2
-        return np.log((n - ds[np.minimum(n, 3)]) / total + taken / total * base)
+            n = np.where(self.keys[at] == hashes, self.counts[other, at], 0)
+        for h, (total, ds, taken, types) in enumerate(self.by_half):
+            if total:
+                own = np.flatnonzero(other == h)
+                k, base = n[own], (np.exp(spelling[own]) + 1 / (types + 1)) / 2
+                out[own] = np.log((k - ds[np.minimum(k, 3)]) / total + taken / total * base)
+        return out
 
 
 def _turns(sizes: list[tuple[str, int, int]], most: int) -> list[list[tuple[str, int, int]]]:
@@ -360,42 +491,34 @@ def band_sides(deviations: DataFrame, band: float = BAND, false_share: float = F
     return good.groupBy("lang").agg(F.min(F.when(~F.col("side"), start)).alias("below"), F.min(F.when(F.col("side"), start)).alias("above"))
 
 
-def rules(text: str, words: list[str] | None = None) -> tuple[int, int, int, int, int]:
+def _double_lines(text: bytes) -> int:
+    """Lines with a word that are equal to an earlier one."""
+    lines = text.split(b"\n")
+    if len(lines) == len(set(lines)):
+        return 0
+    read = [line for line in lines if line.strip()]
+    return len(read) - len(set(read))
+
+
+def _repeated(words: list[bytes]) -> int:
+    """Words in windows that are found twice or more."""
+    numbers: dict[bytes, int] = {}
+    ids = np.array([numbers.setdefault(w, len(numbers)) for w in words], dtype=np.uint64)
+    windows = [ids[i : i + WINDOW].tobytes() for i in range(len(ids) - WINDOW + 1)]
+    met: dict[bytes, int] = {}
+    for w in windows:
+        met[w] = met.get(w, 0) + 1
+    marks = np.zeros(len(ids) + 1, dtype=np.int64)
+    starts = np.flatnonzero([met[w] > 1 for w in windows])
+    marks[starts] += 1
+    np.subtract.at(marks, starts + WINDOW, 1)
+    return int((np.cumsum(marks)[:-1] > 0).sum())
+
+
+def rules(text: str) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text."""
-    words = _WORD.findall(text) if words is None else words
-    chars = len(text) - sum(map(text.count, _SPACES))
-    symbols = sum(map(text.count, SYMBOLS))
-    seen, doubles = set(), 0
-    if "\n" in text:
-        for line in text.split("\n"):
-            if line in seen:
-                doubles += 1
-            elif _WORD.search(line):
-                seen.add(line)
-    repeated = 0
-    if len(words) > WINDOW:
-        numbers: dict[str, int] = {}
-        ids = np.array([numbers.setdefault(w, len(numbers)) for w in words], dtype=np.uint64)
-        mixed = ids * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD1B54A32D192ED03)
-        mixed ^= mixed >> np.uint64(29)
-        count = len(ids) - WINDOW + 1
-        hashes = np.zeros(count, dtype=np.uint64)
-        for k in range(WINDOW):
-            hashes = hashes * np.uint64(0xBF58476D1CE4E5B9) + mixed[k : k + count]
-        _, place, times = np.unique(hashes, return_inverse=True, return_counts=True)
-        again = np.flatnonzero(times[place] > 1)
-        if len(again):
-            # Equal hashes are only a hint: the windows themselves decide.
-            windows = [ids[i : i + WINDOW].tobytes() for i in again.tolist()]
-            met: dict[bytes, int] = {}
-            for w in windows:
-                met[w] = met.get(w, 0) + 1
-            marks = np.zeros(len(ids) + 1, dtype=np.int64)
-            starts = again[[met[w] > 1 for w in windows]]
-            marks[starts] += 1
-            np.subtract.at(marks, starts + WINDOW, 1)
-            repeated = int((np.cumsum(marks)[:-1] > 0).sum())
-    return len(words), chars, symbols, doubles, repeated
+    joined = Joined([text.encode("utf-8", "surrogatepass")])
+    return joined.rules(joined.hashes())[0]
 
 
 def quality_rules(
@@ -417,7 +540,9 @@ def quality_rules(
     bounds what is broadcast at a time and changes no result.
     """
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.col(text_col).alias("text"))
-    entries = written(kneser_ney(written(gram_counts(rows), "grams")).drop("n"), "grams-model")
+    # Each 4-gram of a scored text was counted, so the lower orders are not asked once its probability is known.
+    entries = kneser_ney(written(gram_counts(rows), "grams")).where((F.col("ord") == ORDER) & F.col("log_p").isNotNull())
+    entries = written(entries.drop("n"), "grams-model")
     words = written(word_counts(rows), "words")
     per_half = [
         f(F.col(f"n{h}")).alias(f"{name}_{h}")
@@ -425,8 +550,10 @@ def quality_rules(
         for name, f in (
             ("n", F.sum), ("types", lambda c: F.count_if(c > 0)), *((f"t{k}", lambda c, k=k: F.count_if(c == k)) for k in (1, 2, 3, 4)))
     ]
+    # A text's words occur in its own half, and are judged by the other: one that a half lacks is judged as an unseen one.
+    shared_words = (F.col("n0") > 0) & (F.col("n1") > 0)
     # One row per language.
-    totals = {r["lang"]: r.asDict() for r in words.groupBy("lang").agg(F.count("*").alias("words"), *per_half).collect()}
+    totals = {r["lang"]: r.asDict() for r in words.groupBy("lang").agg(F.count_if(shared_words).alias("words"), *per_half).collect()}
     sizes = {r["lang"]: r["count"] for r in entries.groupBy("lang").count().collect()}
     turns = _turns([(lang, n, totals[lang]["words"] if lang in totals else 0) for lang, n in sizes.items()], max_entries)
 
@@ -438,15 +565,12 @@ def quality_rules(
     whole = T.StructType([*counted.fields, *sums])
     partial = T.StructType([whole["lang"], key, *sums])
 
-    def digest(text):
-        return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
-
     def score(shared, with_rules):
         def run(batches):
             models = shared.value
-            table, table_lang, filled, cache = np.full(1 << CLASS_BITS * ORDER, np.nan, np.float32), None, [], Hashes()
+            table, table_lang, filled = np.full(1 << CLASS_BITS * ORDER, np.nan, np.float32), None, []
 
-            def look_up(lang, codes):
+            def look_up(lang, codes, gaps):
                 nonlocal table_lang
                 model = models[lang][0]
                 if table_lang != lang:
@@ -458,40 +582,38 @@ def quality_rules(
                     table[keys] = values
                     filled.append(keys)
                 found = table[codes]
+                found[gaps] = 0
                 missing = np.isnan(found)
                 if missing.any():
                     keys = np.unique(codes[missing])
                     table[keys] = model.log_p(lang, keys)
                     filled.append(keys)
-                    found = table[codes]
+                    found[missing] = table[codes[missing]]
                 return found.astype(np.float64)
 
-            def sums_of(lang, text, words):
-                if not words:
-                    return 0.0, 0.0
+            def sums_of(lang, joined, hashes):
+                if lang not in models or not len(hashes):
+                    return [0.0] * len(joined.texts), [0.0] * len(joined.texts)
                 _, counts, part, parts = models[lang]
-                hashes = word_hashes(words, cache)
-                codes = grams(text)
-                # A word's spelling goes up to the next word.
-                inside = np.concatenate(([False], (codes & np.uint32(CLASSES - 1)) != SPACE))
-                starts = np.flatnonzero(inside[1:] & ~inside[:-1])
-                spelling = np.add.reduceat(look_up(lang, codes), starts)
-                other = 1 - half(hashes)
+                spelling = joined.sums(look_up(lang, joined.codes(), joined.gaps()))
+                text = np.repeat(np.arange(len(joined.texts)), joined.n_words)
+                other = 1 - joined.halves(hashes)[text]
                 if parts > 1:
                     own = hashes % np.uint64(parts) == np.uint64(part)
-                    hashes, spelling = hashes[own], spelling[own]
+                    hashes, spelling, text, other = hashes[own], spelling[own], text[own], other[own]
                 one = counts.log_p(hashes, spelling, other)
-                return float(one.sum()), float((one * one).sum())
+                return tuple(np.bincount(text, weights=w, minlength=len(joined.texts)).tolist() for w in (one, one * one))
 
             for batch in batches:
-                langs = batch.column(1).to_pylist()
                 made = [None] * batch.num_rows
-                # By language, so that one table serves a batch's rows of it.
-                for i in sorted(range(batch.num_rows), key=langs.__getitem__):
-                    text = batch.column(2)[i].as_py() or ""
-                    words = _WORD.findall(text)
-                    own = (digest(text), *(sums_of(langs[i], text, words) if langs[i] in models else (0.0, 0.0)))
-                    made[i] = (*rules(text, words), len(text), *own) if with_rules else own
+                for lang, at, joined in _chunks(batch.column(1).to_pylist(), _utf8(batch.column(2))):
+                    hashes = joined.hashes()
+                    own = list(zip(map(xxhash.xxh3_128_digest, joined.texts), *sums_of(lang, joined, hashes)))
+                    if with_rules:
+                        lengths = (joined.place(joined.ends) - joined.place(joined.begins)).tolist()
+                        own = [(*r, n, *o) for r, n, o in zip(joined.rules(hashes), lengths, own)]
+                    for i, row in zip(at, own):
+                        made[i] = row
                 fields = whole.fields[2:] if with_rules else partial.fields[1:]
                 kinds = {"bigint": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
                 columns = [pa.array(c, kinds[f.dataType.simpleString()]) for c, f in zip(zip(*made), fields)]
@@ -507,7 +629,7 @@ def quality_rules(
             model = Model(entries.where(F.col("lang") == lang).toArrow())
             # The remainder of the hash as an unsigned number, as numpy takes it.
             unsigned = F.pmod(F.pmod(F.shiftrightunsigned("word", 1), F.lit(parts)) * 2 + F.col("word").bitwiseAND(F.lit(1)), F.lit(parts))
-            own = words.where((F.col("lang") == lang) & (unsigned == part)).toArrow()
+            own = words.where((F.col("lang") == lang) & shared_words & (unsigned == part)).toArrow()
             keys, n0, n1 = (own.column(c).to_numpy() for c in ("word", "n0", "n1"))
             if lang in totals:
                 models[lang] = model, Words(keys.astype(np.int64).view(np.uint64), np.stack((n0, n1)), totals[lang]), part, parts

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from annotask.llm import perplexity
 from annotask.llm.queries import QUERIES
@@ -161,3 +162,36 @@ def test_words_are_counted_whole_and_by_halves(spark):
         want[perplexity.half(hashes)].update(hashes.view(np.int64).tolist())
     assert {r["word"]: (r["n0"], r["n1"]) for r in got} == {w: (want[0][w], want[1][w]) for w in want[0] | want[1]}
     assert len(got) == 8
+
+
+def odd_texts(count):
+    draw = random.Random(6)
+    parts = ["a", "b", "c", " ", " ", "\n", "#", "\t", "\v", "é", "\x85", "夜", "\U0001f600", "x" * 70, "abcdefgh", "\0"]
+    return ["", " ", "  a", "a  ", "a b", *("".join(draw.choice(parts) for _ in range(draw.randrange(60))) for _ in range(count))]
+
+
+def test_joined_texts_are_read_as_each_alone():
+    texts = odd_texts(400)
+    joined = perplexity.Joined([t.encode() for t in texts])
+    hashes, codes = joined.hashes(), joined.codes()
+    assert joined.rules(hashes) == [plain_rules(t) for t in texts]
+    assert hashes.tolist() == [xxhash.xxh3_64_intdigest(w.encode()) for t in texts for w in WORD.findall(t)]
+    assert np.delete(codes, joined.gaps()).tolist() == [c for t in texts for c in perplexity.grams(t).tolist()]
+    assert joined.halves(hashes).tolist() == [perplexity.half(perplexity.word_hashes(WORD.findall(t), {})) for t in texts]
+    alone = [perplexity.Joined([t.encode()]) for t in texts]
+    assert joined.sums(codes.astype(float)).tolist() == [x for j in alone for x in j.sums(j.codes().astype(float)).tolist()]
+
+
+def test_equal_windows_are_confirmed_by_their_words(monkeypatch):
+    monkeypatch.setattr(perplexity.Joined, "hashes", lambda self: np.zeros(len(self.starts), np.uint64))
+    for text in [*odd_texts(100), "a b c d e f g h i j k l", "a b c d e f g h a b c d e f g h"]:
+        assert perplexity.rules(text) == plain_rules(text)
+
+
+def test_only_words_of_both_halves_and_whole_grams_are_broadcast(spark, monkeypatch):
+    sent, words, model = [], perplexity.Words.__init__, perplexity.Model.__init__
+    monkeypatch.setattr(perplexity.Words, "__init__", lambda self, keys, counts, totals: sent.append(counts) or words(self, keys, counts, totals))
+    monkeypatch.setattr(perplexity.Model, "__init__", lambda self, table: sent.append(set(table["ord"].to_pylist())) or model(self, table))
+    docs = [(i, f"{t} only{i}") for i, t in invented(60)]
+    assert len(rows(perplexity.quality_rules(documents(spark, docs)))) == 60
+    assert sent[0] == {4} and sent[1].shape[1] > 20 and (sent[1] > 0).all()
