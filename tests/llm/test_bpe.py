@@ -125,3 +125,27 @@ def test_states_are_bounded_inside_one_piece(met):
     for _ in range(5):
         assert machine.encode(piece) == want
         assert len(machine._paths) <= 500 and len(machine._missed) <= 2000
+
+
+def test_every_piece_goes_through_the_transducer(monkeypatch):
+    codec, met = bpe.Codec(RANKS, public_tokenizers.PATTERN), []
+    transducer = codec._pieces.transducer
+    encode = transducer.encode
+    monkeypatch.setattr(transducer, "encode", lambda piece: met.append(piece) or encode(piece))
+    # Vocabulary entries, short and long pieces, in texts that Latin-1 can hold and in others.
+    for text in ("a the cat thatlyoning don't 12345 £5\n\n  é" + "zqhringsataq" * 9, "日本 the cat thatlyoning \U0001f642"):
+        assert ids(codec.encode(text)) == REFERENCE.encode_ordinary(text)
+    assert {"a", " the", " cat", " thatlyoning", "'t", " 12345", " £", "5", "日本", " \U0001f642"} <= {piece.decode() for piece in met}
+    assert any(len(piece) > 100 for piece in met)
+
+
+def test_words_make_arcs():
+    codec = bpe.Codec(RANKS, public_tokenizers.PATTERN)
+    words = " ".join(f"thely{a}{b}ning" for a in "abcdefghij" for b in "klmnopqrst")
+    assert ids(codec.encode(words)) == REFERENCE.encode_ordinary(words)
+    assert len(codec._pieces.transducer._paths) > 1
+
+
+def test_entries_go_through_the_transducer_unchanged():
+    for machine in (MACHINES[0], MACHINES[32]):
+        assert all(machine.encode(token) == [rank] == machine.walk(token) for token, rank in list(RANKS.items())[::7])
