@@ -1,3 +1,4 @@
+import base64
 import collections
 
 import pyspark.sql.functions as F
@@ -79,6 +80,18 @@ def test_an_empty_table_passes_through(spark, folder):
     assert docs.count() == 0
 
 
+def test_ids_that_do_not_give_back_the_text_stop_the_last_stage(spark, tmp_path, monkeypatch):
+    docs = documents(spark, [(1, "ab"), (2, None), (3, ""), (4, "b é")])
+    assert {r["doc_id"]: r["n_tokens"] for r in rows(corpus_pipeline.encode(spark, docs, ""))}.keys() == {1, 2, 3, 4}
+    # A rank file that gives two bytes one rank.
+    ranks = [(bytes([i]), 97 if i == 98 else i) for i in range(256)]
+    (tmp_path / "ranks").write_bytes(b"".join(base64.b64encode(token) + b" %d\n" % rank for token, rank in ranks))
+    monkeypatch.setattr(corpus_pipeline.public_tokenizers, "path", lambda name: str(tmp_path / "ranks"))
+    assert ids(rows(corpus_pipeline.encode(spark, docs.where("doc_id = 2"), ""))[0]["token_ids"]) == []
+    with pytest.raises(Exception, match="do not give back the text of doc_id 1"):
+        corpus_pipeline.encode(spark, docs.where("doc_id = 1"), "").select("doc_id").collect()
+
+
 def test_registered():
     found = __spark_entry__.queries()
     assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in found} and "pipeline" in found
